@@ -8,8 +8,9 @@ from pyspark.sql import Column, functions as F
 
 # White space stripped from both ends of a text.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
-    "         　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
+    "           "
+    "    　"
 )
 
 # Tags that survive the structural clean.
@@ -29,7 +30,7 @@ TITLE_PLACES = (
 
 MAX_DESCRIPTION = 50_000  # fixed value: stored description length
 
-_LOOKAROUND_FREE_SPACE = r"(?U)\s+"
+_SPACE_RUN = r"(?U)\s+"
 
 
 def col(c: Column | str) -> Column:
@@ -98,7 +99,7 @@ def title_with_flags(title: Column | str) -> Column:
 
 def collapse(c: Column | str) -> Column:
     """White-space runs to one space, none at the ends."""
-    return strip(F.regexp_replace(col(c), _LOOKAROUND_FREE_SPACE, " "))
+    return strip(F.regexp_replace(col(c), _SPACE_RUN, " "))
 
 
 def stored_description(c: Column | str, limit: int = MAX_DESCRIPTION) -> Column:
@@ -146,14 +147,17 @@ def unescape(text: Column | str) -> Column:
 def structural_html(html: Column | str, tags: Sequence[str] = STRUCTURAL_TAGS) -> Column:
     """Keep the structural tags without attributes, drop other tags but keep their text.
 
-    Blank runs become one space and three or more line ends become two.
+    A line break is written as an empty element, entities are decoded, blank runs become
+    one space and three or more line ends become two.
     """
     kept = "|".join(sorted(tags, key=len, reverse=True))
-    out = F.regexp_replace(col(html), r"(?s)<!.*?>", "")
+    out = F.regexp_replace(col(html), r"(?s)<!--.*?-->", "")
+    out = F.regexp_replace(out, r"(?i)<![a-z][^>]*>|</br\s*>", "")
     # other tags go first; the kept ones lose their attributes after that
-    out = F.regexp_replace(out, rf"(?is)<(?!/?(?:{kept})\b)/?[a-z][^>]*>", "")
-    out = F.regexp_replace(out, rf"(?is)<({kept})\b[^>]*>", "<$1>")
-    out = F.regexp_replace(out, rf"(?is)</({kept})\b[^>]*>", "</$1>")
+    out = F.regexp_replace(out, rf"(?i)<(?!/?(?:{kept})\b)/?[a-z][^>]*>", "")
+    out = F.regexp_replace(out, rf"(?i)<({kept})\b[^>]*>", "<$1>")
+    out = F.regexp_replace(out, rf"(?i)</({kept})\b[^>]*>", "</$1>")
+    out = unescape(F.regexp_replace(out, r"(?i)<br>", "<br></br>"))
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r"\n{3,}", "\n\n")
     return strip(out)
