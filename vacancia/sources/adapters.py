@@ -257,20 +257,18 @@ def paylocity(cards: DataFrame, base_url: str, as_of, html: str = "html", carry:
 
 
 def link_blocks(pages: DataFrame, origin: str, html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
-    """Posting links with a titled span, and the ``Job ID:`` value that follows each."""
-    link = (
-        r'(?is)<a\b[^>]*href="([^"]+)"[^>]*>\s*<span[^>]*itemprop="title"[^>]*>(.*?)</span\s*>.*?</a\s*>'
-        r"(?:[^<]|<(?!a\b))*?Job ID:\s*<span[^>]*>([^<]*)</span\s*>"
-    )
-    blocks = F.arrays_zip(*[X.all_matches(html, link, g).alias(n) for g, n in ((1, "href"), (2, "title"), (3, "job_id"))])
+    """Posting links with a titled span, and the ``Job ID:`` value before the next link."""
+    blocks = F.split(F.col(html), r"(?i)<a(?=\s)")
     rows = pages.select(*_carry(pages, carry), F.posexplode(blocks).alias("pos", "_b"))
-    return rows.select(
+    out = rows.where(F.col("pos") > 0).select(
         *carry,
         "pos",
-        X.collapse(X.page_text(F.col("_b.title"))).alias("job_title"),
-        P.absolute_url(F.col("_b.href"), origin).alias("posting_url"),
-        X.strip(F.col("_b.job_id")).alias("posting_id"),
+        X.collapse(X.page_text(X.first_match(
+            "_b", r'(?is)<span[^>]*itemprop="title"[^>]*>(.*?)</span\s*>'))).alias("job_title"),
+        P.absolute_url(X.first_match("_b", r'(?is)^[^>]*?href="([^"]+)"'), origin).alias("posting_url"),
+        X.strip(X.first_match("_b", r"(?is)Job ID:\s*<span[^>]*>([^<]*)</span\s*>")).alias("posting_id"),
     )
+    return out.where(F.col("job_title").isNotNull() & F.col("posting_url").isNotNull())
 
 
 def container_rows(pages: DataFrame, patterns: Sequence[str], html: str = "html",
