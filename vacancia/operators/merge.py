@@ -64,8 +64,11 @@ def stale_before_today(as_of) -> Column:
 
 
 def close_stale(listings: DataFrame, companies: DataFrame, as_of, rule: Column | None = None,
-                status: str = "closed", gate: DataFrame | None = None, dated: bool = True) -> DataFrame:
-    """Close the open rows that a rule calls stale; the ``action`` column marks them.
+                status: str = "closed", gate: DataFrame | None = None, dated: bool = True,
+                active_only: bool = False) -> DataFrame:
+    """Close the rows that a rule calls stale; the ``action`` column marks them.
+
+    Every row that is not closed is looked at, or only the active ones.
 
     ``companies`` gives the previous completion per company, ``gate`` the companies whose
     snapshot is complete; others are left alone.
@@ -79,7 +82,8 @@ def close_stale(listings: DataFrame, companies: DataFrame, as_of, rule: Column |
         out = out.join(gate.select("company_id", F.col("complete").alias("_complete")), "company_id", "left")
         stale = stale & F.coalesce("_complete", F.lit(False))
     have = F.col("action") if "action" in listings.columns else F.lit(KEPT)
-    out = out.withColumn("_stale", stale & (F.col("job_status") != status))
+    is_open = F.col("job_status") == "active" if active_only else F.col("job_status") != "closed"
+    out = out.withColumn("_stale", stale & is_open)
     out = out.withColumn("action", F.when(F.col("_stale"), F.lit(CLOSED)).otherwise(have))
     out = out.withColumn("job_status", F.when(F.col("_stale"), F.lit(status)).otherwise(F.col("job_status")))
     if dated:

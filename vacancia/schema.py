@@ -1,12 +1,10 @@
-"""Explicit schemas of the tables and feeds, and the defaults of the listings table."""
+"""Explicit schemas of the tables and feeds, as DDL, and the defaults of the listings table."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
-
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def struct(ddl: str) -> str:
+    return " ".join(ddl.split())
 
 
 LISTINGS = struct(

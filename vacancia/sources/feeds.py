@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacancia import schema as S
 from vacancia.functions.text import col, file_kind
@@ -10,12 +10,12 @@ from vacancia.functions.text import col, file_kind
 FOUNTAIN_PAGE_CAP = 50  # fixed value: listing pages read per source
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
     """JSON documents with an explicit schema; no inference pass over the files."""
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def parse_documents(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
+def parse_documents(df: DataFrame, text: str, schema: str) -> DataFrame:
     """The same documents held as a text column of a table; other columns stay."""
     rest = [c for c in df.columns if c != text]
     return df.select(*rest, F.from_json(F.col(text), schema).alias("_doc")).select(*rest, "_doc.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vacancia import schema as S
 
@@ -46,11 +46,11 @@ def with_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return df.select(*out)
 
 
-def to_canonical(df: DataFrame, schema=S.LISTINGS) -> DataFrame:
+def to_canonical(df: DataFrame, schema: str = S.LISTINGS) -> DataFrame:
     """Any subset of columns to the canonical listing columns and types."""
     have = set(df.columns)
     cols = []
-    for f in schema.fields:
+    for f in T.StructType.fromDDL(schema).fields:
         c = F.col(f.name) if f.name in have else F.lit(None)
         is_amount = f.dataType.typeName() == "decimal"
         cols.append((c.try_cast(f.dataType) if is_amount else c.cast(f.dataType)).alias(f.name))
