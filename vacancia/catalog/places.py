@@ -150,7 +150,7 @@ def url_facets(t: Tables) -> DataFrame:
     WITH u AS (SELECT page_id, url, regexp_extract(url, '^(https?)://([^/?#]+)([^?#]*)', 1) AS scheme,
                       regexp_extract(url, '^(https?)://([^/?#]+)([^?#]*)', 2) AS host,
                       regexp_extract(url, '^(https?)://([^/?#]+)([^?#]*)', 3) AS path FROM pages),
-    b AS (SELECT *, coalesce(list_filter(string_split(path, '/'), x -> x <> '' AND lower(x) <> 'en-us')[-1], 'External') AS board FROM u)
+    b AS (SELECT *, coalesce(list_filter(string_split(path, '/'), lambda x: x <> '' AND lower(x) <> 'en-us')[-1], 'External') AS board FROM u)
     SELECT page_id, scheme || '://' || host AS origin, string_split(host, '.')[1] AS tenant, board,
            scheme || '://' || host || '/wday/cxs/' || string_split(host, '.')[1] || '/' || board || '/jobs' AS endpoint,
            scheme || '://' || host || '/' || board AS base

@@ -380,7 +380,7 @@ def quality_report(t: Tables) -> DataFrame:
 
 @query("quality_rejects", _CHECKED_SQL + "SELECT o_orderkey, array_to_string(list_filter([" + ", ".join(
     f"CASE WHEN b{i} THEN '{name}' END" for i, name in enumerate(_RULE_NAMES, 1))
-    + "], x -> x IS NOT NULL), ',') AS violations FROM o WHERE " + " OR ".join(f"b{i}" for i in range(1, 10)))
+    + "], lambda x: x IS NOT NULL), ',') AS violations FROM o WHERE " + " OR ".join(f"b{i}" for i in range(1, 10)))
 def quality_rejects(t: Tables) -> DataFrame:
     rows = _checked(t)
     _, bad = Q.split_by_quality(rows, Q.listing_rules(rows.columns))

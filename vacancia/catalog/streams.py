@@ -11,8 +11,13 @@ from vacancia.streaming import jobs
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def landed_events(t: Tables) -> DataFrame:
+    # a pattern, because the table may be one file or a folder of files
+    return jobs.landed_stream(t.spark, f"{t.folder}/[e]vents.parquet", t("events").schema)
+
+
 def events_stream(t: Tables) -> DataFrame:
-    stream = jobs.landed_stream(t.spark, f"{t.folder}/events.parquet", t("events").schema)
+    stream = landed_events(t)
     return stream.withColumn("seen_at", F.col("ts").cast("timestamp"))
 
 
@@ -38,7 +43,7 @@ def stream_merge(t: Tables) -> DataFrame:
         merge_sightings(before, batch).write.mode("overwrite").parquet(f"{root}/state/v{batch_id}")
         last["id"] = batch_id
 
-    source = jobs.landed_stream(spark, f"{t.folder}/events.parquet", t("events").schema).select("user_id", "ts")
+    source = landed_events(t).select("user_id", "ts")
     jobs.merge_stream(source, apply, f"{root}/checkpoint").awaitTermination()
     out = spark.read.schema(kind).parquet(f"{root}/state/v{last['id']}")
     return out.select(

@@ -92,20 +92,30 @@ def match_dictionary(df: DataFrame, text: str, names: DataFrame, key: Sequence[s
     return join_dictionary(df, text, words, key, out)
 
 
-def join_dictionary(df: DataFrame, text: str, words: DataFrame, key: Sequence[str], out: str) -> DataFrame:
-    """The equi-join form of ``match_dictionary``; ``words`` has the column ``_name``."""
-    words = words.withColumn("_low", F.lower("_name"))
-    side = words.groupBy("_low").agg(F.min("_name").alias("_name"))
-    lengths = [r[0] for r in side.select(F.length("_low").alias("n")).distinct().orderBy("n").limit(1000).collect()]
+def _lengths(side: DataFrame) -> list[int]:
+    """Distinct lengths of the dictionary entries: as many as a name column is wide at most."""
+    return [r[0] for r in side.select(F.length("_low").alias("n")).distinct().orderBy("n").collect()]
+
+
+def _pieces(df: DataFrame, text: str, lengths: Sequence[int], key: Sequence[str]) -> DataFrame:
+    """(key, _low): the distinct pieces of a text that have one of the lengths."""
     low = F.lower(F.col(text))
 
-    def pieces(n: int) -> Column:
+    def of_length(n: int) -> Column:
         starts = F.when(F.length(low) >= n, F.sequence(F.lit(1), F.length(low) - n + 1))
-        return F.coalesce(
-            F.transform(starts, lambda i: F.substring(low, i, F.lit(n))), F.array().cast("array<string>")
-        )
+        cut = F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
+        return F.coalesce(cut, F.array().cast("array<string>"))
+
+    every = F.array_distinct(F.flatten(F.array(*[of_length(n) for n in lengths])))
+    return df.select(*key, F.explode(every).alias("_low"))
 
-    cut = df.select(*key, F.explode(F.array_distinct(F.flatten(F.array(*[pieces(n) for n in lengths])))).alias("_low"))
+
+def join_dictionary(df: DataFrame, text: str, words: DataFrame, key: Sequence[str], out: str) -> DataFrame:
+    """The equi-join form of ``match_dictionary``; ``words`` has the column ``_name``."""
+    words = words.withColumn("_low", F.lower("_name"))
+    side = words.groupBy("_low").agg(F.min("_name").alias("_name"))
+    lengths = _lengths(side)
+    cut = _pieces(df, text, lengths, key)
     hits = cut.join(side, "_low").withColumn("_len", F.length("_low"))
     best = hits.groupBy(*key).agg(
         F.min(F.struct((-F.col("_len")).alias("l"), F.col("_name").alias("n")))["n"].alias(out)
@@ -123,19 +133,8 @@ def match_rules(df: DataFrame, text: str, rules: DataFrame, dimension: DataFrame
     live = rules.join(dimension.select(F.col("name").alias("category")), "category", "left_semi")
     live = live.withColumn("_low", F.lower("keyword"))
     side = live.groupBy("_low").agg(F.min(F.struct("priority", "category")).alias("_rule"))
-    lengths = [r[0] for r in side.select(F.length("_low").alias("n")).distinct().orderBy("n").limit(1000).collect()]
-    low = F.lower(F.col(text))
-    chunks = [
-        F.coalesce(
-            F.transform(
-                F.when(F.length(low) >= n, F.sequence(F.lit(1), F.length(low) - n + 1)),
-                lambda i, n=n: F.substring(low, i, F.lit(n)),
-            ),
-            F.array().cast("array<string>"),
-        )
-        for n in lengths
-    ]
-    cut = df.select(*key, F.explode(F.array_distinct(F.flatten(F.array(*chunks)))).alias("_low"))
+    lengths = _lengths(side)
+    cut = _pieces(df, text, lengths, key)
     best = cut.join(side, "_low").groupBy(*key).agg(F.min("_rule")["category"].alias(out))
     return df.join(best, list(key), "left")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 
 def struct(ddl: str) -> str:
     return " ".join(ddl.split())
@@ -54,7 +56,7 @@ LISTING_DEFAULTS = {
     "is_volunteer": False,
     "is_individual_contributor": False,
     "is_people_manager": False,
-    "extraction_confidence": "1.0",
+    "extraction_confidence": Decimal("1.00"),
     "extraction_version": "2.0",
 }
 
