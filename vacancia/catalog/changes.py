@@ -363,7 +363,7 @@ def _feed(t: Tables) -> DataFrame:
     FROM f GROUP BY 1
 """)
 def full_cycle(t: Tables) -> DataFrame:
-    cycle = run_cycle(t.stored(), _feed(t), t.companies(), AS_OF, started="2002-01-01 11:00:00", save=False)
+    cycle = run_cycle(t.stored(), _feed(t), t.companies(), AS_OF, started="2002-01-01 11:00:00")
     entries = F.transform(F.map_entries("errors"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
     return cycle.run_log.select(
         "company_id", "jobs_found", "jobs_added", "jobs_updated", "jobs_skipped",

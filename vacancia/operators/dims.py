@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from vacancia.functions.dates import moment
 from vacancia.functions.text import blank_to_null, slug, strip
 from vacancia.operators.numbering import number_rows, with_new_ids
+from vacancia.session import materialise
 
 _CHUNK = 10_000  # candidate suffixes made per row
 
@@ -17,7 +18,7 @@ def unique_slugs(new: DataFrame, stored: DataFrame, name: str = "common_name") -
     The k-th new name of a base gets the k-th free suffix: suffixes that stored slugs or
     other new base slugs use are passed over.
     """
-    names = new.select(name).distinct().withColumn("base", slug(name))
+    names = materialise(new.select(name).distinct().withColumn("base", slug(name)), "names")
     suffixed = r"^(.*)-([1-9][0-9]*)$"
 
     def split_off(df: DataFrame, c: str) -> DataFrame:
@@ -45,7 +46,7 @@ def unique_slugs(new: DataFrame, stored: DataFrame, name: str = "common_name") -
     )
     free = candidates.join(taken, ["base", "suffix"], "left_anti")
     free = number_rows(free, ["suffix"], ["base"], bucket=(F.col("suffix") / _CHUNK).cast("bigint"))
-    numbered = number_rows(names, [name], ["base"])
+    numbered = number_rows(names, [name], ["base"], save=False)
     out = numbered.join(free, ["base", "rn"])
     suffix = F.when(F.col("suffix") > 0, F.concat(F.lit("-"), F.col("suffix").cast("string")))
     return out.select(name, F.concat("base", F.coalesce(suffix, F.lit(""))).alias("slug"))
@@ -60,9 +61,9 @@ def get_or_create_companies(stored: DataFrame, wanted: DataFrame, types: DataFra
     """
     typed = wanted.withColumn("company_type_name", F.coalesce("company_type_name", F.lit(default_type)))
     missing = typed.join(stored.select("common_name"), "common_name", "left_anti")
-    missing = missing.groupBy("common_name").agg(
+    missing = materialise(missing.groupBy("common_name").agg(
         *[F.min(c).alias(c) for c in ("website", "jobboard", "company_type_name")]
-    )
+    ), "missing-companies")
     side = types.select(F.col("name").alias("company_type_name"), F.col("id").alias("company_type"))
     checked = missing.join(side, "company_type_name", "left")
     rejected = checked.where(F.col("company_type").isNull()).withColumn("reason", F.lit("unknown_company_type"))

@@ -12,24 +12,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions.dates import days_before, moment
-from vacancia.operators.dedup import keep_first
 from vacancia.operators.numbering import with_new_ids
+from vacancia.session import materialise
 
 KEPT, TOUCHED, CLOSED, INSERTED = "kept", "touched", "closed", "inserted"
 
 
-def match_keys(current: DataFrame, incoming: DataFrame, active_only: bool = False) -> DataFrame:
-    """(company_id of the stored row, posting_url, id) of the stored rows that the snapshot has.
+def match_snapshot(current: DataFrame, incoming: DataFrame, active_only: bool = False,
+                   feed_order: Sequence[str] = ()) -> DataFrame:
+    """One row per posting of the snapshot, with the stored ``id`` it matches and its ``copies``.
 
     By URL whatever the status, or only among the active rows of the same company. Of
-    stored rows with the same key the last one is the match.
+    stored rows with the same key the last one is the match; of repeated postings the
+    first one in feed order stays. Both are one aggregation over the stored keys and the
+    snapshot together: one shuffle, and a key that repeats is reduced before it moves.
     """
-    stored = current.where(F.coalesce("posting_url", F.lit("")) != "")
-    keys = ["posting_url"]
+    has_url = F.coalesce("posting_url", F.lit("")) != ""
+    keys = ["company_id", "posting_url"] if active_only else ["posting_url"]
+    stored = current.where(has_url)
     if active_only:
-        stored, keys = stored.where(F.col("job_status") == "active"), ["company_id", "posting_url"]
-    last = stored.groupBy(*keys).agg(F.max("id").alias("id"))
-    return last.join(incoming.select(*keys).distinct(), keys, "left_semi")
+        stored = stored.where(F.col("job_status") == "active")
+    payload = [c for c in incoming.columns if c not in (*keys, "id")]
+    order = F.struct(*(feed_order or payload))
+    rows = incoming.where(has_url).select(*keys, F.struct(*payload).alias("_p"), order.alias("_o"))
+    both = stored.select(*keys, F.col("id").alias("_id")).unionByName(rows, allowMissingColumns=True)
+    matched = both.groupBy(*keys).agg(
+        F.max("_id").alias("id"), F.min_by("_p", "_o").alias("_p"), F.count("_p").alias("copies")
+    )
+    return matched.where(F.col("copies") > 0).select(*keys, "id", "copies", "_p.*")
 
 
 def complete_companies(incoming: DataFrame, announced: DataFrame | None = None) -> DataFrame:
@@ -81,61 +91,74 @@ def close_stale(listings: DataFrame, companies: DataFrame, as_of, rule: Column |
     if gate is not None:
         out = out.join(gate.select("company_id", F.col("complete").alias("_complete")), "company_id", "left")
         stale = stale & F.coalesce("_complete", F.lit(False))
-    have = F.col("action") if "action" in listings.columns else F.lit(KEPT)
     is_open = F.col("job_status") == "active" if active_only else F.col("job_status") != "closed"
-    out = out.withColumn("_stale", stale & is_open)
-    out = out.withColumn("action", F.when(F.col("_stale"), F.lit(CLOSED)).otherwise(have))
-    out = out.withColumn("job_status", F.when(F.col("_stale"), F.lit(status)).otherwise(F.col("job_status")))
-    if dated:
-        out = out.withColumn("date_closed", F.when(F.col("_stale"), F.to_date(moment(as_of))).otherwise(F.col("date_closed")))
-    out = out.withColumn("updated_at", F.when(F.col("_stale"), moment(as_of)).otherwise(F.col("updated_at")))
-    return out.drop("_stale", "_cutoff", "_complete")
+    changed = {
+        "job_status": F.lit(status),
+        "updated_at": moment(as_of),
+        **({"date_closed": F.to_date(moment(as_of))} if dated else {}),
+    }
+    have = F.col("action") if "action" in listings.columns else F.lit(KEPT)
+    plain = [c for c in listings.columns if c != "action"]
+    marked = out.select(*plain, have.alias("action"), (stale & is_open).alias("_stale"))
+    return _change(marked, "_stale", {**changed, "action": F.lit(CLOSED)})
+
+
+def _change(df: DataFrame, flag: str, values: dict[str, Column]) -> DataFrame:
+    """Set columns where a flag is true; the flag goes."""
+    return df.select(*[
+        F.when(F.col(flag), values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+        for c in df.columns if c != flag
+    ])
 
 
 def touch(current: DataFrame, matched: DataFrame, as_of) -> DataFrame:
     """Set both time stamps of the matched rows; a closed row stays closed."""
-    out = current.join(matched.select("id", F.lit(True).alias("_seen")), "id", "left")
-    for c in ("updated_at", "last_scraped"):
-        out = out.withColumn(c, F.when(F.col("_seen"), moment(as_of)).otherwise(F.col(c)))
-    return out.withColumn("action", F.when(F.col("_seen"), F.lit(TOUCHED)).otherwise(F.lit(KEPT))).drop("_seen")
+    seen = matched.where(F.col("id").isNotNull()).select("id", F.lit(True).alias("_seen"))
+    out = current.join(seen, "id", "left").select(*current.columns, F.lit(KEPT).alias("action"), "_seen")
+    now = moment(as_of)
+    return _change(out, "_seen", {"updated_at": now, "last_scraped": now, "action": F.lit(TOUCHED)})
 
 
-def staged_inserts(current: DataFrame, new: DataFrame, as_of) -> DataFrame:
+def staged_inserts(current: DataFrame, new: DataFrame, as_of, save: bool = True) -> DataFrame:
     """New postings with keys, defaults and time stamps, in the columns of the stored table."""
-    rows = with_new_ids(new, ["company_id", "posting_url"], current)
-    given = set(rows.columns)
-    preset = {
-        "job_status": F.lit("active"), "approved": F.lit(False), "created_at": moment(as_of),
-        "updated_at": moment(as_of), "last_scraped": moment(as_of),
-    }
+    rows = with_new_ids(new, ["company_id", "posting_url"], current, save=save)
+    now = moment(as_of)
+    fixed = {"created_at": now, "updated_at": now, "last_scraped": now, "approved": F.lit(False)}
     cols = []
     for name, kind in current.dtypes:
-        c = preset.get(name)
-        if c is None or (name in given and name in ("job_status",)):
-            c = F.coalesce(F.col(name), c) if (name in given and c is not None) else (
-                F.col(name) if name in given else F.lit(None))
-        cols.append(c.cast(kind).alias(name))
+        c = F.col(name) if name in rows.columns else F.lit(None)
+        if name == "job_status":
+            c = F.coalesce(c, F.lit("active"))
+        cols.append(fixed.get(name, c).cast(kind).alias(name))
     return rows.select(*cols, F.lit(INSERTED).alias("action"))
 
 
+def merge_matched(current: DataFrame, matched: DataFrame, companies: DataFrame, as_of,
+                  gate: DataFrame, rule: Column | None = None, save: bool = True) -> DataFrame:
+    """The merge behind ``match_snapshot``: touch, close, insert."""
+    touched = touch(current, matched, as_of)
+    closed = close_stale(touched, companies, as_of, rule=rule, gate=gate)
+    new = matched.where(F.col("id").isNull()).drop("id", "copies")
+    inserted = staged_inserts(current, new, as_of, save=save)
+    return closed.unionByName(inserted.select(*closed.columns))
+
+
 def merge_snapshot(current: DataFrame, incoming: DataFrame, companies: DataFrame, as_of,
                    active_only: bool = False, announced: DataFrame | None = None,
-                   feed_order: Sequence[str] = (), rule: Column | None = None) -> DataFrame:
+                   feed_order: Sequence[str] = (), rule: Column | None = None, save: bool = True) -> DataFrame:
     """Stored rows and new postings with an ``action``: kept, touched, closed or inserted.
 
     ``incoming`` is the whole current listing of the companies it names. ``active_only``
     matches only active rows of the company, so a returning closed posting comes in again;
-    the default touches it and leaves it closed.
+    the default touches it and leaves it closed. ``save`` writes the matched snapshot to the
+    shared folder once; touch, insert and numbering all read it.
     """
-    if feed_order:
-        incoming = keep_first(incoming, ["posting_url"], feed_order)
-    matched = match_keys(current, incoming, active_only)
-    touched = touch(current, matched, as_of)
+    matched = match_snapshot(current, incoming, active_only, feed_order)
+    if save:
+        matched = materialise(matched, "matched")
     gate = complete_companies(incoming, announced)
-    closed = close_stale(touched, companies, as_of, rule=rule, gate=gate)
-    keys = [c for c in matched.columns if c != "id"]
-    new = incoming.join(matched.select(*keys), keys, "left_anti")
-    return closed.unionByName(staged_inserts(current, new, as_of).select(*closed.columns))
+    # what was just written need not be written again to be numbered
+    return merge_matched(current, matched, companies, as_of, gate, rule, save=not save)
 
 
 def next_table(staged: DataFrame) -> DataFrame:
@@ -153,19 +176,11 @@ def change_counts(staged: DataFrame) -> DataFrame:
 def reopen(listings: DataFrame, company_ids: DataFrame, since, as_of) -> DataFrame:
     """Closed on or after a date becomes active again; ``reopened`` marks the rows."""
     side = company_ids.select("company_id").distinct().withColumn("_asked", F.lit(True))
-    out = listings.join(side, "company_id", "left")
-    hit = F.coalesce(
-        F.col("_asked") & (F.col("job_status") == "closed") & (F.col("date_closed") >= F.lit(since).cast("date")),
-        F.lit(False),
-    )
-    out = out.withColumn("reopened", hit)
-    flag = F.col("reopened")
-    return (
-        out.withColumn("job_status", F.when(flag, "active").otherwise(F.col("job_status")))
-        .withColumn("date_closed", F.when(~flag, F.col("date_closed")))
-        .withColumn("updated_at", F.when(flag, moment(as_of)).otherwise(F.col("updated_at")))
-        .drop("_asked")
-    )
+    hit = F.col("_asked") & (F.col("job_status") == "closed") & (F.col("date_closed") >= F.lit(since).cast("date"))
+    out = listings.join(side, "company_id", "left").select(
+        *listings.columns, F.coalesce(hit, F.lit(False)).alias("reopened"))
+    values = {"job_status": F.lit("active"), "date_closed": F.lit(None).cast("date"), "updated_at": moment(as_of)}
+    return _change(out.withColumn("_hit", F.col("reopened")), "_hit", values)
 
 
 def patch_rows(table: DataFrame, patch: DataFrame, as_of, key: str = "id") -> DataFrame:
@@ -181,24 +196,19 @@ def patch_rows(table: DataFrame, patch: DataFrame, as_of, key: str = "id") -> Da
         key, F.lit(True).alias("_hit"),
         *[(F.nullif(F.col(c), F.lit("")) if kinds[c] == "string" else F.col(c)).alias("_" + c) for c in fields],
     )
-    out = table.join(side, key, "left")
-    for c in fields:
-        out = out.withColumn(c, F.coalesce("_" + c, c))
-    out = out.withColumn("updated_at", F.when(F.col("_hit"), moment(as_of)).otherwise(F.col("updated_at")))
-    return out.drop("_hit", *["_" + c for c in fields])
+    out = table.join(side, key, "left").select(*table.columns, "_hit", *["_" + c for c in fields])
+    values = {c: F.coalesce("_" + c, c) for c in fields}
+    return _change(out, "_hit", {**values, "updated_at": moment(as_of)}).drop(*["_" + c for c in fields])
 
 
 def overwrite_matched(current: DataFrame, incoming: DataFrame, as_of, fields: Sequence[str],
                       key: str = "posting_url") -> DataFrame:
     """Rows that the snapshot has take all its fields, absent ones included."""
     side = incoming.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias("_" + c) for c in fields])
-    out = current.join(side, key, "left")
-    for c in fields:
-        out = out.withColumn(c, F.when(F.col("_hit"), F.col("_" + c)).otherwise(F.col(c)))
-    for c in ("updated_at", "last_scraped"):
-        if c in current.columns:
-            out = out.withColumn(c, F.when(F.col("_hit"), moment(as_of)).otherwise(F.col(c)))
-    return out.drop("_hit", *["_" + c for c in fields])
+    out = current.join(side, key, "left").select(*current.columns, "_hit", *["_" + c for c in fields])
+    now = moment(as_of)
+    values = {c: F.col("_" + c) for c in fields}
+    return _change(out, "_hit", {"updated_at": now, "last_scraped": now, **values}).drop(*["_" + c for c in fields])
 
 
 def recompute(listings: DataFrame, derived: dict[str, Column], as_of) -> DataFrame:
@@ -206,11 +216,8 @@ def recompute(listings: DataFrame, derived: dict[str, Column], as_of) -> DataFra
 
     A NULL result keeps the stored value.
     """
-    is_open = F.col("job_status") != "closed"
-    out = listings
-    for name, value in derived.items():
-        out = out.withColumn("_" + name, value)
-    for name in derived:
-        out = out.withColumn(name, F.when(is_open, F.coalesce("_" + name, name)).otherwise(F.col(name)))
-    out = out.withColumn("updated_at", F.when(is_open, moment(as_of)).otherwise(F.col("updated_at")))
-    return out.drop(*["_" + n for n in derived])
+    out = listings.withColumns({
+        "_open": F.col("job_status") != "closed", **{"_" + name: value for name, value in derived.items()}
+    })
+    values = {name: F.coalesce("_" + name, name) for name in derived}
+    return _change(out, "_open", {**values, "updated_at": moment(as_of)}).drop(*["_" + n for n in derived])

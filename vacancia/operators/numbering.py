@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vacancia.session import materialise
+
 HEX_DIGITS = 3  # 4096 buckets per group
 
 
@@ -19,15 +21,18 @@ def hash_key(*cols: str) -> Column:
 
 
 def number_rows(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), out: str = "rn",
-                bucket: Column | None = None, start: DataFrame | None = None) -> DataFrame:
+                bucket: Column | None = None, start: DataFrame | None = None, save: bool = True) -> DataFrame:
     """Number the rows of each group 1, 2, ... in the order (bucket, order columns).
 
     The bucket must be a function of the order columns; by default it is the beginning of
     their md5, and the md5 is the first sort key, which makes the numbers independent of
     how the rows are laid out. ``start`` is a one-row frame (start) to count on from; it
-    goes with an empty group.
+    goes with an empty group. The rows are read twice, for the sizes and for the numbers:
+    ``save`` writes them to the shared folder first, so that what made them runs once.
     """
     group = list(group)
+    if save:
+        df = materialise(df, "numbered")
     if bucket is None:
         keyed = df.withColumn("_key", hash_key(*order))
         bucket, sort = F.substring("_key", 1, HEX_DIGITS), ["_key", *order]
@@ -47,7 +52,8 @@ def number_rows(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     return joined.withColumn(out, F.col("_local") + F.col("_before")).drop("_key", "_bucket", "_local", "_before")
 
 
-def with_new_ids(new: DataFrame, key: Sequence[str], stored: DataFrame, id_col: str = "id") -> DataFrame:
+def with_new_ids(new: DataFrame, key: Sequence[str], stored: DataFrame, id_col: str = "id",
+                 save: bool = True) -> DataFrame:
     """Surrogate keys for new rows: they follow the largest stored key."""
     top = stored.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("start"))
-    return number_rows(new.drop(id_col) if id_col in new.columns else new, key, out=id_col, start=top)
+    return number_rows(new.drop(id_col) if id_col in new.columns else new, key, out=id_col, start=top, save=save)

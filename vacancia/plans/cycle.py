@@ -13,15 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia import schema as S
 from vacancia.functions.dates import moment
 from vacancia.operators import merge as M
-from vacancia.operators.dedup import keep_first
 from vacancia.operators.dims import stamp_completion
 from vacancia.operators.quality import listing_rules, split_by_quality
-from vacancia.plans.views import run_stats
+from vacancia.plans.views import run_stats, with_duration
 from vacancia.session import materialise
 from vacancia.sources.tables import with_defaults
 
@@ -45,58 +44,52 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     """Plan a cycle; ``feed`` holds canonical columns with company_id and source_job_board.
 
     ``enrich`` adds detail-page fields and runs on new postings only. ``save`` writes the
-    staged state to the shared folder once, because state, changes and log all read it.
+    match, the parsed postings and the staged state to the shared folder once each, because
+    several results read them.
     """
-    if feed_order:
-        feed = keep_first(feed, ["company_id", "posting_url"], feed_order)
-    keyed = F.coalesce(F.col("posting_url") != "", F.lit(False))
-    missing = feed.where(~keyed).withColumn("violations", F.array(F.lit("posting_url_missing")))
-    feed = feed.where(keyed)
-    known_keys = M.match_keys(state, feed, active_only)
-    keys = [c for c in known_keys.columns if c != "id"]
-    new = feed.join(known_keys.select(*keys), keys, "left_anti")
-    new = new if enrich is None else enrich(new)
-    new = with_defaults(new)
+    has_url = F.coalesce(F.col("posting_url") != "", F.lit(False))
+    missing = feed.where(~has_url).withColumn("violations", F.array(F.lit("posting_url_missing")))
+    matched = M.match_snapshot(state, feed, active_only, feed_order)
+    if save:
+        matched = materialise(matched, "matched")
+
+    # detail pages are parsed for the new postings only, and once
+    new = matched.where(F.col("id").isNull()).drop("id", "copies")
+    new = with_defaults(new if enrich is None else enrich(new))
+    if save and enrich is not None:
+        new = materialise(new, "new-postings")
     good, bad = split_by_quality(new, listing_rules(new.columns))
-    known = feed.join(known_keys.select(*keys), keys, "left_semi")
     rejected = bad.unionByName(missing, allowMissingColumns=True)
 
-    seen = known.select("company_id", "posting_url").withColumn("job_title", F.lit(None).cast("string"))
-    wanted = [c for c in state.columns if c in good.columns]
-    fresh = good.select(*{*wanted, "company_id", "posting_url"})
-    incoming = fresh.unionByName(seen.drop("job_title"), allowMissingColumns=True)
-    # a rejected posting was still landed: it counts for completeness, not for the merge
-    landed = None
-    if announced is not None:
-        lost = rejected.groupBy("company_id").agg(F.count(F.lit(1)).alias("_lost"))
-        landed = announced.join(lost, "company_id", "left").select(
-            "company_id", (F.col("total") - F.coalesce("_lost", F.lit(0))).alias("total"))
-    staged = M.merge_snapshot(state, incoming, companies, as_of, active_only=active_only, announced=landed)
+    known = matched.where(F.col("id").isNotNull()).select("company_id", "posting_url", "id")
+    wanted = [c for c in state.columns if c in good.columns and c not in ("id", "company_id", "posting_url")]
+    fresh = good.select("company_id", "posting_url", *wanted)
+    merged = known.unionByName(fresh, allowMissingColumns=True)
+    gate = M.complete_companies(feed, announced)
+    staged = M.merge_matched(state, merged.withColumn("copies", F.lit(1)), companies, as_of, gate, save=save)
     if save:
         staged = materialise(staged, "staged-state")
-
     inserted = staged.where(F.col("action") == M.INSERTED).select("id", "company_id", "posting_url")
-    content = good.drop("id").join(inserted, ["company_id", "posting_url"])
+    content = good.join(inserted, ["company_id", "posting_url"])
 
-    board = "source_job_board"
-
-    def outcome(df: DataFrame, name: str, reason=None) -> DataFrame:
-        return df.select(F.col(board).alias("job_board"), "company_id", F.lit(name).alias("outcome"),
-                         (F.lit(None) if reason is None else reason).cast("string").alias("reason"))
+    def outcome(df: DataFrame, name: str, n: Column | None = None, reason: Column | None = None) -> DataFrame:
+        return df.select(
+            F.col("source_job_board").alias("job_board"), "company_id", F.lit(name).alias("outcome"),
+            (F.lit(None) if reason is None else reason).cast("string").alias("reason"),
+            (F.lit(1) if n is None else n).cast("bigint").alias("n"))
 
+    # a repeated posting counts as an update of its first copy
+    seen_again = F.col("copies") - F.when(F.col("id").isNull(), 1).otherwise(0)
     outcomes = (
-        outcome(good, "added").unionByName(outcome(known, "updated"))
-        .unionByName(outcome(rejected, "skipped", F.get("violations", 0)))
+        outcome(good, "added")
+        .unionByName(outcome(matched, "updated", seen_again))
+        .unionByName(outcome(rejected, "skipped", reason=F.get("violations", 0)))
     )
-    log = run_stats(outcomes)
     begin = moment(as_of if started is None else started)
-    log = log.select(
-        "job_board", "company_id", "jobs_found", "jobs_added", "jobs_updated", "jobs_skipped", "errors",
-        F.lit("completed").alias("status"), begin.alias("started_at"), moment(as_of).alias("completed_at"),
-        (F.unix_seconds(moment(as_of).cast("timestamp")) - F.unix_seconds(begin.cast("timestamp"))).alias("duration_seconds"),
-    )
+    log = run_stats(outcomes, weight="n").withColumns({
+        "status": F.lit("completed"), "started_at": begin, "completed_at": moment(as_of)})
     stamped = stamp_completion(companies, feed.select("company_id"), as_of)
-    return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, log)
+    return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, with_duration(log))
 
 
 def state_of(listings: DataFrame) -> DataFrame:

@@ -149,29 +149,27 @@ def last_completed(runs: DataFrame) -> DataFrame:
     return runs.groupBy("company_id").agg(F.max("completed_at").alias("last_completed"))
 
 
-def run_stats(outcomes: DataFrame, key: Sequence[str] = ("job_board", "company_id")) -> DataFrame:
-    """One run-log row per key from outcome rows (key..., outcome, reason).
+def run_stats(outcomes: DataFrame, key: Sequence[str] = ("job_board", "company_id"),
+              weight: str | None = None) -> DataFrame:
+    """One run-log row per key from outcome rows (key..., outcome, reason, weight).
 
     Outcomes are ``added``, ``updated`` and ``skipped``. Errors are counted per reason first;
     reasons come from a fixed vocabulary, so the map of a run stays small.
     """
     key = list(key)
-    partial = outcomes.groupBy(*key, "outcome", "reason").agg(F.count(F.lit(1)).alias("n"))
+    counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    partial = outcomes.groupBy(*key, "outcome", "reason").agg(counted.alias("n"))
     is_error = F.col("reason").isNotNull()
 
     def total(outcome: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("outcome") == outcome, F.col("n"))), F.lit(0)).cast("bigint")
 
-    per_reason = (
-        partial.where(is_error).groupBy(*key, "reason").agg(F.sum("n").alias("n"))
-        .groupBy(*key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("errors"))
-    )
-    counted = partial.groupBy(*key).agg(
+    entry = F.when(is_error & (F.col("outcome") == "skipped"), F.struct("reason", "n"))
+    return partial.groupBy(*key).agg(
         F.sum("n").cast("bigint").alias("jobs_found"), total("added").alias("jobs_added"),
         total("updated").alias("jobs_updated"), total("skipped").alias("jobs_skipped"),
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("errors"),
     )
-    empty = F.create_map().cast("map<string,bigint>")
-    return counted.join(per_reason, key, "left").withColumn("errors", F.coalesce("errors", empty))
 
 
 def with_duration(runs: DataFrame) -> DataFrame:
