@@ -29,7 +29,8 @@ JOB_TYPE_EXPECT = ["Contract", "As Needed", "Internship", "Full-time", "Part-tim
 """)
 def job_type_normalise(t: Tables) -> DataFrame:
     raw = F.concat_ws(" ", "o_orderpriority", pick(JOB_TYPE_TEXTS, key()))
-    return t("orders").select("o_orderkey", raw.alias("raw"), C.job_type(raw).alias("job_type"))
+    rows = t("orders").select("o_orderkey", raw.alias("raw"))
+    return rows.select("o_orderkey", "raw", C.job_type(F.col("raw")).alias("job_type"))
 
 
 POSITION_TEXTS = ["Contract, full-time", "Part Time", "temporary help", "Full time", "on call", "contractor"]
@@ -44,9 +45,10 @@ POSITION_TEXTS = ["Contract, full-time", "Part Time", "temporary help", "Full ti
 def job_type_variants(t: Tables) -> DataFrame:
     raw = pick(POSITION_TEXTS, key())
     names = [(1, "Full time"), (2, "Part time"), (3, "Contract")]
-    return t("orders").select(
-        "o_orderkey", C.position_type(raw).alias("position_type"),
-        C.by_dimension_name(raw, C.POSITION_NAMES, names, default=1).alias("job_type_id"),
+    rows = t("orders").select("o_orderkey", raw.alias("raw"))
+    return rows.select(
+        "o_orderkey", C.position_type(F.col("raw")).alias("position_type"),
+        C.by_dimension_name(F.col("raw"), C.POSITION_NAMES, names, default=1).alias("job_type_id"),
     )
 
 
@@ -63,9 +65,10 @@ def work_location_normalise(t: Tables) -> DataFrame:
     raw = pick(WORK_TEXTS, key())
     names = [(1, "On-site"), (2, "Remote"), (3, "Hybrid")]
     # the dimension has no name with "work from home": the word list finds it
-    return t("orders").select(
-        "o_orderkey", C.work_location(raw).alias("work_location"),
-        C.by_dimension_name(raw, C.LOCATION_NAMES, names, default=1, fold=True).alias("office_location_id"),
+    rows = t("orders").select("o_orderkey", raw.alias("raw"))
+    return rows.select(
+        "o_orderkey", C.work_location(F.col("raw")).alias("work_location"),
+        C.by_dimension_name(F.col("raw"), C.LOCATION_NAMES, names, default=1, fold=True).alias("office_location_id"),
     )
 
 
@@ -179,8 +182,15 @@ def _text(*parts) -> F.Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def _one_of(*texts):
-    return F.element_at(F.array(*texts), (F.pmod(F.col("p_partkey"), F.lit(len(texts))) + 1).cast("int"))
+def _choose(index: F.Column, texts) -> F.Column:
+    out = F.lit(None).cast("string")
+    for i, text in enumerate(texts):
+        out = F.when(F.pmod(index, F.lit(len(texts))) == i, text).otherwise(out)
+    return out
+
+
+def _one_of(*texts) -> F.Column:
+    return _choose(F.col("p_partkey"), texts)
 
 
 def _pay_columns(pay: F.Column, last: str = "frequency"):
@@ -212,7 +222,8 @@ def salary_text(t: Tables) -> DataFrame:
         _text("$", plain(), " Hourly"), _text("$", commas(), " - $", commas(20), " Annually"),
         _text("Bi-Weekly, ", plain()), _text(plain(), " weekly"), _text("from $", commas(), " or $, to $", commas(20)),
     )
-    return t("part").select("p_partkey", *_pay_columns(M.parse_pay(text)))
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", *_pay_columns(M.parse_pay(F.col("text"))))
 
 
 @query("salary_annualised", f"""
@@ -230,8 +241,9 @@ def salary_annualised(t: Tables) -> DataFrame:
         # the first shape has no readable amounts, the third one has
         _text(", - , USD. Salary Range $", commas(), " - ", commas(20)),
     )
-    pay = M.annual_range(text)
-    return t("part").select("p_partkey", as_double(pay["minimum"]).alias("minimum"), as_double(pay["maximum"]).alias("maximum"))
+    pay = M.annual_range("text")
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", as_double(pay["minimum"]).alias("minimum"), as_double(pay["maximum"]).alias("maximum"))
 
 
 @query("salary_to_range", f"""
@@ -241,7 +253,8 @@ def salary_to_range(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     text = _text("Posted Range: $", F.format_number(k + 1000, 0), " TO $", F.format_number(k + 2000, 0))
     pay = M.to_range(text)
-    return t("part").select("p_partkey", as_double(pay["minimum"]).alias("minimum"), as_double(pay["maximum"]).alias("maximum"))
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", as_double(pay["minimum"]).alias("minimum"), as_double(pay["maximum"]).alias("maximum"))
 
 
 @query("salary_grade", _sql_pay([P1, "NULL", "NULL", P1], [f"{P1} * 2", "NULL", "NULL", "NULL"],
@@ -251,7 +264,8 @@ def salary_grade(t: Tables) -> DataFrame:
         _text("Title\nGrade: H-5 ($", plain(), " - $", (price() * 2).cast("string"), ")"),
         _text("Grade H-5 (", plain(), ")"), _text("Pay $", plain()), _text("GRADE S9 (from $", plain(), " up)"),
     )
-    return t("part").select("p_partkey", *_pay_columns(M.grade_pay(text)))
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", *_pay_columns(M.grade_pay(F.col("text"))))
 
 
 @query("salary_loose", _sql_pay([P10, P1, P1, "NULL"], [P20, P1, P1, "NULL"],
@@ -261,7 +275,8 @@ def salary_loose(t: Tables) -> DataFrame:
         _text("$", commas(), " - ", commas(20), " per year"), _text(plain(), "/hour"), _text("$", plain()),
         _text("per hour"),
     )
-    return t("part").select("p_partkey", *_pay_columns(M.loose_pay(text)))
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", *_pay_columns(M.loose_pay(F.col("text"))))
 
 
 def _floor(sql: str) -> str:
@@ -283,7 +298,8 @@ def salary_typed(t: Tables) -> DataFrame:
         _text("Pay $", rate, "/hour"), _text("$", commas(), " annually, depends on experience"),
         _text("Competitive pay"), _text("$", F.when(price() >= 100, plain()), " hourly"),
     )
-    return t("part").select("p_partkey", *_pay_columns(M.typed_pay(text), "type"))
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", *_pay_columns(M.typed_pay(F.col("text")), "type"))
 
 
 @query("salary_trailing", _sql_pay([P1, _floor(P10), "NULL", P1], [f"{P1} * 2", _floor(P10), "NULL", P1],
@@ -293,7 +309,8 @@ def salary_trailing(t: Tables) -> DataFrame:
         _text("$", plain(), " - $", (price() * 2).cast("string"), " hourly"), _text("$", commas(), " Annual"),
         _text("$", plain(), " per shift"), _text(plain(), " HOURLY"),
     )
-    return t("part").select("p_partkey", *_pay_columns(M.trailing_pay(text)))
+    rows = t("part").select("p_partkey", text.alias("text"))
+    return rows.select("p_partkey", *_pay_columns(M.trailing_pay(F.col("text"))))
 
 
 @query("salary_single_amount", """
@@ -315,8 +332,8 @@ def n_days() -> F.Column:
     return F.pmod(key(), F.lit(90)).cast("string")
 
 
-def _order_text(*texts):
-    return F.element_at(F.array(*texts), (F.pmod(key(), F.lit(len(texts))) + 1).cast("int"))
+def _order_text(*texts) -> F.Column:
+    return _choose(key(), texts)
 
 
 def _sql_order(*values: str) -> str:
@@ -337,7 +354,8 @@ def relative_dates(t: Tables) -> DataFrame:
         _text("Posted ", n_days(), " Days Ago"), _text("  ", n_days(), " day ago"), _text("Posted ", n_days(), "+ days ago"),
         F.lit("Posted Today"), F.lit("posted yesterday"), n_days(), F.lit("Invalid date string"), F.lit(""),
     )
-    return t("orders").select("o_orderkey", day_text(D.parse_relative(text, AS_OF)).alias("posted"))
+    rows = t("orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", day_text(D.parse_relative(F.col("text"), AS_OF)).alias("posted"))
 
 
 ORDER_DAY = "CAST(o_orderdate AS DATE)"
@@ -359,7 +377,8 @@ def multi_format_dates(t: Tables) -> DataFrame:
                     "d MMM yyyy", "yyyy/MM/dd", "MM-dd-yyyy"),
         F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-13-45")),
     )
-    return t("orders").select("o_orderkey", day_text(D.parse_absolute(text)).alias("posted"))
+    rows = t("orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", day_text(D.parse_absolute(F.col("text"))).alias("posted"))
 
 
 @query("normalised_dates", f"""
@@ -374,7 +393,8 @@ def normalised_dates(t: Tables) -> DataFrame:
         F.concat(F.lit("Posted "), F.date_format("o_orderdate", "MM/dd/yyyy")),
         F.date_format("o_orderdate", " MMM dd, yyyy "), F.lit("   "),
     )
-    return t("orders").select("o_orderkey", day_text(D.normalise_date(text, AS_OF)).alias("posted"))
+    rows = t("orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", day_text(D.normalise_date(F.col("text"), AS_OF)).alias("posted"))
 
 
 @query("variant_dates", f"""
@@ -454,7 +474,8 @@ def last_revised_dates(t: Tables) -> DataFrame:
         _text("last revised date ", F.date_format("o_orderdate", "MMMM yyyy"), ". Next"),
         _text("Last Revised Date:", F.date_format("o_orderdate", "MMMM dd yyyy")), F.lit("Revised often"),
     )
-    return t("orders").select("o_orderkey", day_text(D.last_revised(text)).alias("revised"))
+    rows = t("orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", day_text(D.last_revised(F.col("text"))).alias("revised"))
 
 
 @query("application_deadlines", f"""
@@ -465,7 +486,8 @@ def application_deadlines(t: Tables) -> DataFrame:
         _text("Apply now. Application Deadline: ", F.date_format("o_orderdate", "MM/dd/yyyy"), " 5pm"),
         _text("APPLICATION  DEADLINE ", F.date_format("o_orderdate", "MMMM d, yyyy")), F.lit("Deadline: open"),
     )
-    return t("orders").select("o_orderkey", day_text(D.application_deadline(text, AS_OF)).alias("deadline"))
+    out = D.with_date_in_text(t("orders").select("o_orderkey", text.alias("t")), D.deadline_text("t"), AS_OF, "deadline")
+    return out.select("o_orderkey", day_text("deadline").alias("deadline"))
 
 
 @query("posted_in_page", f"""
@@ -477,7 +499,8 @@ def posted_in_page(t: Tables) -> DataFrame:
         F.lit("<div><div>posted today</div></div>"), F.lit("<p>Posted Today</p>"),
         _text("<div>Posted ", F.date_format("o_orderdate", "MM/dd/yyyy"), "</div>"),
     )
-    return t("orders").select("o_orderkey", day_text(D.posted_in_page(html, AS_OF)).alias("posted"))
+    out = D.with_date_in_text(t("orders").select("o_orderkey", html.alias("html")), D.posted_text("html"), AS_OF, "posted")
+    return out.select("o_orderkey", day_text("posted").alias("posted"))
 
 
 @query("date_argument", """
@@ -488,10 +511,11 @@ def date_argument(t: Tables) -> DataFrame:
         *_formatted("yyyy-MM-dd", "MM/dd/yyyy"), _text(F.date_format("o_orderdate", "yyyy"), "-02-30"),
         F.lit(None).cast("string"),
     )
-    return t("orders").select("o_orderkey", D.is_iso_date_argument(text).alias("valid"))
+    rows = t("orders").select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", D.is_iso_date_argument(F.col("text")).alias("valid"))
 
 
-# --- text and identity ------------------------------------------------------
+# --- F.col("text") and identity ------------------------------------------------------
 
 @query("slugs", """
     SELECT c_custkey, trim(regexp_replace(lower('  ' || c_name || ', ' || c_mktsegment || '. Inc.'), '[^a-z0-9]+', '-', 'g'), '-') AS slug
@@ -528,7 +552,8 @@ TITLE_LEFT = ["", "", "", "", "", ", tulsa", ""]
 def title_clean(t: Tables) -> DataFrame:
     # places are cut in list order: "tulsa" is over when "ok" is cut, so ", tulsa" stays
     raw = F.concat(F.lit(" "), "p_name", pick(TITLE_TAILS, F.col("p_partkey")))
-    return t("part").select("p_partkey", X.strip_title_places(raw).alias("title"))
+    rows = t("part").select("p_partkey", raw.alias("raw"))
+    return rows.select("p_partkey", X.strip_title_places(F.col("raw")).alias("title"))
 
 
 @query("title_flags", """
@@ -544,7 +569,8 @@ def title_flags(t: Tables) -> DataFrame:
         _text("Entry Level Position  ", F.col("p_name"), "  Lead"), _text("Operator  - OK - ", F.col("p_name"), " Days"),
         _text("Packer NIGHTS ", F.col("p_name")), _text("HOLIDAYS ", F.col("p_name")),
     )
-    out = t("part").select("p_partkey", X.title_with_flags(raw).alias("c"))
+    rows = t("part").select("p_partkey", raw.alias("raw"))
+    out = rows.select("p_partkey", X.title_with_flags(F.col("raw")).alias("c"))
     return out.select("p_partkey", "c.*")
 
 

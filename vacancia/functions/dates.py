@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from vacancia.functions.text import col, collapse, first_match, page_text, strip
+from vacancia.functions.text import col, collapse, first_match, strip
 
 # Absolute formats, tried in this order (US month/day before day/month).
 ABSOLUTE_FORMATS = (
@@ -32,6 +32,9 @@ CARD_FORMATS = ("MMM d, yyyy", "d MMM yyyy", "M/d/yyyy", "yyyy-M-d")
 # Words that send a text to the relative parser first.
 RELATIVE_WORDS = "ago|posted|days|today|yesterday"
 
+# Fixed value: what is around the number of days.
+RELATIVE_NUMBER = r"(?i)^[\s\u00a0]*(?:Posted\s+)?[+\s]*(-?\d{1,9})[+\s]*(?:Days?\s+Ago)?[\s\u00a0]*$"
+
 REVISED_FORMATS = ("MMMM d, yyyy", "MMMM d yyyy", "MMMM yyyy")
 REVISED_PATTERN = r"(?i)Last Revised Date:?\s*([A-Za-z]+\s+\d{1,2},?\s*\d{4}|[A-Za-z]+\s+\d{4})"
 DEADLINE_PATTERN = (
@@ -53,30 +56,51 @@ def moment(as_of: Column | datetime | str) -> Column:
 
 def days_before(as_of: Column | datetime | str, days: Column) -> Column:
     # more days than the calendar has is a text that names no date
-    return F.when(
-        F.abs(days) <= 700_000,
-        moment(as_of) - F.make_dt_interval(F.when(F.abs(days) <= 700_000, days)),
-    )
+    return F.when(F.abs(days) <= 700_000, moment(as_of) - F.make_dt_interval(days))
+
+
+# What each letter group of a format looks like. The shape is tested before the parse:
+# a parser that fails costs far more than a pattern that does not match.
+_SHAPES = (
+    ("yyyy", r"\d{4}"), ("yy", r"\d{2}"), ("MMMM", "[A-Za-z]{3,9}"), ("MMM", "[A-Za-z]{3}"),
+    ("MM", r"\d{2}"), ("M", "(?:0?[1-9]|1[0-2])"), ("dd", r"\d{2}"), ("d", r"(?:0?[1-9]|[12]\d|3[01])"),
+    ("H", r"\d{1,2}"), ("m", r"\d{1,2}"), ("s", r"\d{1,2}"), ("'T'", "T"), ("'Z'", "Z"), (" ", r"\s+"),
+)
+_BLANK = r"[\s\u00a0]*"
+# one-digit months and days are read too, month first
+_COMPACT = r"(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])"
+
+
+def format_shape(fmt: str) -> str:
+    """Pattern of the texts that a format can read."""
+    if fmt == "yyyyMMdd":
+        return f"^{_BLANK}{_COMPACT}{_BLANK}$"
+    out, rest = "", fmt
+    while rest:
+        letters, shape = next(((t, p) for t, p in _SHAPES if rest.startswith(t)), (rest[0], "\\" + rest[0]))
+        out, rest = out + shape, rest[len(letters):]
+    return f"^{_BLANK}{out}{_BLANK}$"
 
 
 def _parse_one(text: Column, fmt: str) -> Column:
+    shape = format_shape(fmt)
+    clean = collapse(text) if " " in fmt else strip(text)
     if "H" in fmt:
-        return F.try_to_timestamp(text, F.lit(fmt)).cast(_NTZ)
-    if fmt == "yyyyMMdd":
-        # one-digit months and days are read too, month first
-        shape = r"^(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])$"
+        parsed = F.try_to_timestamp(clean, F.lit(fmt)).cast(_NTZ)
+    elif fmt == "yyyyMMdd":
         parts = [F.regexp_extract(text, shape, g) for g in (1, 2, 3)]
-        return F.try_to_date(F.concat_ws("-", *parts), "yyyy-M-d").cast(_NTZ)
-    parsed = F.try_to_date(text, fmt)
-    if fmt.endswith("/yy") or fmt.endswith("-yy"):
-        parsed = F.when(F.year(parsed) >= _CENTURY_PIVOT, F.add_months(parsed, -1200)).otherwise(parsed)
-    return parsed.cast(_NTZ)
+        parsed = F.try_to_date(F.concat_ws("-", *parts), "yyyy-M-d").cast(_NTZ)
+    elif fmt.endswith(("/yy", "-yy")):
+        day = F.try_to_date(clean, fmt)
+        parsed = F.when(F.year(day) >= _CENTURY_PIVOT, F.add_months(day, -1200)).otherwise(day).cast(_NTZ)
+    else:
+        parsed = F.try_to_date(clean, fmt).cast(_NTZ)
+    return F.when(text.rlike(shape), parsed)
 
 
 def parse_formats(text: Column | str, formats: Sequence[str]) -> Column:
     """First format that reads the whole text; NULL when none does."""
-    clean = collapse(text)
-    return F.coalesce(*[_parse_one(clean, f) for f in formats])
+    return F.coalesce(*[_parse_one(col(text), f) for f in formats])
 
 
 def parse_absolute(text: Column | str) -> Column:
@@ -88,14 +112,11 @@ def parse_relative(text: Column | str, as_of: Column | datetime | str) -> Column
 
     ``N+ days ago`` is exactly N days; anything else is NULL.
     """
-    bare = F.regexp_replace(strip(text), r"(?i)^Posted\s+", "")
-    bare = F.regexp_replace(bare, r"(?i)\s*\+?\s*Days?\s+Ago$", "")
-    bare = strip(F.replace(bare, F.lit("+"), F.lit("")))
-    low = F.lower(bare)
-    number = F.when(bare.rlike(r"^-?\d+$"), bare.try_cast("int"))
+    text = col(text)
+    number = first_match(text, RELATIVE_NUMBER).try_cast("int")
     return (
-        F.when(low.contains("today"), moment(as_of))
-        .when(low.contains("yesterday"), days_before(as_of, F.lit(1)))
+        F.when(text.rlike("(?i)today"), moment(as_of))
+        .when(text.rlike("(?i)yesterday"), days_before(as_of, F.lit(1)))
         .otherwise(days_before(as_of, number))
     )
 
@@ -105,7 +126,7 @@ def normalise_date(text: Column | str, as_of: Column | datetime | str) -> Column
 
     A ``Posted`` prefix is not cut for absolute dates: ``Posted 01/15/2024`` is NULL.
     """
-    relative = F.when(F.lower(strip(text)).rlike(RELATIVE_WORDS), parse_relative(text, as_of))
+    relative = F.when(col(text).rlike(f"(?i){RELATIVE_WORDS}"), parse_relative(text, as_of))
     return F.coalesce(relative, parse_formats(text, ABSOLUTE_FORMATS + EXTRA_FORMATS))
 
 
@@ -115,12 +136,12 @@ def parse_dashed(text: Column | str) -> Column:
 
 def parse_card_date(text: Column | str, as_of: Column | datetime | str) -> Column:
     """Card wording: four formats, ``today`` at midnight, first digits of ``N day.. ago``."""
-    low = F.lower(strip(text))
-    digits = first_match(low, r"(\d+)").try_cast("int")
+    text = col(text)
+    digits = first_match(text, r"(\d+)").try_cast("int")
     return F.coalesce(
         parse_formats(text, CARD_FORMATS),
-        F.when(low.contains("today"), F.date_trunc("day", moment(as_of)).cast(_NTZ))
-        .when(low.contains("day") & low.contains("ago"), days_before(as_of, digits)),
+        F.when(text.rlike("(?i)today"), F.date_trunc("day", moment(as_of)).cast(_NTZ))
+        .when(text.rlike("(?i)day") & text.rlike("(?i)ago"), days_before(as_of, digits)),
     )
 
 
@@ -136,10 +157,13 @@ def from_epoch_millis(millis: Column | str) -> Column:
 
 def whole_days(as_of: Column | datetime | str, moment_col: Column | str) -> Column:
     """Days from a date to ``as_of``, rounded down (negative for a later date)."""
-    span = F.unix_micros(moment(as_of).cast("timestamp")) - F.unix_micros(
-        moment(col(moment_col)).cast("timestamp")
-    )
-    return F.floor(span / F.lit(86_400_000_000))
+    now, then = moment(as_of), moment(col(moment_col))
+
+    def clock(c: Column) -> Column:
+        return c - F.to_date(c).cast(_NTZ)
+
+    part_day = F.when(clock(now) < clock(then), 1).otherwise(0)
+    return (F.datediff(now, then) - part_day).cast("bigint")
 
 
 def is_recent(date: Column | str, as_of: Column | datetime | str, days: int = 30) -> Column:
@@ -163,17 +187,30 @@ def format_date(date: Column | str, kind: str = "date") -> Column:
 
 def last_revised(text: Column | str) -> Column:
     """Date after ``Last Revised Date:``; a month alone means its first day."""
-    return parse_formats(first_match(text, REVISED_PATTERN), REVISED_FORMATS)
+    return parse_formats(revised_text(text), REVISED_FORMATS)
+
 
+def revised_text(text: Column | str) -> Column:
+    return first_match(text, REVISED_PATTERN)
 
-def application_deadline(text: Column | str, as_of: Column | datetime | str) -> Column:
-    return normalise_date(first_match(text, DEADLINE_PATTERN), as_of)
 
+def deadline_text(text: Column | str) -> Column:
+    return first_match(text, DEADLINE_PATTERN)
 
-def posted_in_page(html: Column | str, as_of: Column | datetime | str) -> Column:
-    """Date in the first ``div`` whose own text says it was posted."""
-    div = first_match(html, r"(?i)<div\b[^>]*>([^<]*Posted[^<]*)</div\s*>")
-    return normalise_date(page_text(div), as_of)
+
+def posted_text(html: Column | str) -> Column:
+    """Text of the first ``div`` whose own text says when it was posted."""
+    return first_match(html, r"(?i)<div\b[^>]*>([^<]*Posted[^<]*)</div\s*>")
+
+
+def with_date_in_text(df: DataFrame, found: Column, as_of: Column | datetime | str, out: str) -> DataFrame:
+    """A date column from a text that has to be searched for first.
+
+    The search result is a column of its own, so that the search runs once per row and
+    not once per date format.
+    """
+    staged = df.withColumn("_found", found)
+    return staged.withColumn(out, normalise_date("_found", as_of)).drop("_found")
 
 
 def is_iso_date_argument(text: Column | str) -> Column:

@@ -136,29 +136,24 @@ def typed_pay(text: Column | str) -> Column:
     Hourly amounts are annualised only under 100; ``competitive`` and ``doe`` override
     the type. A single amount is the whole number that was written.
     """
-    low = F.regexp_replace(F.lower(col(text)), r"(?U)\s+", " ")
+    text = col(text)
     picks = []
     for pattern, is_range, hourly in TYPED_PATTERNS:
-        hit = low.rlike(pattern)
-        first = amount(F.regexp_extract(low, pattern, 1))
-        last = amount(F.regexp_extract(low, pattern, 2)) if is_range else first
+        pattern = "(?is)" + pattern
+        first = amount(F.regexp_extract(text, pattern, 1))
+        last = amount(F.regexp_extract(text, pattern, 2)) if is_range else first
         if hourly:
             scale = F.when(first < 100, HOURS_PER_YEAR).otherwise(1)
             first, last = first * scale, last * scale
-        picks.append(
-            F.when(
-                hit,
-                F.struct(
-                    first.cast("bigint").alias("minimum"),
-                    last.cast("bigint").alias("maximum"),
-                    F.lit("hourly" if hourly else "annual").alias("type"),
-                ),
-            )
+        value = F.struct(
+            first.cast("bigint").alias("minimum"), last.cast("bigint").alias("maximum"),
+            F.lit("hourly" if hourly else "annual").alias("type"),
         )
+        picks.append(F.when(text.rlike(pattern), value))
     found = F.coalesce(*picks)
     kind = (
-        F.when(low.contains("competitive"), "competitive")
-        .when(low.contains("doe") | low.contains("depends on experience"), "doe")
+        F.when(text.rlike("(?i)competitive"), "competitive")
+        .when(text.rlike(r"(?i)doe|depends\s+on\s+experience"), "doe")
         .otherwise(found["type"])
     )
     return F.struct(found["minimum"].alias("minimum"), found["maximum"].alias("maximum"), kind.alias("type"))

@@ -209,9 +209,13 @@ def _label(c: Column) -> Column:
 
 def first_labels(labels: Column, values: Column) -> Column:
     """Map from parallel arrays; of a repeated label the first entry stays."""
-    zipped = F.arrays_zip(labels.alias("k"), values.alias("v"))
-    firsts = F.filter(zipped, lambda x, i: F.array_position(labels, x["k"]) == i + 1)
-    return F.map_from_entries(F.transform(firsts, lambda x: F.struct(x["k"], x["v"])))
+    pairs = F.arrays_zip(labels.alias("k"), values.alias("v"))
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(
+        pairs, empty,
+        lambda found, x: F.when(F.map_contains_key(found, x["k"]), found).otherwise(
+            F.map_concat(found, F.create_map(x["k"], x["v"]))),
+    )
 
 
 def label_values(html: Column | str) -> Column:

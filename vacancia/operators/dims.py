@@ -40,7 +40,8 @@ def unique_slugs(new: DataFrame, stored: DataFrame, name: str = "common_name") -
     chunks = sizes.select("base", last.alias("last")).select(
         "base", "last", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("last") / _CHUNK).cast("bigint"))).alias("c")
     )
-    candidates = chunks.select(
+    # the chunks of one base are spread out before they are filled
+    candidates = chunks.repartition("base", "c").select(
         "base",
         F.explode(F.sequence(F.col("c") * _CHUNK, F.least("last", (F.col("c") + 1) * _CHUNK - 1))).alias("suffix"),
     )

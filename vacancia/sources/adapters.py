@@ -1,4 +1,9 @@
-"""Feed adapters: each maps the postings of one source shape to canonical columns."""
+"""Feed adapters: each maps the postings of one source shape to canonical columns.
+
+What has to be searched for in a text is a column of its own first, and the canonical
+columns come from those: an expression that is used many times, such as the text of a
+date, is then evaluated once per row.
+"""
 
 from __future__ import annotations
 
@@ -26,6 +31,7 @@ def workday(postings: DataFrame, base_url: Column | str, as_of, city: str = "Tul
     """``externalPath`` makes the URL; rows without one are dropped."""
     base = F.lit(base_url) if isinstance(base_url, str) else base_url
     kept = postings.where(F.coalesce(F.col("externalPath") != "", F.lit(False)))
+    kept = kept.withColumn("_words", F.lower(F.coalesce("title", F.lit("Unknown"))))
     return kept.select(
         *_carry(kept, carry),
         F.coalesce("title", F.lit("Unknown")).alias("job_title"),
@@ -33,7 +39,7 @@ def workday(postings: DataFrame, base_url: Column | str, as_of, city: str = "Tul
         F.to_date(D.parse_relative("postedOn", as_of)).alias("date_posted"),
         F.coalesce(P.served_city("locationsText"), F.lit(city)).alias("city_name"),
         C.chosen_work_location("locationsText", F.lit(None).cast("string")).alias("office_location"),
-        C.function_name(F.coalesce("title", F.lit("Unknown"))).alias("function"),
+        C.function_name("_words").alias("function"),
     )
 
 
@@ -50,36 +56,42 @@ def adp(postings: DataFrame, board_url: Column | str, dated_field: bool = False,
         named_field("customFieldGroup.dateFields", "PostingDate", "dateValue")
         if dated_field else F.col("postDate")
     )
-    title = X.title_with_flags("requisitionTitle")
     texts = F.flatten(F.transform(
         F.col("requisitionLocations"),
         lambda l: F.array(X.strip(l["address"]["cityName"]), X.strip(l["nameCode"]["shortName"])),
     ))
     base = F.lit(board_url) if isinstance(board_url, str) else board_url
-    out = postings.withColumn("external_job_id", external)
+    out = postings.withColumns({
+        "external_job_id": external, "_title": X.title_with_flags("requisitionTitle"),
+        "_date": date_text, "_places": texts, "_type": F.col("workLevelCode.shortName"),
+    })
     out = out.where(F.coalesce(F.col("external_job_id") != "", F.lit(False)))
+    title = F.col("_title")
     return out.select(
         *_carry(out, carry),
         "external_job_id",
         title["title"].alias("job_title"),
         F.col("clientRequisitionID").alias("posting_id"),
         F.concat(base, F.lit("&jobId="), F.col("external_job_id")).alias("posting_url"),
-        F.to_date(D.parse_iso(date_text)).alias("date_posted"),
+        F.to_date(D.parse_iso("_date")).alias("date_posted"),
         _salary(F.col("payGradeRange.minimumRate.amountValue")).alias("minimum_salary"),
         _salary(F.col("payGradeRange.maximumRate.amountValue")).alias("maximum_salary"),
-        C.job_type("workLevelCode.shortName").alias("job_type"),
+        C.job_type("_type").alias("job_type"),
         title["experience_id"].alias("experience_id"),
         title["first_shift"].alias("first_shift"),
         title["third_shift"].alias("third_shift"),
-        P.served_city_of(texts).alias("city_name"),
+        P.served_city_of(F.col("_places")).alias("city_name"),
     )
 
 
 def lever(postings: DataFrame, base_url: str, cities: Sequence[str] = P.SERVED_CITIES,
           carry: Sequence[str] = ()) -> DataFrame:
     """Only postings whose first location segment is a served city; epoch-millisecond dates."""
-    words = C.joined_text("text", "categories.team", "categories.department")
-    out = postings.withColumn("city_name", P.served_city(P.first_segment("categories.location"), cities))
+    out = postings.withColumns({
+        "_words": C.joined_text("text", "categories.team", "categories.department"),
+        "_place": F.lower(P.first_segment("categories.location")),
+    })
+    out = out.withColumn("city_name", P.served_city("_place", cities))
     out = out.where(F.col("city_name").isNotNull() & F.coalesce(F.col("id") != "", F.lit(False)))
     return out.select(
         *_carry(out, carry),
@@ -87,7 +99,7 @@ def lever(postings: DataFrame, base_url: str, cities: Sequence[str] = P.SERVED_C
         F.concat(F.lit(base_url), F.lit("/"), F.col("id")).alias("posting_url"),
         X.structural_html("description").alias("job_description"),
         F.to_date(D.from_epoch_millis(F.nullif("createdAt", F.lit(0)))).alias("date_posted"),
-        C.function_name(words).alias("function"),
+        C.function_name("_words").alias("function"),
         "city_name",
     )
 
@@ -96,34 +108,36 @@ def fountain(postings: DataFrame, apply_url: str, employer: str, as_of, descript
              city: str = "Tulsa", cities: Sequence[str] = P.SERVED_CITIES,
              carry: Sequence[str] = ()) -> DataFrame:
     """Openings keyed by ``to_param``; a short page text gives way to a made-up sentence."""
-    out = postings.where(F.coalesce(F.col("to_param") != "", F.lit(False)))
-    url = F.concat(F.lit(apply_url + "/"), F.col("to_param"), F.lit("?brand_id=all"))
-    title = F.coalesce("title", F.lit("Unknown"))
-    place = F.coalesce("location_name", F.lit(""))
+    kept = postings.where(F.coalesce(F.col("to_param") != "", F.lit(False)))
+    description = F.lit(None).cast("string") if description is None else description
+    out = kept.withColumns({
+        "_text": description,
+        "_url": F.concat(F.lit(apply_url + "/"), F.col("to_param"), F.lit("?brand_id=all")),
+        "_title": F.coalesce("title", F.lit("Unknown")),
+        "_site": X.empty_to_null("location_name"),
+        "_town": P.address_city("location_address", "location_state_code"),
+        "_words": C.joined_text("title", "location_name"),
+    }).withColumns({"_revised": D.revised_text("_text"), "_pay": M.grade_pay("_text")})
     sentence = F.concat(
-        title, F.lit(" — "), F.coalesce(X.empty_to_null(place), F.lit(employer)),
-        F.lit(". See full details and apply at "), url, F.lit("."),
+        "_title", F.lit(" — "), F.coalesce("_site", F.lit(employer)),
+        F.lit(". See full details and apply at "), "_url", F.lit("."),
     )
-    description = F.lit(None).cast("string") if description is None else description
-    text = F.when(X.is_long_enough(description, MINIMUM_CONTENT["fountain"]), description).otherwise(sentence)
-    town = P.address_city("location_address", "location_state_code")
-    revised = D.last_revised(description)
-    pay = M.grade_pay(description)
+    long_enough = X.is_long_enough("_text", MINIMUM_CONTENT["fountain"])
     return out.select(
         *_carry(out, carry),
         F.col("id").alias("posting_id"),
-        title.alias("job_title"),
-        url.alias("posting_url"),
-        text.alias("job_description"),
-        F.to_date(F.coalesce(revised, D.moment(as_of))).alias("date_posted"),
-        _salary(pay["minimum"]).alias("minimum_salary"),
-        _salary(pay["maximum"]).alias("maximum_salary"),
-        pay["frequency"].alias("pay_frequency"),
+        F.col("_title").alias("job_title"),
+        F.col("_url").alias("posting_url"),
+        F.when(long_enough, F.col("_text")).otherwise(sentence).alias("job_description"),
+        F.to_date(F.coalesce(D.parse_formats("_revised", D.REVISED_FORMATS), D.moment(as_of))).alias("date_posted"),
+        _salary(F.col("_pay.minimum")).alias("minimum_salary"),
+        _salary(F.col("_pay.maximum")).alias("maximum_salary"),
+        F.col("_pay.frequency").alias("pay_frequency"),
         C.job_type("job_type").alias("job_type"),
-        F.coalesce(P.served_city(town, cities), F.lit(city)).alias("city_name"),
+        F.coalesce(P.served_city("_town", cities), F.lit(city)).alias("city_name"),
         P.street("location_address").alias("address1"),
-        X.empty_to_null(X.strip(place)).alias("site_name"),
-        C.function_name(C.joined_text("title", "location_name")).alias("function"),
+        X.empty_to_null(X.strip("_site")).alias("site_name"),
+        C.function_name("_words").alias("function"),
     )
 
 
@@ -190,20 +204,25 @@ def applitrack(elements: DataFrame, base_url: str, as_of, html: str = "html",
     zipped = F.arrays_zip(labels.alias("k"), values.alias("v"))
 
     def first(label: str) -> Column:
-        return F.get(F.filter(zipped, lambda x: F.contains(x["k"], F.lit(label))), 0)["v"]
+        return F.get(F.filter("_entries", lambda x: F.contains(x["k"], F.lit(label))), 0)["v"]
 
     title = X.first_match(html, r"""(?is)<td[^>]*id="wrapword"[^>]*>(.*?)</td\s*>""")
-    ident = P.listing_id(X.page_text(html))
-    return elements.select(
+    found = elements.select(
         *_carry(elements, carry),
         X.strip(X.page_text(title)).alias("job_title"),
-        ident.alias("posting_id"),
+        P.listing_id(X.page_text(html)).alias("posting_id"),
+        zipped.alias("_entries"),
+    ).withColumns({"_date": first("Date Posted"), "_type": first("Position Type")})
+    return found.select(
+        *carry,
+        "job_title",
+        "posting_id",
         F.concat(
-            F.lit(base_url + "&AppliTrackJobId="), ident,
+            F.lit(base_url + "&AppliTrackJobId="), F.col("posting_id"),
             F.lit("&AppliTrackLayoutMode=detail&AppliTrackViewPosting=1"),
         ).alias("posting_url"),
-        F.to_date(D.normalise_date(first("Date Posted"), as_of)).alias("date_posted"),
-        C.job_type(first("Position Type")).alias("job_type"),
+        F.to_date(D.normalise_date("_date", as_of)).alias("date_posted"),
+        C.job_type("_type").alias("job_type"),
     )
 
 
@@ -217,16 +236,26 @@ def taleo_rows(pages: DataFrame, origin: str, as_of, html: str = "html",
     def span(name: str) -> Column:
         return X.collapse(X.page_text(X.first_match("_row", rf'(?is)<span\b[^>]*class="{name}"[^>]*>(.*?)</span\s*>')))
 
-    return rows.select(
+    found = rows.select(
         *carry,
         "pos",
         X.collapse(X.page_text(X.first_match("_row", link, 2))).alias("job_title"),
-        P.absolute_url(X.first_match("_row", link, 1), origin).alias("posting_url"),
-        F.to_date(D.normalise_date(span("jobDate"), as_of)).alias("date_posted"),
+        X.first_match("_row", link, 1).alias("_href"),
+        span("jobDate").alias("_date"),
         span("jobLocation").alias("location"),
-        P.served_city(P.first_segment(span("jobLocation"))).alias("city_name"),
-        F.to_date(D.application_deadline(X.spaced_page_text("_row"), as_of)).alias("date_closed"),
+        D.deadline_text(X.spaced_page_text("_row")).alias("_deadline"),
     ).where(F.col("job_title").isNotNull())
+    found = found.withColumn("_place", F.lower(P.first_segment("location")))
+    return found.select(
+        *carry,
+        "pos",
+        "job_title",
+        P.absolute_url("_href", origin).alias("posting_url"),
+        F.to_date(D.normalise_date("_date", as_of)).alias("date_posted"),
+        "location",
+        P.served_city("_place").alias("city_name"),
+        F.to_date(D.normalise_date("_deadline", as_of)).alias("date_closed"),
+    )
 
 
 def paycom(postings: DataFrame, base_url: str, city: str = "Tulsa", carry: Sequence[str] = ()) -> DataFrame:
@@ -245,15 +274,19 @@ def paylocity(cards: DataFrame, base_url: str, as_of, html: str = "html", carry:
     """Cards with a detail link; the first ``d/d/yyyy`` on the card is the date."""
     ident = P.detail_id(html)
     heading = X.first_match(html, r"(?is)<(?:h2|h3|h4|a)\b[^>]*>(.*?)</(?:h2|h3|h4|a)\s*>")
-    out = cards.select(
+    found = cards.select(
         *_carry(cards, carry),
-        F.coalesce(X.empty_to_null(X.collapse(X.page_text(heading))), F.lit("Unknown Title")).alias("job_title"),
+        X.empty_to_null(X.collapse(X.page_text(heading))).alias("_heading"),
         ident.alias("posting_id"),
-        F.concat(F.lit(base_url), ident).alias("posting_url"),
-        F.to_date(D.normalise_date(
-            X.first_match(X.page_text(html), r"(\d{1,2}/\d{1,2}/\d{4})"), as_of)).alias("date_posted"),
+        X.first_match(X.page_text(html), r"(\d{1,2}/\d{1,2}/\d{4})").alias("_date"),
+    ).where(F.col("posting_id").isNotNull())
+    return found.select(
+        *carry,
+        F.coalesce("_heading", F.lit("Unknown Title")).alias("job_title"),
+        "posting_id",
+        F.concat(F.lit(base_url), F.col("posting_id")).alias("posting_url"),
+        F.to_date(D.normalise_date("_date", as_of)).alias("date_posted"),
     )
-    return out.where(F.col("posting_id").isNotNull())
 
 
 def link_blocks(pages: DataFrame, origin: str, html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
@@ -265,10 +298,11 @@ def link_blocks(pages: DataFrame, origin: str, html: str = "html", carry: Sequen
         "pos",
         X.collapse(X.page_text(X.first_match(
             "_b", r'(?is)<span[^>]*itemprop="title"[^>]*>(.*?)</span\s*>'))).alias("job_title"),
-        P.absolute_url(X.first_match("_b", r'(?is)^[^>]*?href="([^"]+)"'), origin).alias("posting_url"),
+        X.first_match("_b", r'(?is)^[^>]*?href="([^"]+)"').alias("_href"),
         X.strip(X.first_match("_b", r"(?is)Job ID:\s*<span[^>]*>([^<]*)</span\s*>")).alias("posting_id"),
     )
-    return out.where(F.col("job_title").isNotNull() & F.col("posting_url").isNotNull())
+    out = out.where(F.col("job_title").isNotNull() & F.col("_href").isNotNull())
+    return out.select(*carry, "pos", "job_title", P.absolute_url("_href", origin).alias("posting_url"), "posting_id")
 
 
 def container_rows(pages: DataFrame, patterns: Sequence[str], html: str = "html",

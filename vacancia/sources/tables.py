@@ -74,7 +74,8 @@ def write_listings(df: DataFrame, path: str, parts: int = 256) -> None:
     spread = F.pmod(F.xxhash64("id"), F.lit(parts))
     laid_out = df.withColumn("company_part", F.pmod(F.col("company_id"), F.lit(64)))
     (laid_out.repartition("company_part", spread)
-     .write.mode("overwrite").partitionBy("company_part").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("company_part").parquet(path))
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int = 512, key: str = "id") -> None:
