@@ -40,8 +40,8 @@ def page_boilerplate(t: Tables) -> DataFrame:
             nullif(regexp_extract({_BARE}, '(?is)<body\\b[^>]*>(.*)</body\\s*>', 1), ''), {_BARE}) AS c FROM pages)
 """)
 def page_content(t: Tables) -> DataFrame:
-    text = X.collapse(X.page_text(X.page_content("html", CONTAINERS)))
-    return t("pages").select("page_id", F.md5(text).alias("digest"))
+    out = X.with_page_content(t("pages").select("page_id", "html"), "html", "content", CONTAINERS)
+    return out.select("page_id", F.md5(X.collapse(X.page_text("content"))).alias("digest"))
 
 
 _KEEP = "|".join(sorted(X.STRUCTURAL_TAGS, key=len, reverse=True))

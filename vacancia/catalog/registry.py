@@ -18,9 +18,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        # one read of a table's footer per query, however often the query names the table
+        if name not in self._frames:
+            self._frames[name] = read_table(self.spark, self.folder, name)
+        return self._frames[name]
 
     def listings(self) -> DataFrame:
         """Orders as listings, customers as their companies."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # White space stripped from both ends of a text.
 WHITESPACE = (
@@ -168,15 +168,20 @@ def element_body(html: Column | str, open_tag: str, tag: str) -> Column:
     return first_match(html, rf"(?is){open_tag}(.*)</{tag}\s*>", 1)
 
 
-def page_content(html: Column | str, containers: Sequence[tuple[str, str]], minimum: int = 100) -> Column:
-    """First container with more than ``minimum`` characters of text, else the body."""
-    clean = without_elements(html)
-    picks = []
-    for open_tag, tag in containers:
-        inner = element_body(clean, open_tag, tag)
-        picks.append(F.when(F.length(collapse(page_text(inner))) > minimum, inner))
-    body = F.coalesce(element_body(clean, r"<body\b[^>]*>", "body"), clean)
-    return F.coalesce(*picks, body)
+def with_page_content(df: DataFrame, html: str, out: str, containers: Sequence[tuple[str, str]],
+                      minimum: int = 100) -> DataFrame:
+    """First container with more than ``minimum`` characters of text, else the body.
+
+    The stripped page and each container are columns of their own: every pattern runs
+    over a page once.
+    """
+    names = [f"_c{i}" for i in range(len(containers))]
+    bare = df.withColumn("_bare", without_elements(html))
+    parts = bare.withColumns({n: element_body("_bare", o, t) for n, (o, t) in zip(names, containers)})
+    sized = parts.withColumns({n + "_n": F.length(collapse(page_text(n))) for n in names})
+    picks = [F.when(F.col(n + "_n") > minimum, F.col(n)) for n in names]
+    body = F.coalesce(element_body("_bare", r"<body\b[^>]*>", "body"), F.col("_bare"))
+    return sized.withColumn(out, F.coalesce(*picks, body)).drop("_bare", *names, *[n + "_n" for n in names])
 
 
 def all_matches(html: Column | str, pattern: str, group: int) -> Column:
