@@ -23,10 +23,10 @@ def company_frames(t: Tables) -> dict[str, DataFrame]:
         F.col("c_custkey").alias("company_id"), (F.col("c_nationkey") % 7).alias("function_id"))
     sites = t("customer").select(
         F.col("c_custkey").alias("company_id"), F.col("c_nationkey").alias("city_id"),
-        (F.col("c_nationkey") % 5).alias("state_id"), F.lit(1).alias("country_id"),
+        (F.col("c_nationkey") % 5).alias("state_id"), (F.col("c_nationkey") % 4).alias("country_id"),
         (F.col("c_mktsegment") != "BUILDING").alias("is_headquarters"))
     cities = t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("city_name"))
-    countries = t("region").where(F.col("r_regionkey") == 1).select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    countries = t("region").where(F.col("r_regionkey") < 3).select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
     return dict(
         company=company, listings=t.listings(), company_type=types, company_industries=pairs, industries=industries,
         company_functions=worked, functions=functions, sites=sites, cities=cities, states=functions, countries=countries)
@@ -38,7 +38,7 @@ def company_frames(t: Tables) -> dict[str, DataFrame]:
            'Industry ' || o_orderpriority AS primary_industry, f.r_name AS primary_function,
            CASE WHEN c_mktsegment <> 'BUILDING' THEN n_name END AS hq_city,
            CASE WHEN c_mktsegment <> 'BUILDING' THEN st.r_name END AS hq_state,
-           CASE WHEN c_mktsegment <> 'BUILDING' THEN 'AMERICA' END AS hq_country,
+           CASE WHEN c_mktsegment <> 'BUILDING' THEN co.r_name END AS hq_country,
            (SELECT count(*) FROM listings l WHERE l.company_id = c_custkey AND l.approved AND l.job_status = 'active') AS active_jobs,
            (SELECT count(*) FROM listings l WHERE l.company_id = c_custkey) AS total_jobs
     FROM customer
@@ -46,6 +46,7 @@ def company_frames(t: Tables) -> dict[str, DataFrame]:
     LEFT JOIN region f ON c_acctbal > 2000 AND f.r_regionkey = c_nationkey % 7
     LEFT JOIN nation ON n_nationkey = c_nationkey
     LEFT JOIN region st ON st.r_regionkey = c_nationkey % 5
+    LEFT JOIN region co ON co.r_regionkey = c_nationkey % 4 AND co.r_regionkey < 3
     WHERE c_acctbal > 0
 """)
 def company_profile(t: Tables) -> DataFrame:
@@ -427,9 +428,9 @@ def quality_uniqueness(t: Tables) -> DataFrame:
 
 
 @query("quality_orphans", """
-    SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
+    SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)
 """)
 def quality_orphans(t: Tables) -> DataFrame:
-    known = t("supplier").where(F.col("s_acctbal") > 0)
+    known = t("supplier").where(F.col("s_acctbal") > 5000)
     out = Q.orphans(t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"), "l_suppkey", known, "s_suppkey")
     return out.select("l_orderkey", "l_linenumber", "l_suppkey")

@@ -73,6 +73,15 @@ def stale_before_today(as_of) -> Column:
     return F.to_date("updated_at") < F.to_date(moment(as_of))
 
 
+def closing_companies(companies: DataFrame, gate: DataFrame | None = None) -> DataFrame:
+    """(company_id, _cutoff, _closing): the previous completion, and whether closing is allowed."""
+    side = companies.select(
+        F.col("id").alias("company_id"), F.col("last_full_scrape_completed").alias("_cutoff"))
+    if gate is None:
+        return side.withColumn("_closing", F.lit(True))
+    return side.join(gate.select("company_id", F.col("complete").alias("_closing")), "company_id", "left")
+
+
 def close_stale(listings: DataFrame, companies: DataFrame, as_of, rule: Column | None = None,
                 status: str = "closed", gate: DataFrame | None = None, dated: bool = True,
                 active_only: bool = False) -> DataFrame:
@@ -83,14 +92,10 @@ def close_stale(listings: DataFrame, companies: DataFrame, as_of, rule: Column |
     ``companies`` gives the previous completion per company, ``gate`` the companies whose
     snapshot is complete; others are left alone.
     """
-    cutoffs = companies.select(
-        F.col("id").alias("company_id"), F.col("last_full_scrape_completed").alias("_cutoff")
-    )
-    out = listings.join(cutoffs, "company_id", "left")
+    out = listings.join(closing_companies(companies, gate), "company_id", "left")
     stale = stale_before_last_cycle() if rule is None else rule
     if gate is not None:
-        out = out.join(gate.select("company_id", F.col("complete").alias("_complete")), "company_id", "left")
-        stale = stale & F.coalesce("_complete", F.lit(False))
+        stale = stale & F.coalesce("_closing", F.lit(False))
     is_open = F.col("job_status") == "active" if active_only else F.col("job_status") != "closed"
     changed = {
         "job_status": F.lit(status),
@@ -135,12 +140,33 @@ def staged_inserts(current: DataFrame, new: DataFrame, as_of, save: bool = True)
 
 def merge_matched(current: DataFrame, matched: DataFrame, companies: DataFrame, as_of,
                   gate: DataFrame, rule: Column | None = None, save: bool = True) -> DataFrame:
-    """The merge behind ``match_snapshot``: touch, close, insert."""
-    touched = touch(current, matched, as_of)
-    closed = close_stale(touched, companies, as_of, rule=rule, gate=gate)
+    """The merge behind ``match_snapshot``: touch, close, insert.
+
+    What happens to a stored row is worked out on the few columns that decide it, and
+    meets the whole rows in one join on their key. A posting that was seen is not closed.
+    """
+    stale = stale_before_last_cycle() if rule is None else rule
+    closing = closing_companies(companies, gate).where("_closing")
+    seen = matched.where(F.col("id").isNotNull()).select("id", F.lit(TOUCHED).alias("_act"))
+    decisive = [c for c in ("id", "company_id", "job_status", "updated_at", "last_scraped", "date_closed")
+                if c in current.columns]
+    late = current.select(*decisive).where(F.col("job_status") != "closed").join(closing, "company_id")
+    late = late.where(stale).select("id", F.lit(CLOSED).alias("_act"))
+    acts = seen.unionByName(late).groupBy("id").agg(F.max("_act").alias("_act"))  # touched wins
+    joined = current.join(acts, "id", "left").select(*current.columns, F.coalesce("_act", F.lit(KEPT)).alias("action"))
+    now, act = moment(as_of), F.col("action")
+    values = {
+        "job_status": F.when(act == CLOSED, F.lit("closed")),
+        "date_closed": F.when(act == CLOSED, F.to_date(now)),
+        "last_scraped": F.when(act == TOUCHED, now),
+        "updated_at": F.when(act != KEPT, now),
+    }
+    kept = joined.select(*[
+        F.coalesce(values[c], F.col(c)).alias(c) if c in values else F.col(c) for c in joined.columns
+    ])
     new = matched.where(F.col("id").isNull()).drop("id", "copies")
     inserted = staged_inserts(current, new, as_of, save=save)
-    return closed.unionByName(inserted.select(*closed.columns))
+    return kept.unionByName(inserted.select(*kept.columns))
 
 
 def merge_snapshot(current: DataFrame, incoming: DataFrame, companies: DataFrame, as_of,

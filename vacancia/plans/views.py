@@ -181,10 +181,8 @@ def with_duration(runs: DataFrame) -> DataFrame:
 
 def first_examples(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
     """The first rows as examples, with how many more there are."""
-    top = df.orderBy(*order).limit(n)
-    total = df.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("more"))
-    # one-row total, attached through a constant key
-    return top.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    more = df.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("more"))
+    return df.orderBy(*order).limit(n).withColumn("more", more.scalar())
 
 
 def examples_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
