@@ -265,6 +265,16 @@ def test_page_content_prefers_first_long_container(spark):
     assert [r["c"] for r in out.collect()] == [f"<p>{long}</p>", long, long]
 
 
+def test_class_noise_takes_nested_content(spark):
+    from vacancia.functions.noise import without_classes
+
+    check(spark, [
+        ('<body><div class="main-nav"><div>x</div><p>y</div>keep<br><p class="k">z</p></body>', '<body>keep<br><p class="k">z</p></body>'),
+        ('a<img class="menu"><ul class="SideBar"><li>1<li>2</ul>&amp;b<!-- c -->', "a&amp;b<!-- c -->"),
+        ('<p>one<div class="header">two', "<p>one"), ("plain < text", "plain < text"), (None, None), ("", ""),
+    ], without_classes)
+
+
 def test_page_parts(spark):
     html = '<dl><dt>Time Type</dt><dd> Full <b>time</b></dd><dt> time type </dt><dd>late</dd><dt>Pay&nbsp;</dt><dd>a &amp; b</dd></dl>'
     assert run(spark, [html, "x"], X.label_values) == [{"time type": "Full time", "pay": "a & b"}, {}]

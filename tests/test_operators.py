@@ -362,6 +362,22 @@ def test_every_listing_rule_runs_on_the_canonical_columns(spark):
     assert good.count() == 1
 
 
+@pytest.mark.parametrize("table, ddl, good, bad", [
+    ("company", "common_name string, date_founded date, date_closed date", ("a", dt.date(2020, 1, 1), dt.date(2021, 1, 1)), (" ", dt.date(2020, 1, 1), dt.date(2020, 1, 1))),
+    ("company_socials", "company_url string", ("https://a",), ("https://a b",)),
+    ("user_company_roles", "role string", ("job_poster",), ("boss",)),
+    ("joblistingskills", "proficiency_level string, confidence_score double", ("expert", None), ("expert", 1.5)),
+    ("user_certifications", "obtained_date date, expiry_date date", (dt.date(2020, 1, 1), None), (dt.date(2020, 1, 1), dt.date(2020, 1, 1))),
+    ("applications", "status string", ("hired",), ("gone",)),
+    ("scrapinglog", "status string, jobs_found int, jobs_added int, jobs_updated int, jobs_skipped int", ("completed", 3, 1, 1, 1), ("completed", 2, 1, 1, 1)),
+    ("companysite", "employee_count int", (0,), (-1,)),
+])
+def test_rules_of_other_tables(spark, table, ddl, good, bad):
+    df = spark.createDataFrame([good, bad], ddl)
+    valid, rejected = Q.split_by_quality(df, Q.table_rules(table, df.columns))
+    assert [tuple(r) for r in valid.collect()] == [good] and rejected.count() == 1
+
+
 # --- views and audit --------------------------------------------------------
 
 def test_skill_demand_counts_inactive_listings_unless_asked(spark):

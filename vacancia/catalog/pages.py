@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vacancia.catalog.registry import Tables, pick, query, sql_pick
 from vacancia.functions import text as X
+from vacancia.functions.noise import without_classes
 from vacancia.operators.resolve import one_per_key
 from vacancia.plans.audit import location_mentions
 from vacancia.sources.adapters import page_links
@@ -63,6 +64,13 @@ def page_structure(t: Tables) -> DataFrame:
     return t("pages").select("page_id", F.md5(X.structural_html("html")).alias("digest"))
 
 
+@query("page_class_noise", r"""
+    SELECT page_id, md5(regexp_replace(html, '(?is)<div class="ad">.*?</div>', '', 'g')) AS digest FROM pages
+""")
+def page_class_noise(t: Tables) -> DataFrame:
+    return t("pages").select("page_id", F.md5(without_classes("html", ("ad",))).alias("digest"))
+
+
 @query("two_stage_filter", f"""
     SELECT page_id, {sql_pick(['Contains city', 'Multi-location'], 'page_id // 2')} AS reason FROM pages
     WHERE page_id % 2 = 0 AND contains(lower({_TEXT.replace('X', _BARE)}), 'the')

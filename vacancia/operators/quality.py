@@ -102,6 +102,72 @@ def listing_rules(columns: Sequence[str]) -> list[Rule]:
     return [rule for needs, rule in wanted if have.issuperset(needs)]
 
 
+def table_rules(table: str, columns: Sequence[str]) -> list[Rule]:
+    """Rules of the other tables, those whose columns are there."""
+    wanted: dict[str, list[tuple[tuple[str, ...], Rule]]] = {
+        "company": [
+            (("common_name",), not_blank("common_name")),
+            (("date_founded", "date_closed"), ordered("date_founded", "date_closed", strict=True)),
+        ],
+        "companysite": [(("employee_count",), between("employee_count", 0))],
+        "company_socials": [(("company_url",), social_url("company_url"))],
+        "user_company_roles": [(("role",), allowed("role", "company_role"))],
+        "company_invites": [(("role",), allowed("role", "company_role"))],
+        "companytechnologies": [
+            (("proficiency_level",), allowed("proficiency_level", "proficiency")),
+            (("years_experience",), between("years_experience", 0)),
+        ],
+        "joblistingskills": [
+            (("proficiency_level",), allowed("proficiency_level", "proficiency")),
+            (("extraction_method",), allowed("extraction_method", "extraction_method")),
+            (("years_required",), between("years_required", 0)),
+            (("confidence_score",), between("confidence_score", 0, 1)),
+        ],
+        "joblistingcertifications": [
+            (("extraction_method",), allowed("extraction_method", "extraction_method")),
+            (("confidence_score",), between("confidence_score", 0, 1)),
+        ],
+        "user_skills": [
+            (("proficiency_level",), allowed("proficiency_level", "proficiency")),
+            (("years_experience",), between("years_experience", 0)),
+        ],
+        "user_certifications": [
+            (("obtained_date", "expiry_date"), ordered("obtained_date", "expiry_date", strict=True)),
+            (("credential_url",), http_url("credential_url")),
+        ],
+        "applications": [(("status",), allowed("status", "application_status"))],
+        "scrapinglog": [
+            (("status",), allowed("status", "run_status")),
+            (("started_at", "completed_at"), ordered("started_at", "completed_at")),
+            *[(("jobs_found", "jobs_added", "jobs_updated", "jobs_skipped"), rule) for rule in run_counts()],
+        ],
+    }
+    if table == "joblistings":
+        return listing_rules(columns)
+    have = set(columns)
+    return [rule for needs, rule in wanted[table] if have.issuperset(needs)]
+
+
+# Columns that must be unique together, and keys that must name a parent.
+UNIQUE_KEYS = {
+    "user_company_roles": ("user_id", "company_id"),
+    "company_socials": ("company_id", "social_media_type_id"),
+    "companytechnologies": ("company_id", "skill_id"),
+    "joblistingskills": ("job_listing_id", "skill_id"),
+    "joblistingcertifications": ("job_listing_id", "certification_id"),
+    "saved_jobs": ("user_id", "job_listing_id"),
+    "sitefeatures": ("site_id", "feature_id"),
+    "user_skills": ("user_id", "skill_id"),
+    "user_certifications": ("user_id", "certification_id"),
+}
+PARENTS = {
+    "joblistings": {"company_id": "company", "company_site_id": "companysite", "posted_by": "users", "city_id": "cities"},
+    "companysite": {"company_id": "company", "city_id": "cities", "state_id": "state", "country_id": "country"},
+    "joblistingskills": {"job_listing_id": "joblistings", "skill_id": "skills"},
+    "user_company_roles": {"user_id": "users", "company_id": "company"},
+}
+
+
 def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``violations``: names of the rules a row breaks."""
     marks = [F.when(~F.coalesce(ok, F.lit(True)), F.lit(name)) for name, ok in rules]
