@@ -8,6 +8,7 @@ from vacancia.catalog.registry import Tables, as_double, day_text, pick, query,
 from vacancia.functions import categories as C, dates as D, money as M, text as X
 from vacancia.operators.dedup import hash_groups
 from vacancia.operators.resolve import match_rules
+from vacancia.sources.adapters import split_thin
 
 AS_OF = "2002-01-01 12:00:00"
 
@@ -592,3 +593,13 @@ def text_collapse(t: Tables) -> DataFrame:
 def content_length(t: Tables) -> DataFrame:
     return t("documents").select(
         "doc_id", *[X.is_long_enough("text", n).alias(f"long_{n}") for n in (50, 100, 200)])
+
+
+@query("thin_content", """
+    SELECT source, count(*) FILTER (WHERE length(trim(text)) < 200) AS thin, count(*) FILTER (WHERE length(trim(text)) >= 200) AS kept
+    FROM documents GROUP BY 1
+""")
+def thin_content(t: Tables) -> DataFrame:
+    kept, thin = split_thin(t("documents").select("source", "text"), "icims", "text")
+    marked = kept.select("source", F.lit(True).alias("ok")).unionByName(thin.select("source", F.lit(False).alias("ok")))
+    return marked.groupBy("source").agg(F.count_if(~F.col("ok")).alias("thin"), F.count_if("ok").alias("kept"))

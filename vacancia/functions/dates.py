@@ -35,6 +35,7 @@ RELATIVE_WORDS = "ago|posted|days|today|yesterday"
 # Fixed value: what is around the number of days.
 RELATIVE_NUMBER = r"(?i)^[\s\u00a0]*(?:Posted\s+)?[+\s]*(-?\d{1,9})[+\s]*(?:Days?\s+Ago)?[\s\u00a0]*$"
 
+# What dates inside a text look like.
 REVISED_FORMATS = ("MMMM d, yyyy", "MMMM d yyyy", "MMMM yyyy")
 REVISED_PATTERN = r"(?i)Last Revised Date:?\s*([A-Za-z]+\s+\d{1,2},?\s*\d{4}|[A-Za-z]+\s+\d{4})"
 DEADLINE_PATTERN = (

@@ -36,6 +36,7 @@ TYPED_PATTERNS = (
     (r"\$([0-9.]+)\s*(?:per\s+hour|/hour|hourly)", False, True),
 )
 
+# Shape of a pay-grade line and of an ``A to B`` range.
 GRADE_PATTERN = r"(?i)Grade:?\s*\S+\s*\(([^)]+)\)"
 TO_PATTERN = r"(?i)\$?([\d,]+)\s+to\s+\$?([\d,]+)"
 

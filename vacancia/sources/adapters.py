@@ -18,6 +18,12 @@ from vacancia.functions.text import col
 MINIMUM_CONTENT = {"workday": 100, "adp": 50, "lever": 50, "paylocity": 50, "icims": 200, "fountain": 100}
 
 
+def split_thin(postings: DataFrame, source: str, text: str = "job_description") -> tuple[DataFrame, DataFrame]:
+    """(kept, rejected) by the least description length of a source."""
+    ok = X.is_long_enough(text, MINIMUM_CONTENT[source])
+    return postings.where(ok), postings.where(~ok).withColumn("reason", F.lit("short_content"))
+
+
 def _salary(c: Column) -> Column:
     return c.cast(M.AMOUNT)
 

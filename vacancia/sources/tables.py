@@ -16,8 +16,15 @@ REPORT_FIELDS = (
 )
 
 
+# Schemas of the tables read so far: a table that is read again needs no look at its files.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def read_database_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
