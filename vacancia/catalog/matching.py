@@ -137,7 +137,7 @@ def located(t: Tables) -> DataFrame:
 
 
 LOCATED_SQL = """
-    located AS (SELECT c_custkey, c_nationkey AS company_id, 'site ' || (c_custkey % 40) AS site_name,
+    located AS (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS company_id, 'site ' || (c_custkey % 40) AS site_name,
                        (c_custkey % 60) || ' main st' AS address1,
                        CASE WHEN c_acctbal > 5000 THEN c_custkey % 11 END AS city_id FROM customer)
 """

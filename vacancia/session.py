@@ -18,6 +18,8 @@ SETTINGS = {
     # a generated method over this size is not compiled by the JVM and runs slowly; wide
     # normalisation steps are then split into smaller ones
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # sightings of one posting are merged before they move
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -40,15 +40,22 @@ def expired_postings(sightings: DataFrame, key: str, time: str, days: int = 7, d
 
     A posting's sightings form a session that ends when none follows for ``days``; the
     session closes in event time, so the state of a closed posting is dropped. Works on a
-    stream and on a table.
+    stream and on a table. On a table the sightings of a posting are first reduced to one
+    interval per stretch of ``days`` (two sightings in one stretch are never further apart),
+    so that a posting with very many sightings does not go to one task as a whole.
     """
+    first, last, n = F.min(time), F.max(time), F.count(F.lit(1))
     if sightings.isStreaming:
-        sightings = sightings.withWatermark(time, delay)
-    span = F.session_window(time, f"{days} days")
-    out = sightings.groupBy(span.alias("_w"), key).agg(
-        F.min(time).alias("first_seen"), F.max(time).alias("last_seen"), F.count(F.lit(1)).alias("sightings")
-    )
-    return out.select(key, "first_seen", "last_seen", F.col("_w.end").alias("expires_at"), "sightings")
+        spans = sightings.withWatermark(time, delay).groupBy(F.session_window(time, f"{days} days").alias("_w"), key).agg(
+            first.alias("first_seen"), last.alias("last_seen"), n.alias("sightings"))
+    else:
+        stretch = F.floor(F.unix_seconds(F.col(time)) / F.lit(days * 86_400))
+        short = sightings.groupBy(key, stretch.alias("_s")).agg(first.alias("_a"), last.alias("_b"), n.alias("_n"))
+        seconds = ((F.unix_micros("_b") - F.unix_micros("_a")) / F.lit(1_000_000)).cast("decimal(18,6)")
+        gap = F.make_interval(days=F.lit(days), secs=seconds)
+        spans = short.groupBy(F.session_window("_a", gap).alias("_w"), key).agg(
+            F.min("_a").alias("first_seen"), F.max("_b").alias("last_seen"), F.sum("_n").alias("sightings"))
+    return spans.select(key, "first_seen", "last_seen", F.col("_w.end").alias("expires_at"), "sightings")
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
