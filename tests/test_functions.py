@@ -60,6 +60,45 @@ def test_normalised_dates(spark):
     ], day(lambda c: D.normalise_date(c, AS_OF)))
 
 
+def strptime_format(fmt):
+    for java, c in (("yyyy", "%Y"), ("yy", "%y"), ("MMMM", "%B"), ("MMM", "%b"), ("MM", "%m"), ("M", "%m"), ("dd", "%d"), ("d", "%d")):
+        if "%" + c[1] not in fmt:
+            fmt = fmt.replace(java, c, 1)
+    return fmt
+
+
+def test_absolute_dates_against_strptime(spark):
+    """Random texts near every format: the same day as the standard library reads, or NULL."""
+    import random
+
+    rng = random.Random(11)
+    months = ["Jan", "January", "FEB", "march", "Sept", "May", "december", "Foo", "Novem"]
+
+    def text():
+        y, m, d = rng.choice(["2024", "1999", "24", "20240"]), str(rng.randint(0, 14)), str(rng.randint(0, 33))
+        m, d = (x.zfill(2) if rng.random() < 0.5 else x for x in (m, d))
+        sep = rng.choice(["-", "/", ".", " "])
+        return rng.choice([
+            f"{y}{sep}{m}{sep}{d}", f"{m}{sep}{d}{sep}{y}", f"{d}{sep}{m}{sep}{y}", f"{rng.choice(months)} {d}, {y}",
+            f"{rng.choice(months)}  {d},{y}", f"{d}-{rng.choice(months)}-{y}", f"{d} {rng.choice(months)} {y}", f" {y}-{m}-{d} ", f"{y}-{m}-{d}T",
+        ])
+
+    texts = [text() for _ in range(1500)]
+
+    def expected(t):
+        for fmt in D.ABSOLUTE_FORMATS:
+            try:
+                return dt.datetime.strptime(t.strip(), strptime_format(fmt))
+            except ValueError:
+                pass
+        return None
+
+    got = run(spark, texts, D.parse_absolute)
+    wrong = [(t, g, expected(t)) for t, g in zip(texts, got) if g != expected(t)]
+    assert not wrong, wrong[:10]
+    assert sum(g is not None for g in got) > 150
+
+
 def test_source_specific_dates(spark):
     check(spark, [("6/26/2025", "2025-06-26"), ("6-26-2025", "2025-06-26"), ("6-26-25", "2025-06-26"), ("26 Jun 2025", None)],
           day(D.parse_dashed))
@@ -265,6 +304,18 @@ def test_page_content_prefers_first_long_container(spark):
     assert [r["c"] for r in out.collect()] == [f"<p>{long}</p>", long, long]
 
 
+def test_closed_structure(spark):
+    from vacancia.functions.noise import closed_structural_html
+
+    check(spark, [
+        ("<article><p><b>a<br><p>c &amp; d</article>e", "<p><b>a<br></br><p>c & d</p></b></p>e"),
+        ("</b>x<ul class='q'><li>1<li>2</ul>\n\n\n\ny", "x<ul><li>1<li>2</li></li></ul>\n\ny"), (None, None),
+    ], closed_structural_html)
+    # on a page whose tags are closed both forms agree
+    page = '<div><h2 id="t">T</h2><p class="c">One <span>two</span><br/>x  y</p><ul><li>a</li><li>b</li></ul></div>'
+    assert run(spark, [page], closed_structural_html) == run(spark, [page], X.structural_html)
+
+
 def test_class_noise_takes_nested_content(spark):
     from vacancia.functions.noise import without_classes
 

@@ -444,7 +444,10 @@ def test_reader_and_writer_round_trip(spark, tmp_path):
     s = state(spark, row(1, 1, "a"), row(2, 65, "b"), row(3, 2, "c"))
     tables.write_listings(s, out)
     tables.write_listings(state(spark, row(9, 1, "z")), out)  # replaces only the part of company 1 and 65
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [3, 9]
+    assert sorted(r["id"] for r in tables.read_listings(spark, out).collect()) == [3, 9]
+    one = tables.read_listings(spark, out, 2)
+    assert [r["id"] for r in one.collect()] == [3]
+    assert "PartitionFilters: [isnotnull(company_part" in plan_of(one)
     tables.write_dry_run(s, str(tmp_path / "dry"), limit=2)
     assert spark.read.json(str(tmp_path / "dry")).count() == 2
     log = spark.createDataFrame([(1,)], "x int")

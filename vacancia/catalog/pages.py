@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vacancia.catalog.registry import Tables, pick, query, sql_pick
 from vacancia.functions import text as X
-from vacancia.functions.noise import without_classes
+from vacancia.functions.noise import closed_structural_html, without_classes
 from vacancia.operators.resolve import one_per_key
 from vacancia.plans.audit import location_mentions
 from vacancia.sources.adapters import page_links
@@ -64,6 +64,18 @@ def page_structure(t: Tables) -> DataFrame:
     return t("pages").select("page_id", F.md5(X.structural_html("html")).alias("digest"))
 
 
+@query("page_structure_closed", r"""
+    SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<p\b')) AS INTEGER) AS paragraphs,
+           CAST(len(regexp_extract_all(html, '(?i)<b>')) AS INTEGER) AS bolds, true AS closed
+    FROM pages
+""")
+def page_structure_closed(t: Tables) -> DataFrame:
+    out = t("pages").select("page_id", closed_structural_html(X.without_elements("html", ("script", "style"))).alias("c"))
+    count = lambda tag: F.regexp_count("c", F.lit(tag))
+    closed = (count("<p>") == count("</p>")) & (count("<b>") == count("</b>")) & (count("<li>") == count("</li>"))
+    return out.select("page_id", count("<p>").alias("paragraphs"), count("<b>").alias("bolds"), closed.alias("closed"))
+
+
 @query("page_class_noise", r"""
     SELECT page_id, md5(regexp_replace(html, '(?is)<div class="ad">.*?</div>', '', 'g')) AS digest FROM pages
 """)

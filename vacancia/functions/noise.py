@@ -1,7 +1,7 @@
-"""Elements dropped by class name.
+"""Page steps that need a parser: elements dropped by class name, unclosed tags closed.
 
-Where such an element ends depends on what is nested in it, which a pattern cannot tell.
-This is the one expression that runs in Python: a parser pass per page, in Arrow batches.
+Where an element ends depends on what is nested in it, which a pattern cannot tell.
+These are the only expressions that run in Python: one pass per page, in Arrow batches.
 """
 
 import re
@@ -11,7 +11,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-from vacancia.functions.text import col
+from vacancia.functions.text import STRUCTURAL_TAGS, col
 
 # Parts of class names that mark page furniture.
 NOISE_CLASSES = ("nav", "menu", "header", "footer", "sidebar")
@@ -81,6 +81,58 @@ class _Filter(HTMLParser):
         self._emit(f"<!{decl}>")
 
 
+class _Structure(HTMLParser):
+    """Structural tags without attributes, each one closed, and the text between them."""
+
+    def __init__(self, kept: frozenset[str]):
+        super().__init__(convert_charrefs=True)
+        self.kept, self.out, self.open = kept, [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.kept:
+            self.out.append(f"<{tag}>")
+        self.open.append(tag)
+        if tag in VOID_TAGS:
+            self._close(len(self.open) - 1)
+
+    def handle_endtag(self, tag):
+        if tag in self.open and tag not in VOID_TAGS:
+            self._close(len(self.open) - 1 - self.open[::-1].index(tag))
+
+    def handle_data(self, data):
+        self.out.append(data)
+
+    def _close(self, depth: int) -> None:
+        while len(self.open) > depth:
+            tag = self.open.pop()
+            if tag in self.kept:
+                self.out.append(f"</{tag}>")
+
+    def text(self) -> str:
+        self._close(0)
+        out = re.sub(r"[ \t]+", " ", "".join(self.out))
+        return re.sub(r"\n{3,}", "\n\n", out).strip()
+
+
+def closed_structural_html(html: Column | str, tags: Sequence[str] = STRUCTURAL_TAGS) -> Column:
+    """The structural clean for pages whose tags are not all closed: they are closed here."""
+    kept = frozenset(tags)
+
+    def one(page: str | None) -> str | None:
+        if page is None:
+            return None
+        parser = _Structure(kept)
+        parser.feed(page)
+        parser.close()
+        return parser.text()
+
+    @F.pandas_udf(T.StringType())
+    def cleaned(pages: pd.Series) -> pd.Series:
+        return pages.map(one)
+
+    return cleaned(col(html))
+
+
 def without_classes(html: Column | str, classes: Sequence[str] = NOISE_CLASSES) -> Column:
     """A page without the elements whose class contains one of the words, nested content included."""
     noise = re.compile("|".join(re.escape(c) for c in classes), re.IGNORECASE)

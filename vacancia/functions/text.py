@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -69,7 +70,7 @@ def content_hash(title: Column | str, url: Column | str, description: Column | s
 def strip_title_places(title: Column | str, places: Sequence[str] = TITLE_PLACES) -> Column:
     """Cut a trailing ``- place``, ``, place`` or ``(place)`` for each place in turn."""
     out = strip(title)
-    for place in places:
+    for place in map(re.escape, places):
         for shape in (rf"\s*-\s*{place}\s*$", rf"\s*,\s*{place}\s*$", rf"\s*\(\s*{place}\s*\)\s*$"):
             out = F.regexp_replace(out, "(?i)" + shape, "")
     return strip(out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vacancia import schema as S
 
@@ -72,6 +72,21 @@ def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+COMPANY_PARTS = 64  # folders that the listings are laid out in
+
+
+def company_part(company_id: Column) -> Column:
+    return F.pmod(company_id, F.lit(COMPANY_PARTS)).cast("int")
+
+
+def read_listings(spark: SparkSession, path: str, company_id: int | None = None) -> DataFrame:
+    """The listings, or those of one company from the folder they are in."""
+    out = spark.read.parquet(path)
+    if company_id is not None:
+        out = out.where((F.col("company_part") == company_id % COMPANY_PARTS) & (F.col("company_id") == company_id))
+    return out.drop("company_part")
+
+
 def write_listings(df: DataFrame, path: str, parts: int = 256) -> None:
     """Overwrite the listings, laid out by company.
 
@@ -79,7 +94,7 @@ def write_listings(df: DataFrame, path: str, parts: int = 256) -> None:
     writers by id instead of going to one task.
     """
     spread = F.pmod(F.xxhash64("id"), F.lit(parts))
-    laid_out = df.withColumn("company_part", F.pmod(F.col("company_id"), F.lit(64)))
+    laid_out = df.withColumn("company_part", company_part(F.col("company_id")))
     (laid_out.repartition("company_part", spread)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("company_part").parquet(path))
