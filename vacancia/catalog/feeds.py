@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vacancia import schema as S
 from vacancia.catalog.registry import Tables, as_double, day_text, pick, query, sql_pick
 from vacancia.functions import text as X
+from vacancia.functions.categories import FUNCTION_NAMES
+from vacancia.operators import resolve
 from vacancia.sources import adapters as A, feeds, tables
 
 AS_OF = "2002-01-01 12:00:00"
@@ -367,3 +369,40 @@ def dry_run_rows(t: Tables) -> DataFrame:
 """)
 def dry_run_limited(t: Tables) -> DataFrame:
     return tables.dry_run_rows(t("orders").select("o_orderkey").orderBy("o_orderkey"), limit=25)
+
+
+@query("feed_facets", """
+    SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS descriptor, CAST(count(c_custkey) AS INTEGER) AS count
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2 ORDER BY descriptor
+""")
+def feed_facets(t: Tables) -> DataFrame:
+    counted = t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    value = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("descriptor"), F.coalesce("n", F.lit(0)).alias("count"))
+    # one document per region, each with the facet asked for and another one
+    docs = t("nation").join(counted, "n_nationkey", "left").groupBy("n_regionkey").agg(F.collect_list(value).alias("values"))
+    other = F.array(F.struct(F.lit("x").alias("id"), F.lit("Full time").alias("descriptor"), F.lit(1).alias("count")))
+    facets = F.array(
+        F.struct(F.lit("timeType").alias("facetParameter"), other.alias("facets")),
+        F.struct(F.lit("locations").alias("facetParameter"), F.col("values").alias("facets")))
+    texts = docs.select(F.to_json(F.struct(facets.alias("facets"))).alias("doc"))
+    return feeds.read_facets(feeds.parse_documents(texts, "doc", S.FEED_WORKDAY_FACETS)).orderBy("descriptor")
+
+
+@query("listing_ids", f"""
+    SELECT o_orderkey, {sql_pick([9, 19, None, 14, 8], 'o_orderkey')} AS function_id,
+           {sql_pick([1, None], 'o_orderkey')} AS job_type_id, {sql_pick([0, 1, 0], 'o_orderkey')} AS office_location_id,
+           {sql_pick([None, None, 3, None, None], 'o_orderkey')} AS city_id
+    FROM orders
+""")
+def listing_ids(t: Tables) -> DataFrame:
+    def dimension(names: tuple[str, ...]) -> DataFrame:
+        return t.spark.createDataFrame(list(enumerate(names)), "id int, name string")
+
+    # the dimension has no Sales, and of the cities only one
+    names = tuple("Retail" if n == "Sales" else n for n in FUNCTION_NAMES)
+    trades = tuple("Skilled Trades" if n == "Science" else "Crafts" if n == "Skilled Trades" else n for n in names)
+    cities = t.spark.createDataFrame([("Sand Springs", 3)], "city_name string, city_id int")
+    out = resolve.listing_ids(
+        feed_ultipro(t), dimension(trades), t.spark.createDataFrame([(1, "Full-time")], "id int, name string"),
+        dimension(("On-site", "Remote", "Hybrid")), cities)
+    return out.select("o_orderkey", "function_id", "job_type_id", "office_location_id", "city_id")

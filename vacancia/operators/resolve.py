@@ -37,6 +37,20 @@ def city_ids(cities: DataFrame, states: DataFrame, state: str) -> DataFrame:
     return one_per_key(side.select("city_name", F.col("id").alias("city_id")), ["city_name"], "city_id")
 
 
+def listing_ids(listings: DataFrame, functions: DataFrame, job_types: DataFrame,
+                office_locations: DataFrame, cities: DataFrame) -> DataFrame:
+    """Ids of the canonical names of adapted postings; ``cities`` is what ``city_ids`` gives.
+
+    A name that its dimension lacks gives NULL. Every dimension is small next to the
+    postings, and none of the four joins needs the postings laid out anew when Spark can
+    send the dimension to them.
+    """
+    out = lookup_id(listings, functions, "function", "function_id")
+    out = lookup_id(out, job_types, "job_type", "job_type_id")
+    out = lookup_id(out, office_locations, "office_location", "office_location_id")
+    return out.join(cities, "city_name", "left")
+
+
 def _urls(listings: DataFrame) -> DataFrame:
     return listings.where(F.coalesce("posting_url", F.lit("")) != "")
 

@@ -22,7 +22,7 @@ from vacancia.operators.dims import stamp_completion
 from vacancia.operators.quality import listing_rules, split_by_quality
 from vacancia.plans.views import run_stats, with_duration
 from vacancia.session import materialise
-from vacancia.sources.tables import with_defaults
+from vacancia.sources.tables import to_canonical, with_defaults
 
 
 @dataclass
@@ -89,7 +89,7 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     log = run_stats(outcomes, weight="n").withColumns({
         "status": F.lit("completed"), "started_at": begin, "completed_at": moment(as_of)})
     stamped = stamp_completion(companies, feed.select("company_id"), as_of)
-    return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, with_duration(log))
+    return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, to_canonical(with_duration(log), S.RUN_LOG))
 
 
 def state_of(listings: DataFrame) -> DataFrame:

@@ -46,6 +46,12 @@ def read_assa(documents: DataFrame) -> DataFrame:
     return postings_of(documents, "items", tuple(c for c in documents.columns if c != "items"))
 
 
+def read_facets(documents: DataFrame, parameter: str = "locations") -> DataFrame:
+    """(id, descriptor, count) of the values of one facet, as the source announces them."""
+    groups = documents.select(F.explode("facets").alias("g")).where(F.col("g.facetParameter") == parameter)
+    return groups.select(F.explode("g.facets").alias("f")).select("f.*")
+
+
 def first_container(*candidates: Column | str) -> Column:
     """First candidate array that is there and not empty."""
     picks = [F.when(F.size(col(c)) > 0, col(c)) for c in candidates]
