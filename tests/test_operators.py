@@ -465,3 +465,55 @@ def test_bucketed_table_is_not_shuffled_again(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE bucketed_listings")
+
+
+# --- adapters ---------------------------------------------------------------
+
+def test_icims_card(spark):
+    from vacancia.sources import adapters as A
+
+    cards = [
+        '<a href="https://i/1" title="7 - Cook" class="x iCIMS_Anchor"><h3> Web <b>Lead</b></h3></a><span>Job Locations</span><span>Tulsa, OK</span>',
+        '<a class="iCIMS_Anchor" title="12 - Line Cook" href="https://i/2?a=1"><img></a><dl><dt>Category</dt><dd>Sales</dd></dl>',
+        '<a class="iCIMS_Anchor" title="" href="https://i/3"></a>', '<a href="https://i/4">plain</a>', '<a class="iCIMS_Anchor">no target</a>',
+    ]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cards)], "i int, html string")
+    got = [tuple(r) for r in A.icims(df, carry=["i"]).orderBy("i").collect()]
+    assert got == [
+        (0, "Web Lead", "https://i/1?in_iframe=1", "Tulsa, OK", None, "Tulsa", "Information Technology"),
+        (1, "Line Cook", "https://i/2?a=1&in_iframe=1", None, "Sales", None, "Sales")]
+
+
+def test_thin_postings_are_split_by_source(spark):
+    from vacancia.sources import adapters as A
+
+    df = spark.createDataFrame([("x" * n,) for n in (49, 50, 99, 100, 200)] + [(None,)], "job_description string")
+    assert [A.split_thin(df, s)[0].count() for s in ("lever", "workday", "icims")] == [4, 2, 1]
+    assert {r["reason"] for r in A.split_thin(df, "icims")[1].collect()} == {"short_content"}
+
+
+def test_feed_dates_and_urls(spark):
+    from vacancia.sources import adapters as A, feeds
+    from vacancia import schema as S
+    import json
+
+    docs = spark.createDataFrame([(json.dumps({"jobRequisitions": [
+        {"requisitionTitle": "Clerk", "postDate": "2024-06-01T00:00:00Z", "customFieldGroup": {"stringFields": [
+            {"nameCode": {"codeValue": "Other"}, "stringValue": "z"}, {"nameCode": {"codeValue": "ExternalJobID"}, "stringValue": "77"}]},
+         "payGradeRange": {"minimumRate": {"amountValue": 15.5}},
+         "requisitionLocations": [{"address": {"cityName": "Dallas"}}, {"nameCode": {"shortName": "Tulsa yard"}}]},
+        {"requisitionTitle": "No id"}]}),)], "doc string")
+    got = A.adp(feeds.read_adp(feeds.parse_documents(docs, "doc", S.FEED_ADP)), "https://b?x=1").collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r["external_job_id"], r["posting_url"], r["date_posted"], float(r["minimum_salary"]), r["maximum_salary"], r["city_name"]) == (
+        "77", "https://b?x=1&jobId=77", dt.date(2024, 6, 1), 15.5, None, "Tulsa")
+    opening = spark.createDataFrame([("Nurse", "p1", "Finance", "1 Main St, Jenks, OK 74104", "OK")], "title string, to_param string, location_name string, location_address string, location_state_code string")
+    opening = opening.withColumns({"id": F.lit("9"), "job_type": F.lit("Full Time"), "text": F.lit("Grade: H-5 ($12.37 - $15.69)\nLast Revised Date: June 2025 " + "x" * 80)})
+    f = A.fountain(opening, "https://f/opening", "District", NOW, description=F.col("text")).collect()[0]
+    assert (f["posting_url"], f["city_name"], f["address1"], f["date_posted"], float(f["maximum_salary"]), f["pay_frequency"], f["job_type"]) == (
+        "https://f/opening/p1?brand_id=all", "Jenks", "1 Main St", dt.date(2025, 6, 1), 15.69, "hourly", "Full-time")
+    assert f["job_description"].startswith("Grade")
+    short = A.fountain(opening.drop("text"), "https://f/opening", "District", NOW).collect()[0]
+    assert short["job_description"] == "Nurse — Finance. See full details and apply at https://f/opening/p1?brand_id=all."
+    assert short["date_posted"] == dt.date(2024, 6, 15)

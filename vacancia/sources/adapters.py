@@ -153,16 +153,35 @@ def card_block(html: Column | str, label: str) -> Column:
         html, rf"(?is)>\s*{label}\s*</[a-z]+\s*>\s*<[^>]*>\s*([^<]+?)\s*<")))
 
 
+def anchor(html: Column | str, class_name: str) -> Column:
+    """Source of the first link with a class, whatever the order of its attributes."""
+    return F.regexp_extract(col(html), rf'(?is)<a\b[^>]*class="[^"]*{class_name}[^"]*"[^>]*>.*?</a\s*>', 0)
+
+
+def href_of(link: Column | str) -> Column:
+    return X.first_match(link, r'(?is)^<a\b[^>]*?href="([^"]+)"')
+
+
 def icims(cards: DataFrame, html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
-    """Cards with an anchor for the title, label-then-value fields and a category pair."""
-    anchor = r'(?is)<a\b[^>]*class="[^"]*iCIMS_Anchor[^"]*"[^>]*href="([^"]+)"[^>]*>(.*?)</a\s*>'
-    titled = cards.select(
-        *_carry(cards, carry),
-        X.first_match(html, anchor, 1).alias("_href"),
-        X.empty_to_null(X.collapse(X.page_text(X.first_match(html, anchor, 2)))).alias("job_title"),
+    """Cards with an anchor for the title, label-then-value fields and a category pair.
+
+    The title is the visible text, else the link's title without its leading number.
+    """
+    linked = cards.where(F.col(html).rlike(r'(?i)<a\b[^>]*class="[^"]*iCIMS_Anchor'))
+    found = linked.select(
+        *_carry(linked, carry),
+        anchor(html, "iCIMS_Anchor").alias("_link"),
         card_block(html, "Job Locations").alias("location"),
         F.try_element_at(X.label_values(html), F.lit("category")).alias("category"),
     )
+    named = F.regexp_replace(X.first_match("_link", r'(?is)^<a\b[^>]*?title="([^"]*)"'), r"^\d+\s*-\s*", "")
+    titled = found.select(
+        *carry,
+        F.coalesce(X.empty_to_null(X.collapse(X.page_text("_link"))), X.empty_to_null(named)).alias("job_title"),
+        href_of("_link").alias("_href"),
+        "location",
+        "category",
+    )
     out = titled.where(F.col("job_title").isNotNull() & F.col("_href").isNotNull())
     return out.select(
         *carry,
@@ -237,20 +256,19 @@ def taleo_rows(pages: DataFrame, origin: str, as_of, html: str = "html",
     """One row per ``data-row`` of a listing page: title, link, date, location, deadline."""
     row_shape = r'(?is)<tr\b[^>]*class="[^"]*data-row[^"]*"[^>]*>(.*?)</tr\s*>'
     rows = pages.select(*_carry(pages, carry), F.posexplode(X.all_matches(html, row_shape, 1)).alias("pos", "_row"))
-    link = r'(?is)<a\b[^>]*class="[^"]*jobTitle-link[^"]*"[^>]*href="([^"]+)"[^>]*>(.*?)</a\s*>'
-
+    rows = rows.where(F.contains("_row", F.lit("jobTitle-link"))).withColumn("_link", anchor("_row", "jobTitle-link"))
     def span(name: str) -> Column:
         return X.collapse(X.page_text(X.first_match("_row", rf'(?is)<span\b[^>]*class="{name}"[^>]*>(.*?)</span\s*>')))
 
     found = rows.select(
         *carry,
         "pos",
-        X.collapse(X.page_text(X.first_match("_row", link, 2))).alias("job_title"),
-        X.first_match("_row", link, 1).alias("_href"),
+        X.collapse(X.page_text("_link")).alias("job_title"),
+        href_of("_link").alias("_href"),
         span("jobDate").alias("_date"),
         span("jobLocation").alias("location"),
         D.deadline_text(X.spaced_page_text("_row")).alias("_deadline"),
-    ).where(F.col("job_title").isNotNull())
+    )
     found = found.withColumn("_place", F.lower(P.first_segment("location")))
     return found.select(
         *carry,
