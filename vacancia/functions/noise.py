@@ -24,61 +24,57 @@ VOID_TAGS = frozenset((
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 
 
-class _Filter(HTMLParser):
-    """Source text without the elements of the given classes."""
+class _Noise(HTMLParser):
+    """Stretches of a page that elements of the given classes take up."""
 
-    def __init__(self, noise: re.Pattern):
+    def __init__(self, noise: re.Pattern, page: str):
         super().__init__(convert_charrefs=False)
-        self.noise, self.out, self.open, self.dropped_at = noise, [], [], None
-
-    def _emit(self, text: str) -> None:
-        if self.dropped_at is None:
-            self.out.append(text)
+        self.noise, self.page = noise, page
+        self.lines = [0, *(m.end() for m in re.finditer("\n", page))]
+        self.open, self.root, self.spans = [], None, []
+        self.feed(page)
+        self.close()
+        if self.root is not None:
+            self._end(len(page))
+
+    def _at(self) -> int:
+        line, offset = self.getpos()
+        return self.lines[line - 1] + offset
+
+    def _end(self, position: int) -> None:
+        self.spans.append((self.root[1], position))
+        self.root = None
 
     def handle_starttag(self, tag, attrs):
         names = next((v for k, v in attrs if k == "class"), None) or ""
-        starts = self.dropped_at is None and self.noise.search(names) is not None
-        if tag in VOID_TAGS:
-            if not starts:
-                self._emit(self.get_starttag_text())
-            return
-        if starts:
-            self.dropped_at = len(self.open)
-        else:
-            self._emit(self.get_starttag_text())
-        self.open.append(tag)
+        if self.root is None and self.noise.search(names):
+            self.root = (len(self.open), self._at())
+            if tag in VOID_TAGS:
+                self._end(self._at() + len(self.get_starttag_text()))
+        if tag not in VOID_TAGS:
+            self.open.append(tag)
 
     def handle_startendtag(self, tag, attrs):
-        names = next((v for k, v in attrs if k == "class"), None) or ""
-        if not self.noise.search(names):
-            self._emit(self.get_starttag_text())
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID_TAGS:
+            self.open.pop()
+            if self.root is not None and self.root[0] == len(self.open):
+                self._end(self._at() + len(self.get_starttag_text()))
 
     def handle_endtag(self, tag):
         if tag not in self.open:
             return
         depth = len(self.open) - 1 - self.open[::-1].index(tag)
-        inside = self.dropped_at is not None and depth <= self.dropped_at
-        own = self.dropped_at == depth
         del self.open[depth:]
-        if inside:
-            self.dropped_at = None
-        if not own:
-            self._emit(f"</{tag}>")
-
-    def handle_data(self, data):
-        self._emit(data)
+        if self.root is not None and depth <= self.root[0]:
+            # its own end tag goes with it, the end tag of an element around it stays
+            own = self.page.find(">", self._at()) + 1 if depth == self.root[0] else self._at()
+            self._end(own)
 
-    def handle_entityref(self, name):
-        self._emit(f"&{name};")
-
-    def handle_charref(self, name):
-        self._emit(f"&#{name};")
-
-    def handle_comment(self, data):
-        self._emit(f"<!--{data}-->")
-
-    def handle_decl(self, decl):
-        self._emit(f"<!{decl}>")
+    def kept(self) -> str:
+        starts = [0, *(end for _, end in self.spans)]
+        ends = [*(start for start, _ in self.spans), len(self.page)]
+        return "".join(self.page[a:b] for a, b in zip(starts, ends))
 
 
 class _Structure(HTMLParser):
@@ -138,12 +134,7 @@ def without_classes(html: Column | str, classes: Sequence[str] = NOISE_CLASSES)
     noise = re.compile("|".join(re.escape(c) for c in classes), re.IGNORECASE)
 
     def one(page: str | None) -> str | None:
-        if page is None:
-            return None
-        parser = _Filter(noise)
-        parser.feed(page)
-        parser.close()
-        return "".join(parser.out)
+        return None if page is None else _Noise(noise, page).kept()
 
     @F.pandas_udf(T.StringType())
     def cleaned(pages: pd.Series) -> pd.Series:
