@@ -517,3 +517,19 @@ def test_feed_dates_and_urls(spark):
     short = A.fountain(opening.drop("text"), "https://f/opening", "District", NOW).collect()[0]
     assert short["job_description"] == "Nurse — Finance. See full details and apply at https://f/opening/p1?brand_id=all."
     assert short["date_posted"] == dt.date(2024, 6, 15)
+
+
+# --- session ----------------------------------------------------------------
+
+def test_exchanges_are_sized_by_bytes():
+    from vacancia.session import sized_for
+
+    assert sized_for(1 << 40)["spark.sql.shuffle.partitions"] == "8192"
+    assert sized_for(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_saved_results_go_to_the_named_folder(spark, tmp_path):
+    from vacancia.session import materialise, shared_folder
+
+    out = materialise(spark.range(5), "five")
+    assert out.count() == 5 and out.inputFiles()[0].split(":", 1)[1].replace("//", "").startswith(shared_folder(spark))

@@ -25,6 +25,19 @@ SETTINGS = {
 }
 
 
+def sized_for(shuffle_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for the bytes of the largest shuffle: partitions that fit a task's memory.
+
+    Adaptive execution joins small partitions but makes no more than it starts with, so
+    the start is sized for the largest exchange of a run.
+    """
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def build_session(app: str = "vacancia", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
