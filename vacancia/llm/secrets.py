@@ -1,0 +1,126 @@
+"""Secret scans over an incremental ledger of content-addressed blobs.
+
+Every version of every path is addressed by the SHA-256 of its content. The ledger holds the
+pairs (blob, rule version) that were scanned, and the findings of each. A scan reads only the
+pairs the ledger lacks, each blob once however many paths and versions hold it, and findings
+are joined back to all paths by blob. Only native expressions run: a rule's matches and the
+pieces between them give its spans as running sums of lengths, one short row per match.
+
+Defined cases: a null text is the empty blob, which has no findings; repeated rows each give
+a row; positions are code points, the end exclusive.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+RULE_VERSION = 1
+
+# Fixed patterns: the base kinds, then kinds this scan adds. Each is (kind, cheap test, pattern,
+# captured group to measure, least length of it). Runs shorter than the least length need
+# not be matched to be dropped where a pattern is a single greedy run.
+_ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+RULES = [
+    ("assign", "[:=]", _ASSIGN, 1, 6),
+    ("access", "AKIA", "AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", "[0-9a-f]{24}", "[0-9a-f]{24,}", 0, 24),
+    ("private_key", "-----BEGIN", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("web_token", "eyJ", "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("hosted_token", "gh[pousr]_", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+]
+BASE = ["assign", "access", "hex"]
+
+LEDGER = "blob string, rule_version int"
+FINDINGS = "blob string, rule_version int, kind string, rank int, start bigint, stop bigint"
+
+
+def blob_name(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def distinct_blobs(versions: DataFrame) -> DataFrame:
+    """Each content once. Copies meet in the partial aggregate before anything moves."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return versions.select(blob_name(text).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+
+
+def matches(text: Column, pattern: str, group: int) -> tuple[Column, Column, Column]:
+    """A pattern's whole matches, the group measured in each, and the pieces between matches."""
+    return (F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)),
+            F.split(text, pattern, -1))
+
+
+def scan_blobs(blobs: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
+    """Findings of every blob, by every rule; ``blobs`` has blob and text."""
+    per_rule = []
+    for rank, (kind, test, pattern, group, least) in enumerate(RULES):
+        whole, measured, pieces = matches(F.col("text"), pattern, group)
+        likely = F.col("text").rlike(test) & F.col("text").rlike(pattern)
+        spans = F.transform(
+            F.arrays_zip(whole.alias("whole"), measured.alias("measured"), pieces.alias("piece")),
+            lambda x, i: F.struct(
+                F.lit(rank).alias("rank"), i.alias("i"), F.length(x["piece"]).alias("before"), F.length(x["whole"]).alias("n"),
+                (F.length(x["measured"]) >= least).alias("counts"),
+            ),
+        )
+        per_rule.append(F.when(likely, F.filter(spans, lambda x: x["n"].isNotNull())))
+    found = F.concat(*[F.coalesce(x, F.array().cast("array<struct<rank:int,i:int,before:int,n:int,counts:boolean>>")) for x in per_rule])
+    rows = blobs.select("blob", F.explode(found).alias("m")).select("blob", "m.*")
+    upto = Window.partitionBy("blob", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    stop = F.sum(F.col("before") + F.col("n")).over(upto)
+    kinds = F.element_at(F.array(*[F.lit(r[0]) for r in RULES]), F.col("rank") + 1)
+    return (
+        rows.withColumn("stop", stop).where("counts")
+        .select("blob", F.lit(rule_version).alias("rule_version"), kinds.alias("kind"), "rank", (F.col("stop") - F.col("n")).alias("start"), "stop")
+    )
+
+
+def unseen(versions: DataFrame, ledger: DataFrame | None, rule_version: int = RULE_VERSION) -> DataFrame:
+    """Blobs of these versions that the ledger lacks for this version of the rules."""
+    if ledger is None:
+        return distinct_blobs(versions)
+    seen = ledger.where(F.col("rule_version") == rule_version).select("blob").distinct()
+    new = versions.select(blob_name(F.col("text")).alias("blob"), "text").join(seen, "blob", "left_anti")
+    return distinct_blobs(new)
+
+
+def scan_increment(versions: DataFrame, ledger: DataFrame | None = None, rule_version: int = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
+    """One run: rows to append to the ledger, and to the findings."""
+    new = unseen(versions, ledger, rule_version)
+    entries = versions.select(blob_name(F.col("text")).alias("blob"), F.lit(rule_version).alias("rule_version")).distinct()
+    if ledger is not None:
+        entries = entries.join(ledger.select("blob", "rule_version").distinct(), ["blob", "rule_version"], "left_anti")
+    return entries, scan_blobs(new, rule_version)
+
+
+def per_blob(findings: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
+    """One row per blob that has findings: its spans in order, at most as many as its text holds."""
+    spans = F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "stop")))
+    return findings.where(F.col("rule_version") == rule_version).groupBy("blob").agg(spans.alias("found"))
+
+
+def findings_by_path(versions: DataFrame, findings: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
+    """Every row of ``versions`` (without its text) with the spans found in its content."""
+    paths = versions.select(*[c for c in versions.columns if c not in ("text", "blob", "found")], blob_name(F.col("text")).alias("blob"))
+    return paths.join(per_blob(findings, rule_version), "blob", "left")
+
+
+def span_list(found: Column) -> Column:
+    """``kind:start:end`` of all spans, joined by commas."""
+    one = F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["stop"].cast("string")))
+    return F.coalesce(F.array_join(one, ","), F.lit(""))
+
+
+def _of(kind: str):
+    return lambda x: x["kind"] == kind
+
+
+def secret_digest(docs: DataFrame) -> DataFrame:
+    """One row per document: spans counted by base kind, and listed."""
+    findings = scan_increment(docs.select("doc_id", "text"))[1]
+    df = findings_by_path(docs.select("doc_id", "text"), findings)
+    base = F.filter("found", lambda x: x["kind"].isin(*BASE))
+    counts = [F.coalesce(F.size(F.filter("found", _of(kind))), F.lit(0)) for kind in BASE]
+    counts = [F.greatest(n, F.lit(0)).cast("bigint").alias(f"n_{kind}") for n, kind in zip(counts, BASE)]
+    return df.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("found")).alias("spans"))
