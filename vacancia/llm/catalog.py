@@ -6,16 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancia.llm import chat, decontaminate, quality, secrets
+from vacancia.llm import chat, decontaminate, quality
 from vacancia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_predictions(table(spark, sf_dir, "documents"))
+
+
+def op4_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_digest(table(spark, sf_dir, "documents"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,11 +44,17 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+    return ledger.secret_digest(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_adaptive_quality, op8_benchmark_suffixes, op9_chat_windows, op10_secret_ledger)}
+    return {
+        f.__name__: f
+        for f in (
+            op3_language_mixture, op4_substring_doubling, op5_sentencepiece, op6_adaptive_quality, op7_suffix_arrays,
+            op8_benchmark_suffixes, op9_chat_windows, op10_secret_ledger,
+        )
+    }
 
 
 def oracles() -> dict[str, str]:

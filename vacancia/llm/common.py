@@ -24,15 +24,28 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
-def partitions_for(df: DataFrame, each: int) -> int:
-    """Groups of about ``each`` bytes for a table of the size Spark estimates for ``df``.
-
-    Parquet holds text at about half its size. The session's shuffle partitions are the least.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * size // each))
+def groups_for(docs: DataFrame, each: int) -> int:
+    """Groups of about ``each`` bytes of text, the session's shuffle partitions at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
 def bucket_of(text: Column, size: int) -> Column:
     """The remainder of the CRC-32 of a text, null counted as empty."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % size
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``copy`` and ``text``: what names a document.
+
+    Rows of one doc_id and one text are one document. Where ids are unique ``copy`` is 0 and
+    costs nothing; where an id has several texts (or is null) it tells them apart.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    several = not ids.where((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty()
+    copy = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) if several else F.lit(0).cast("bigint")
+    return docs.select("doc_id", copy.alias("copy"), "text")
+
+
+def same_document(left: DataFrame, right: DataFrame) -> Column:
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["copy"] == right["copy"])

@@ -70,10 +70,11 @@ OTHER = Poly(47)
 
 
 def arrow_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column and its offsets; null is empty."""
+    """The bytes of a string or binary column and its offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    text = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+    column = pc.fill_null(column.cast(pa.large_string()), "") if text else pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
