@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancia.llm import chat, decontaminate, quality
+from vacancia.llm import chat, decontaminate, language, ledger, pieces, quality, substring, suffixes
 from vacancia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
