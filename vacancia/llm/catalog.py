@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancia.llm import chat, decontaminate, language, ledger, pieces, quality, substring, suffixes
+from vacancia.llm import chat, decontaminate, interpolation, language, ledger, pieces, quality, substring, suffixes
 from vacancia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.interpolated_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_predictions(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
-            op3_language_mixture, op4_substring_doubling, op5_sentencepiece, op6_adaptive_quality, op7_suffix_arrays,
+            op1_deleted_interpolation, op3_language_mixture, op4_substring_doubling, op5_sentencepiece, op6_adaptive_quality, op7_suffix_arrays,
             op8_benchmark_suffixes, op9_chat_windows, op10_secret_ledger,
         )
     }

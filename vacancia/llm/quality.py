@@ -104,12 +104,15 @@ def thresholds(parts: DataFrame) -> DataFrame:
     """Fences per language and source, from the narrowest group that has enough documents."""
     by_lang = merged(parts, "lang")
     fields = [f"{side}_{c}" for c in MEASURES for side in ("low", "high")]
-    own = fences(parts, "lang", "source").select("lang", "source", F.struct("n", *fields).alias("own"), F.lit(1).alias("one"))
+    own = fences(parts, "lang", "source").select("lang", "source", F.struct("n", *fields).alias("own"))
     lang = fences(by_lang, "lang").select(F.col("lang").alias("lang_"), F.struct("n", *fields).alias("wide"))
-    whole = fences(merged(by_lang, F.lit(1).alias("one")), "one").select("one", F.struct("n", *fields).alias("whole"))
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_"))).join(whole, "one")
-    chosen = F.when(F.col("own.n") >= MIN_GROUP, F.col("own")).when(F.col("wide.n") >= MIN_GROUP, F.col("wide")).otherwise(F.col("whole"))
-    return joined.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), chosen.alias("t")).select("lang_", "source_", "t.*")
+    whole = fences(merged(by_lang, F.lit(1).alias("one"))).first()  # one row; none for an empty table
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_")))
+    limits = []
+    for f in fields:
+        narrow = F.when(F.col("own.n") >= MIN_GROUP, F.col(f"own.{f}")).when(F.col("wide.n") >= MIN_GROUP, F.col(f"wide.{f}"))
+        limits.append(narrow.otherwise(F.lit(whole[f] if whole else None)).alias(f))
+    return joined.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), *limits)
 
 
 def judged(docs: DataFrame) -> DataFrame:
