@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancia.llm import chat, decontaminate, interpolation, language, ledger, pieces, quality, substring, suffixes
+import corpus_pipeline
+from vacancia.llm import chat, decontaminate, forest, interpolation, language, ledger, pieces, quality, substring, suffixes
 from vacancia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,10 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.interpolated_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.joined_classes(table(spark, sf_dir, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_predictions(table(spark, sf_dir, "documents"))
 
@@ -52,13 +57,14 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    by_name = {
         f.__name__: f
         for f in (
-            op1_deleted_interpolation, op3_language_mixture, op4_substring_doubling, op5_sentencepiece, op6_adaptive_quality, op7_suffix_arrays,
-            op8_benchmark_suffixes, op9_chat_windows, op10_secret_ledger,
+            op1_deleted_interpolation, op2_ngram_jaccard_join, op3_language_mixture, op4_substring_doubling, op5_sentencepiece,
+            op6_adaptive_quality, op7_suffix_arrays, op8_benchmark_suffixes, op9_chat_windows, op10_secret_ledger,
         )
     }
+    return {**by_name, "pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:

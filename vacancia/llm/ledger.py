@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vacancia.llm.common import saved
+
 RULE_VERSION = 1
 
 # Fixed patterns: the base kinds, then kinds this scan adds. Each is (kind, cheap test, pattern,
@@ -31,6 +33,8 @@ RULES = [
 ]
 BASE = ["assign", "access", "hex"]
 
+MASK = "[SECRET]"
+
 LEDGER = "blob string, rule_version int"
 FINDINGS = "blob string, rule_version int, kind string, rank int, start bigint, stop bigint"
 
@@ -124,3 +128,31 @@ def secret_digest(docs: DataFrame) -> DataFrame:
     counts = [F.coalesce(F.size(F.filter("found", _of(kind))), F.lit(0)) for kind in BASE]
     counts = [F.greatest(n, F.lit(0)).cast("bigint").alias(f"n_{kind}") for n, kind in zip(counts, BASE)]
     return df.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("found")).alias("spans"))
+
+
+def masked(docs: DataFrame, mask: str = MASK, rule_version: int = RULE_VERSION) -> DataFrame:
+    """The documents, all columns, with a mask in place of every secret; ``n_chars``, if there, counts anew.
+
+    Spans that overlap are one. Only texts with findings are rebuilt, from the pieces between.
+    """
+    findings = scan_increment(docs.select("text"), rule_version=rule_version)[1]
+    before = Window.partitionBy("blob").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    spans = findings.withColumn("covered", F.coalesce(F.max("stop").over(before), F.lit(0))).where(F.col("stop") > F.col("covered"))
+    fresh = (F.col("start") > F.col("covered")) | (F.col("covered") == 0)
+    cuts = spans.select("blob", F.greatest("start", "covered").alias("start"), "stop", "covered", fresh.alias("fresh"))
+    cuts = cuts.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "covered", "fresh"))).alias("cuts"))
+    cuts = saved(cuts, "cuts")
+    joined = docs.join(cuts, blob_name(docs["text"]) == cuts["blob"], "left")
+    text = F.col("text")
+    between = F.transform(
+        "cuts",
+        lambda x: F.concat(
+            F.substring(text, (x["covered"] + 1).cast("int"), (x["start"] - x["covered"]).cast("int")), F.when(x["fresh"], F.lit(mask)).otherwise(F.lit(""))
+        ),
+    )
+    last = F.element_at("cuts", -1)["stop"]
+    rebuilt = F.concat(F.array_join(between, ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
+    text = F.when(F.col("cuts").isNull(), text).otherwise(rebuilt)
+    count = {"n_chars": F.when(F.col("cuts").isNull(), F.col("n_chars")).otherwise(F.length(text))} if "n_chars" in docs.columns else {}
+    new = {"text": text, **count}
+    return joined.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else docs[c] for c in docs.columns])
