@@ -143,16 +143,16 @@ def masked(docs: DataFrame, mask: str = MASK, rule_version: int = RULE_VERSION)
     cuts = cuts.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "covered", "fresh"))).alias("cuts"))
     cuts = saved(cuts, "cuts")
     joined = docs.join(cuts, blob_name(docs["text"]) == cuts["blob"], "left")
-    text = F.col("text")
+    text, found = docs["text"], cuts["cuts"]
     between = F.transform(
-        "cuts",
+        found,
         lambda x: F.concat(
             F.substring(text, (x["covered"] + 1).cast("int"), (x["start"] - x["covered"]).cast("int")), F.when(x["fresh"], F.lit(mask)).otherwise(F.lit(""))
         ),
     )
-    last = F.element_at("cuts", -1)["stop"]
+    last = F.element_at(found, -1)["stop"]
     rebuilt = F.concat(F.array_join(between, ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
-    text = F.when(F.col("cuts").isNull(), text).otherwise(rebuilt)
-    count = {"n_chars": F.when(F.col("cuts").isNull(), F.col("n_chars")).otherwise(F.length(text))} if "n_chars" in docs.columns else {}
-    new = {"text": text, **count}
+    new = {"text": F.when(found.isNull(), text).otherwise(rebuilt)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(found.isNull(), docs["n_chars"]).otherwise(F.length(rebuilt))
     return joined.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else docs[c] for c in docs.columns])
