@@ -83,10 +83,19 @@ def test_one_row_per_key_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan.split("Exchange")[1], plan
 
 
-def test_cap_keeps_known_rows(spark):
+def test_cap_defers_new_rows_and_loses_none(spark):
     df = spark.createDataFrame([(i, i < 4, "c") for i in range(10)], "id int, known boolean, c string")
-    out = dedup.cap_new_rows(df, F.col("known"), ["c"], ["id"], 2)
-    assert sorted(r["id"] for r in out.collect()) == [0, 1, 2, 3, 4, 5]
+    out = dedup.defer_new_rows(df, F.col("known"), ["c"], ["id"], 2)
+    assert {r["id"]: r["deferred"] for r in out.collect()} == {i: i > 5 for i in range(10)}
+    assert dedup.defer_new_rows(df, F.col("known"), ["c"], ["id"]).where("deferred").count() == 0
+
+
+def test_one_row_per_key_on_the_right_side(spark):
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 3), (2, None, 1), (2, "z", 1)], "k int, v string, pos int")
+    assert {tuple(r) for r in dedup.first_of_key(df, ["k"], ["pos"]).collect()} == {(1, "b"), (2, None)}
+    assert {tuple(r) for r in dedup.first_of_key(df, ["k"]).select("k", "v").collect()} == {(1, "a"), (2, None)}
+    left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    assert R.join_metadata(left, df, "k", ["pos"]).count() == 3
 
 
 def test_active_urls_last_row_wins(spark):
@@ -104,14 +113,13 @@ def brute_match(text, names):
     return min(hits, key=lambda n: (-len(n), n)) if hits else None
 
 
-@pytest.mark.parametrize("inline", [100, 0])
-def test_dictionary_match_against_brute_force(spark, inline):
+def test_dictionary_match_against_brute_force(spark):
     rng = random.Random(7)
     texts = ["".join(rng.choice(["alpha", " one", "beta", "BETA", "gam", "ma ray", " ", "q", "xy", "z"]) for _ in range(rng.randint(0, 6))) for _ in range(200)]
     texts += [None, ""]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
     names = spark.createDataFrame([(n,) for n in NAMES], "name string")
-    got = {r["k"]: r["m"] for r in R.match_dictionary(df, "t", names, ["k"], "m", inline=inline).collect()}
+    got = {r["k"]: r["m"] for r in R.match_dictionary(df, "t", names, ["k"], "m").collect()}
     assert got == {i: brute_match(t, NAMES) for i, t in enumerate(texts)}
 
 

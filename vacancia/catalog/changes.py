@@ -165,7 +165,10 @@ def overwrite_match(t: Tables) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("updated_at"))
     incoming = t("supplier").select(
         F.col("s_suppkey").alias("posting_url"), F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("job_title"))
-    out = M.overwrite_matched(current, incoming, AS_OF, ["job_title"])
+    # every posting comes twice; the first one counts
+    incoming = incoming.withColumn("pos", F.lit(1)).unionByName(
+        incoming.select("posting_url", F.lit("later").alias("job_title"), F.lit(2).alias("pos")))
+    out = M.overwrite_matched(current, incoming, AS_OF, ["job_title"], order=["pos"])
     return out.select("id", "job_title", second_text("updated_at").alias("updated_at"))
 
 
@@ -183,7 +186,10 @@ def patch_update(t: Tables) -> DataFrame:
     patch = t("supplier").select(
         F.col("s_suppkey").alias("id"), name.alias("common_name"),
         F.when(F.col("s_acctbal") > 0, F.col("s_nationkey")).alias("city_id"))
-    out = M.patch_rows(table, patch, AS_OF)
+    # every patch comes twice; the first one counts
+    patch = patch.withColumn("pos", F.lit(1)).unionByName(
+        patch.select("id", F.lit("later").alias("common_name"), F.lit(-1).cast(patch.schema["city_id"].dataType).alias("city_id"), F.lit(2).alias("pos")))
+    out = M.patch_rows(table, patch, AS_OF, order=["pos"])
     return out.select("id", "common_name", "city_id", second_text("updated_at").alias("updated_at"))
 
 
@@ -209,8 +215,9 @@ def _wanted(t: Tables) -> DataFrame:
     kind = F.when(F.col("c_mktsegment") == "MACHINERY", "Guild").when(F.col("c_mktsegment") == "BUILDING", "Startup")
     return t("customer").select(
         F.concat("c_mktsegment", joiner, F.col("c_nationkey").cast("string")).alias("common_name"),
-        F.lit("https://x.example.com").alias("website"), F.lit(None).cast("string").alias("jobboard"),
-        kind.alias("company_type_name"))
+        F.concat(F.lit("https://x.example.com/"), F.col("c_custkey").cast("string")).alias("website"),
+        F.concat(F.lit("https://b.example.com/"), (-F.col("c_custkey")).cast("string")).alias("jobboard"),
+        kind.alias("company_type_name"), F.col("c_custkey").alias("pos"))
 
 
 def _stored_companies(t: Tables) -> DataFrame:
@@ -254,13 +261,14 @@ def unique_slugs(t: Tables) -> DataFrame:
     "FILTERED", f"WHERE c_mktsegment <> 'MACHINERY' AND {NAME_SQL} NOT IN "
                 "(SELECT 'HOUSEHOLD ' || split_part(slug, '-', 2) FROM st)") + """
     SELECT (SELECT max(id) FROM st) + row_number() OVER (ORDER BY md5(common_name), common_name) AS id, slug, common_name,
-           CASE WHEN starts_with(common_name, 'BUILDING') THEN 2 ELSE 1 END AS company_type, true AS approved
-    FROM slugged
-""")
+           CASE WHEN starts_with(common_name, 'BUILDING') THEN 2 ELSE 1 END AS company_type, true AS approved,
+           'https://x.example.com/' || first_key AS website, 'https://b.example.com/' || -first_key AS jobboard
+    FROM slugged JOIN (SELECT NAME AS common_name, min(c_custkey) AS first_key FROM customer GROUP BY 1) USING (common_name)
+""".replace("NAME AS", NAME_SQL + " AS"))
 def get_or_create_company(t: Tables) -> DataFrame:
     types = t.spark.createDataFrame([(1, "Private Company"), (2, "Startup")], "id int, name string")
-    made, _ = dims.get_or_create_companies(_stored_companies(t), _wanted(t), types, AS_OF)
-    return made.select("id", "slug", "common_name", "company_type", "approved")
+    made, _ = dims.get_or_create_companies(_stored_companies(t), _wanted(t), types, AS_OF, order=["pos"])
+    return made.select("id", "slug", "common_name", "company_type", "approved", "website", "jobboard")
 
 
 @query("rejected_companies", f"""
@@ -280,7 +288,8 @@ def update_company(t: Tables) -> DataFrame:
     companies = t("customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("website"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
     patch = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("website"))
-    return dims.update_company(companies, patch, "website", AS_OF).select("id", "website", "changed")
+    patch = patch.withColumn("pos", F.lit(1)).unionByName(patch.select("id", F.lit("later").alias("website"), F.lit(2).alias("pos")))
+    return dims.update_company(companies, patch, "website", AS_OF, order=["pos"]).select("id", "website", "changed")
 
 
 @query("stamp_completion", f"""

@@ -144,7 +144,7 @@ def feed_lever(t: Tables) -> DataFrame:
            '2002-01-01' AS date_posted, {sql_pick(['Part-time', 'Temporary', None], 'o_orderkey')} AS job_type,
            CASE o_orderkey % 3 WHEN 0 THEN 'Jenks' ELSE 'Tulsa' END AS city_name,
            o_custkey || ' E 11th St' AS address1, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS site_name
-    FROM orders WHERE o_orderstatus <> 'P' AND floor(o_orderkey / 20) % 100 <= 50
+    FROM orders WHERE o_orderstatus <> 'P'
 """)
 def feed_fountain(t: Tables) -> DataFrame:
     town = F.element_at(F.array(F.lit("Jenks"), F.lit("Dallas"), F.lit("Tulsa")), (order_key() % 3 + 1).cast("int"))
@@ -153,7 +153,7 @@ def feed_fountain(t: Tables) -> DataFrame:
         F.when(order_key() % 2 == 0, F.col("o_orderpriority")).otherwise("").alias("location_name"),
         F.concat(F.col("o_custkey").cast("string"), F.lit(" E 11th St, "), town, F.lit(", OK 74104, USA")).alias("location_address"),
         F.lit("ok").alias("location_state_code"), pick(["part-time", "Temp", None], order_key()).alias("job_type"))
-    # a hundred pages per board: only the first fifty-one numbers (0 to 50) are read
+    # a hundred pages per board, and all of them are read
     rows = t("orders").withColumn("board", F.floor(F.col("o_orderkey") / (PAGE * 100)).cast("int"))
     number = (F.floor(F.col("o_orderkey") / PAGE) % 100).cast("int")
     docs = rows.select("board", number.alias("page"), opening.alias("p")).groupBy("board", "page").agg(F.collect_list("p").alias("openings"))
@@ -345,14 +345,17 @@ def all_feeds(t: Tables) -> DataFrame:
 
 
 @query("detail_precedence", """
-    SELECT o_orderkey, CASE WHEN l_orderkey IS NOT NULL THEN 'R' ELSE o_orderpriority END AS posting_id FROM orders
-    LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R') ON l_orderkey = o_orderkey
+    WITH d AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) AS rn
+               FROM lineitem WHERE l_returnflag = 'R')
+    SELECT o_orderkey, coalesce(CAST(l_partkey AS VARCHAR), o_orderpriority) AS posting_id FROM orders
+    LEFT JOIN d ON l_orderkey = o_orderkey AND rn = 1
 """)
 def detail_precedence(t: Tables) -> DataFrame:
-    detail = t("lineitem").where(F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min("l_returnflag").alias("posting_id"))
+    # an order has several details; the first one counts
+    detail = t("lineitem").where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_partkey").cast("string").alias("posting_id"))
     listing = t("orders").select("o_orderkey", F.col("o_orderpriority").alias("posting_id"))
-    return A.with_detail(listing, detail, "o_orderkey", ["posting_id"])
+    return A.with_detail(listing, detail, "o_orderkey", ["posting_id"], ["l_linenumber"])
 
 
 @query("dry_run_rows", f"""

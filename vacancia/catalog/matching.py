@@ -200,15 +200,18 @@ def get_or_create_site_by_address(t: Tables) -> DataFrame:
 
 
 @query("feed_metadata_join", """
-    WITH m AS (SELECT l_orderkey, min(l_shipdate) AS shipped, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+    WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_partkey) AS rn
+               FROM lineitem WHERE l_returnflag = 'R'),
+    m AS (SELECT l_orderkey, l_shipdate AS shipped, CAST(l_partkey AS BIGINT) AS n FROM r WHERE rn = 1)
     SELECT o_orderkey, strftime(coalesce(shipped, o_orderdate), '%Y-%m-%d') AS date_posted, coalesce(n, 0) AS n
     FROM orders LEFT JOIN m ON l_orderkey = o_orderkey
 """)
 def feed_metadata_join(t: Tables) -> DataFrame:
-    meta = t("lineitem").where(F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("external_job_id")).agg(
-        F.min("l_shipdate").alias("shipped"), F.count(F.lit(1)).alias("n"))
+    # an id has several entries; the first line counts
+    meta = t("lineitem").where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("external_job_id"), "l_linenumber", F.col("l_shipdate").alias("shipped"), F.col("l_partkey").cast("bigint").alias("n"))
     rows = t("orders").select(F.col("o_orderkey").alias("external_job_id"), "o_orderdate")
-    out = R.join_metadata(rows, meta)
+    out = R.join_metadata(rows, meta, order=["l_linenumber"])
     return out.select(
         F.col("external_job_id").alias("o_orderkey"),
         F.date_format(F.coalesce("shipped", "o_orderdate"), "yyyy-MM-dd").alias("date_posted"),
@@ -272,14 +275,13 @@ def last_seen_rows(t: Tables) -> DataFrame:
 
 
 @query("capped_new_rows", """
-    SELECT o_orderkey, o_custkey FROM (
-      SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus = 'F' ORDER BY o_orderkey) AS rn FROM orders)
-    WHERE o_orderstatus = 'F' OR rn <= 5
+    SELECT o_orderkey, o_custkey, o_orderstatus <> 'F'
+           AND row_number() OVER (PARTITION BY o_custkey, o_orderstatus = 'F' ORDER BY o_orderkey) > 5 AS deferred FROM orders
 """)
 def capped_new_rows(t: Tables) -> DataFrame:
     rows = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    out = dedup.cap_new_rows(rows, F.col("o_orderstatus") == "F", ["o_custkey"], ["o_orderkey"], 5)
-    return out.select("o_orderkey", "o_custkey")
+    out = dedup.defer_new_rows(rows, F.col("o_orderstatus") == "F", ["o_custkey"], ["o_orderkey"], 5)
+    return out.select("o_orderkey", "o_custkey", "deferred")
 
 
 @query("surrogate_keys", f"""

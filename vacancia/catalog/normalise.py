@@ -229,13 +229,14 @@ def salary_text(t: Tables) -> DataFrame:
 
 @query("salary_annualised", f"""
     SELECT p_partkey,
-           CAST({_sql_case(f'{P1} * 2080', P10, P10, 'NULL', P10)} AS DOUBLE) AS minimum,
-           CAST({_sql_case(f'{P1} * 2 * 2080', P20, P20, 'NULL', P20)} AS DOUBLE) AS maximum
+           CAST({_sql_case(f'({P1} + 0.005) * 2080', P10, P10, 'NULL', P10)} AS DOUBLE) AS minimum,
+           CAST({_sql_case(f'({P1} * 2 + 0.005) * 2080', P20, P20, 'NULL', P20)} AS DOUBLE) AS maximum
     FROM part
 """)
 def salary_annualised(t: Tables) -> DataFrame:
     text = _one_of(
-        _text("$", plain(), " - $", (price() * 2).cast("string"), " per hour"),
+        # a rate of three decimals is not rounded before it is multiplied
+        _text("$", plain(), "5 - $", (price() * 2).cast("string"), "5 per hour"),
         _text("Pay ", commas(), "-", commas(20), " USD"),
         _text("salary range: $", commas(), " - $", commas(20)),
         _text("negotiable ", plain()),
@@ -576,12 +577,12 @@ def title_flags(t: Tables) -> DataFrame:
 
 
 @query("text_collapse", r"""
-    SELECT doc_id, md5(substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 50000)) AS digest,
-           CAST(length(substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 50000)) AS BIGINT) AS n
+    SELECT doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS digest,
+           CAST(length(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS BIGINT) AS n
     FROM documents
 """)
 def text_collapse(t: Tables) -> DataFrame:
-    kept = X.stored_description("text")
+    kept = X.collapse("text")
     return t("documents").select("doc_id", F.md5(kept).alias("digest"), F.length(kept).cast("bigint").alias("n"))
 
 

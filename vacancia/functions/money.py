@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from vacancia.functions.text import col, first_match, strip
 
 AMOUNT = "decimal(18,2)"
+RATE = "decimal(18,6)"  # of an amount that is still multiplied
 HOURS_PER_YEAR = 2080  # fixed value
 
 # Frequency words, tried in this order.
@@ -45,8 +46,8 @@ HOURLY_TERMS = ("hourly", "per hour", "/hour", "hr")
 ANNUAL_TERMS = ("annually", "per year", "/year", "annual")
 
 
-def amount(text: Column) -> Column:
-    return F.regexp_replace(text, "[$,]", "").try_cast(AMOUNT)
+def amount(text: Column, kind: str = AMOUNT) -> Column:
+    return F.regexp_replace(text, "[$,]", "").try_cast(kind)
 
 
 def _any(low: Column, words) -> Column:
@@ -79,7 +80,7 @@ def parse_pay(text: Column | str) -> Column:
     Only amounts with ``$`` count; a single amount leaves the maximum NULL.
     """
     found = F.regexp_extract_all(col(text), F.lit(r"(\$[\d,]+(?:\.\d+)?)"), F.lit(1))
-    numbers = F.filter(F.transform(found, amount), lambda x: x.isNotNull())
+    numbers = F.filter(F.transform(found, lambda x: amount(x)), lambda x: x.isNotNull())
     return _pay(F.get(numbers, 0), F.get(numbers, 1), pay_frequency(text))
 
 
@@ -88,14 +89,14 @@ def _both(low: Column, high: Column) -> Column:
 
 
 def annual_range(text: Column | str) -> Column:
-    """(minimum, maximum) per year. Hourly ranges count 2080 hours.
+    """(minimum, maximum) per year. Hourly ranges count 2080 hours, and are rounded last.
 
     A shape whose amounts cannot be read gives way to the next shape.
     """
     picks = []
     for pattern, hourly in RANGE_PATTERNS:
-        low = amount(F.regexp_extract(col(text), "(?i)" + pattern, 1))
-        high = amount(F.regexp_extract(col(text), "(?i)" + pattern, 2))
+        low = amount(F.regexp_extract(col(text), "(?i)" + pattern, 1), RATE)
+        high = amount(F.regexp_extract(col(text), "(?i)" + pattern, 2), RATE)
         if hourly:
             low, high = low * HOURS_PER_YEAR, high * HOURS_PER_YEAR
         picks.append(_both(low.cast(AMOUNT), high.cast(AMOUNT)))

@@ -29,7 +29,6 @@ TITLE_PLACES = (
     "remote", "hybrid", "kellyville", "mannford",
 )
 
-MAX_DESCRIPTION = 50_000  # fixed value: stored description length
 
 _SPACE_RUN = r"(?U)\s+"
 
@@ -103,11 +102,6 @@ def collapse(c: Column | str) -> Column:
     return strip(F.regexp_replace(col(c), _SPACE_RUN, " "))
 
 
-def stored_description(c: Column | str, limit: int = MAX_DESCRIPTION) -> Column:
-    """The description as the listings table keeps it: collapsed, at most ``limit`` long."""
-    return F.substring(collapse(c), 1, limit)
-
-
 def is_long_enough(c: Column | str, minimum: int) -> Column:
     return F.coalesce(F.length(strip(c)) >= minimum, F.lit(False))
 

@@ -22,6 +22,15 @@ def keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFr
     return _pick(df, key, [F.col(c).desc() for c in order])
 
 
+def first_of_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key for the right side of a join: the first in ``order``, columns for ordering left out.
+
+    Without an order it is the least row by all other columns, which is the same at every run.
+    """
+    rest = [c for c in df.columns if c not in key and c not in order]
+    return keep_first(df, key, [*order, *rest]).drop(*order)
+
+
 def distinct_urls(df: DataFrame, url: str = "posting_url") -> DataFrame:
     return df.select(url).distinct()
 
@@ -45,9 +54,15 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     return ranked.where(F.col("_rn") <= cap).drop("_rn")
 
 
-def cap_new_rows(postings: DataFrame, known: Column, group: Sequence[str], order: Sequence[str],
-                 cap: int) -> DataFrame:
-    """Known postings all stay, new ones up to ``cap`` per company and run."""
-    kept = postings.where(known)
-    new = postings.where(~known)
-    return kept.unionByName(top_per_group(new, group, [F.col(c) for c in order], cap))
+def defer_new_rows(postings: DataFrame, known: Column, group: Sequence[str], order: Sequence[str],
+                   cap: int | None = None) -> DataFrame:
+    """All postings; ``deferred`` marks the new ones after the first ``cap`` of a company.
+
+    A run that wants to fetch few pages takes the rows that are not deferred and finds the
+    others again in its next run. There is no cap unless one is given.
+    """
+    if cap is None:
+        return postings.withColumn("deferred", F.lit(False))
+    is_new = ~F.coalesce(known, F.lit(False))
+    place = F.row_number().over(Window.partitionBy(*group, is_new).orderBy(*[F.col(c) for c in order]))
+    return postings.withColumn("deferred", is_new & (place > cap))

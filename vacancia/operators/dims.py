@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from vacancia.functions.dates import moment
 from vacancia.functions.text import blank_to_null, slug, strip
+from vacancia.operators.dedup import first_of_key
 from vacancia.operators.numbering import number_rows, with_new_ids
 from vacancia.session import materialise
 
@@ -54,17 +57,17 @@ def unique_slugs(new: DataFrame, stored: DataFrame, name: str = "common_name") -
 
 
 def get_or_create_companies(stored: DataFrame, wanted: DataFrame, types: DataFrame, as_of,
-                            default_type: str = "Private Company") -> tuple[DataFrame, DataFrame]:
+                            default_type: str = "Private Company", order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(new companies, rejected) for the wanted (common_name, website, jobboard, company_type_name).
 
-    Known names are left alone. An unknown company type is an error of that row. New
+    Of several wanted rows with one name the first in ``order`` makes the company, with all
+    its fields; without an order it is the least row. Known names are left alone. An unknown company type is an error of that row. New
     companies are approved and marked as made by a feed.
     """
     typed = wanted.withColumn("company_type_name", F.coalesce("company_type_name", F.lit(default_type)))
     missing = typed.join(stored.select("common_name"), "common_name", "left_anti")
-    missing = materialise(missing.groupBy("common_name").agg(
-        *[F.min(c).alias(c) for c in ("website", "jobboard", "company_type_name")]
-    ), "missing-companies")
+    wanted_columns = ["common_name", "website", "jobboard", "company_type_name"]
+    missing = materialise(first_of_key(missing.select(*wanted_columns, *order), ["common_name"], order), "missing-companies")
     side = types.select(F.col("name").alias("company_type_name"), F.col("id").alias("company_type"))
     checked = missing.join(side, "company_type_name", "left")
     rejected = checked.where(F.col("company_type").isNull()).withColumn("reason", F.lit("unknown_company_type"))
@@ -94,9 +97,12 @@ def get_or_create_sites(stored: DataFrame, wanted: DataFrame, by: str = "site_na
     return created.select("id", "company_id", "site_name", "address1", "city_id", F.lit(True).alias("is_active"))
 
 
-def update_company(companies: DataFrame, patch: DataFrame, column: str, as_of) -> DataFrame:
-    """New website or job board by id; ``changed`` tells which rows were updated."""
-    side = patch.select("id", F.col(column).alias("_new"), F.lit(True).alias("_hit"))
+def update_company(companies: DataFrame, patch: DataFrame, column: str, as_of, order: Sequence[str] = ()) -> DataFrame:
+    """New website or job board by id; ``changed`` tells which rows were updated.
+
+    Of several patches of one id the first in ``order`` counts.
+    """
+    side = first_of_key(patch.select("id", column, *order), ["id"], order).select("id", F.col(column).alias("_new"), F.lit(True).alias("_hit"))
     joined = companies.join(side, "id", "left")
     hit = F.coalesce("_hit", F.lit(False))
     return (

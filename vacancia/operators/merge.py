@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions.dates import days_before, moment
+from vacancia.operators.dedup import first_of_key
 from vacancia.operators.numbering import with_new_ids
 from vacancia.session import materialise
 
@@ -209,14 +210,16 @@ def reopen(listings: DataFrame, company_ids: DataFrame, since, as_of) -> DataFra
     return _change(out.withColumn("_hit", F.col("reopened")), "_hit", values)
 
 
-def patch_rows(table: DataFrame, patch: DataFrame, as_of, key: str = "id") -> DataFrame:
+def patch_rows(table: DataFrame, patch: DataFrame, as_of, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
     """Fields of the patch replace stored ones; NULL and empty fields are ignored.
 
-    ``updated_at`` is set wherever the patch has a row. A patch without fields changes nothing.
+    ``updated_at`` is set wherever the patch has a row. A patch without fields changes
+    nothing. Of several patches of one key the first in ``order`` counts.
     """
-    fields = [c for c in patch.columns if c != key]
+    fields = [c for c in patch.columns if c != key and c not in order]
     if not fields:
         return table
+    patch = first_of_key(patch, [key], order)
     kinds = dict(patch.dtypes)
     side = patch.select(
         key, F.lit(True).alias("_hit"),
@@ -228,9 +231,12 @@ def patch_rows(table: DataFrame, patch: DataFrame, as_of, key: str = "id") -> Da
 
 
 def overwrite_matched(current: DataFrame, incoming: DataFrame, as_of, fields: Sequence[str],
-                      key: str = "posting_url") -> DataFrame:
-    """Rows that the snapshot has take all its fields, absent ones included."""
-    side = incoming.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias("_" + c) for c in fields])
+                      key: str = "posting_url", order: Sequence[str] = ()) -> DataFrame:
+    """Rows that the snapshot has take all its fields, absent ones included.
+
+    Of several postings with one key the first in ``order`` counts.
+    """
+    side = first_of_key(incoming.select(key, *fields, *order), [key], order).select(key, F.lit(True).alias("_hit"), *[F.col(c).alias("_" + c) for c in fields])
     out = current.join(side, key, "left").select(*current.columns, "_hit", *["_" + c for c in fields])
     now = moment(as_of)
     values = {c: F.col("_" + c) for c in fields}

@@ -12,11 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacancia.functions.rules import longest_name
 from vacancia.functions.text import blank_to_null, strip
-from vacancia.operators.dedup import keep_first
+from vacancia.operators.dedup import first_of_key, keep_first
 
-DICTIONARY_INLINE = 256  # names up to which a dictionary becomes one expression
+GRAM = 4  # letters of an entry that are joined before the whole entry is looked for
 
 
 def one_per_key(dim: DataFrame, key: Sequence[str], value: str) -> DataFrame:
@@ -91,48 +90,50 @@ def not_seen(listings: DataFrame, incoming: DataFrame, key: str = "posting_url")
     return open_rows.join(incoming.select(key), key, "left_anti")
 
 
-def match_dictionary(df: DataFrame, text: str, names: DataFrame, key: Sequence[str], out: str,
-                     name: str = "name", inline: int = DICTIONARY_INLINE) -> DataFrame:
-    """Longest dictionary name inside a text, case-insensitive; ties by name order.
+def _grams(low: Column, sizes: Sequence[int]) -> Column:
+    """The distinct pieces of a text that have one of the sizes."""
 
-    A dictionary of at most ``inline`` names (its size is checked first) becomes one
-    expression over the text. A larger one is joined: the text is cut into all pieces of
-    the lengths that the dictionary has, which then meet the names in an equi join.
-    """
-    words = names.select(F.col(name).alias("_name")).dropna().distinct()
-    few = [r[0] for r in words.orderBy("_name").limit(inline + 1).collect()]
-    if len(few) <= inline:
-        return df.withColumn(out, longest_name(F.lower(F.col(text)), few))
-    return join_dictionary(df, text, words, key, out)
+    def of_length(n: int) -> Column:
+        starts = F.when(F.length(low) >= n, F.sequence(F.lit(1), F.length(low) - n + 1))
+        cut = F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
+        return F.coalesce(cut, F.array().cast("array<string>"))
 
+    return F.array_distinct(F.flatten(F.array(*[of_length(n) for n in sizes])))
 
-def _lengths(side: DataFrame) -> list[int]:
-    """Distinct lengths of the dictionary entries: as many as a name column is wide at most."""
-    return [r[0] for r in side.select(F.length("_low").alias("n")).distinct().orderBy("n").collect()]
 
+def _rarest(side: DataFrame) -> DataFrame:
+    """The entries with the piece of each that fewest entries share; an entry below ``GRAM`` letters is its own."""
+    low = F.col("_low")
+    own = F.when(F.length(low) < GRAM, F.array(low)).otherwise(_grams(low, [GRAM]))
+    cut = side.select("_low", F.explode(own).alias("_gram"))
+    shared = cut.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    picked = cut.join(shared, "_gram").groupBy("_low").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
+    return side.join(picked, "_low")
 
-def _pieces(df: DataFrame, text: str, lengths: Sequence[int], key: Sequence[str]) -> DataFrame:
-    """(key, _low): the distinct pieces of a text that have one of the lengths."""
-    low = F.lower(F.col(text))
 
-    def of_length(n: int) -> Column:
-        starts = F.when(F.length(low) >= n, F.sequence(F.lit(1), F.length(low) - n + 1))
-        cut = F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
-        return F.coalesce(cut, F.array().cast("array<string>"))
+def _contained(df: DataFrame, text: str, side: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, columns of ``side``): the entries whose ``_low`` is inside the text, letter case aside.
+
+    The pieces of a text meet the rarest piece of each entry in an equi join; what meets is
+    then looked for in the text. A text makes a few rows per letter, whatever the entries.
+    """
+    pieces = df.select(*key, F.explode(_grams(F.lower(F.col(text)), range(1, GRAM + 1))).alias("_gram"))
+    likely = pieces.join(_rarest(side), "_gram").drop("_gram")
+    whole = df.select(*key, F.lower(F.col(text)).alias("_text"))
+    return likely.join(whole, list(key)).where(F.col("_text").contains(F.col("_low"))).drop("_text")
 
-    every = F.array_distinct(F.flatten(F.array(*[of_length(n) for n in lengths])))
-    return df.select(*key, F.explode(every).alias("_low"))
 
+def match_dictionary(df: DataFrame, text: str, names: DataFrame, key: Sequence[str], out: str,
+                     name: str = "name") -> DataFrame:
+    """Longest dictionary name inside a text, case-insensitive; ties by name order.
 
-def join_dictionary(df: DataFrame, text: str, words: DataFrame, key: Sequence[str], out: str) -> DataFrame:
-    """The equi-join form of ``match_dictionary``; ``words`` has the column ``_name``."""
-    words = words.withColumn("_low", F.lower("_name"))
-    side = words.groupBy("_low").agg(F.min("_name").alias("_name"))
-    lengths = _lengths(side)
-    cut = _pieces(df, text, lengths, key)
-    hits = cut.join(side, "_low").withColumn("_len", F.length("_low"))
+    ``key`` tells the rows of ``df`` apart. One plan for a dictionary of any size.
+    """
+    words = names.select(F.col(name).alias("_name")).dropna().distinct().withColumn("_low", F.lower("_name"))
+    side = words.where(F.col("_low") != "").groupBy("_low").agg(F.min("_name").alias("_name"))
+    hits = _contained(df, text, side, key)
     best = hits.groupBy(*key).agg(
-        F.min(F.struct((-F.col("_len")).alias("l"), F.col("_name").alias("n")))["n"].alias(out)
+        F.min(F.struct((-F.length("_low")).alias("l"), F.col("_name").alias("n")))["n"].alias(out)
     )
     return df.join(best, list(key), "left")
 
@@ -145,11 +146,9 @@ def match_rules(df: DataFrame, text: str, rules: DataFrame, dimension: DataFrame
     keyword); categories that the dimension lacks cannot win.
     """
     live = rules.join(dimension.select(F.col("name").alias("category")), "category", "left_semi")
-    live = live.withColumn("_low", F.lower("keyword"))
+    live = live.withColumn("_low", F.lower("keyword")).where(F.col("_low") != "")
     side = live.groupBy("_low").agg(F.min(F.struct("priority", "category")).alias("_rule"))
-    lengths = _lengths(side)
-    cut = _pieces(df, text, lengths, key)
-    best = cut.join(side, "_low").groupBy(*key).agg(F.min("_rule")["category"].alias(out))
+    best = _contained(df, text, side, key).groupBy(*key).agg(F.min("_rule")["category"].alias(out))
     return df.join(best, list(key), "left")
 
 
@@ -174,9 +173,9 @@ def city_from_site(postings: DataFrame, sites: DataFrame) -> DataFrame:
     return joined.withColumn("city_id", F.coalesce("city_id", "_site_city")).drop("_site_city")
 
 
-def join_metadata(listing: DataFrame, metadata: DataFrame, key: str = "external_job_id") -> DataFrame:
-    """Listing rows with the metadata feed of the same employer; the first entry per id counts."""
-    return listing.join(metadata, key, "left")
+def join_metadata(listing: DataFrame, metadata: DataFrame, key: str = "external_job_id", order: Sequence[str] = ()) -> DataFrame:
+    """Listing rows with the metadata feed of the same employer; the first entry per id, in ``order``, counts."""
+    return listing.join(first_of_key(metadata, [key], order), key, "left")
 
 
 def company_with_type(companies: DataFrame, types: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions import categories as C, dates as D, money as M, places as P, text as X
 from vacancia.functions.text import col
+from vacancia.operators.dedup import first_of_key
 
 # Least description length per source shape.
 MINIMUM_CONTENT = {"workday": 100, "adp": 50, "lever": 50, "paylocity": 50, "icims": 200, "fountain": 100}
@@ -342,9 +343,13 @@ def page_links(pages: DataFrame, html: str = "html", carry: Sequence[str] = ())
     return rows.select(*carry, "_l.*")
 
 
-def with_detail(listing: DataFrame, detail: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Detail-page value, else listing value, for each field; the listing decides the rows."""
-    side = detail.select(key, *[F.col(f).alias("_" + f) for f in fields])
+def with_detail(listing: DataFrame, detail: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Detail-page value, else listing value, for each field; the listing decides the rows.
+
+    Of several details with one key the first in ``order`` counts.
+    """
+    side = first_of_key(detail.select(key, *fields, *order), [key], order)
+    side = side.select(key, *[F.col(f).alias("_" + f) for f in fields])
     out = listing.join(side, key, "left")
     for f in fields:
         value = F.coalesce("_" + f, f) if f in listing.columns else F.col("_" + f)

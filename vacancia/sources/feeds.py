@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacancia import schema as S
 from vacancia.functions.text import col, file_kind
-
-FOUNTAIN_PAGE_CAP = 50  # fixed value: listing pages read per source
+from vacancia.operators.dedup import first_of_key
 
 
 def read_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
@@ -31,10 +32,9 @@ def read_workday(documents: DataFrame) -> DataFrame:
     return postings_of(documents, "jobPostings", tuple(c for c in documents.columns if c != "jobPostings"))
 
 
-def read_fountain(documents: DataFrame, pages: int = FOUNTAIN_PAGE_CAP) -> DataFrame:
-    """Openings of the first ``pages`` listing pages of each source."""
-    keep = tuple(c for c in documents.columns if c not in ("openings", "pagination"))
-    return postings_of(documents.where(F.col("page") <= pages), "openings", keep)
+def read_fountain(documents: DataFrame) -> DataFrame:
+    """Openings of all listing pages that landed."""
+    return postings_of(documents, "openings", tuple(c for c in documents.columns if c not in ("openings", "pagination")))
 
 
 def read_adp(documents: DataFrame) -> DataFrame:
@@ -58,10 +58,6 @@ def first_container(*candidates: Column | str) -> Column:
     return F.coalesce(*picks)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.PAGES).parquet(path)
-
-
 def read_binary_kinds(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Landed attachments with the kind their first bytes tell."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -73,7 +69,7 @@ def saved_filters(df: DataFrame, text: str = "filters") -> DataFrame:
     return parse_documents(df, text, S.SAVED_FILTERS)
 
 
-def with_source_config(feed: DataFrame, config: DataFrame, source: str = "source") -> DataFrame:
-    """Configuration of each posting's source; a source without one is an error row."""
-    out = feed.join(config, source, "left")
+def with_source_config(feed: DataFrame, config: DataFrame, source: str = "source", order: Sequence[str] = ()) -> DataFrame:
+    """Configuration of each posting's source, the first one in ``order``; a source without one is an error row."""
+    out = feed.join(first_of_key(config, [source], order), source, "left")
     return out.withColumn("config_error", F.when(F.col("jobboard").isNull(), F.lit("unknown_source")))
