@@ -192,13 +192,54 @@ def test_closing_needs_a_completed_cycle_a_snapshot_and_completeness(spark):
     before = state(spark, *[row(i, i, f"u{i}") for i in (1, 2, 3, 4, 5)])
     done = companies(spark, c1=at(10), c2=None, c3=at(10), c4=at(1), c5=at(10))
     incoming = spark.createDataFrame([(c, f"new{c}") for c in (1, 2, 4, 5)], "company_id bigint, posting_url string")
-    announced = spark.createDataFrame([(1, 1), (5, 2)], "company_id bigint, total int")
+    announced = spark.createDataFrame([(1, 1), (2, 1), (4, 1), (5, 2)], "company_id bigint, total int")
     got = by_url(M.merge_snapshot(before, incoming, done, NOW, announced=announced))
     # 2 never completed, 3 landed nothing, 4 was seen exactly at the completion, 5 landed half
     assert {u: got[u]["action"] for u in ("u1", "u2", "u3", "u4", "u5")} == {
         "u1": "closed", "u2": "kept", "u3": "kept", "u4": "kept", "u5": "kept"}
 
 
+def test_completeness_counts_what_landed(spark):
+    landed = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "a")], "company_id bigint, posting_url string")
+    announced = spark.createDataFrame([(1, 3), (2, 2), (2, 1), (4, 1)], "company_id bigint, total int")
+    got = lambda **k: {r["company_id"]: r["complete"] for r in M.complete_companies(landed, announced, **k).collect()}
+    assert got() == {1: False, 2: True, 3: False}  # a repeat counts once; no total is not complete
+    assert got(unknown=True) == {1: False, 2: True, 3: True}
+    # the feed is what an adapter left over: its company is complete all the same
+    before = state(spark, row(1, 2, "gone"))
+    feed = landed.where("company_id = 2 and posting_url = 'a'")
+    merged = by_url(M.merge_snapshot(before, feed, companies(spark, c2=at(10)), NOW, announced=announced, landed=landed))
+    assert merged["gone"]["action"] == "closed"
+
+
+def test_versions_of_tables(spark, tmp_path):
+    root = str(tmp_path / "listings")
+    assert tables.current_version(spark, root) == 0
+    tables.write_listings(state(spark, row(1, 1, "a"), row(2, 65, "b"), row(3, 2, "c")), root)
+    now = tables.read_listings(spark, root)
+    tables.write_listings(now.where("company_id <> 2"), root)  # a company vanishes, read and written at once
+    assert sorted(r["id"] for r in tables.read_listings(spark, root).collect()) == [1, 2]
+    assert [r["id"] for r in tables.read_listings(spark, root, 65).collect()] == [2]
+    tables.write_listings(now.limit(0), root)
+    assert tables.read_listings(spark, root).count() == 0 and tables.current_version(spark, root) == 3
+    for k in (1, 2):
+        tables.commit_tables(spark, root, {}, {"log": spark.range(k)})
+    spark.range(9).write.parquet(f"{root}/log/version=6")  # a run that died before its commit
+    assert tables.read_appended(spark, root, "log").count() == 3
+    tables.commit_tables(spark, root, {}, {"log": spark.range(4)})
+    assert tables.read_appended(spark, root, "log").count() == 7
+
+
+def test_incomplete_companies_are_not_stamped(spark):
+    before = state(spark, row(1, 1, "http://A"), row(2, 2, "http://B"))
+    feed = spark.createDataFrame([(c, f"t{c}", f"http://new{c}", "board") for c in (1, 2)], "company_id bigint, job_title string, posting_url string, source_job_board string")
+    announced = spark.createDataFrame([(1, 1), (2, 50)], "company_id bigint, total int")
+    c = cycle.run_cycle(before, feed, companies(spark, c1=at(10), c2=at(10)), NOW, announced=announced)
+    assert {r["id"]: r["last_full_scrape_completed"].day for r in c.companies.collect()} == {1: 15, 2: 10}
+    assert {r["company_id"]: r["status"] for r in c.run_log.collect()} == {1: "completed", 2: "failed"}
+    assert {r["posting_url"]: r["job_status"] for r in c.state.collect()}["http://B"] == "active"
+
+
 def test_repeated_stored_url_touches_the_last_row(spark):
     before = state(spark, row(1, 1, "A"), row(2, 1, "A"), row(3, 1, ""), row(4, 1, None))
     incoming = spark.createDataFrame([(1, "A", 5), (1, "A", 6), (1, "", 7)], "company_id bigint, posting_url string, pos int")
@@ -451,11 +492,11 @@ def test_reader_and_writer_round_trip(spark, tmp_path):
     out = str(tmp_path / "listings")
     s = state(spark, row(1, 1, "a"), row(2, 65, "b"), row(3, 2, "c"))
     tables.write_listings(s, out)
-    tables.write_listings(state(spark, row(9, 1, "z")), out)  # replaces only the part of company 1 and 65
-    assert sorted(r["id"] for r in tables.read_listings(spark, out).collect()) == [3, 9]
+    tables.write_listings(state(spark, row(9, 1, "z")), out, 1)  # only company 1
+    assert sorted(r["id"] for r in tables.read_listings(spark, out).collect()) == [2, 3, 9]
     one = tables.read_listings(spark, out, 2)
     assert [r["id"] for r in one.collect()] == [3]
-    assert "PartitionFilters: [isnotnull(company_part" in plan_of(one)
+    assert "PushedFilters: [IsNotNull(company_id), EqualTo(company_id,2)]" in plan_of(one)
     tables.write_dry_run(s, str(tmp_path / "dry"), limit=2)
     assert spark.read.json(str(tmp_path / "dry")).count() == 2
     log = spark.createDataFrame([(1,)], "x int")

@@ -9,8 +9,9 @@ from vacancia.catalog.registry import (
 )
 from vacancia.functions import categories as C
 from vacancia.operators import deletes as Del, dims, merge as M
-from vacancia.plans.cycle import run_cycle
-from vacancia.sources.tables import with_defaults
+from vacancia.plans.cycle import commit_cycle, run_cycle
+from vacancia.session import scratch_path
+from vacancia.sources.tables import read_appended, read_whole, with_defaults
 
 AS_OF = "2002-01-01 12:00:00"
 
@@ -60,19 +61,23 @@ def merge_change_set(t: Tables) -> DataFrame:
     return M.change_set(M.merge_snapshot(t.stored(), t.incoming(), t.companies(), AS_OF))
 
 
-@query("snapshot_merge_guarded",
-       _CYCLE.replace("GATE", "landed >= company_total.n").replace(
-           "LEFT JOIN totals t ON t.company_id = s.company_id)",
-           "LEFT JOIN totals t ON t.company_id = s.company_id)").replace(
-           "acted AS (\n      SELECT *,",
-           "company_total AS (SELECT o_custkey AS k, count(*) FILTER (WHERE o_orderstatus <> 'F' OR o_orderdate >= TIMESTAMP '2001-07-01') AS n FROM orders GROUP BY 1),\n    acted AS (\n      SELECT marked.*,").replace(
-           "AS action FROM marked)", "AS action FROM marked LEFT JOIN company_total ON k = company_id)")
-       + " SELECT * FROM staged")
+_GUARDED = _CYCLE.replace("GATE", "s_company % 7 <> 0 AND s_company % 5 <> 0").replace(
+    "SELECT s.*, i.posting_url", "SELECT s.*, s.company_id AS s_company, i.posting_url").replace(
+    "totals AS (SELECT company_id, count(*) AS landed FROM incoming GROUP BY 1)",
+    "totals AS (SELECT o_custkey AS company_id, count(*) AS landed FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)").replace(
+    SQL_INCOMING, SQL_INCOMING.replace("WHERE o_orderstatus <> 'F'", "WHERE o_orderstatus <> 'F' AND o_orderkey % 11 <> 0"))
+
+
+@query("snapshot_merge_guarded", f"{_GUARDED} SELECT * FROM staged")
 def snapshot_merge_guarded(t: Tables) -> DataFrame:
-    announced = t("orders").where(
-        (F.col("o_orderstatus") != "F") | (F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz"))
-    ).groupBy(F.col("o_custkey").alias("company_id")).agg(F.count(F.lit(1)).alias("total"))
-    return _staged_text(M.merge_snapshot(t.stored(), t.incoming(), t.companies(), AS_OF, announced=announced))
+    # some postings land twice, some are dropped by the adapter; every fifth company announces
+    # one more than landed, and every seventh announces nothing
+    landed = t.incoming().unionByName(t.incoming().where(F.col("pos") % 3 == 0))
+    feed = landed.where(F.col("pos") % 11 != 0)
+    totals = t.incoming().groupBy("company_id").agg(F.count(F.lit(1)).alias("n"))
+    more = F.when(F.col("company_id") % 5 == 0, 1).otherwise(0)
+    announced = totals.where(F.col("company_id") % 7 != 0).select("company_id", (F.col("n") + more).alias("total"))
+    return _staged_text(M.merge_snapshot(t.stored(), feed, t.companies(), AS_OF, announced=announced, landed=landed))
 
 
 @query("snapshot_merge_active_only", f"""
@@ -377,3 +382,41 @@ def full_cycle(t: Tables) -> DataFrame:
     return cycle.run_log.select(
         "company_id", "jobs_found", "jobs_added", "jobs_updated", "jobs_skipped",
         F.array_join(entries, ",").alias("errors"), F.col("duration_seconds").cast("int").alias("duration"))
+
+
+_CYCLE_STATE = _STAGED.replace(
+    SQL_INCOMING, SQL_INCOMING.replace("SELECT o_custkey AS company_id,", "SELECT o_custkey AS company_id, o_totalprice < 2000 AS bad, o_orderpriority,")
+).replace("AS id,\n             company_id, posting_url FROM incoming WHERE", "AS id,\n             company_id, posting_url, o_orderpriority FROM incoming WHERE NOT bad AND")
+
+
+def _committed(t: Tables, announced: DataFrame | None = None) -> str:
+    """A cycle written as the first version of its tables; the folder they are in."""
+    root = scratch_path(t.spark, "cycle")
+    commit_cycle(t.spark, root, run_cycle(t.stored(), _feed(t), t.companies(), AS_OF, announced=announced))
+    return root
+
+
+@query("cycle_state", f"{_CYCLE_STATE} SELECT id, company_id, posting_url, job_status, updated_at, date_closed FROM staged")
+def cycle_state(t: Tables) -> DataFrame:
+    state = read_whole(t.spark, _committed(t), "state")
+    return state.select(
+        "id", "company_id", "posting_url", "job_status", second_text("updated_at").alias("updated_at"), day_text("date_closed").alias("date_closed"))
+
+
+@query("cycle_content", f"{_CYCLE_STATE} SELECT id, company_id, posting_url, 'Job ' || o_orderpriority AS job_title FROM fresh")
+def cycle_content(t: Tables) -> DataFrame:
+    return read_appended(t.spark, _committed(t), "content").select("id", "company_id", "posting_url", "job_title")
+
+
+@query("cycle_companies", f"""
+    WITH {SQL_COMPANIES}
+    SELECT id, strftime(CASE WHEN id % 5 <> 0 AND id IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F') THEN TIMESTAMP '2002-01-01 12:00:00'
+                             ELSE last_full_scrape_completed END, '%Y-%m-%d %H:%M:%S') AS completed
+    FROM companies
+""")
+def cycle_companies(t: Tables) -> DataFrame:
+    # every fifth company announces one more than landed
+    more = F.when(F.col("company_id") % 5 == 0, 1).otherwise(0)
+    announced = t.incoming().groupBy("company_id").agg(F.count(F.lit(1)).alias("n")).select("company_id", (F.col("n") + more).alias("total"))
+    companies = read_whole(t.spark, _committed(t, announced), "companies")
+    return companies.select("id", second_text("last_full_scrape_completed").alias("completed"))

@@ -43,17 +43,21 @@ def match_snapshot(current: DataFrame, incoming: DataFrame, active_only: bool =
     return matched.where(F.col("copies") > 0).select(*keys, "id", "copies", "_p.*")
 
 
-def complete_companies(incoming: DataFrame, announced: DataFrame | None = None) -> DataFrame:
-    """(company_id, complete): whether as many postings landed as the source announced.
-
-    A company without any posting is not in the result, so nothing of it is closed.
+def complete_companies(landed: DataFrame, announced: DataFrame | None = None, key: Sequence[str] = ("posting_url",),
+                       unknown: bool = False) -> DataFrame:
+    """(company_id, complete): whether as many different postings landed as the source announced.
+
+    ``landed`` is what the source sent, before any posting is filtered out; a posting that
+    was sent twice counts once. Where totals are given, a company without one is not
+    complete, unless ``unknown`` says so; without totals all companies that sent anything
+    are. A company without any posting is not in the result, so nothing of it is closed.
     """
-    landed = incoming.groupBy("company_id").agg(F.count(F.lit(1)).alias("landed"))
     if announced is None:
-        return landed.select("company_id", F.lit(True).alias("complete"))
+        return landed.select("company_id").distinct().withColumn("complete", F.lit(True))
+    counts = landed.select("company_id", *key).distinct().groupBy("company_id").agg(F.count(F.lit(1)).alias("landed"))
     totals = announced.groupBy("company_id").agg(F.max("total").alias("total"))
-    joined = landed.join(totals, "company_id", "left")
-    return joined.select("company_id", F.coalesce(F.col("landed") >= F.col("total"), F.lit(True)).alias("complete"))
+    joined = counts.join(totals, "company_id", "left")
+    return joined.select("company_id", F.coalesce(F.col("landed") >= F.col("total"), F.lit(unknown)).alias("complete"))
 
 
 def stale_before_last_cycle() -> Column:
@@ -172,10 +176,12 @@ def merge_matched(current: DataFrame, matched: DataFrame, companies: DataFrame,
 
 def merge_snapshot(current: DataFrame, incoming: DataFrame, companies: DataFrame, as_of,
                    active_only: bool = False, announced: DataFrame | None = None,
-                   feed_order: Sequence[str] = (), rule: Column | None = None, save: bool = True) -> DataFrame:
+                   feed_order: Sequence[str] = (), rule: Column | None = None, save: bool = True,
+                   landed: DataFrame | None = None) -> DataFrame:
     """Stored rows and new postings with an ``action``: kept, touched, closed or inserted.
 
-    ``incoming`` is the whole current listing of the companies it names. ``active_only``
+    ``incoming`` is the whole current listing of the companies it names; ``landed`` is the
+    same before it was filtered, if it was. ``active_only``
     matches only active rows of the company, so a returning closed posting comes in again;
     the default touches it and leaves it closed. ``save`` writes the matched snapshot to the
     shared folder once; touch, insert and numbering all read it.
@@ -183,7 +189,7 @@ def merge_snapshot(current: DataFrame, incoming: DataFrame, companies: DataFrame
     matched = match_snapshot(current, incoming, active_only, feed_order)
     if save:
         matched = materialise(matched, "matched")
-    gate = complete_companies(incoming, announced)
+    gate = complete_companies(incoming if landed is None else landed, announced)
     # what was just written need not be written again to be numbered
     return merge_matched(current, matched, companies, as_of, gate, rule, save=not save)
 

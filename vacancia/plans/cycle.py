@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacancia import schema as S
 from vacancia.functions.dates import moment
@@ -22,7 +22,7 @@ from vacancia.operators.dims import stamp_completion
 from vacancia.operators.quality import listing_rules, split_by_quality
 from vacancia.plans.views import run_stats, with_duration
 from vacancia.session import materialise
-from vacancia.sources.tables import to_canonical, with_defaults
+from vacancia.sources.tables import commit_tables, to_canonical, with_defaults
 
 
 @dataclass
@@ -40,9 +40,12 @@ Enrich = Callable[[DataFrame], DataFrame]
 
 def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, enrich: Enrich | None = None,
               announced: DataFrame | None = None, feed_order: Sequence[str] = (), active_only: bool = False,
-              started=None, save: bool = True) -> Cycle:
+              started=None, save: bool = True, landed: DataFrame | None = None) -> Cycle:
     """Plan a cycle; ``feed`` holds canonical columns with company_id and source_job_board.
 
+    ``announced`` has the totals of the sources and ``landed`` (company_id, posting_url) what
+    they sent, before adapters dropped any. Only a company whose postings all landed has
+    rows closed, is stamped and is logged as completed; the others are logged as failed.
     ``enrich`` adds detail-page fields and runs on new postings only. ``save`` writes the
     match, the parsed postings and the staged state to the shared folder once each, because
     several results read them.
@@ -65,8 +68,11 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     wanted = [c for c in state.columns if c in good.columns and c not in ("id", "company_id", "posting_url")]
     fresh = good.select("company_id", "posting_url", *wanted)
     merged = known.unionByName(fresh, allowMissingColumns=True)
-    gate = M.complete_companies(feed, announced)
-    staged = M.merge_matched(state, merged.withColumn("copies", F.lit(1)), companies, as_of, gate, save=save)
+    gate = M.complete_companies(feed if landed is None else landed, announced)
+    if save:
+        gate = materialise(gate, "complete-companies")
+    # the new rows are saved already if they were parsed, and need not be written again to be numbered
+    staged = M.merge_matched(state, merged.withColumn("copies", F.lit(1)), companies, as_of, gate, save=save and enrich is None)
     if save:
         staged = materialise(staged, "staged-state")
     inserted = staged.where(F.col("action") == M.INSERTED).select("id", "company_id", "posting_url")
@@ -86,11 +92,20 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
         .unionByName(outcome(rejected, "skipped", reason=F.get("violations", 0)))
     )
     begin = moment(as_of if started is None else started)
-    log = run_stats(outcomes, weight="n").withColumns({
-        "status": F.lit("completed"), "started_at": begin, "completed_at": moment(as_of)})
-    stamped = stamp_completion(companies, feed.select("company_id"), as_of)
+    finished = gate.where("complete").select("company_id")
+    log = run_stats(outcomes, weight="n").join(finished.withColumn("_done", F.lit(True)), "company_id", "left").withColumns({
+        "status": F.when(F.col("_done"), "completed").otherwise("failed"), "started_at": begin, "completed_at": moment(as_of)}).drop("_done")
+    stamped = stamp_completion(companies, finished, as_of)
     return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, to_canonical(with_duration(log), S.RUN_LOG))
 
 
+def commit_cycle(spark: SparkSession, root: str, cycle: Cycle) -> int:
+    """Write a cycle as the next version of its tables; see ``sources.tables.commit_tables``."""
+    return commit_tables(
+        spark, root, {"state": cycle.state, "companies": cycle.companies},
+        {"content": cycle.content, "changes": cycle.changes, "rejected": cycle.rejected, "run_log": cycle.run_log},
+    )
+
+
 def state_of(listings: DataFrame) -> DataFrame:
     return listings.select(*[c for c in S.STATE_COLUMNS if c in listings.columns])

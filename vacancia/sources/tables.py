@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vacancia import schema as S
 
@@ -16,15 +17,8 @@ REPORT_FIELDS = (
 )
 
 
-# Schemas of the tables read so far: a table that is read again needs no look at its files.
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def read_database_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
@@ -72,32 +66,59 @@ def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-COMPANY_PARTS = 64  # folders that the listings are laid out in
+def current_version(spark: SparkSession, root: str) -> int:
+    """The last version that was committed, 0 before the first."""
+    try:
+        commits = spark.read.schema("version bigint").parquet(f"{root}/commits")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
-def company_part(company_id: Column) -> Column:
-    return F.pmod(company_id, F.lit(COMPANY_PARTS)).cast("int")
+def commit_tables(spark: SparkSession, root: str, whole: dict[str, DataFrame], appended: dict[str, DataFrame] | None = None) -> int:
+    """Write a new version of the tables under ``root`` and then make it the current one.
 
+    ``whole`` tables are replaced, ``appended`` ones grow by these rows. Plans may read the
+    current version while the next one is written, as no file of it is touched. The version
+    counts from the one row that is written last: a run that dies before leaves the tables
+    as they were, and the next run writes over what it left. One writer at a time.
+    """
+    version = current_version(spark, root) + 1
+    for name, df in {**whole, **(appended or {})}.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
+    spark.range(version, version + 1).select(F.col("id").alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    return version
 
-def read_listings(spark: SparkSession, path: str, company_id: int | None = None) -> DataFrame:
-    """The listings, or those of one company from the folder they are in."""
-    out = spark.read.parquet(path)
-    if company_id is not None:
-        out = out.where((F.col("company_part") == company_id % COMPANY_PARTS) & (F.col("company_id") == company_id))
-    return out.drop("company_part")
+
+def read_whole(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A replaced table, as of the current version."""
+    return spark.read.parquet(f"{root}/{name}/version={current_version(spark, root)}")
 
 
-def write_listings(df: DataFrame, path: str, parts: int = 256) -> None:
-    """Overwrite the listings, laid out by company.
+def read_appended(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A growing table: the rows of all versions up to the current one."""
+    return spark.read.parquet(f"{root}/{name}").where(F.col("version") <= current_version(spark, root)).drop("version")
 
-    One employer may own most rows, so the rows of a company are spread over ``parts``
-    writers by id instead of going to one task.
+
+def read_listings(spark: SparkSession, root: str, company_id: int | None = None) -> DataFrame:
+    """The listings, or those of one company: only files whose range of companies holds it are read."""
+    out = read_whole(spark, root, "listings")
+    return out if company_id is None else out.where(F.col("company_id") == company_id)
+
+
+def write_listings(df: DataFrame, root: str, company_id: int | None = None) -> int:
+    """Make ``df`` the listings, or the listings of one company, as a new version.
+
+    Rows are laid out in ranges of company and id: a company is in few files, and one that
+    owns most rows is spread over many.
     """
-    spread = F.pmod(F.xxhash64("id"), F.lit(parts))
-    laid_out = df.withColumn("company_part", company_part(F.col("company_id")))
-    (laid_out.repartition("company_part", spread)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("company_part").parquet(path))
+    if company_id is not None:
+        others = read_listings(df.sparkSession, root).where(~F.col("company_id").eqNullSafe(F.lit(company_id)))
+        df = others.unionByName(df.where(F.col("company_id") == company_id))
+    laid_out = df.repartitionByRange("company_id", "id").sortWithinPartitions("company_id", "id")
+    return commit_tables(df.sparkSession, root, {"listings": laid_out})
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int = 512, key: str = "id") -> None:
