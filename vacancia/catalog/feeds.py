@@ -20,6 +20,9 @@ PAGE = 20  # fixed value: postings per listing page
 
 TITLES = ["Web Developer", "Welder II", "Sales Rep", "Cook", "HR Generalist"]
 FUNCTIONS = ["Information Technology", "Skilled Trades", "Sales", "Other", "Human Resources"]
+# the same titles by the rules of an equipment maker and of a school district
+MAKER_FUNCTIONS = ["Information Technology", "Manufacturing", "Sales", "Other", "Human Resources"]
+SCHOOL_FUNCTIONS = ["Other", "Other", "Other", "Hospitality", "Human Resources"]
 PLACES = ["Tulsa, OK", "Remote - USA", "Sand Springs", "4 Locations", None]
 CITIES = ["Tulsa", None, "Sand Springs", None, None]
 SQL_TITLE = sql_pick(TITLES, "o_orderkey")
@@ -122,7 +125,7 @@ def feed_adp_dated(t: Tables) -> DataFrame:
 @query("feed_lever", f"""
     SELECT o_orderkey, {SQL_TITLE} AS job_title, 'https://l.example.com/x/' || o_orderkey AS posting_url,
            '<p>Work on <b>' || o_orderpriority || '</b></p>' AS job_description, {SQL_DAY} AS date_posted,
-           CASE WHEN o_orderkey % 5 = 3 THEN 'Quality' ELSE {SQL_FUNCTION} END AS function, {sql_pick(CITIES, 'o_orderkey')} AS city_name
+           {sql_pick(MAKER_FUNCTIONS, 'o_orderkey')} AS function, {sql_pick(CITIES, 'o_orderkey')} AS city_name
     FROM orders WHERE {sql_pick(CITIES, 'o_orderkey')} IS NOT NULL
 """)
 def feed_lever(t: Tables) -> DataFrame:
@@ -143,7 +146,8 @@ def feed_lever(t: Tables) -> DataFrame:
              || '. See full details and apply at https://f.example.com/opening/' || o_orderkey || '?brand_id=all.' AS job_description,
            '2002-01-01' AS date_posted, {sql_pick(['Part-time', 'Temporary', None], 'o_orderkey')} AS job_type,
            CASE o_orderkey % 3 WHEN 0 THEN 'Jenks' ELSE 'Tulsa' END AS city_name,
-           o_custkey || ' E 11th St' AS address1, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS site_name
+           o_custkey || ' E 11th St' AS address1, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS site_name,
+           {sql_pick(SCHOOL_FUNCTIONS, 'o_orderkey')} AS function
     FROM orders WHERE o_orderstatus <> 'P'
 """)
 def feed_fountain(t: Tables) -> DataFrame:
@@ -162,7 +166,7 @@ def feed_fountain(t: Tables) -> DataFrame:
     out = A.fountain(openings, "https://f.example.com/opening", "District", AS_OF)
     return out.select(
         F.col("posting_id").cast("bigint").alias("o_orderkey"), "job_title", "posting_url", "job_description",
-        day_text("date_posted").alias("date_posted"), "job_type", "city_name", "address1", "site_name")
+        day_text("date_posted").alias("date_posted"), "job_type", "city_name", "address1", "site_name", "function")
 
 
 @query("feed_icims", f"""

@@ -8,6 +8,7 @@ from vacancia.catalog.registry import Tables, as_double, day_text, pick, query,
 from vacancia.functions import categories as C, dates as D, money as M, text as X
 from vacancia.operators.dedup import hash_groups
 from vacancia.operators.resolve import match_rules
+from vacancia.sources.tables import names_of, rules_of
 from vacancia.sources.adapters import split_thin
 
 AS_OF = "2002-01-01 12:00:00"
@@ -92,6 +93,39 @@ def keyword_classify(t: Tables) -> DataFrame:
     return t("documents").select("doc_id", C.function_name("text").alias("function"))
 
 
+def _known(rules) -> list:
+    return [(n, w) for n, w in rules if n in C.FUNCTION_NAMES]
+
+
+def _classified(t: Tables, rules) -> DataFrame:
+    """Documents by a rule set and names that are held as tables."""
+    rows = [(i, name, word) for i, (name, words) in enumerate(rules) for word in words]
+    table = t.spark.createDataFrame(rows, "priority int, category string, keyword string")
+    names = names_of(t.spark.createDataFrame([(n,) for n in C.FUNCTION_NAMES], "name string"))
+    return t("documents").select("doc_id", C.function_name("text", rules_of(table), names).alias("function"))
+
+
+@query("keyword_classify_hospital", f"""
+    SELECT doc_id, {_case('lower(text)', _known(C.HOSPITAL_KEYWORDS), "'Other'")} AS function FROM documents
+""")
+def keyword_classify_hospital(t: Tables) -> DataFrame:
+    return _classified(t, C.HOSPITAL_KEYWORDS)
+
+
+@query("keyword_classify_school", f"""
+    SELECT doc_id, {_case('lower(text)', _known(C.SCHOOL_KEYWORDS), "'Other'")} AS function FROM documents
+""")
+def keyword_classify_school(t: Tables) -> DataFrame:
+    return _classified(t, C.SCHOOL_KEYWORDS)
+
+
+@query("keyword_classify_maker", f"""
+    SELECT doc_id, {_case('lower(text)', _known(C.MAKER_KEYWORDS), "'Other'")} AS function FROM documents
+""")
+def keyword_classify_maker(t: Tables) -> DataFrame:
+    return _classified(t, C.MAKER_KEYWORDS)
+
+
 PART_RULES = [(1, "Sales", "widget"), (2, "Nothing", "red"), (3, "Quality", "gear"), (4, "Legal", "red"), (5, "Security", "bolt")]
 
 

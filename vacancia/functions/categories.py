@@ -65,6 +65,105 @@ FUNCTION_KEYWORDS: tuple[Rule, ...] = (
     ("Security", ("security", "safety", "guard")),
 )
 
+# Title keywords of a hospital, tried in this order.
+HOSPITAL_KEYWORDS: tuple[Rule, ...] = (
+    ("Healthcare", (
+        "nurse", "rn", "lpn", "cna", "doctor", "physician", "surgeon", "therapist",
+        "medical assistant", "paramedic", "emt", "practitioner", "specialist",
+        "anesthesia", "respiratory", "physical therapy", "occupational therapy",
+        "speech therapy", "social worker", "chaplain", "dietitian", "nutritionist",
+        "lab", "laboratory", "phlebotomist", "radiology", "imaging", "ultrasound",
+        "mri", "ct", "x-ray", "pharmacy", "pharmacist", "technician", "tech",
+        "medical records", "coding", "health information", "sterile processing",
+        "surgical tech", "operating room", "or tech", "cardiology", "echo")),
+    ("Information Technology", (
+        "software", "developer", "programmer", "engineer", "data",
+        "database", "system", "network", "security", "devops", "cloud",
+        "application", "web", "mobile", "qa", "testing", "scrum", "agile", "epic",
+        "cerner", "health information systems")),
+    ("Administrative", (
+        "admin", "administrative", "coordinator", "assistant", "office", "clerk",
+        "secretary", "receptionist", "registration", "admissions", "discharge",
+        "case manager", "utilization review", "quality", "compliance", "risk")),
+    ("Accounting", (
+        "finance", "financial", "accounting", "accountant", "treasury", "controller",
+        "audit", "billing", "revenue cycle", "patient accounts", "collections")),
+    ("Human Resources", (
+        "hr", "human resources", "recruiter", "talent", "people", "benefits",
+        "payroll", "compensation", "training", "development")),
+    ("Operations", (
+        "maintenance", "facility", "facilities", "engineering", "hvac", "plumbing",
+        "electrical", "biomedical", "environmental services", "housekeeping",
+        "custodial", "groundskeeper", "plant operations",
+        "transport", "driver", "ambulance", "patient transport", "courier")),
+    ("Hospitality", (
+        "food", "kitchen", "cook", "chef", "dietary", "nutrition", "cafeteria",
+        "food service", "culinary")),
+    ("Security", ("security", "safety", "guard", "protection", "emergency management")),
+)
+
+# Title and department keywords of a school district, tried in this order.
+SCHOOL_KEYWORDS: tuple[Rule, ...] = (
+    ("Education", (
+        "teacher", "instructor", "educator", "faculty", "classroom",
+        "special education", "librarian", "counselor", "speech", "tutor",
+        "paraprofessional", "para teacher", "academic partner", "iep facilitator",
+        "school psychologist", "teaching and learning", "dean of students",
+        "interpreter", "coach", "learning director")),
+    ("Administrative", (
+        "principal", "superintendent", "director", "coordinator", "supervisor",
+        "administrative", "admin", "secretary", "clerk")),
+    ("Information Technology", (
+        "technology", "computer", "network", "systems", "tech support",
+        "audio video", "hris", "client services")),
+    ("Operations", ("bus", "driver", "transportation", "fleet")),
+    ("Accounting", ("business manager", "finance", "accounting", "bookkeeper", "payroll", "buyer")),
+    ("Human Resources", ("human resources", "hr", "recruiter", "talent management", "compensation")),
+    ("Security", ("security", "safety", "sro", "resource officer", "guard", "police")),
+    ("Skilled Trades", (
+        "maintenance", "custodial", "custodian", "janitor", "groundskeeper",
+        "facilities", "hvac", "carpentry", "electrician", "plumb", "roofer",
+        "painter", "sheet metal", "mechanic", "journeyperson", "craftsperson")),
+    ("Hospitality", ("cafeteria", "cook", "child nutrition", "nutrition")),
+    ("Healthcare", ("nurse", "health assistant", "occupational therapist")),
+    ("Customer Support", ("family support", "family specialist", "parent involvement", "family retention")),
+)
+
+# Title, team and department keywords of an equipment maker, tried in this order.
+MAKER_KEYWORDS: tuple[Rule, ...] = (
+    ("Engineering", (
+        "mechanical engineer", "mechanical", "combustion engineer", "burner", "thermal",
+        "electrical engineer", "electrical", "controls engineer", "instrumentation", "plc",
+        "applications engineer", "application engineer", "design engineer",
+        "project engineer", "process engineer", "engineer")),
+    ("Information Technology", (
+        "software", "developer", "programmer", "data", "database",
+        "network", "devops", "cloud", "help desk", "it support", "cyber", "erp")),
+    ("Manufacturing", (
+        "manufacturing", "production", "assembly", "fabrication", "fabricator",
+        "machinist", "welder", "welding", "cnc", "shop")),
+    ("Skilled Trades", (
+        "technician", "maintenance", "mechanic", "electrician", "field service",
+        "commissioning")),
+    ("Quality", ("quality", "qa", "qc", "inspector")),
+    ("Purchasing", (
+        "supply chain", "purchasing", "procurement", "buyer", "planner",
+        "materials", "inventory", "logistics", "shipping", "receiving", "warehouse")),
+    ("Sales", (
+        "sales", "account manager", "business development", "account executive",
+        "sales representative")),
+    ("Customer Support", ("customer service", "customer support", "client services")),
+    ("Operations", ("project manager", "program manager", "project coordinator")),
+    ("Accounting", (
+        "finance", "financial", "accounting", "accountant", "audit", "payroll",
+        "controller", "treasury")),
+    ("Human Resources", ("human resources", "hr", "recruiter", "talent", "benefits")),
+    ("Marketing", ("marketing", "brand", "communications", "social media")),
+    ("Legal", ("legal", "attorney", "counsel", "compliance", "contract")),
+    ("Administrative", ("admin", "administrative", "coordinator", "assistant", "clerk", "office")),
+    ("Security", ("security", "safety", "ehs", "environmental health")),
+)
+
 # The function names that exist.
 FUNCTION_NAMES = (
     "Accounting", "Administrative", "Customer Support", "Education", "Engineering",
@@ -165,10 +264,10 @@ def category_function(category: Column | str, words: Sequence[tuple[str, str]] =
     return F.coalesce(exact, first_rule(F.lower(category), rules))
 
 
-def function_with_precedence(category: Column | str, title: Column | str,
-                             names: Sequence[str] = FUNCTION_NAMES) -> Column:
+def function_with_precedence(category: Column | str, title: Column | str, names: Sequence[str] = FUNCTION_NAMES,
+                             rules: Sequence[Rule] = FUNCTION_KEYWORDS) -> Column:
     """A category label wins over keywords in the title."""
-    return F.coalesce(category_function(category, names=names), function_name(title, names=names))
+    return F.coalesce(category_function(category, names=names), function_name(title, rules, names))
 
 
 def experience_id(name: Column | str) -> Column:

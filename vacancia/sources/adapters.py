@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions import categories as C, dates as D, money as M, places as P, text as X
+from vacancia.functions.rules import Rule
 from vacancia.functions.text import col
 from vacancia.operators.dedup import first_of_key
 
@@ -34,7 +35,8 @@ def _carry(df: DataFrame, carry: Sequence[str]) -> list[Column]:
 
 
 def workday(postings: DataFrame, base_url: Column | str, as_of, city: str = "Tulsa",
-            carry: Sequence[str] = ()) -> DataFrame:
+            cities: Sequence[str] = P.SERVED_CITIES, rules: Sequence[Rule] = C.FUNCTION_KEYWORDS,
+            names: Sequence[str] = C.FUNCTION_NAMES, carry: Sequence[str] = ()) -> DataFrame:
     """``externalPath`` makes the URL; rows without one are dropped."""
     base = F.lit(base_url) if isinstance(base_url, str) else base_url
     kept = postings.where(F.coalesce(F.col("externalPath") != "", F.lit(False)))
@@ -44,9 +46,9 @@ def workday(postings: DataFrame, base_url: Column | str, as_of, city: str = "Tul
         F.coalesce("title", F.lit("Unknown")).alias("job_title"),
         F.concat(base, F.col("externalPath")).alias("posting_url"),
         F.to_date(D.parse_relative("postedOn", as_of)).alias("date_posted"),
-        F.coalesce(P.served_city("locationsText"), F.lit(city)).alias("city_name"),
+        F.coalesce(P.served_city("locationsText", cities), F.lit(city)).alias("city_name"),
         C.chosen_work_location("locationsText", F.lit(None).cast("string")).alias("office_location"),
-        C.function_name("_words").alias("function"),
+        C.function_name("_words", rules, names).alias("function"),
     )
 
 
@@ -56,7 +58,7 @@ def named_field(fields: Column | str, code: str, value: str) -> Column:
 
 
 def adp(postings: DataFrame, board_url: Column | str, dated_field: bool = False,
-        carry: Sequence[str] = ()) -> DataFrame:
+        cities: Sequence[str] = P.SERVED_CITIES, carry: Sequence[str] = ()) -> DataFrame:
     """ExternalJobID names the posting; the date is ``postDate`` or the PostingDate field."""
     external = named_field("customFieldGroup.stringFields", "ExternalJobID", "stringValue")
     date_text = (
@@ -87,12 +89,12 @@ def adp(postings: DataFrame, board_url: Column | str, dated_field: bool = False,
         title["experience_id"].alias("experience_id"),
         title["first_shift"].alias("first_shift"),
         title["third_shift"].alias("third_shift"),
-        P.served_city_of(F.col("_places")).alias("city_name"),
+        P.served_city_of(F.col("_places"), cities).alias("city_name"),
     )
 
 
-def lever(postings: DataFrame, base_url: str, cities: Sequence[str] = P.SERVED_CITIES,
-          carry: Sequence[str] = ()) -> DataFrame:
+def lever(postings: DataFrame, base_url: str, cities: Sequence[str] = P.SERVED_CITIES, rules: Sequence[Rule] = C.MAKER_KEYWORDS,
+          names: Sequence[str] = C.FUNCTION_NAMES, carry: Sequence[str] = ()) -> DataFrame:
     """Only postings whose first location segment is a served city; epoch-millisecond dates."""
     out = postings.withColumns({
         "_words": C.joined_text("text", "categories.team", "categories.department"),
@@ -106,14 +108,14 @@ def lever(postings: DataFrame, base_url: str, cities: Sequence[str] = P.SERVED_C
         F.concat(F.lit(base_url), F.lit("/"), F.col("id")).alias("posting_url"),
         X.structural_html("description").alias("job_description"),
         F.to_date(D.from_epoch_millis(F.nullif("createdAt", F.lit(0)))).alias("date_posted"),
-        C.function_name("_words").alias("function"),
+        C.function_name("_words", rules, names).alias("function"),
         "city_name",
     )
 
 
 def fountain(postings: DataFrame, apply_url: str, employer: str, as_of, description: Column | None = None,
-             city: str = "Tulsa", cities: Sequence[str] = P.SERVED_CITIES,
-             carry: Sequence[str] = ()) -> DataFrame:
+             city: str = "Tulsa", cities: Sequence[str] = P.SERVED_CITIES, rules: Sequence[Rule] = C.SCHOOL_KEYWORDS,
+             names: Sequence[str] = C.FUNCTION_NAMES, carry: Sequence[str] = ()) -> DataFrame:
     """Openings keyed by ``to_param``; a short page text gives way to a made-up sentence."""
     kept = postings.where(F.coalesce(F.col("to_param") != "", F.lit(False)))
     description = F.lit(None).cast("string") if description is None else description
@@ -144,7 +146,7 @@ def fountain(postings: DataFrame, apply_url: str, employer: str, as_of, descript
         F.coalesce(P.served_city("_town", cities), F.lit(city)).alias("city_name"),
         P.street("location_address").alias("address1"),
         X.empty_to_null(X.strip("_site")).alias("site_name"),
-        C.function_name("_words").alias("function"),
+        C.function_name("_words", rules, names).alias("function"),
     )
 
 
@@ -163,7 +165,9 @@ def href_of(link: Column | str) -> Column:
     return X.first_match(link, r'(?is)^<a\b[^>]*?href="([^"]+)"')
 
 
-def icims(cards: DataFrame, html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
+def icims(cards: DataFrame, html: str = "html", carry: Sequence[str] = (),
+          cities: Sequence[str] = P.SERVED_CITIES, rules: Sequence[Rule] = C.FUNCTION_KEYWORDS,
+          names: Sequence[str] = C.FUNCTION_NAMES) -> DataFrame:
     """Cards with an anchor for the title, label-then-value fields and a category pair.
 
     The title is the visible text, else the link's title without its leading number.
@@ -190,12 +194,14 @@ def icims(cards: DataFrame, html: str = "html", carry: Sequence[str] = ()) -> Da
         P.with_query_flag("_href", "in_iframe=1").alias("posting_url"),
         "location",
         "category",
-        P.served_city("location").alias("city_name"),
-        C.function_with_precedence("category", "job_title").alias("function"),
+        P.served_city("location", cities).alias("city_name"),
+        C.function_with_precedence("category", "job_title", names, rules).alias("function"),
     )
 
 
-def ultipro(cards: DataFrame, as_of, origin: str, carry: Sequence[str] = ()) -> DataFrame:
+def ultipro(cards: DataFrame, as_of, origin: str, carry: Sequence[str] = (),
+            cities: Sequence[str] = P.SERVED_CITIES, rules: Sequence[Rule] = C.FUNCTION_KEYWORDS,
+            names: Sequence[str] = C.FUNCTION_NAMES) -> DataFrame:
     """Cards already split into their eight fields; the location type defaults to on-site."""
     return cards.select(
         *_carry(cards, carry),
@@ -205,8 +211,8 @@ def ultipro(cards: DataFrame, as_of, origin: str, carry: Sequence[str] = ()) ->
         F.to_date(D.normalise_date("posted_date_raw", as_of)).alias("date_posted"),
         C.job_type("schedule").alias("job_type"),
         F.coalesce(C.work_location("location_type"), F.lit("On-site")).alias("office_location"),
-        C.function_with_precedence("job_category", "job_title").alias("function"),
-        P.served_city("physical_location").alias("city_name"),
+        C.function_with_precedence("job_category", "job_title", names, rules).alias("function"),
+        P.served_city("physical_location", cities).alias("city_name"),
     )
 
 
@@ -253,7 +259,8 @@ def applitrack(elements: DataFrame, base_url: str, as_of, html: str = "html",
 
 
 def taleo_rows(pages: DataFrame, origin: str, as_of, html: str = "html",
-               carry: Sequence[str] = ()) -> DataFrame:
+               carry: Sequence[str] = (),
+               cities: Sequence[str] = P.SERVED_CITIES) -> DataFrame:
     """One row per ``data-row`` of a listing page: title, link, date, location, deadline."""
     row_shape = r'(?is)<tr\b[^>]*class="[^"]*data-row[^"]*"[^>]*>(.*?)</tr\s*>'
     rows = pages.select(*_carry(pages, carry), F.posexplode(X.all_matches(html, row_shape, 1)).alias("pos", "_row"))
@@ -278,12 +285,13 @@ def taleo_rows(pages: DataFrame, origin: str, as_of, html: str = "html",
         P.absolute_url("_href", origin).alias("posting_url"),
         F.to_date(D.normalise_date("_date", as_of)).alias("date_posted"),
         "location",
-        P.served_city("_place").alias("city_name"),
+        P.served_city("_place", cities).alias("city_name"),
         F.to_date(D.normalise_date("_deadline", as_of)).alias("date_closed"),
     )
 
 
-def paycom(postings: DataFrame, base_url: str, city: str = "Tulsa", carry: Sequence[str] = ()) -> DataFrame:
+def paycom(postings: DataFrame, base_url: str, city: str = "Tulsa", rules: Sequence[Rule] = C.FUNCTION_KEYWORDS,
+           names: Sequence[str] = C.FUNCTION_NAMES, carry: Sequence[str] = ()) -> DataFrame:
     kept = postings.where(F.coalesce(F.contains("location.description", F.lit(city)), F.lit(False)))
     return kept.select(
         *_carry(kept, carry),
@@ -291,7 +299,7 @@ def paycom(postings: DataFrame, base_url: str, city: str = "Tulsa", carry: Seque
         F.concat(F.lit(base_url), F.col("id")).alias("posting_url"),
         F.col("location.description").alias("site_name"),
         C.position_type(F.coalesce("position", F.lit(""))).alias("position_type"),
-        C.function_name("department").alias("function"),
+        C.function_name("department", rules, names).alias("function"),
     )
 
 

@@ -130,6 +130,29 @@ def append_run_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def names_of(table: DataFrame, column: str = "name", most: int = 10_000) -> list[str]:
+    """The names of a small table (served cities, functions), for the adapters that take them.
+
+    They become part of an expression; a table of more than ``most`` rows belongs in a join
+    (``resolve.match_dictionary``) and is an error here.
+    """
+    rows = table.select(column).dropna().distinct().orderBy(column).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} names: join them instead")
+    return [r[0] for r in rows]
+
+
+def rules_of(table: DataFrame, most: int = 10_000) -> list[tuple[str, list[str]]]:
+    """The ordered keyword rules of a table (priority, category, keyword)."""
+    rows = table.select("priority", "category", "keyword").orderBy("priority", "category", "keyword").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} keywords: join them with resolve.match_rules")
+    out: dict[tuple, list[str]] = {}
+    for r in rows:
+        out.setdefault((r.priority, r.category), []).append(r.keyword.lower())
+    return [(category, words) for (_, category), words in out.items()]
+
+
 def dry_run_rows(staged: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows a run would write, known fields first, other fields after them.
 
