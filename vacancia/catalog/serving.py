@@ -436,3 +436,62 @@ def quality_orphans(t: Tables) -> DataFrame:
     known = t("supplier").where(F.col("s_acctbal") > 5000)
     out = Q.orphans(t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"), "l_suppkey", known, "s_suppkey")
     return out.select("l_orderkey", "l_linenumber", "l_suppkey")
+
+
+def _constrained(t: Tables) -> dict[str, DataFrame]:
+    """The given tables under the names of the schema, with faults: repeated pairs, names and missing parents."""
+    few = t("customer").where(F.col("c_acctbal") > 0)
+    o, li = t("orders"), t("lineitem")
+    company = few.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("long").alias("company_type"), (F.col("c_custkey") * 3).alias("approved_by"))
+    pairs = li.select(F.col("l_orderkey").alias("job_listing_id"), F.col("l_partkey").alias("skill_id"))
+    seen = o.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("job_listing_id"), F.col("o_custkey").alias("company_id"))
+    return {
+        "country": t("region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")),
+        "state": t("nation").select(F.col("n_nationkey").alias("id"), (F.col("n_regionkey") + 1).alias("country_id"), F.lit("same").alias("name")),
+        "company_type": t("nation").where("n_nationkey < 20").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name")),
+        "users": t("customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("email"),
+                                      F.when(F.col("c_acctbal") > 5000, "x").alias("oauth_provider"), F.col("c_mktsegment").alias("oauth_subject")),
+        "company": company,
+        "skills": t("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")),
+        "joblistings": o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("company_id"), F.col("o_custkey").alias("posted_by")),
+        "joblistingskills": pairs, "saved_jobs": seen.drop("company_id"), "user_company_roles": seen.drop("job_listing_id"),
+    }
+
+
+_COMPANY_SQL = "company AS (SELECT c_custkey AS id, c_nationkey AS company_type, c_custkey * 3 AS approved_by FROM customer WHERE c_acctbal > 0)"
+_UNIQUE_CHECKS = [
+    ("country", "name", "SELECT r_name AS a, 1 AS b FROM region"), ("state", "country_id, name", "SELECT n_regionkey AS a, 1 AS b FROM nation"),
+    ("company_type", "name", "SELECT n_name AS a, 1 AS b FROM nation WHERE n_nationkey < 20"), ("skills", "name", "SELECT p_name AS a, 1 AS b FROM part"),
+    ("users", "email", "SELECT c_mktsegment AS a, 1 AS b FROM customer"),
+    ("users", "oauth_provider, oauth_subject", "SELECT 'x' AS a, c_mktsegment AS b FROM customer WHERE c_acctbal > 5000"),
+    ("user_company_roles", "user_id, company_id", "SELECT o_custkey AS a, o_custkey AS b FROM orders"),
+    ("joblistingskills", "job_listing_id, skill_id", "SELECT l_orderkey AS a, l_partkey AS b FROM lineitem"),
+    ("saved_jobs", "user_id, job_listing_id", "SELECT o_custkey AS a, o_orderkey AS b FROM orders"),
+]
+_PARENT_CHECKS = [
+    ("state", "country_id", "country", "SELECT n_regionkey + 1 AS k FROM nation", "SELECT r_regionkey FROM region"),
+    ("company", "company_type", "company_type", "SELECT company_type AS k FROM company", "SELECT n_nationkey FROM nation WHERE n_nationkey < 20"),
+    ("company", "approved_by", "users", "SELECT approved_by AS k FROM company", "SELECT c_custkey FROM customer"),
+    ("user_company_roles", "user_id", "users", "SELECT o_custkey AS k FROM orders", "SELECT c_custkey FROM customer"),
+    ("user_company_roles", "company_id", "company", "SELECT o_custkey AS k FROM orders", "SELECT id FROM company"),
+    ("joblistings", "company_id", "company", "SELECT o_custkey AS k FROM orders", "SELECT id FROM company"),
+    ("joblistings", "posted_by", "users", "SELECT o_custkey AS k FROM orders", "SELECT c_custkey FROM customer"),
+    ("joblistingskills", "job_listing_id", "joblistings", "SELECT l_orderkey AS k FROM lineitem", "SELECT o_orderkey FROM orders"),
+    ("joblistingskills", "skill_id", "skills", "SELECT l_partkey AS k FROM lineitem", "SELECT p_partkey FROM part"),
+    ("saved_jobs", "user_id", "users", "SELECT o_custkey AS k FROM orders", "SELECT c_custkey FROM customer"),
+    ("saved_jobs", "job_listing_id", "joblistings", "SELECT o_orderkey AS k FROM orders", "SELECT o_orderkey FROM orders"),
+]
+
+
+@query("quality_unique_keys", "\n    UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{key}' AS columns, count(*) AS repeated_keys, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS rows_over FROM "
+    f"(SELECT a, b, count(*) AS n FROM ({rows}) GROUP BY 1, 2 HAVING count(*) > 1)" for name, key, rows in _UNIQUE_CHECKS))
+def quality_unique_keys(t: Tables) -> DataFrame:
+    return Q.uniqueness_report(_constrained(t))
+
+
+@query("quality_foreign_keys", f"WITH {_COMPANY_SQL} " + "\n    UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{key}' AS column, '{parent}' AS parent, count(*) AS orphans FROM ({rows}) WHERE k NOT IN ({known})"
+    for name, key, parent, rows, known in _PARENT_CHECKS))
+def quality_foreign_keys(t: Tables) -> DataFrame:
+    return Q.orphan_report(_constrained(t))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions.text import strip
@@ -148,26 +150,102 @@ def table_rules(table: str, columns: Sequence[str]) -> list[Rule]:
     return [rule for needs, rule in wanted[table] if have.issuperset(needs)]
 
 
-# Columns that must be unique together, and keys that must name a parent.
+# Columns that must be unique together, by table.
 UNIQUE_KEYS = {
-    "user_company_roles": ("user_id", "company_id"),
-    "company_socials": ("company_id", "social_media_type_id"),
-    "companytechnologies": ("company_id", "skill_id"),
-    "joblistingskills": ("job_listing_id", "skill_id"),
-    "joblistingcertifications": ("job_listing_id", "certification_id"),
-    "saved_jobs": ("user_id", "job_listing_id"),
-    "sitefeatures": ("site_id", "feature_id"),
-    "user_skills": ("user_id", "skill_id"),
-    "user_certifications": ("user_id", "certification_id"),
+    "country": [("name",)],
+    "state": [("country_id", "name")],
+    "company_type": [("name",)],
+    "companysitetype": [("name",)],
+    "benefits": [("name",)],
+    "features": [("name",)],
+    "functions": [("name",)],
+    "functionspecialties": [("function_id", "specialty")],
+    "industries": [("name",)],
+    "jobstatus": [("name",)],
+    "jobtype": [("name",)],
+    "officelocations": [("name",)],
+    "social_media_types": [("name",)],
+    "skill_categories": [("name",)],
+    "skills": [("name",)],
+    "users": [("email",), ("oauth_provider", "oauth_subject")],
+    "user_company_roles": [("user_id", "company_id")],
+    "company_invites": [("token",)],
+    "company_socials": [("company_id", "social_media_type_id")],
+    "companybenefits": [("company_id", "benefit_id")],
+    "companyfunctions": [("company_id", "function_id")],
+    "companyindustries": [("company_id", "industry_id")],
+    "companytechnologies": [("company_id", "skill_id")],
+    "joblistingskills": [("job_listing_id", "skill_id")],
+    "saved_jobs": [("user_id", "job_listing_id")],
+    "sitefeatures": [("site_id", "feature_id")],
+    "user_skills": [("user_id", "skill_id")],
+    "user_certifications": [("user_id", "certification_id")],
+    "joblistingcertifications": [("job_listing_id", "certification_id")],
 }
+
+# Keys that must name a row of a parent table, by table.
 PARENTS = {
-    "joblistings": {"company_id": "company", "company_site_id": "companysite", "posted_by": "users", "city_id": "cities"},
-    "companysite": {"company_id": "company", "city_id": "cities", "state_id": "state", "country_id": "country"},
+    "state": {"country_id": "country"},
+    "cities": {"state_id": "state"},
+    "functionspecialties": {"function_id": "functions"},
+    "certifications": {"provider_id": "certification_providers"},
+    "skills": {"skill_category_id": "skill_categories", "certification_id": "certifications"},
+    "company": {"company_type": "company_type", "approved_by": "users"},
+    "user_company_roles": {"user_id": "users", "company_id": "company", "approved_by": "users"},
+    "company_invites": {"company_id": "company", "invited_by": "users", "accepted_by": "users"},
+    "companysite": {
+        "company_id": "company", "country_id": "country", "state_id": "state", "city_id": "cities", "site_type": "companysitetype"},
+    "company_socials": {"company_id": "company", "social_media_type_id": "social_media_types"},
+    "companybenefits": {"benefit_id": "benefits", "company_id": "company"},
+    "companyfunctions": {"company_id": "company", "function_id": "functions"},
+    "companyindustries": {"company_id": "company", "industry_id": "industries"},
+    "companytechnologies": {"company_id": "company", "skill_id": "skills"},
+    "notes": {"company_id": "company", "created_by": "users"},
+    "joblistings": {
+        "company_id": "company", "company_site_id": "companysite", "posted_by": "users", "approved_by": "users",
+        "job_status_id": "jobstatus", "function": "functions", "specialty": "functionspecialties", "job_type_id": "jobtype",
+        "experience_id": "experience", "office_location_id": "officelocations", "city_id": "cities"},
     "joblistingskills": {"job_listing_id": "joblistings", "skill_id": "skills"},
-    "user_company_roles": {"user_id": "users", "company_id": "company"},
+    "applications": {"job_listing_id": "joblistings", "applicant_user_id": "users", "status_updated_by": "users"},
+    "saved_jobs": {"user_id": "users", "job_listing_id": "joblistings"},
+    "saved_searches": {"user_id": "users"},
+    "notifications": {
+        "user_id": "users", "related_job_id": "joblistings", "related_company_id": "company", "related_application_id": "applications"},
+    "scrapinglog": {"company_id": "company"},
+    "sitefeatures": {"feature_id": "features", "site_id": "companysite"},
+    "user_skills": {"user_id": "users", "skill_id": "skills"},
+    "user_certifications": {"user_id": "users", "certification_id": "certifications", "verified_by": "users"},
+    "joblistingcertifications": {"job_listing_id": "joblistings", "certification_id": "certifications"},
 }
 
 
+def uniqueness_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, columns, repeated_keys, rows_over) for every unique key of the given tables.
+
+    A key with a NULL in it is never a repeat. Keys whose columns a table lacks are left out.
+    """
+    parts = []
+    for name, keys in UNIQUE_KEYS.items():
+        for key in keys:
+            if name in tables and set(key) <= set(tables[name].columns):
+                counts = repeated_keys(tables[name].dropna(subset=list(key)), key)
+                parts.append(counts.agg(F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows_over")).select(
+                    F.lit(name).alias("table_name"), F.lit(", ".join(key)).alias("columns"), "repeated_keys", "rows_over"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column, parent, orphans) for every key of the given tables whose parent is given."""
+    parts = []
+    for name, keys in PARENTS.items():
+        for key, parent in keys.items():
+            if name in tables and parent in tables and key in tables[name].columns:
+                found = orphans(tables[name].select(key), key, tables[parent])
+                parts.append(found.agg(F.count(F.lit(1)).alias("orphans")).select(
+                    F.lit(name).alias("table_name"), F.lit(key).alias("column"), F.lit(parent).alias("parent"), "orphans"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``violations``: names of the rules a row breaks."""
     marks = [F.when(~F.coalesce(ok, F.lit(True)), F.lit(name)) for name, ok in rules]
