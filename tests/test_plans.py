@@ -52,5 +52,6 @@ def test_match_reads_only_keys_of_the_stored_rows(spark, sf, no_broadcast):
     wide = t.stored().withColumn("job_description", F.concat(F.lit("text "), F.col("posting_url")))
     plan = plan_of(M.match_snapshot(wide, t.incoming(), feed_order=["pos"]))
     assert "text " not in plan
-    # stored keys and snapshot meet in one exchange
-    assert plan.count("Exchange hashpartitioning") == 1
+    # keys of both sides in one exchange, first postings in the other; no payload is sorted to be aggregated
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan

@@ -8,11 +8,12 @@ only the key columns of the stored table and moves one row per URL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions.dates import days_before, moment
-from vacancia.operators.dedup import first_of_key
+from vacancia.operators.dedup import first_of_key, keep_first
 from vacancia.operators.numbering import with_new_ids
 from vacancia.session import materialise
 
@@ -25,22 +26,26 @@ def match_snapshot(current: DataFrame, incoming: DataFrame, active_only: bool =
 
     By URL whatever the status, or only among the active rows of the same company. Of
     stored rows with the same key the last one is the match; of repeated postings the
-    first one in feed order stays. Both are one aggregation over the stored keys and the
-    snapshot together: one shuffle, and a key that repeats is reduced before it moves.
+    first one in feed order stays. The keys of both sides are counted in one hash
+    aggregation, without any payload; a payload moves once, and only that of first postings.
     """
     has_url = F.coalesce("posting_url", F.lit("")) != ""
     keys = ["company_id", "posting_url"] if active_only else ["posting_url"]
     stored = current.where(has_url)
     if active_only:
         stored = stored.where(F.col("job_status") == "active")
-    payload = [c for c in incoming.columns if c not in (*keys, "id")]
-    order = F.struct(*(feed_order or payload))
-    rows = incoming.where(has_url).select(*keys, F.struct(*payload).alias("_p"), order.alias("_o"))
-    both = stored.select(*keys, F.col("id").alias("_id")).unionByName(rows, allowMissingColumns=True)
-    matched = both.groupBy(*keys).agg(
-        F.max("_id").alias("id"), F.min_by("_p", "_o").alias("_p"), F.count("_p").alias("copies")
-    )
-    return matched.where(F.col("copies") > 0).select(*keys, "id", "copies", "_p.*")
+    feed = incoming.where(has_url)
+    if "id" in feed.columns:
+        feed = feed.drop("id")
+    landed = F.lit(True).alias("_landed")
+    both = stored.select(*keys, F.col("id").alias("_id")).unionByName(feed.select(*keys, landed), allowMissingColumns=True)
+    sizes = both.groupBy(*keys).agg(F.max("_id").alias("id"), F.count("_landed").alias("copies"))
+    sizes = sizes.where(F.col("copies") > 0).select(*[F.col(k).alias("_" + k) for k in keys], "id", "copies")
+    rest = [c for c in feed.columns if c not in keys]
+    ties = [c for c, kind in feed.dtypes if c in rest and c not in feed_order and not kind.startswith("map")]
+    first = keep_first(feed, keys, [*feed_order, *ties])
+    same = reduce(lambda x, y: x & y, [first[k].eqNullSafe(sizes["_" + k]) if k == "company_id" else first[k] == sizes["_" + k] for k in keys])
+    return first.join(sizes, same).select(*keys, "id", "copies", *rest)
 
 
 def complete_companies(landed: DataFrame, announced: DataFrame | None = None, key: Sequence[str] = ("posting_url",),
