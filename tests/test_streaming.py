@@ -49,6 +49,40 @@ def test_merge_stream_equals_batch_merges(spark, tmp_path):
     assert {r["posting_url"]: r["job_status"] for r in got.collect()} == {"a": "closed", "b": "closed", "c": "active", "z": "active"}
 
 
+STATE = "id bigint, company_id bigint, posting_url string, job_status string, date_closed date, last_scraped timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz"
+
+
+def test_streamed_state_is_kept_as_changes_and_survives_a_restart(spark, tmp_path):
+    ddl = "company_id bigint, posting_url string"
+    cycles = [[(1, "a"), (1, "b"), (2, "z")], [(1, "b"), (1, "c")], [(1, "c"), (2, "z")], [(1, "c"), (1, "d")], [(2, "y")]]
+    root = str(tmp_path / "state")
+    numbers = []
+
+    def step(before, batch, n):
+        numbers.append(n)
+        done = spark.createDataFrame([(c, at(1 + n)) for c in (1, 2)], "id bigint, last_full_scrape_completed timestamp_ntz")
+        return M.merge_snapshot(before, batch, done, at(1 + n, 12))
+
+    def run():
+        stream = jobs.landed_stream(spark, str(tmp_path / "in" / "b*"), ddl, files_per_batch=1)
+        jobs.merge_snapshots(stream, root, STATE, step, compact_every=2).awaitTermination()
+        return jobs.stream_state(spark, root, STATE, compact_every=2)
+
+    (tmp_path / "in" / "b-none").mkdir(parents=True)
+    assert run().count() == 0 and not numbers  # nothing landed
+    want, got = spark.createDataFrame([], STATE), None
+    for n, rows in enumerate(cycles):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{n}"))
+        if n in (1, 2, 4):  # several snapshots land before a run
+            got = run()
+        done = spark.createDataFrame([(c, at(1 + n)) for c in (1, 2)], "id bigint, last_full_scrape_completed timestamp_ntz")
+        want = M.next_table(M.merge_snapshot(want, spark.createDataFrame(rows, ddl), done, at(1 + n, 12)))
+    assert numbers == [0, 1, 2, 3, 4]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    # the last batch wrote what it changed and not the whole state
+    assert spark.read.parquet(f"{root}/changes/batch=4").count() < got.count()
+
+
 def test_repeated_postings_are_dropped_across_batches(spark, tmp_path):
     ddl = "url string, seen_at timestamp"
     path = land(spark, tmp_path / "in", [[("a", at(1)), ("b", at(1))], [("a", at(2)), ("c", at(2))]], ddl)

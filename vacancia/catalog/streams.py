@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from vacancia.catalog.registry import Tables, query
+from vacancia.catalog.registry import Tables, day_text, query
+from vacancia.operators.merge import merge_snapshot
 from vacancia.session import scratch_path
 from vacancia.streaming import jobs
 
@@ -21,33 +22,51 @@ def events_stream(t: Tables) -> DataFrame:
     return stream.withColumn("seen_at", F.col("ts").cast("timestamp"))
 
 
-def merge_sightings(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """Known postings touched, new ones added: first and last sight and a count per posting."""
-    new = batch.groupBy("user_id").agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("sightings"))
-    return stored.unionByName(new).groupBy("user_id").agg(
-        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("sightings").alias("sightings"))
-
-
-@query("stream_merge", """
-    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen,
-           count(*) AS sightings FROM events GROUP BY 1
+STATE = ("id BIGINT, company_id BIGINT, posting_url STRING, job_status STRING, date_closed DATE, "
+         "last_scraped TIMESTAMP_NTZ, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ")
+CYCLES = 4  # snapshots that the events land in; cycle k is on day k + 1
+
+
+def _land(t: Tables, root: str) -> str:
+    """Every cycle's snapshot as files of its own: the postings with an event in it, some of them twice."""
+    e = t("events")
+    for k in range(CYCLES):
+        rows = e.where(F.col("event_id") % CYCLES == k).select(
+            (F.col("user_id") % 7).cast("bigint").alias("company_id"), F.concat(F.lit("https://e.example.com/"), F.col("user_id").cast("string")).alias("posting_url"),
+            F.lit(k).alias("cycle"))
+        rows.coalesce(1).write.parquet(f"{root}/landed/cycle-{k}")
+    return f"{root}/landed/cycle-*"
+
+
+def _merge_cycle(before: DataFrame, batch: DataFrame, batch_id: int) -> DataFrame:
+    """M1 over one snapshot: what a company's cycle does not list again is closed."""
+    day = f"2002-01-{batch_id + 1:02d}"
+    done = batch.select(F.col("company_id").alias("id")).distinct().withColumn(
+        "last_full_scrape_completed", F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
+    return merge_snapshot(before, batch.select("company_id", "posting_url"), done, f"{day} 12:00:00")
+
+
+@query("stream_merge", f"""
+    WITH seen AS (SELECT DISTINCT user_id, user_id % 7 AS company_id, event_id % {CYCLES} AS k FROM events),
+    held AS (SELECT DISTINCT company_id, k FROM seen),
+    born AS (SELECT user_id, company_id, min(k) AS first_k, max(k) AS last_k FROM seen GROUP BY 1, 2),
+    missed AS (SELECT user_id, min(h.k) AS closed_k FROM born b JOIN held h ON h.company_id = b.company_id AND h.k > b.first_k
+               WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = b.user_id AND s.k = h.k) GROUP BY 1)
+    SELECT 'https://e.example.com/' || user_id AS posting_url, CASE WHEN closed_k IS NULL THEN 'active' ELSE 'closed' END AS job_status,
+           strftime(DATE '2002-01-01' + CAST(closed_k AS INTEGER), '%Y-%m-%d') AS date_closed,
+           strftime(DATE '2002-01-01' + CAST(last_k AS INTEGER), '%Y-%m-%d') AS last_seen
+    FROM born LEFT JOIN missed USING (user_id)
 """)
 def stream_merge(t: Tables) -> DataFrame:
     spark, root = t.spark, scratch_path(t.spark, "stream-merge")
-    kind = "user_id BIGINT, first_seen TIMESTAMP_NTZ, last_seen TIMESTAMP_NTZ, sightings BIGINT"
-    last = {"id": -1}
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        session: SparkSession = batch.sparkSession
-        before = session.read.schema(kind).parquet(f"{root}/state/v{batch_id - 1}") if batch_id else session.createDataFrame([], kind)
-        merge_sightings(before, batch).write.mode("overwrite").parquet(f"{root}/state/v{batch_id}")
-        last["id"] = batch_id
-
-    source = landed_events(t).select("user_id", "ts")
-    jobs.merge_stream(source, apply, f"{root}/checkpoint").awaitTermination()
-    out = spark.read.schema(kind).parquet(f"{root}/state/v{last['id']}")
-    return out.select(
-        "user_id", F.date_format("first_seen", MICROS).alias("first_seen"), F.date_format("last_seen", MICROS).alias("last_seen"), "sightings")
+    landed = _land(t, root)
+    schema = spark.read.parquet(landed).schema
+    # a second run on the same checkpoint finds nothing new and changes nothing
+    for _ in range(2):
+        source = jobs.landed_stream(spark, landed, schema, files_per_batch=1)
+        jobs.merge_snapshots(source, root, STATE, _merge_cycle, compact_every=3).awaitTermination()
+    state = jobs.stream_state(spark, root, STATE, compact_every=3)
+    return state.select("posting_url", "job_status", day_text("date_closed").alias("date_closed"), day_text("last_scraped").alias("last_seen"))
 
 
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from vacancia.operators.dedup import keep_last
+from vacancia.operators.merge import KEPT, next_table
 from vacancia.session import scratch_path
 
+COMPACT_EVERY = 16  # batches after which a streamed state is written as a whole
+
 
 def landed_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                   files_per_batch: int | None = None) -> DataFrame:
@@ -30,6 +37,63 @@ def merge_stream(snapshots: DataFrame, apply: Callable[[DataFrame, int], None],
     )
 
 
+def stream_state(spark: SparkSession, root: str, schema: str, upto: int | None = None, compact_every: int = COMPACT_EVERY,
+                 key: str = "id") -> DataFrame:
+    """The state under ``root`` after all batches, or after those before ``upto``.
+
+    It is the last whole copy and, per key, the last change behind it.
+    """
+    if upto is None:
+        upto = _batches(spark, root)
+    base = upto // compact_every * compact_every - 1
+    parts = [spark.read.schema(schema).parquet(f"{root}/base/batch={base}").withColumn("_batch", F.lit(base))] if base >= 0 else []
+    parts += [
+        spark.read.schema(schema).parquet(f"{root}/changes/batch={i}").withColumn("_batch", F.lit(i)) for i in range(base + 1, upto)
+    ]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return keep_last(reduce(DataFrame.unionByName, parts), [key], ["_batch"]).drop("_batch")
+
+
+def _batches(spark: SparkSession, root: str) -> int:
+    """How many batches have written their changes."""
+    try:
+        written = spark.read.schema("batch bigint").option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    folders = {f.rsplit("/batch=", 1)[1].split("/")[0] for f in written.inputFiles()}
+    return max(map(int, folders), default=-1) + 1
+
+
+def merge_snapshots(snapshots: DataFrame, root: str, schema: str, step: Callable[[DataFrame, DataFrame, int], DataFrame],
+                    compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Merge every landed snapshot into a state that is kept as changes.
+
+    ``step`` makes the staged rows (``merge_snapshot``) of the state before, the batch and
+    its number. A batch writes only the rows that it changed, under its number, and every
+    ``compact_every`` batches the whole state; a batch that is run again replaces its own
+    output. The checkpoint is in ``root``, so that a restart goes on where the last run ended.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark: SparkSession = batch.sparkSession
+        before = stream_state(spark, root, schema, batch_id, compact_every)
+        changed = next_table(step(before, batch, batch_id).where(F.col("action") != KEPT))
+        # one file at least, so that a batch without changes is there too
+        changed.select(*before.columns).write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            base = (batch_id + 1) // compact_every * compact_every - 1
+            parts = stream_state(spark, root, schema, batch_id, compact_every)
+            now = keep_last(
+                parts.withColumn("_batch", F.lit(0)).unionByName(
+                    spark.read.schema(schema).parquet(f"{root}/changes/batch={batch_id}").withColumn("_batch", F.lit(1))), ["id"], ["_batch"])
+            now.drop("_batch").write.mode("overwrite").parquet(f"{root}/base/batch={base}")
+
+    return merge_stream(snapshots, apply, f"{root}/checkpoint")
+
+
 def drop_repeated(postings: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
     """First sight of every posting; a key is remembered for ``delay`` of event time."""
     return postings.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
