@@ -326,6 +326,18 @@ def test_class_noise_takes_nested_content(spark):
     ], without_classes)
 
 
+def test_nested_elements(spark):
+    check(spark, [
+        ("<nav>a<nav>b</nav>c</nav>d", "d"), ("x<NAV class=q><div>y</nav>z", "xz"), ("a<header>b", "a"), ("a</nav>b<br>c", "a</nav>b<br>c"),
+        ("<script>if (a < b) '</p>'</script>k<style>x</style>", "k"), ("<div><nav>1</div>2", "<div></div>2"), ("", ""), (None, None),
+    ], X.without_elements)
+    inner = lambda c: X.element_body(c, r'<div\b[^>]*class="main"[^>]*>', "div")
+    check(spark, [
+        ('<div><div class="main">a<div>b</div>c</div><div>similar</div></div>', "a<div>b</div>c"), ('<div class="main">open', "open"),
+        ('<div class="main"></div>x', None), ("<div>none</div>", None), (None, None),
+    ], inner)
+
+
 def test_page_parts(spark):
     html = '<dl><dt>Time Type</dt><dd> Full <b>time</b></dd><dt> time type </dt><dd>late</dd><dt>Pay&nbsp;</dt><dd>a &amp; b</dd></dl>'
     assert run(spark, [html, "x"], X.label_values) == [{"time type": "Full time", "pay": "a & b"}, {}]

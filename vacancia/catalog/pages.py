@@ -83,6 +83,43 @@ def page_class_noise(t: Tables) -> DataFrame:
     return t("pages").select("page_id", F.md5(without_classes("html", ("ad",))).alias("digest"))
 
 
+# A page made of pieces: the text of one container, with furniture nested in furniture around it,
+# a second container behind it, and boxes nested in a box of the noise class.
+_BODY = "'Body of ' || repeat(url || ' ', 5)"
+
+
+def _pieces() -> tuple[F.Column, F.Column]:
+    body = F.concat(F.lit("Body of "), F.repeat(F.concat("url", F.lit(" ")), 5))
+    page = F.concat(
+        F.lit('<html><body><nav>top<nav>deep</nav>rest</nav><div class="main job"><div><p>'), body, F.lit("</p></div>tail"),
+        F.lit('<aside><div>side</div></aside></div><div class="ad box"><div>in</div><p>open</div><div class="main job">similar jobs '), "url",
+        F.lit("</div><footer><header>x</header></footer></body></html>"))
+    return body, page
+
+
+@query("page_nested_content", f"SELECT page_id, md5(trim({_BODY}) || 'tail') AS digest FROM pages")
+def page_nested_content(t: Tables) -> DataFrame:
+    rows = t("pages").select("page_id", _pieces()[1].alias("page"))
+    out = X.with_page_content(rows, "page", "content", ((r'<div class="main[^>]*>', "div"),))
+    return out.select("page_id", F.md5(F.regexp_replace(X.collapse(X.page_text("content")), r" tail$", "tail")).alias("digest"))
+
+
+@query("page_nested_boilerplate", f"""
+    SELECT page_id, md5('<html><body><div class="main job"><div><p>' || {_BODY} || '</p></div>tail</div><div class="ad box"><div>in</div><p>open</div><div class="main job">similar jobs '
+                        || url || '</div></body></html>') AS digest FROM pages
+""")
+def page_nested_boilerplate(t: Tables) -> DataFrame:
+    return t("pages").select("page_id", F.md5(X.without_elements(_pieces()[1])).alias("digest"))
+
+
+@query("page_nested_noise", f"""
+    SELECT page_id, md5('<html><body><nav>top<nav>deep</nav>rest</nav><div class="main job"><div><p>' || {_BODY} || '</p></div>tail<aside><div>side</div></aside></div>'
+                        || '<div class="main job">similar jobs ' || url || '</div><footer><header>x</header></footer></body></html>') AS digest FROM pages
+""")
+def page_nested_noise(t: Tables) -> DataFrame:
+    return t("pages").select("page_id", F.md5(without_classes(_pieces()[1], ("ad ",))).alias("digest"))
+
+
 @query("two_stage_filter", f"""
     SELECT page_id, {sql_pick(['Contains city', 'Multi-location'], 'page_id // 2')} AS reason FROM pages
     WHERE page_id % 2 = 0 AND contains(lower({_TEXT.replace('X', _BARE)}), 'the')

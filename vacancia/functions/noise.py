@@ -1,143 +1,30 @@
-"""Page steps that need a parser: elements dropped by class name, unclosed tags closed.
+"""Page furniture by class name, and pages whose tags are not all closed."""
 
-Where an element ends depends on what is nested in it, which a pattern cannot tell.
-These are the only expressions that run in Python: one pass per page, in Arrow batches.
-"""
+from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
-from vacancia.functions.text import STRUCTURAL_TAGS, col
+from vacancia.functions.elements import balanced, without
+from vacancia.functions.rules import any_keyword
+from vacancia.functions.text import STRUCTURAL_TAGS, col, structural_html
 
 # Parts of class names that mark page furniture.
 NOISE_CLASSES = ("nav", "menu", "header", "footer", "sidebar")
-NOISE_CLASSES_WIDE = (
-    "breadcrumb", "cookie", "modal", "overlay", "pagination", "menu", "toolbar", "banner", "sidebar", "alert",
-)
-
-# Elements without an end tag.
-VOID_TAGS = frozenset((
-    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
-
-
-class _Noise(HTMLParser):
-    """Stretches of a page that elements of the given classes take up."""
-
-    def __init__(self, noise: re.Pattern, page: str):
-        super().__init__(convert_charrefs=False)
-        self.noise, self.page = noise, page
-        self.lines = [0, *(m.end() for m in re.finditer("\n", page))]
-        self.open, self.root, self.spans = [], None, []
-        self.feed(page)
-        self.close()
-        if self.root is not None:
-            self._end(len(page))
-
-    def _at(self) -> int:
-        line, offset = self.getpos()
-        return self.lines[line - 1] + offset
-
-    def _end(self, position: int) -> None:
-        self.spans.append((self.root[1], position))
-        self.root = None
-
-    def handle_starttag(self, tag, attrs):
-        names = next((v for k, v in attrs if k == "class"), None) or ""
-        if self.root is None and self.noise.search(names):
-            self.root = (len(self.open), self._at())
-            if tag in VOID_TAGS:
-                self._end(self._at() + len(self.get_starttag_text()))
-        if tag not in VOID_TAGS:
-            self.open.append(tag)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.open.pop()
-            if self.root is not None and self.root[0] == len(self.open):
-                self._end(self._at() + len(self.get_starttag_text()))
-
-    def handle_endtag(self, tag):
-        if tag not in self.open:
-            return
-        depth = len(self.open) - 1 - self.open[::-1].index(tag)
-        del self.open[depth:]
-        if self.root is not None and depth <= self.root[0]:
-            # its own end tag goes with it, the end tag of an element around it stays
-            own = self.page.find(">", self._at()) + 1 if depth == self.root[0] else self._at()
-            self._end(own)
-
-    def kept(self) -> str:
-        starts = [0, *(end for _, end in self.spans)]
-        ends = [*(start for start, _ in self.spans), len(self.page)]
-        return "".join(self.page[a:b] for a, b in zip(starts, ends))
-
-
-class _Structure(HTMLParser):
-    """Structural tags without attributes, each one closed, and the text between them."""
-
-    def __init__(self, kept: frozenset[str]):
-        super().__init__(convert_charrefs=True)
-        self.kept, self.out, self.open = kept, [], []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in self.kept:
-            self.out.append(f"<{tag}>")
-        self.open.append(tag)
-        if tag in VOID_TAGS:
-            self._close(len(self.open) - 1)
-
-    def handle_endtag(self, tag):
-        if tag in self.open and tag not in VOID_TAGS:
-            self._close(len(self.open) - 1 - self.open[::-1].index(tag))
-
-    def handle_data(self, data):
-        self.out.append(data)
-
-    def _close(self, depth: int) -> None:
-        while len(self.open) > depth:
-            tag = self.open.pop()
-            if tag in self.kept:
-                self.out.append(f"</{tag}>")
-
-    def text(self) -> str:
-        self._close(0)
-        out = re.sub(r"[ \t]+", " ", "".join(self.out))
-        return re.sub(r"\n{3,}", "\n\n", out).strip()
+CLASS_VALUE = r"""(?is)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def closed_structural_html(html: Column | str, tags: Sequence[str] = STRUCTURAL_TAGS) -> Column:
     """The structural clean for pages whose tags are not all closed: they are closed here."""
-    kept = frozenset(tags)
-
-    def one(page: str | None) -> str | None:
-        if page is None:
-            return None
-        parser = _Structure(kept)
-        parser.feed(page)
-        parser.close()
-        return parser.text()
-
-    @F.pandas_udf(T.StringType())
-    def cleaned(pages: pd.Series) -> pd.Series:
-        return pages.map(one)
-
-    return cleaned(col(html))
+    return structural_html(balanced(col(html)), tags)
 
 
 def without_classes(html: Column | str, classes: Sequence[str] = NOISE_CLASSES) -> Column:
     """A page without the elements whose class contains one of the words, nested content included."""
-    noise = re.compile("|".join(re.escape(c) for c in classes), re.IGNORECASE)
-
-    def one(page: str | None) -> str | None:
-        return None if page is None else _Noise(noise, page).kept()
 
-    @F.pandas_udf(T.StringType())
-    def cleaned(pages: pd.Series) -> pd.Series:
-        return pages.map(one)
+    def furniture(tok: Column, name: Column) -> Column:
+        names = F.concat(*[F.regexp_extract(tok, CLASS_VALUE, i) for i in (1, 2, 3)])
+        return any_keyword(F.lower(names), [c.lower() for c in classes])
 
-    return cleaned(col(html))
+    return without(col(html), furniture)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vacancia.functions import elements
+
 # White space stripped from both ends of a text.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
@@ -109,11 +111,8 @@ def is_long_enough(c: Column | str, minimum: int) -> Column:
 # --- pages ------------------------------------------------------------------
 
 def without_elements(html: Column | str, tags: Sequence[str] = BOILERPLATE_TAGS) -> Column:
-    """Drop whole elements, content included, tag by tag."""
-    out = col(html)
-    for tag in tags:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    return out
+    """Drop whole elements, content and nested elements included."""
+    return elements.without(col(html), lambda tok, name: name.isin(*tags))
 
 
 def page_text(html: Column | str) -> Column:
@@ -159,8 +158,8 @@ def structural_html(html: Column | str, tags: Sequence[str] = STRUCTURAL_TAGS) -
 
 
 def element_body(html: Column | str, open_tag: str, tag: str) -> Column:
-    """Inner HTML of the first element whose opening tag matches ``open_tag``."""
-    return first_match(html, rf"(?is){open_tag}(.*)</{tag}\s*>", 1)
+    """Inner HTML of the first element whose opening tag matches ``open_tag``, up to its own end tag."""
+    return elements.first_inner(col(html), lambda tok, name: (name == tag) & tok.rlike(rf"(?is)^{open_tag}"))
 
 
 def with_page_content(df: DataFrame, html: str, out: str, containers: Sequence[tuple[str, str]],
