@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 21  # bytes worked on at once; a longer text is a block of its own
+BLOCK = 1 << 19  # bytes worked on at once; a longer text is a block of its own
 
 SPACE = np.ones(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = False  # words are [^\x20\x09-\x0D]+

@@ -129,13 +129,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buf, offsets = arrow_bytes(batch.column("text"))
         row, start, size = span_arrays(batch.column("spans"))
-        counts, gone, kept = [], [], []
         for first, end in blocks(offsets):
             here = np.flatnonzero((row >= first) & (row < end))
             part = offsets[first : end + 1] - offsets[first]
             words = Words(buf[offsets[first] : offsets[end]], part, SPACE)
-            n = words.starts.size
-            step = np.zeros(n + 1, np.int64)
+            step = np.zeros(words.starts.size + 1, np.int64)
             begin = start[here] + words.first[row[here] - first]
             np.add.at(step, begin, 1)
             np.add.at(step, begin + size[here], -1)
@@ -150,14 +148,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[~SPACE[out]] = 0x20
             text = out[byte[:-1]].tobytes()
             ends = np.concatenate([[0], np.cumsum(byte[:-1])])[part].tolist()
-            kept += [text[i:j] for i, j in zip(ends, ends[1:])]
-            counts.append(words.count)
-            gone.append(np.bincount(words.doc[~stay], minlength=end - first))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.concatenate([*counts, np.zeros(0, np.int64)])), pa.array(np.concatenate([*gone, np.zeros(0, np.int64)])),
-             pa.array(kept, pa.binary()).cast(pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept_text"],
-        )
+            kept = pa.array([text[i:j] for i, j in zip(ends, ends[1:])], pa.binary()).cast(pa.string())
+            gone = np.bincount(words.doc[~stay], minlength=end - first)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(first, end - first), pa.array(words.count), pa.array(gone), kept], ["doc_id", "n_words", "n_removed", "kept_text"]
+            )
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
