@@ -9,7 +9,11 @@ from vacancia.functions import text as X
 from vacancia.functions.noise import closed_structural_html, without_classes
 from vacancia.operators.resolve import one_per_key
 from vacancia.plans.audit import location_mentions
+from vacancia.plans.cycle import commit_cycle, from_detail_pages, run_cycle
+from vacancia.session import scratch_path
+from vacancia.sources import adapters as A
 from vacancia.sources.adapters import page_links
+from vacancia.sources.tables import read_appended
 
 _BARE = "html"
 for _tag in X.BOILERPLATE_TAGS:
@@ -120,6 +124,65 @@ def page_nested_noise(t: Tables) -> DataFrame:
     return t("pages").select("page_id", F.md5(without_classes(_pieces()[1], ("ad ",))).alias("digest"))
 
 
+REMOTE = ["Remote", "Hybrid", "On-site", None]
+TIMES = ["Full time", "Part time", None]
+
+
+def _detail_pages(t: Tables) -> DataFrame:
+    """Postings' own pages around the given ones: labels, pay in a label or only in the text, nested furniture."""
+    k = F.col("page_id")
+    label = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"<dt>{name}</dt><dd> "), value, F.lit("</dd>"))).otherwise("")
+    pay = F.when(k % 3 == 0, F.concat(F.lit("$"), 20 + k % 30, F.lit(".125 - $"), 60 + k % 30, F.lit(" per hour")))
+    text = F.concat(F.lit("About the job "), F.repeat(F.concat("url", F.lit(" ")), 6), F.when(k % 3 == 1, F.concat(F.lit("$"), 50000 + k, F.lit(" - $60,000 USD"))).otherwise(""))
+    page = F.concat(
+        F.lit("<html><body><header><div>top</div></header><span>R"), 100000 + k, F.lit("</span><dl>"), label("Remote Type", pick(REMOTE, k)),
+        label("time type", pick(TIMES, k)), label("Pay Range", pay), F.lit('</dl><div data-automation-id="jobPostingDescription" class="x"><div><p class="y">'), text,
+        F.lit('</p><nav>n<nav>m</nav></nav></div></div><div class="similar">similar jobs $1 - $2 USD</div></body></html>'))
+    return t("pages").select("page_id", F.concat(F.lit("http://p.example.com/"), k).alias("posting_url"), page.alias("html"))
+
+
+_DETAIL_SQL = f"""
+    SELECT page_id, 'http://p.example.com/' || page_id AS posting_url, 'R' || (100000 + page_id) AS posting_id,
+           {sql_pick(['Full-time', 'Part-time', None], 'page_id')} AS job_type, {sql_pick(['Remote', 'Hybrid', 'On-site', None], 'page_id')} AS office_location,
+           CAST(CASE page_id % 3 WHEN 0 THEN (20 + page_id % 30 + 0.125) * 2080 WHEN 1 THEN 50000 + page_id ELSE 1 END AS DOUBLE) AS minimum_salary,
+           CAST(CASE page_id % 3 WHEN 0 THEN (60 + page_id % 30) * 2080 WHEN 1 THEN 60000 ELSE 2 END AS DOUBLE) AS maximum_salary,
+           md5('<p>About the job ' || repeat(url || ' ', 6) || CASE WHEN page_id % 3 = 1 THEN '$' || (50000 + page_id) || ' - $60,000 USD' ELSE '' END || '</p>') AS digest
+    FROM pages
+"""
+
+
+def _detail_columns(df: DataFrame, *first: str) -> DataFrame:
+    return df.select(
+        *first, "posting_url", "posting_id", "job_type", "office_location", F.col("minimum_salary").cast("double").alias("minimum_salary"),
+        F.col("maximum_salary").cast("double").alias("maximum_salary"), F.md5("job_description").alias("digest"))
+
+
+@query("workday_detail", _DETAIL_SQL)
+def workday_detail(t: Tables) -> DataFrame:
+    return _detail_columns(A.workday_detail(_detail_pages(t), carry=["page_id", "posting_url"]), "page_id")
+
+
+@query("cycle_detail_content", f"""
+    WITH d AS ({_DETAIL_SQL})
+    SELECT (SELECT max(page_id) FROM pages WHERE page_id % 4 = 0) + row_number() OVER (ORDER BY md5(CAST(page_id % 10 AS VARCHAR) || chr(31) || posting_url)) AS id,
+           d.* EXCLUDE (page_id) FROM d WHERE page_id % 4 <> 0
+""")
+def cycle_detail_content(t: Tables) -> DataFrame:
+    # every fourth page is of a posting that is stored already; each page landed twice, the second time empty
+    company, k = (F.col("page_id") % 10).cast("bigint"), F.col("page_id")
+    pages = _detail_pages(t)
+    state = pages.where(k % 4 == 0).select(
+        k.alias("id"), company.alias("company_id"), "posting_url", F.lit("active").alias("job_status"), *[
+            F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias(c) for c in ("created_at", "updated_at", "last_scraped")],
+        F.lit(None).cast("date").alias("date_closed"))
+    feed = pages.select(company.alias("company_id"), F.lit("Welder").alias("job_title"), "posting_url", F.lit("board").alias("source_job_board"))
+    companies = feed.select(F.col("company_id").alias("id")).distinct().withColumn("last_full_scrape_completed", F.lit(None).cast("timestamp_ntz"))
+    landed = pages.withColumn("pos", F.lit(1)).unionByName(pages.select("page_id", "posting_url", F.lit("").alias("html"), F.lit(2).alias("pos")))
+    root = scratch_path(t.spark, "cycle")
+    commit_cycle(t.spark, root, run_cycle(state, feed, companies, "2002-01-01 12:00:00", enrich=from_detail_pages(landed, ["pos"])))
+    return _detail_columns(read_appended(t.spark, root, "content"), "id")
+
+
 @query("two_stage_filter", f"""
     SELECT page_id, {sql_pick(['Contains city', 'Multi-location'], 'page_id // 2')} AS reason FROM pages
     WHERE page_id % 2 = 0 AND contains(lower({_TEXT.replace('X', _BARE)}), 'the')

@@ -157,12 +157,13 @@ def structural_html(html: Column | str, tags: Sequence[str] = STRUCTURAL_TAGS) -
     return strip(out)
 
 
-def element_body(html: Column | str, open_tag: str, tag: str) -> Column:
+def element_body(html: Column | str, open_tag: str, tag: str | None = None) -> Column:
     """Inner HTML of the first element whose opening tag matches ``open_tag``, up to its own end tag."""
-    return elements.first_inner(col(html), lambda tok, name: (name == tag) & tok.rlike(rf"(?is)^{open_tag}"))
+    fits = lambda tok: tok.rlike(rf"(?is)^{open_tag}")
+    return elements.first_inner(col(html), lambda tok, name: fits(tok) if tag is None else (name == tag) & fits(tok))
 
 
-def with_page_content(df: DataFrame, html: str, out: str, containers: Sequence[tuple[str, str]],
+def with_page_content(df: DataFrame, html: str, out: str, containers: Sequence[tuple[str, str | None]],
                       minimum: int = 100) -> DataFrame:
     """First container with more than ``minimum`` characters of text, else the body.
 

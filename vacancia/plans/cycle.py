@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vacancia import schema as S
 from vacancia.functions.dates import moment
 from vacancia.operators import merge as M
+from vacancia.operators.dedup import first_of_key
 from vacancia.operators.dims import stamp_completion
 from vacancia.operators.quality import listing_rules, split_by_quality
 from vacancia.plans.views import run_stats, with_duration
 from vacancia.session import materialise
+from vacancia.sources.adapters import DETAIL_FIELDS, with_detail, workday_detail
 from vacancia.sources.tables import commit_tables, to_canonical, with_defaults
 
 
@@ -99,6 +101,20 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, to_canonical(with_duration(log), S.RUN_LOG))
 
 
+def from_detail_pages(pages: DataFrame, order: Sequence[str] = ()) -> Enrich:
+    """An ``enrich`` for ``run_cycle``: new postings with the fields of their landed pages.
+
+    ``pages`` has (posting_url, html); only pages of new postings are parsed, and of several
+    pages with one URL the first in ``order``.
+    """
+    def enrich(new: DataFrame) -> DataFrame:
+        own = pages.select("posting_url", "html", *order).join(new.select("posting_url"), "posting_url", "left_semi")
+        found = workday_detail(first_of_key(own, ["posting_url"], order), carry=["posting_url"])
+        return with_detail(new, found, "posting_url", DETAIL_FIELDS)
+
+    return enrich
+
+
 def commit_cycle(spark: SparkSession, root: str, cycle: Cycle) -> int:
     """Write a cycle as the next version of its tables; see ``sources.tables.commit_tables``."""
     return commit_tables(

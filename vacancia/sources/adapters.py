@@ -351,6 +351,49 @@ def page_links(pages: DataFrame, html: str = "html", carry: Sequence[str] = ())
     return rows.select(*carry, "_l.*")
 
 
+# Containers of a posting's text on a detail page, tried in this order.
+DETAIL_CONTAINERS = (
+    (r'<[a-z][^>]*\bdata-automation-id="jobPostingDescription"', None),
+    (r'<[a-z][^>]*\bdata-automation-id="jobDescription"', None),
+    (r'<[a-z][^>]*\bclass="(?:[^"]*\s)?jobPostingDescription(?:\s[^"]*)?"', None),
+    (r'<[a-z][^>]*\brole="main"', None),
+    (r"<main\b", "main"),
+)
+
+# Labels of a detail page, and the shape of a requisition id.
+REMOTE_LABEL, TIME_LABEL, PAY_LABEL = r"remote\s+type", r"time\s+type", r"salary|pay\s+range|compensation"
+REQUISITION_TEXT = r"(?:^|>)\s*(R\d{5,})\s*(?:<|$)"
+DETAIL_FIELDS = ("posting_id", "job_type", "office_location", "minimum_salary", "maximum_salary", "job_description")
+
+
+def workday_detail(pages: DataFrame, html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
+    """Fields of a posting's own page: labels first, the pay in the page's text as a fallback.
+
+    The description is the first container with enough text, else the body, cleaned.
+    """
+    def labelled(pattern: str) -> Column:
+        name = F.get(F.filter(F.map_keys("_labels"), lambda k: k.rlike(pattern)), 0)
+        return F.get(F.transform(F.array(name), lambda k: F.try_element_at(F.col("_labels"), k)), 0)
+
+    out = pages.select(*_carry(pages, carry), F.col(html).alias("_html"), X.label_values(html).alias("_labels"))
+    out = X.with_page_content(out, "_html", "_content", DETAIL_CONTAINERS)
+    out = out.withColumns({
+        "_id": X.first_match("_html", REQUISITION_TEXT), "_remote": labelled(REMOTE_LABEL), "_time": labelled(TIME_LABEL),
+        "_pay": labelled(PAY_LABEL), "_text": X.unescape(X.page_text("_html")),
+    })
+    out = out.withColumns({"_own": M.annual_range("_pay"), "_any": M.annual_range("_text")})
+    pay = F.when(F.col("_own.minimum").isNotNull(), F.col("_own")).otherwise(F.col("_any"))
+    return out.withColumn("_range", pay).select(
+        *_carry(out, carry),
+        F.col("_id").alias("posting_id"),
+        C.job_type("_time").alias("job_type"),
+        C.work_location("_remote").alias("office_location"),
+        _salary(F.col("_range.minimum")).alias("minimum_salary"),
+        _salary(F.col("_range.maximum")).alias("maximum_salary"),
+        F.nullif(X.structural_html("_content"), F.lit("")).alias("job_description"),
+    )
+
+
 def with_detail(listing: DataFrame, detail: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Detail-page value, else listing value, for each field; the listing decides the rows.
 
