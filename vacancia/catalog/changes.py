@@ -281,7 +281,7 @@ def get_or_create_company(t: Tables) -> DataFrame:
 """)
 def rejected_companies(t: Tables) -> DataFrame:
     types = t.spark.createDataFrame([(1, "Private Company"), (2, "Startup")], "id int, name string")
-    _, bad = dims.get_or_create_companies(_stored_companies(t), _wanted(t), types, AS_OF)
+    _, bad = dims.checked_companies(_stored_companies(t), _wanted(t), types)
     return bad.select("common_name", "reason")
 
 

@@ -49,29 +49,39 @@ def unique_slugs(new: DataFrame, stored: DataFrame, name: str = "common_name") -
         F.explode(F.sequence(F.col("c") * _CHUNK, F.least("last", (F.col("c") + 1) * _CHUNK - 1))).alias("suffix"),
     )
     free = candidates.join(taken, ["base", "suffix"], "left_anti")
-    free = number_rows(free, ["suffix"], ["base"], bucket=(F.col("suffix") / _CHUNK).cast("bigint"))
+    # the candidates are cheaper to make twice than to write
+    free = number_rows(free, ["suffix"], ["base"], bucket=(F.col("suffix") / _CHUNK).cast("bigint"), save=False)
     numbered = number_rows(names, [name], ["base"], save=False)
     out = numbered.join(free, ["base", "rn"])
     suffix = F.when(F.col("suffix") > 0, F.concat(F.lit("-"), F.col("suffix").cast("string")))
     return out.select(name, F.concat("base", F.coalesce(suffix, F.lit(""))).alias("slug"))
 
 
+def checked_companies(stored: DataFrame, wanted: DataFrame, types: DataFrame, default_type: str = "Private Company",
+                      order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(companies to make, rejected) of the wanted rows whose name is not stored; one row per name.
+
+    Of several wanted rows with one name the first in ``order`` counts, with all its fields;
+    without an order it is the least row. An unknown company type is an error of that row.
+    """
+    typed = wanted.withColumn("company_type_name", F.coalesce("company_type_name", F.lit(default_type)))
+    fields = ["common_name", "website", "jobboard", "company_type_name"]
+    missing = typed.select(*fields, *order).join(stored.select("common_name"), "common_name", "left_anti")
+    side = types.select(F.col("name").alias("company_type_name"), F.col("id").alias("company_type"))
+    checked = first_of_key(missing, ["common_name"], order).join(first_of_key(side, ["company_type_name"]), "company_type_name", "left")
+    unknown = F.col("company_type").isNull()
+    return checked.where(~unknown), checked.where(unknown).withColumn("reason", F.lit("unknown_company_type"))
+
+
 def get_or_create_companies(stored: DataFrame, wanted: DataFrame, types: DataFrame, as_of,
                             default_type: str = "Private Company", order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(new companies, rejected) for the wanted (common_name, website, jobboard, company_type_name).
 
-    Of several wanted rows with one name the first in ``order`` makes the company, with all
-    its fields; without an order it is the least row. Known names are left alone. An unknown company type is an error of that row. New
-    companies are approved and marked as made by a feed.
+    See ``checked_companies``. Known names are left alone. New companies are approved and
+    marked as made by a feed.
     """
-    typed = wanted.withColumn("company_type_name", F.coalesce("company_type_name", F.lit(default_type)))
-    missing = typed.join(stored.select("common_name"), "common_name", "left_anti")
-    wanted_columns = ["common_name", "website", "jobboard", "company_type_name"]
-    missing = materialise(first_of_key(missing.select(*wanted_columns, *order), ["common_name"], order), "missing-companies")
-    side = types.select(F.col("name").alias("company_type_name"), F.col("id").alias("company_type"))
-    checked = missing.join(side, "company_type_name", "left")
-    rejected = checked.where(F.col("company_type").isNull()).withColumn("reason", F.lit("unknown_company_type"))
-    good = checked.where(F.col("company_type").isNotNull())
+    good, rejected = checked_companies(stored, wanted, types, default_type, order)
+    good = materialise(good, "new-companies")
     named = good.join(unique_slugs(good, stored), "common_name")
     created = with_new_ids(named, ["common_name"], stored).select(
         "id", "slug", "common_name", "website", "jobboard",
