@@ -33,8 +33,8 @@ from vacancia.llm.repeats import anchor_runs, minimisers, regions, repeated, spa
 LENGTH = 400  # bytes
 GRAM = 128  # bytes of an anchor
 SHALLOW = 4  # words of eight bytes that quicksort compares
-MANY = 256  # regions of one anchor that are sorted in one task
-CONTEXT_BYTES = 8 << 20  # sorted in one task, about
+MANY = 8192  # regions of one anchor that are sorted in one task: 5 MB of bytes
+CONTEXT_BYTES = 4 << 20  # sorted in one task, about
 _U = np.uint64
 
 
@@ -248,7 +248,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buf, offsets = arrow_bytes(batch.column("text"))
         row, start, size = span_arrays(batch.column("spans"))
-        gone, runs, kept, ranges = [], [], [], []
         for first, end in blocks(offsets):
             here = np.flatnonzero((row >= first) & (row < end))
             at = offsets[first : end + 1] - offsets[first]
@@ -258,31 +257,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(step, begin, 1)
             np.add.at(step, begin + size[here], -1)
             out = np.cumsum(step[:-1]) > 0
-            cut = np.zeros(part.size + 1, bool)
-            cut[at] = True
-            before = np.concatenate([[False], out[:-1]]) & ~cut[:-1] if part.size else out
-            opens = np.flatnonzero(out & ~before)
-            behind = np.concatenate([out[1:], [False]]) & ~cut[1:] if part.size else out
-            closes = np.flatnonzero(out & ~behind) + 1
+            # runs of removed bytes end with their text
+            edge = np.zeros(part.size + 1, bool)
+            edge[at] = True
+            opens = np.flatnonzero(out & (edge[:-1] | ~np.concatenate([[False], out])[:-1]))
+            closes = np.flatnonzero(out & (edge[1:] | ~np.concatenate([out, [False]])[1:])) + 1
             doc = np.searchsorted(at, opens, "right") - 1
             total = np.concatenate([[0], np.cumsum(out)])[at]
-            gone.append(np.diff(total))
-            n = np.bincount(doc, minlength=end - first)
-            runs.append(n)
             rest = part[~out].tobytes()
             ends = (at - total).tolist()
-            kept += [rest[i:j] for i, j in zip(ends, ends[1:])]
-            ranges.append(np.stack([opens - at[doc], closes - at[doc]]))
-        none = np.zeros(0, np.int64)
-        spans = np.concatenate([*ranges, np.zeros((2, 0), np.int64)], axis=1)
-        n = np.concatenate([*runs, none])
-        spans = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.StructArray.from_arrays([pa.array(x) for x in spans], ["start", "stop"])
-        )
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(np.concatenate([*gone, none])), pa.array(n), pa.array(kept, pa.binary()), spans],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
-        )
+            kept = pa.array([rest[i:j] for i, j in zip(ends, ends[1:])], pa.binary())
+            n = np.bincount(doc, minlength=end - first)
+            runs = pa.StructArray.from_arrays([pa.array(opens - at[doc]), pa.array(closes - at[doc])], ["start", "stop"])
+            spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), runs)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(first, end - first), pa.array(np.diff(at)), pa.array(np.diff(total)), pa.array(n), kept, spans],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
+            )
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
