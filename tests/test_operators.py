@@ -240,6 +240,23 @@ def test_incomplete_companies_are_not_stamped(spark):
     assert {r["posting_url"]: r["job_status"] for r in c.state.collect()}["http://B"] == "active"
 
 
+def test_cycle_policies_reject_with_a_reason(spark):
+    before = state(spark, row(1, 1, "http://known"), row(2, 1, "http://away"))
+    places = {"http://known": "Tulsa", "http://away": "Austin", "http://n1": "Tulsa", "http://n2": "Tulsa", "http://n3": "Tulsa", "http://n4": None}
+    feed = spark.createDataFrame([(1, "Welder", u, "board", p) for u, p in places.items()],
+                                 "company_id bigint, job_title string, posting_url string, source_job_board string, place string")
+
+    def enrich(new):
+        return new.withColumn("job_description", F.when(F.col("posting_url") == "http://n1", "short").otherwise("a long text about the job"))
+
+    c = cycle.run_cycle(before, feed, companies(spark, c1=at(10)), NOW, enrich=enrich, served=F.col("place") == "Tulsa", fetch_limit=2, minimum_text=10)
+    assert {r["posting_url"]: r["violations"] for r in c.rejected.collect()} == {
+        "http://away": ["not_served"], "http://n4": ["not_served"], "http://n3": ["deferred"], "http://n1": ["short_content"]}
+    assert {r["posting_url"]: r["job_status"] for r in c.state.collect()} == {"http://known": "active", "http://away": "closed", "http://n2": "active"}
+    log = c.run_log.collect()[0]
+    assert (log["jobs_added"], log["jobs_updated"], log["jobs_skipped"]) == (1, 1, 4)
+
+
 def test_repeated_stored_url_touches_the_last_row(spark):
     before = state(spark, row(1, 1, "A"), row(2, 1, "A"), row(3, 1, ""), row(4, 1, None))
     incoming = spark.createDataFrame([(1, "A", 5), (1, "A", 6), (1, "", 7)], "company_id bigint, posting_url string, pos int")

@@ -12,13 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacancia import schema as S
 from vacancia.functions.dates import moment
+from vacancia.functions.text import is_long_enough
 from vacancia.operators import merge as M
-from vacancia.operators.dedup import first_of_key
+from vacancia.operators.dedup import defer_new_rows, first_of_key
 from vacancia.operators.dims import stamp_completion
 from vacancia.operators.quality import listing_rules, split_by_quality
 from vacancia.plans.views import run_stats, with_duration
@@ -42,35 +44,58 @@ Enrich = Callable[[DataFrame], DataFrame]
 
 def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, enrich: Enrich | None = None,
               announced: DataFrame | None = None, feed_order: Sequence[str] = (), active_only: bool = False,
-              started=None, save: bool = True, landed: DataFrame | None = None) -> Cycle:
+              started=None, save: bool = True, landed: DataFrame | None = None, served: Column | None = None,
+              fetch_limit: int | None = None, minimum_text: int | None = None) -> Cycle:
     """Plan a cycle; ``feed`` holds canonical columns with company_id and source_job_board.
 
     ``announced`` has the totals of the sources and ``landed`` (company_id, posting_url) what
     they sent, before adapters dropped any. Only a company whose postings all landed has
     rows closed, is stamped and is logged as completed; the others are logged as failed.
+
+    ``served`` is a condition on the feed: other postings are rejected before the match, as
+    if the source had not listed them. ``fetch_limit`` takes that many new postings of a
+    company, in URL order, and leaves the others for the next cycle. ``minimum_text`` rejects
+    new postings with a shorter description. All of them are in ``rejected``, with a reason.
     ``enrich`` adds detail-page fields and runs on new postings only. ``save`` writes the
     match, the parsed postings and the staged state to the shared folder once each, because
     several results read them.
     """
+
+    def refused(df: DataFrame, reason: str) -> DataFrame:
+        return df.withColumn("violations", F.array(F.lit(reason)))
+
+    landed = feed if landed is None else landed
     has_url = F.coalesce(F.col("posting_url") != "", F.lit(False))
-    missing = feed.where(~has_url).withColumn("violations", F.array(F.lit("posting_url_missing")))
+    left_out = [refused(feed.where(~has_url), "posting_url_missing")]
+    if served is not None:
+        inside = F.coalesce(served, F.lit(False))
+        left_out.append(refused(feed.where(has_url & ~inside), "not_served"))
+        feed = feed.where(inside)
     matched = M.match_snapshot(state, feed, active_only, feed_order)
     if save:
         matched = materialise(matched, "matched")
 
     # detail pages are parsed for the new postings only, and once
     new = matched.where(F.col("id").isNull()).drop("id", "copies")
+    if fetch_limit is not None:
+        new = defer_new_rows(new, F.lit(False), ["company_id"], ["posting_url"], fetch_limit)
+        left_out.append(refused(new.where("deferred").drop("deferred"), "deferred"))
+        new = new.where("not deferred").drop("deferred")
     new = with_defaults(new if enrich is None else enrich(new))
     if save and enrich is not None:
         new = materialise(new, "new-postings")
     good, bad = split_by_quality(new, listing_rules(new.columns))
-    rejected = bad.unionByName(missing, allowMissingColumns=True)
+    if minimum_text is not None:
+        long_enough = is_long_enough("job_description", minimum_text)
+        left_out.append(refused(good.where(~long_enough), "short_content"))
+        good = good.where(long_enough)
+    rejected = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [bad, *left_out])
 
     known = matched.where(F.col("id").isNotNull()).select("company_id", "posting_url", "id")
     wanted = [c for c in state.columns if c in good.columns and c not in ("id", "company_id", "posting_url")]
     fresh = good.select("company_id", "posting_url", *wanted)
     merged = known.unionByName(fresh, allowMissingColumns=True)
-    gate = M.complete_companies(feed if landed is None else landed, announced)
+    gate = M.complete_companies(landed, announced)
     if save:
         gate = materialise(gate, "complete-companies")
     # the new rows are saved already if they were parsed, and need not be written again to be numbered
