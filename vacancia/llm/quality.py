@@ -27,8 +27,8 @@ FENCE = 6.0  # distances of the quartiles beyond which a text is an outlier
 MEASURES = {
     "mean_word": ("both", 1.5),
     "symbol_share": ("high", 0.02),
-    "dup_line_share": ("high", 0.1),
-    "repeat_share": ("high", 0.1),
+    "dup_line_share": ("high", 0.4),
+    "repeat_share": ("high", 0.3),
 }
 
 
