@@ -35,7 +35,6 @@ STEPS = 8  # histogram bins of an estimate for every doubling
 ROUNDS = 60
 _U = np.uint64
 END, BEGIN = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
-TRAIN, DELETED = 1, 2  # bits of a text's role
 
 
 def tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,70 +67,88 @@ def grams(names: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]
     return out
 
 
-def pieces_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Bounds of the buckets in sorted names: equal ranges of the 64-bit numbers."""
-    edges = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [keys.size]])
+def bucket_edges(buckets: int) -> np.ndarray:
+    """First names of the buckets: equal ranges of the 64-bit numbers."""
+    return (np.arange(buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+
+
+def narrow(x: np.ndarray) -> bytes:
+    """64-bit numbers in as few bytes each as the largest needs."""
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def wide(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, : len(data) // n] = np.frombuffer(data, np.uint8).reshape(n, -1)
+    return out.reshape(-1).view("<u8")
 
 
 def _packed(order: int, buckets: int):
+    edges = bucket_edges(buckets)
+
     def run(table: pa.Table) -> pa.Table:
         names, counts = tokens(table.column("text"))
-        role = np.repeat(table.column("role").to_numpy(), counts)
+        learned = np.repeat(table.column("train").to_numpy(zero_copy_only=False), counts)
         rows = []
         for n, gram in enumerate(grams(names, counts, order), 1):
             keys, at = np.unique(gram, return_inverse=True)
-            seen = np.bincount(at[role & TRAIN > 0], minlength=keys.size).astype(np.uint32)
-            gone = np.bincount(at[role & DELETED > 0], minlength=keys.size).astype(np.uint32)
-            edges = pieces_of(keys, buckets)
-            for k in np.flatnonzero(np.diff(edges)).tolist():
-                some = slice(edges[k], edges[k + 1])
-                rows.append((n, k, keys[some].tobytes(), seen[some].tobytes(), gone[some].tobytes()))
-        block = table.column("block")[0].as_py()
+            seen = np.bincount(at[learned], minlength=keys.size)
+            cuts = np.append(np.searchsorted(keys, edges), keys.size)
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                some = slice(cuts[k], cuts[k + 1])
+                rows.append((n, k, cuts[k + 1] - cuts[k], narrow(np.diff(keys[some], prepend=edges[k])), narrow(seen[some])))
         columns = list(zip(*rows)) or [[]] * 5
         return pa.table({
-            "n": pa.array(columns[0], pa.int32()), "bucket": pa.array(columns[1], pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
-            "keys": pa.array(columns[2], pa.binary()), "seen": pa.array(columns[3], pa.binary()), "gone": pa.array(columns[4], pa.binary()),
+            "n": pa.array(columns[0], pa.int32()), "bucket": pa.array(columns[1], pa.int32()),
+            "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int32()), "size": pa.array(columns[2], pa.int64()),
+            "keys": pa.array(columns[3], pa.binary()), "seen": pa.array(columns[4], pa.binary()),
         })
 
     return run
 
 
-PACKED = "n int, bucket int, block int, keys binary, seen binary, gone binary"
-COUNTED = "n int, bucket int, block int, seen binary, gone binary, tokens bigint, kinds bigint, deleted bigint"
+PACKED = "n int, bucket int, block int, size bigint, keys binary, seen binary"
+COUNTED = "n int, bucket int, block int, size bigint, seen binary, gone binary, tokens bigint, kinds bigint, deleted bigint"
 
 
-def _flat(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return arrow_bytes(column)[0].view(kind)
+def _added(buckets: int, blocks_: int):
+    """The sums of a bucket, in the order of the pieces; and a row of its totals.
 
+    Blocks from ``blocks_`` on hold the deleted texts; only they get the counts of those back.
+    """
+    edges = bucket_edges(buckets)
 
-def _added(table: pa.Table) -> pa.Table:
-    """The sums of a bucket, as arrays in the order of the pieces; and a row of its totals."""
-    sizes = np.diff(arrow_bytes(table.column("seen"))[1]) // 4
-    keys, at = np.unique(_flat(table.column("keys").combine_chunks(), np.uint64), return_inverse=True)
-    sums = []
-    for name in ("seen", "gone"):
-        part = _flat(table.column(name).combine_chunks(), np.uint32)
-        sums.append(np.bincount(at, weights=part, minlength=keys.size).astype(np.int64))
-    ends = np.cumsum(sizes).tolist()
-    back = [x[at] for x in sums]
-    bytes_of = [[x[e - s : e].tobytes() for s, e in zip(sizes.tolist(), ends)] + [b""] for x in back]
-    rows = table.num_rows
-    total = [int(sums[0].sum()), int((sums[0] > 0).sum()), int(sums[1].sum())]
-    key = [table.column(c)[0].as_py() for c in ("n", "bucket")]
-    return pa.table({
-        "n": pa.array([key[0]] * (rows + 1), pa.int32()), "bucket": pa.array([key[1]] * (rows + 1), pa.int32()),
-        "block": pa.concat_arrays([table.column("block").combine_chunks().cast(pa.int32()), pa.array([-1], pa.int32())]),
-        "seen": pa.array(bytes_of[0], pa.binary()), "gone": pa.array(bytes_of[1], pa.binary()),
-        "tokens": pa.array([0] * rows + [total[0]], pa.int64()), "kinds": pa.array([0] * rows + [total[1]], pa.int64()),
-        "deleted": pa.array([0] * rows + [total[2]], pa.int64()),
-    })
+    def run(table: pa.Table) -> pa.Table:
+        n, bucket = (table.column(c)[0].as_py() for c in ("n", "bucket"))
+        sizes, block = table.column("size").to_pylist(), table.column("block").to_pylist()
+        names = [edges[bucket] + np.cumsum(wide(x, s), dtype=np.uint64) for x, s in zip(table.column("keys").to_pylist(), sizes)]
+        parts = [wide(x, s) for x, s in zip(table.column("seen").to_pylist(), sizes)]
+        keys, at = np.unique(np.concatenate(names), return_inverse=True)
+        seen, gone = np.zeros(keys.size, np.uint64), np.zeros(keys.size, np.uint64)
+        np.add.at(seen, at, np.concatenate(parts))
+        ends = np.cumsum(sizes).tolist()
+        for k, (b, s, e) in enumerate(zip(block, sizes, ends)):
+            if b >= blocks_:
+                np.add.at(gone, at[e - s : e], parts[k])
+        back = [(narrow(seen[at[e - s : e]]), narrow(gone[at[e - s : e]]) if b >= blocks_ else b"") for b, s, e in zip(block, sizes, ends)]
+        rows = len(sizes)
+        return pa.table({
+            "n": pa.array([n] * (rows + 1), pa.int32()), "bucket": pa.array([bucket] * (rows + 1), pa.int32()),
+            "block": pa.array([*block, -1], pa.int32()), "size": pa.array([*sizes, 0], pa.int64()),
+            "seen": pa.array([*[x[0] for x in back], b""], pa.binary()), "gone": pa.array([*[x[1] for x in back], b""], pa.binary()),
+            "tokens": pa.array([0] * rows + [int(seen.sum())], pa.int64()), "kinds": pa.array([0] * rows + [int((seen > 0).sum())], pa.int64()),
+            "deleted": pa.array([0] * rows + [int(gone.sum())], pa.int64()),
+        })
+
+    return run
 
 
 class Block:
     """A block's texts with the counts that came back for their n-grams."""
 
-    def __init__(self, texts: pa.Table, counted: pa.Table, order: int) -> None:
+    def __init__(self, texts: pa.Table, counted: pa.Table, order: int, deleted: bool) -> None:
         names, self.counts = tokens(texts.column("text"))
         self.first = np.cumsum(self.counts) - self.counts
         counted = counted.sort_by([("n", "ascending"), ("bucket", "ascending")])
@@ -140,8 +157,9 @@ class Block:
         for n, gram in enumerate(grams(names, self.counts, order), 1):
             _, at = np.unique(gram, return_inverse=True)
             mine = counted.filter(pa.array(which == n))
-            self.seen.append(_flat(mine.column("seen").combine_chunks(), np.int64)[at])
-            self.gone.append(_flat(mine.column("gone").combine_chunks(), np.int64)[at])
+            for name, out in (("seen", self.seen), ("gone", self.gone)) if deleted else (("seen", self.seen),):
+                parts = [wide(x, s) for x, s in zip(mine.column(name).to_pylist(), mine.column("size").to_pylist())]
+                out.append(np.concatenate(parts).astype(np.int64)[at])
 
     def estimates(self, totals: dict, deleted: bool) -> tuple[list[np.ndarray], np.ndarray]:
         """Estimates of every token by rising order, over the uniform one; and the context's bucket.
@@ -173,7 +191,7 @@ def _events(order: int, totals: dict):
     def run(texts: pa.Table, counted: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return pa.table({"bucket": pa.array([], pa.int64()), "bins": pa.array([], pa.list_(pa.int64())), "events": pa.array([], pa.int64())})
-        block = Block(texts, counted, order)
+        block = Block(texts, counted, order, True)
         ratios, bucket = block.estimates(totals, True)
         cells = np.stack([bucket, *[_bins(r) for r in ratios]], axis=1)
         kinds, n = np.unique(cells, axis=0, return_counts=True)
@@ -212,7 +230,7 @@ def _scored(order: int, totals: dict, mixture: np.ndarray):
         if not texts.num_rows:
             return texts.select(["doc_id", "held_out"]).append_column("n_tokens", pa.array([], pa.int64())).append_column(
                 "n_known", pa.array([], pa.int64())).append_column("base_score", pa.array([], pa.float64())).append_column("score", pa.array([], pa.float64()))
-        block = Block(texts, counted, order)
+        block = Block(texts, counted, order, False)
         ratios, bucket = block.estimates(totals, False)
         share = mixture[bucket]
         mixed = share[:, 0] + sum(share[:, k] * r for k, r in enumerate(ratios, 1))
@@ -238,20 +256,20 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     n_gone = -(-n // FOLDS)  # deleted texts have blocks of their own
     spread = F.xxhash64("doc_id", text)
     dealt = docs.select(
-        "doc_id", text.alias("text"), (~train).alias("held_out"), (train.cast("int") * TRAIN + gone.cast("int") * DELETED).alias("role"),
+        "doc_id", text.alias("text"), (~train).alias("held_out"), train.alias("train"),
         F.when(gone, n + F.pmod(spread, F.lit(n_gone))).otherwise(F.pmod(spread, F.lit(n))).cast("int").alias("block"),
     )
     packed = dealt.groupBy("block").applyInArrow(_packed(order, n), PACKED)
-    counted = saved(packed.groupBy("n", "bucket").applyInArrow(_added, COUNTED), "counts")
+    counted = saved(packed.groupBy("n", "bucket").applyInArrow(_added(n, n), COUNTED), "counts")
     whole = counted.where("n = 1 and block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kinds", "deleted")]).first()
     texts = dealt.agg(F.count(F.when(train, 1)).alias("texts"), F.count(F.when(gone, 1)).alias("texts_deleted")).first()
     totals = {**whole.asDict(), **texts.asDict()}
-    back = counted.where("block >= 0").drop("tokens", "kinds", "deleted")
+    back = counted.where("block >= 0").select("n", "bucket", "block", "size", "seen", "gone")
     own = F.col("block") >= n
     events = dealt.where(own).groupBy("block").cogroup(back.where(own).groupBy("block")).applyInArrow(_events(order, totals), "bucket bigint, bins array<bigint>, events bigint")
     rows = events.groupBy("bucket", "bins").agg(F.sum("events").alias("events")).collect()
     mixture = weights(rows, order)
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_id}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_scored(order, totals, mixture), schema)
+    scored = dealt.groupBy("block").cogroup(back.drop("gone").groupBy("block")).applyInArrow(_scored(order, totals, mixture), schema)
     return scored.withColumn("train_tokens", F.lit(totals["tokens"]).cast("bigint"))
