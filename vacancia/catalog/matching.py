@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vacancia.catalog.registry import (
-    SQL_INCOMING, SQL_LISTINGS, SQL_STORED, SQL_URL, Tables, pick, posting_url, query, sql_pick,
+    SQL_INCOMING, SQL_LISTINGS, SQL_STORED, Tables, pick, posting_url, query, sql_pick,
 )
-from vacancia.functions import text as X
 from vacancia.operators import dedup, resolve as R
 from vacancia.operators.numbering import with_new_ids
 from vacancia.operators.dims import get_or_create_sites

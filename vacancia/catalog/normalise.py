@@ -579,7 +579,6 @@ def content_hash_dups(t: Tables) -> DataFrame:
 
 
 TITLE_TAILS = [" - Tulsa", ", Broken Arrow", " (Remote)", " - OK", " - Oklahoma - Tulsa", ", tulsa, OK", ""]
-TITLE_LEFT = ["", "", "", "", "", ", tulsa", ""]
 
 
 @query("title_clean", f"""

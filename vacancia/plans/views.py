@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacancia.operators.dedup import top_per_group
 
 
 def _dim(df: DataFrame, id_col: str, name_col: str, key: str, out: str) -> DataFrame:
@@ -183,7 +182,3 @@ def first_examples(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFram
     """The first rows as examples, with how many more there are."""
     more = df.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("more"))
     return df.orderBy(*order).limit(n).withColumn("more", more.scalar())
-
-
-def examples_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    return top_per_group(df, group, [F.col(c) for c in order], n)
