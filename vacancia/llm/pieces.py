@@ -26,11 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from vacancia.llm.flat import BYTES, arrow_bytes, blocks, expand
+
 SPACE = "▁"
-WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 LONG = 256  # symbols
-CACHED = 150_000  # words a task remembers before it starts anew
-CHARS = 1 << 21  # of texts worked on at once
+TEXT_BYTES = 1 << 21  # of texts whose distinct words are merged at once
 NONE = np.iinfo(np.int32).max
 
 
@@ -64,6 +64,9 @@ class Model:
                 surface.append(b"" if library.is_control(i) else piece.replace(SPACE, " ").encode())
         self.surface = np.frombuffer(b"".join(surface), np.uint8)
         self.surface_at = np.concatenate([[0], np.cumsum([len(x) for x in surface])])
+        digits = [b"%d," % i for i in range(size)]
+        self.digits = np.frombuffer(b"".join(digits), np.uint8)
+        self.digits_at = np.concatenate([[0], np.cumsum([len(x) for x in digits])])
         self.leads = np.array([library.id_to_piece(i).startswith(SPACE) and not library.is_control(i) for i in range(size)])
         # symbols: every piece, and every character that some piece holds; 0 is any other character
         symbols = {x: k for k, x in enumerate(dict.fromkeys(itertools.chain(sorted({c for p in pieces for c in p}), pieces)), 1)}
@@ -154,10 +157,8 @@ class Model:
         left = [i for i in range(n) if symbol[i] >= 0]
         return np.array([symbol[i] for i in left], np.int64), np.array(left, np.int64)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, flat, and how many each has."""
-        lengths = np.array([len(w) for w in words], np.int64)
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    def encode_words(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, flat, and how many each has; words are code points, flat."""
         ends = np.cumsum(lengths)
         long = lengths > LONG
         short = np.repeat(~long, lengths)
@@ -183,9 +184,59 @@ class Model:
     def decode_flat(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Surfaces of the ids, joined, and the bytes of each."""
         sizes = self.surface_at[ids + 1] - self.surface_at[ids]
-        before = np.cumsum(sizes) - sizes
-        source = np.arange(int(sizes.sum())) + np.repeat(self.surface_at[ids] - before, sizes)
-        return self.surface[source].tobytes(), sizes
+        return self.surface[expand(self.surface_at[ids], sizes)].tobytes(), sizes
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts (UTF-8, flat), flat, and how many each has."""
+        if SPACE.encode() in buf.tobytes():  # the sign for a space reads as one
+            data = buf.tobytes()
+            texts = [data[i:j].replace(SPACE.encode(), b" ") for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            buf, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        # every text that is not empty gets a space before it; words begin with their spaces
+        full = np.diff(offsets) > 0
+        offsets = offsets + np.concatenate([[0], np.cumsum(full)])
+        heads = offsets[:-1][full]
+        body = np.ones(int(offsets[-1]), bool)
+        body[heads] = False
+        text = np.full(body.size, 0x20, np.uint8)
+        text[body] = buf
+        space = text == 0x20
+        begin = space.copy()
+        begin[1:] &= ~space[:-1]
+        begin[heads] = True
+        starts = np.flatnonzero(begin)
+        sizes = np.diff(np.append(starts, text.size))
+        if not starts.size:
+            return np.zeros(0, np.int64), np.zeros(full.size, np.int64)
+        _, at, which = np.unique(BYTES.names(BYTES.prefix(BYTES.bytes[text]), starts, starts + sizes), return_index=True, return_inverse=True)
+        # equal names must be equal words; else every word is its own
+        if (sizes[at][which] != sizes).any() or (text[expand(starts[at][which], sizes)] != text).any():
+            at = which = np.arange(starts.size)
+        letters = text[expand(starts[at], sizes[at])]
+        codes = np.frombuffer(letters.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+        codes[codes == 0x20] = ord(SPACE)
+        lengths = np.add.reduceat(((letters & 0xC0) != 0x80).astype(np.int64), np.cumsum(sizes[at]) - sizes[at])
+        ids, counts = self.encode_words(codes, lengths)
+        first, counts = (np.cumsum(counts) - counts)[which], counts[which]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return ids[expand(first, counts)], np.diff(total[np.searchsorted(starts, offsets)])
+
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The texts (UTF-8) of what ``encode`` returns."""
+        data, sizes = self.decode_flat(ids)
+        ends = np.cumsum(counts)
+        at = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])]
+        skip = np.zeros(counts.size, np.int64)
+        some = np.flatnonzero(counts)
+        skip[some] = self.leads[ids[(ends - counts)[some]]]
+        return [data[i:j] for i, j in zip((at[:-1] + skip).tolist(), at[1:].tolist())]
+
+    def listed(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The ids of every sequence as decimals joined by commas."""
+        sizes = self.digits_at[ids + 1] - self.digits_at[ids]
+        data = self.digits[expand(self.digits_at[ids], sizes)].tobytes()
+        at = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [data[i : max(i, j - 1)] for i, j in zip(at, at[1:])]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of one sequence of ids, as the library decodes it."""
@@ -213,58 +264,11 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def words_of(text: str) -> list[str]:
-    """The words that merges stay within: spaces before a word belong to it."""
-    return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
-
-
-class Coder:
-    """Encodes texts, and decodes what it encoded, through the distinct words a task has met."""
-
-    def __init__(self, path: str | None) -> None:
-        self.model = model(path or default_path())
-        self.ids: dict[str, np.ndarray] = {}
-        self.listed: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
-        self.counts: dict[str, int] = {}
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.counts]
-        if not new:
-            return
-        if len(self.counts) + len(new) > CACHED:
-            for kept in (self.ids, self.listed, self.decoded, self.counts):
-                kept.clear()
-            new = list(words)
-        ids, counts = self.model.encode_words(new)
-        data, sizes = self.model.decode_flat(ids)
-        ends = np.cumsum(counts)
-        sizes = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])].tolist()
-        spoken = list(map(str, ids.tolist()))
-        first = 0
-        for k, (w, end, n) in enumerate(zip(new, ends.tolist(), counts.tolist())):
-            self.ids[w] = ids[first:end]
-            self.listed[w] = ",".join(spoken[first:end])
-            self.decoded[w] = data[sizes[k] : sizes[k + 1]].decode("utf-8", "replace")
-            self.counts[w] = n
-            first = end
-
-    def texts(self, texts: list[str]) -> Iterator[list[str]]:
-        """The words of every text, their codes known while the caller holds them."""
-        first = 0
-        while first < len(texts):
-            end, size = first, 0
-            while end < len(texts) and (end == first or size + len(texts[end]) <= CHARS):
-                size += len(texts[end])
-                end += 1
-            lists = [words_of(t) for t in texts[first:end]]
-            self.learn(set(itertools.chain.from_iterable(lists)))
-            yield from lists
-            first = end
-
-
-def _strings(batch: pa.RecordBatch) -> list[str]:
-    return [t or "" for t in batch.column("text").to_pylist()]
+def coded(known: Model, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and counts of a column of texts, some texts at a time."""
+    buf, offsets = arrow_bytes(column)
+    for first, end in blocks(offsets, TEXT_BYTES):
+        yield known.encode(buf[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first])
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -272,15 +276,15 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     others = [f for f in docs.schema.fields if f.name not in ("text", "ids")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path)
-        none = np.zeros(0, np.int64)
+        known = model(path or default_path())
         for batch in batches:
-            ids = [np.concatenate([coder.ids[w] for w in words] or [none]) for words in coder.texts(_strings(batch))]
-            offsets = np.concatenate([[0], np.cumsum([x.size for x in ids])]).astype(np.int32)
-            flat = pa.array(np.concatenate(ids or [none]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in others], pa.ListArray.from_arrays(offsets, flat)], [*[f.name for f in others], "ids"]
-            )
+            first = 0
+            for ids, counts in coded(known, batch.column("text")):
+                part = batch.slice(first, counts.size)
+                first += counts.size
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in others], lists], [*[f.name for f in others], "ids"])
 
     return docs.select(*[f.name for f in others], "text").mapInArrow(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in others], "ids array<int>"]))
 
@@ -304,21 +308,17 @@ def round_trip_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Ids of every text, decoded again: counts and digests, one row per row."""
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
-    def digest(parts: Iterator[str], joint: str) -> str:
-        return hashlib.sha256(joint.join(parts).encode("utf-8", "surrogatepass")).hexdigest()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path)
+        known = model(path or default_path())
         for batch in batches:
-            counts, ids, texts = [], [], []
-            for words in coder.texts(_strings(batch)):
-                counts.append(sum(map(coder.counts.__getitem__, words)))
-                ids.append(digest(map(coder.listed.__getitem__, words), ","))
-                said = "".join(map(coder.decoded.__getitem__, words))
-                texts.append(digest([said[1:]], ""))  # the space before the first word is the model's own
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            first = 0
+            for ids, counts in coded(known, batch.column("text")):
+                part = batch.slice(first, counts.size)
+                first += counts.size
+                lists, texts = ([hashlib.sha256(x).hexdigest() for x in f(ids, counts)] for f in (known.listed, known.decode_all))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(counts), pa.array(lists, pa.string()), pa.array(texts, pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_id}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
