@@ -35,9 +35,6 @@ BASE = ["assign", "access", "hex"]
 
 MASK = "[SECRET]"
 
-LEDGER = "blob string, rule_version int"
-FINDINGS = "blob string, rule_version int, kind string, rank int, start bigint, stop bigint"
-
 
 def blob_name(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
@@ -107,7 +104,7 @@ def per_blob(findings: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame
 def findings_by_path(versions: DataFrame, findings: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
     """Every row of ``versions`` (without its text) with the spans found in its content."""
     paths = versions.select(*[c for c in versions.columns if c not in ("text", "blob", "found")], blob_name(F.col("text")).alias("blob"))
-    return paths.join(per_blob(findings, rule_version), "blob", "left")
+    return paths.join(saved(per_blob(findings, rule_version), "findings_by_blob"), "blob", "left")
 
 
 def span_list(found: Column) -> Column:
@@ -122,7 +119,7 @@ def _of(kind: str):
 
 def secret_digest(docs: DataFrame) -> DataFrame:
     """One row per document: spans counted by base kind, and listed."""
-    findings = scan_increment(docs.select("doc_id", "text"))[1]
+    findings = saved(scan_increment(docs.select("doc_id", "text"))[1], "findings")
     df = findings_by_path(docs.select("doc_id", "text"), findings)
     base = F.filter("found", lambda x: x["kind"].isin(*BASE))
     counts = [F.coalesce(F.size(F.filter("found", _of(kind))), F.lit(0)) for kind in BASE]
