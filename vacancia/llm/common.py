@@ -7,10 +7,27 @@ from pyspark.sql import functions as F
 
 from vacancia.session import materialise
 
-RELEASE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# What every step runs with: shuffle files go when a step is written; texts that a join will not
+# keep are dropped by a Bloom filter (8 MB at most) before they are shuffled, on tables of any
+# size and not only from the 10 GB of Spark's default on; tasks get a few megabytes of texts at once.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "16MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with what the steps of this package run with."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    tuned(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,7 +37,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The written step survives lost executors, so the shuffle files that led to it are
     released as soon as it is there instead of at some later collection of garbage.
     """
-    df.sparkSession.conf.set(RELEASE_SHUFFLES, "true")
+    tuned(df.sparkSession)
     return materialise(df, name)
 
 
@@ -30,11 +47,6 @@ def groups_for(docs: DataFrame, each: int) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
-def bucket_of(text: Column, size: int) -> Column:
-    """The remainder of the CRC-32 of a text, null counted as empty."""
-    return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % size
-
-
 def identified(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``copy`` and ``text``: what names a document.
 

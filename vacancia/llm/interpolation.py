@@ -18,8 +18,6 @@ a null doc_id hashes as the empty text; without training texts every score is 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancia.llm.common import saved
 from vacancia.llm.flat import BYTES, LOWER, Words, arrow_bytes, blocks, expand
 
 BUCKETS = 1 << 15
@@ -73,16 +74,17 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 
 def trained(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages, and log-probabilities of the buckets in each."""
-    counts = trigram_counts(docs)
-    rows = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("n")).orderBy("lang")
+    counts = saved(trigram_counts(docs), "trigrams")
+    few = counts.select("lang").distinct().count()
+    if few * BUCKETS * 4 > MODEL_BYTES:
+        raise ValueError(f"the model of {few} languages is over {MODEL_BYTES} bytes")
+    rows = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("n")).collect()  # a row per language
     langs, tables = [], []
-    for row in rows.toLocalIterator():
+    for row in sorted(rows, key=lambda r: r.lang):
         table = np.zeros(BUCKETS)
         table[[x.bucket for x in row.n]] = [x.n for x in row.n]
         langs.append(row.lang)
         tables.append(np.log((table + SMOOTHING) / (table.sum() + SMOOTHING * BUCKETS)).astype(np.float32))
-        if len(langs) * BUCKETS * 4 > MODEL_BYTES:
-            raise ValueError(f"the model of more than {len(langs)} languages is over {MODEL_BYTES} bytes")
     return langs, np.array(tables, np.float32).reshape(len(langs), BUCKETS).T.copy()
 
 
@@ -128,6 +130,27 @@ def chosen(like: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return result.argmax(1), result.max(1)
 
 
+def _predicted(buf: np.ndarray, offsets: np.ndarray, texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the predicted languages, -1 for none, and the scores."""
+    pred, score = np.full(offsets.size - 1, -1), np.zeros(offsets.size - 1)
+    words = Words(buf, offsets, LETTERS)
+    if not words.starts.size or not table.size:
+        return pred, score
+    names = BYTES.names(BYTES.prefix(BYTES.bytes[buf]), words.starts, words.ends)
+    _, at, which = np.unique(names, return_index=True, return_inverse=True)
+    codes, counts = trigrams(buf, words.starts[at], words.ends[at])
+    sums = np.add.reduceat(table[codes], np.cumsum(counts) - counts, axis=0)
+    like = np.exp(np.maximum(sums - sums.max(1, keepdims=True), -60))[which]
+    some = np.flatnonzero(words.count)
+    pred[some], score[some] = chosen(like, words.first[some])
+    # texts of non-ASCII signs alone may hold no letter
+    plain = np.concatenate([[0], np.cumsum((buf < 0x80) & LETTERS[buf])])
+    for i in np.flatnonzero((pred >= 0) & (plain[offsets[1:]] == plain[offsets[:-1]])).tolist():
+        if not any(map(str.isalpha, texts[i].as_py())):
+            pred[i], score[i] = -1, 0
+    return pred, np.minimum(score, 1.0)
+
+
 def detected(docs: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
     """Every row with ``lang_pred`` and ``score``; only ``text`` is read."""
     spark = docs.sparkSession
@@ -138,30 +161,13 @@ def detected(docs: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.value
         for batch in batches:
-            column = batch.column("text")
-            buf, offsets = arrow_bytes(column)
-            pred = np.full(batch.num_rows, -1)
-            score = np.zeros(batch.num_rows)
-            for start, end in blocks(offsets) if langs else ():
+            buf, offsets = arrow_bytes(batch.column("text"))
+            for start, end in blocks(offsets):
                 part = buf[offsets[start] : offsets[end]]
-                words = Words(part, offsets[start : end + 1] - offsets[start], LETTERS)
-                if not words.starts.size:
-                    continue
-                names = BYTES.names(BYTES.prefix(BYTES.bytes[part]), words.starts, words.ends)
-                _, at, which = np.unique(names, return_index=True, return_inverse=True)
-                codes, counts = trigrams(part, words.starts[at], words.ends[at])
-                sums = np.add.reduceat(table[codes], np.cumsum(counts) - counts, axis=0)
-                like = np.exp(np.maximum(sums - sums.max(1, keepdims=True), -60))[which]
-                some = np.flatnonzero(words.count)
-                best, share = chosen(like, words.first[some])
-                pred[start + some], score[start + some] = best, share
-            # texts of non-ASCII signs alone may hold no letter
-            plain = np.concatenate([[0], np.cumsum((buf < 0x80) & LETTERS[buf])])
-            for i in np.flatnonzero((pred >= 0) & (plain[offsets[1:]] == plain[offsets[:-1]])).tolist():
-                if not any(map(str.isalpha, column[i].as_py())):
-                    pred[i], score[i] = -1, 0
-            said = pa.array([UNKNOWN if k < 0 else langs[k] for k in pred.tolist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, said, pa.array(np.minimum(score, 1.0))], [*columns, "lang_pred", "score"])
+                rows = batch.slice(start, end - start)
+                pred, score = _predicted(part, offsets[start : end + 1] - offsets[start], rows.column("text"), table)
+                said = pa.array([UNKNOWN if k < 0 else langs[k] for k in pred.tolist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns, said, pa.array(score)], [*columns, "lang_pred", "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
