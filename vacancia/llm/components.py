@@ -19,7 +19,6 @@ def _round(links: DataFrame, large: bool) -> DataFrame:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    both = saved(both, "links")
     least = saved(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "least")
     joined = both.join(least, "u")
     if large:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from vacancia.llm.common import identified, same_document, saved
 from vacancia.llm.components import components
-from vacancia.llm.flat import OTHER, SPACE, WORDS, Words, arrow_bytes, blocks, mix
+from vacancia.llm.flat import SPACE, WORDS, Words, arrow_bytes, blocks, mix
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -89,19 +89,25 @@ def _labels(column: pa.Array) -> np.ndarray:
     return arrow_bytes(column)[0].view(np.uint16).reshape(-1, TREES, DEPTH)
 
 
+def trie_nodes(labels: np.ndarray, depth: int) -> np.ndarray:
+    """The trie node of every tree at a depth, a row for each string of labels."""
+    node = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), labels.shape[:2])
+    for k in range(depth):
+        node = mix(node * _U(0x9E3779B97F4A7C15) + labels[:, :, k] + _U(1))
+    return node
+
+
 def prefixes(classes: DataFrame, depth: int) -> DataFrame:
-    """Rows (node, class): the trie node of every tree at a depth."""
+    """Rows (node, tree, class): the trie node of every tree at a depth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = _labels(batch.column("labels"))
-            node = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), labels.shape[:2])
-            for k in range(depth):
-                node = mix(node * _U(0x9E3779B97F4A7C15) + labels[:, :, k] + _U(1))
-            row = np.repeat(np.arange(labels.shape[0]), TREES)
-            yield pa.RecordBatch.from_arrays([_signed(node.reshape(-1)), batch.column("class").take(pa.array(row))], ["node", "class"])
+            node = trie_nodes(_labels(batch.column("labels")), depth)
+            row = np.repeat(np.arange(node.shape[0]), TREES)
+            tree = np.tile(np.arange(TREES, dtype=np.int32), node.shape[0])
+            yield pa.RecordBatch.from_arrays([_signed(node.reshape(-1)), pa.array(tree), batch.column("class").take(pa.array(row))], ["node", "tree", "class"])
 
-    return classes.select("class", "labels").mapInArrow(run, "node bigint, class bigint")
+    return classes.select("class", "labels").mapInArrow(run, "node bigint, tree int, class bigint")
 
 
 def block_pairs(rows: DataFrame, group: str, sizes: DataFrame, each: int = BLOCK) -> DataFrame:
@@ -167,7 +173,11 @@ def unit_pairs(unit: np.ndarray, part: np.ndarray, within: np.ndarray) -> Iterat
 
 
 def families(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Links of a spanning forest of similar classes under equal prefixes; and a histogram of the pairs."""
+    """Links of a spanning forest of similar classes under equal prefixes; and a histogram of the pairs.
+
+    A pair is compared once: in the first tree in which it meets, and not if it met at a
+    longer prefix before.
+    """
     nodes = prefixes(classes, depth)
     sizes = saved(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
     units = block_pairs(nodes, "node", sizes)
@@ -175,33 +185,36 @@ def families(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _units(batches):
-            unit, part, within, name = (table.column(c).to_numpy() for c in ("unit", "part", "within", "class"))
+            unit, tree, part, within, name = (table.column(c).to_numpy() for c in ("unit", "tree", "part", "within", "class"))
             labels = _labels(table.column("labels"))
+            flat = labels.reshape(labels.shape[0], -1)
+            node = trie_nodes(labels, depth)
+            longer = trie_nodes(labels, depth + 1) if depth < DEPTH else None
             found_left, found_right = [], []
-            histogram: dict[int, float] = {}
+            histogram = np.zeros(101)
             for left, right in unit_pairs(unit, part, within):
                 for k in range(0, left.size, 1 << 14):
                     a, b = left[k : k + (1 << 14)], right[k : k + (1 << 14)]
-                    same = labels[a] == labels[b]
-                    alike = same.mean((1, 2))
+                    new = (node[a] == node[b]).argmax(1) == tree[a]
+                    if longer is not None:
+                        new &= ~(longer[a] == longer[b]).any(1)
+                    a, b = a[new], b[new]
+                    alike = np.count_nonzero(flat[a] == flat[b], axis=1) / flat.shape[1]
                     go = alike >= SIMILAR
                     found_left.append(a[go])
                     found_right.append(b[go])
-                    sure = alike >= SIMILARITY
-                    met = same[sure][:, :, :depth].all(2).sum(1)  # trees in which the pair meets: it counts once over all
-                    for bin_, weight in zip(np.floor(alike[sure] * 100).astype(int).tolist(), (1 / np.maximum(met, 1)).tolist()):
-                        histogram[bin_] = histogram.get(bin_, 0.0) + weight
+                    histogram += np.bincount(np.floor(alike[alike >= SIMILARITY] * 100).astype(int), minlength=101)
             none = np.zeros(0, np.int64)
             label = labelled(unit.size, np.concatenate([*found_left, none]), np.concatenate([*found_right, none]))
             linked = np.flatnonzero(label != np.arange(label.size))
-            bins = list(histogram)
+            bins = np.flatnonzero(histogram)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([*name[linked].tolist(), *[None] * len(bins)], pa.int64()), pa.array([*name[label[linked]].tolist(), *[None] * len(bins)], pa.int64()),
-                 pa.array([*[None] * linked.size, *bins], pa.int64()), pa.array([*[None] * linked.size, *histogram.values()], pa.float64())],
+                [pa.array([*name[linked].tolist(), *[None] * bins.size], pa.int64()), pa.array([*name[label[linked]].tolist(), *[None] * bins.size], pa.int64()),
+                 pa.array([*[None] * linked.size, *bins.tolist()], pa.int64()), pa.array([*[None] * linked.size, *histogram[bins].tolist()], pa.float64())],
                 ["u", "v", "bin", "pairs"],
             )
 
-    dealt = units.select("unit", "part", "within", "class", "labels").repartition("unit").sortWithinPartitions("unit")
+    dealt = units.select("unit", "tree", "part", "within", "class", "labels").repartition("unit").sortWithinPartitions("unit")
     out = saved(dealt.mapInArrow(run, "u bigint, v bigint, bin bigint, pairs double"), "families")
     return out.where("u is not null").select("u", "v"), out.where("bin is not null").groupBy("bin").agg(F.sum("pairs").alias("pairs"))
 
@@ -212,12 +225,14 @@ def found_chance(similarity: float, depth: int) -> float:
 
 def matched(classes: DataFrame) -> DataFrame:
     """Families at the longest prefixes that reach the target recall."""
+    links, pairs = None, {}
     for depth in range(DEPTH, 0, -1):
-        links, histogram = families(classes, depth)
-        rows = histogram.collect()  # at most a row per percent
-        found = sum(r.pairs for r in rows)
-        there = sum(r.pairs / found_chance(r.bin / 100, depth) for r in rows)
-        if not there or found / there >= RECALL:
+        more, histogram = families(classes, depth)
+        links = more if links is None else links.unionByName(more)
+        for r in histogram.collect():  # a row per percent at most
+            pairs[r.bin] = pairs.get(r.bin, 0.0) + r.pairs
+        there = sum(n / found_chance(k / 100, depth) for k, n in pairs.items())
+        if not there or sum(pairs.values()) / there >= RECALL:
             break
     return links
 
