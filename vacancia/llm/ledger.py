@@ -12,6 +12,8 @@ a row; positions are code points, the end exclusive.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ RULE_VERSION = 1
 # not be matched to be dropped where a pattern is a single greedy run.
 _ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 RULES = [
-    ("assign", "[:=]", _ASSIGN, 1, 6),
+    ("assign", "(?i)password|passwd|secret|token|api_?key", _ASSIGN, 1, 6),
     ("access", "AKIA", "AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", "[0-9a-f]{24}", "[0-9a-f]{24,}", 0, 24),
     ("private_key", "-----BEGIN", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
@@ -52,6 +54,11 @@ def matches(text: Column, pattern: str, group: int) -> tuple[Column, Column, Col
             F.split(text, pattern, -1))
 
 
+def may_hold(text: Column) -> Column:
+    """Whether any rule's cheap test hits: texts that fail all of them have no findings and need not move."""
+    return F.coalesce(reduce(lambda a, b: a | b, [text.rlike(test) for _, test, *_ in RULES]), F.lit(False))
+
+
 def scan_blobs(blobs: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
     """Findings of every blob, by every rule; ``blobs`` has blob and text."""
     per_rule = []
@@ -87,8 +94,12 @@ def unseen(versions: DataFrame, ledger: DataFrame | None, rule_version: int = RU
 
 
 def scan_increment(versions: DataFrame, ledger: DataFrame | None = None, rule_version: int = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
-    """One run: rows to append to the ledger, and to the findings."""
-    new = unseen(versions, ledger, rule_version)
+    """One run: rows to append to the ledger, and to the findings.
+
+    Every content is named where it lies. Only texts that may hold a finding are moved to
+    meet their copies, so that each is scanned once.
+    """
+    new = unseen(versions.where(may_hold(F.col("text"))), ledger, rule_version)
     entries = versions.select(blob_name(F.col("text")).alias("blob"), F.lit(rule_version).alias("rule_version")).distinct()
     if ledger is not None:
         entries = entries.join(ledger.select("blob", "rule_version").distinct(), ["blob", "rule_version"], "left_anti")
@@ -139,8 +150,10 @@ def masked(docs: DataFrame, mask: str = MASK, rule_version: int = RULE_VERSION)
     cuts = spans.select("blob", F.greatest("start", "covered").alias("start"), "stop", "covered", fresh.alias("fresh"))
     cuts = cuts.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "covered", "fresh"))).alias("cuts"))
     cuts = saved(cuts, "cuts")
-    joined = docs.join(cuts, blob_name(docs["text"]) == cuts["blob"], "left")
-    text, found = docs["text"], cuts["cuts"]
+    plain = docs.where(~may_hold(docs["text"]))
+    some = docs.where(may_hold(docs["text"]))
+    joined = some.join(cuts, blob_name(some["text"]) == cuts["blob"], "left")
+    text, found = some["text"], cuts["cuts"]
     between = F.transform(
         found,
         lambda x: F.concat(
@@ -151,5 +164,6 @@ def masked(docs: DataFrame, mask: str = MASK, rule_version: int = RULE_VERSION)
     rebuilt = F.concat(F.array_join(between, ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
     new = {"text": F.when(found.isNull(), text).otherwise(rebuilt)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(found.isNull(), docs["n_chars"]).otherwise(F.length(rebuilt))
-    return joined.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else docs[c] for c in docs.columns])
+        new["n_chars"] = F.when(found.isNull(), some["n_chars"]).otherwise(F.length(rebuilt))
+    rebuilt_rows = joined.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else some[c] for c in docs.columns])
+    return plain.unionByName(rebuilt_rows)
