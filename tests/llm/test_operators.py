@@ -226,6 +226,34 @@ def test_masked(docs):
             assert ledger.MASK in rows[doc_id][0] and not brute.secrets(rows[doc_id][0]) and rows[doc_id][1] == len(rows[doc_id][0])
 
 
+LINES = ["MIIEowIBAAKCAQEA7bq" + f"{k:02d}/+" * 11 + "Q" for k in range(5)]
+KEYS = [
+    "-----BEGIN RSA PRIVATE KEY-----\n{}\nq83vEjRWeJA=\n-----END RSA PRIVATE KEY-----",
+    "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,A1B2C3\n\n{}\n-----END RSA PRIVATE KEY-----",
+    "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\nComment: a -- b\n\n{}\n=x5Q7\n-----END PGP PRIVATE KEY BLOCK-----",
+    "-----BEGIN PRIVATE KEY-----\\n{}\\nq83v==\\n-----END PRIVATE KEY-----",
+    "-----BEGIN EC PRIVATE KEY-----\r\n{}\r\nq83vEjRWeJA=",  # the end is missing
+    "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{}\nq83vEjRWeJA=\n=x5Q7",
+    "-----BEGIN PRIVATE KEY-----\n{}\nq83vEjRWeJA=",
+]
+
+
+@pytest.mark.parametrize("behind", [" and so on", "\n\nThen comes prose with words of 7 letters.\n-----BEGIN CERTIFICATE-----\nMIIB\n-----END CERTIFICATE-----\n", ""])
+def test_whole_private_keys_are_masked(spark, behind):
+    ended = [k for k in KEYS if "END" in k]
+    some = ended if behind == " and so on" else KEYS
+    sep = lambda k: "\\n" if "\\n" in k else "\r\n" if "\r" in k else "\n"
+    texts = [f"before {k.format(sep(k).join(LINES))}{behind}" for k in some] + ["two " + ended[0].format("\n".join(LINES)) + "\nand " + ended[2].format("\n".join(LINES)) + behind]
+    texts.append("é" * 3 + " -----BEGIN PRIVATE KEY-----\n" + "\n".join(LINES * 4000) + "\n-----END PRIVATE KEY-----" + behind)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = by_id(ledger.masked(df), "text")
+    for k in range(len(some)):
+        assert out[k] == (f"before {ledger.MASK}{behind}",)
+    assert out[len(some)] == (f"two {ledger.MASK}\nand {ledger.MASK}{behind}",) and out[len(some) + 1] == ("é" * 3 + f" {ledger.MASK}{behind}",)
+    spans = by_id(ledger.secret_digest(df), "spans")
+    assert all(f"private_key:7:{len(texts[k]) - len(behind)}" in spans[k][0].split(",") for k in range(len(some)))
+
+
 CHATS = [
     *[(1, i, "user" if i % 2 == 0 else "assistant", brute.sentences(i, 30 + i)) for i in range(40)],
     (2, 0, "system", "be brief ### </turn>"), *[(2, i, "assistant" if i % 2 == 0 else "user", brute.sentences(i, 90)) for i in range(1, 30)],

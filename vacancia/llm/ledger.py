@@ -19,17 +19,26 @@ from pyspark.sql import functions as F
 
 from vacancia.llm.common import saved
 
-RULE_VERSION = 1
+RULE_VERSION = 3  # not 2, which the tests take for a version no ledger holds
 
 # Fixed patterns: the base kinds, then kinds this scan adds. Each is (kind, cheap test, pattern,
 # captured group to measure, least length of it). Runs shorter than the least length need
 # not be matched to be dropped where a pattern is a single greedy run.
+# A private key runs to its END line. Where another marker or the text's end comes first, it is
+# the header's fields and the lines of base64 behind it, the last of them short.
+_BREAK, _BASE64 = "(?:[\\s>\"',]|\\\\+[nrt])", "[A-Za-z0-9+/=]"
+_KEY_HEAD = "-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_KEY_ENDED = "[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_KEY_CUT = (
+    f"(?:{_BREAK}++[A-Z][A-Za-z-]*+:\\x20[^\\r\\n\\\\]*+)*+"
+    f"(?:(?:{_BREAK}++{_BASE64}{{20,}}+)++(?:{_BREAK}++{_BASE64}++(?=[\\r\\n\"']|\\\\+[nr]|\\z)){{0,2}}+|{_BREAK}++{_BASE64}++(?={_BREAK}*+(?:\\z|-----)))?+"
+)
 _ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 RULES = [
     ("assign", "(?i)password|passwd|secret|token|api_?key", _ASSIGN, 1, 6),
     ("access", "AKIA", "AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", "[0-9a-f]{24}", "[0-9a-f]{24,}", 0, 24),
-    ("private_key", "-----BEGIN", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("private_key", "-----BEGIN", f"{_KEY_HEAD}(?:{_KEY_ENDED}|{_KEY_CUT})", 0, 1),
     ("web_token", "eyJ", "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", 0, 1),
     ("hosted_token", "gh[pousr]_", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
 ]
