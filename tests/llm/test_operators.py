@@ -47,6 +47,24 @@ def test_estimates_are_distributions(docs):
     assert np.allclose(share.sum(1), 1) and (share >= 0).all() and share[0, 2] == 0
 
 
+def test_the_query_counts_trigrams(spark):
+    # with two alternating successors only the token before last tells what comes
+    def text(i):
+        words = brute.sentences(i % 5, 30).split()
+        return " ".join(w for k in range(len(words) - 1) for w in (words[k], "and", words[k + 1]))
+
+    df = brute.frame(spark, [(i, text(i), "en", "a", None) for i in range(200)])
+    asked, pairs = (by_id(interpolation.interpolated_scores(df, *order).where("held_out"), "score") for order in ((), (2,)))
+    assert sum(x[0] for x in asked.values()) > sum(x[0] for x in pairs.values()) + 10
+
+
+def test_no_weight_on_contexts_never_seen():
+    rows = [type("R", (), {"bucket": b, "bins": [1024 + 8 * k, 1024 + 16 * k, 1024 + 24 * k], "events": 3})() for b in (0, 1, 63) for k in range(4)]
+    share = interpolation.weights(rows, 3)
+    assert np.allclose(share.sum(1), 1) and (share >= 0).all()
+    assert (share[0, 2:] == 0).all() and share[63, 3] == 0 and share[63, 2] > 0
+
+
 @pytest.mark.parametrize("block", [256, 2])
 def test_jaccard_join(docs, monkeypatch, block):
     monkeypatch.setattr(forest.block_pairs, "__defaults__", (block,))

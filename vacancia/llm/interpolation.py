@@ -2,7 +2,7 @@
 
 The probability of a token is a mixture of maximum-likelihood estimates, from the uniform one
 over the vocabulary to that of the longest n-gram. The weights depend on how often the context
-was seen (a bucket per power of two). They are learned by expectation-maximisation on a part
+was seen (a bucket per power of two, and one per longest shorter context where it never was). They are learned by expectation-maximisation on a part
 of the training texts that is deleted from the counts for that: one tenth, by the tens of the
 document's hash. The estimates then come from all training texts.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vacancia.llm.common import groups_for, saved
 from vacancia.llm.flat import SPACE, Words, arrow_bytes, blocks, mix
 
-ORDER = 2
+ORDER = 3
 BLOCK_BYTES = 4 << 20  # of text in one group
 FOLDS = 10
 STEPS = 8  # histogram bins of an estimate for every doubling
@@ -143,6 +143,11 @@ def _added(buckets: int, blocks_: int):
     return run
 
 
+def unseen(longest: np.ndarray | int, order: int) -> np.ndarray | int:
+    """The bucket of a context never seen, by the longest n-gram whose context was: 0, or one of the last."""
+    return np.where(np.asarray(longest) > 1, 64 - order + longest, 0)
+
+
 class Block:
     """A block's texts with the counts that came back for their n-grams."""
 
@@ -169,14 +174,15 @@ class Block:
         texts = totals["texts"] - totals["texts_deleted"] if deleted else totals["texts"]
         uniform = totals["kinds"] + 1
         out = [counts[0] / max(size, 1) * uniform]
-        context = np.full(counts[0].size, size)
+        context, longest = np.full(counts[0].size, size), np.ones(counts[0].size, np.int64)
         for n in range(1, len(counts)):
             # a context is the n-gram that ended at the token before; at a text's begin, the markers
             context = np.empty_like(counts[n])
             context[1:] = counts[n - 1][:-1]
             context[self.first] = texts
             out.append(np.where(context > 0, counts[n] / np.maximum(context, 1), 0.0) * uniform)
-        bucket = np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))) + 1, 0).astype(np.int64)
+            longest += context > 0
+        bucket = np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))) + 1, unseen(longest, len(counts))).astype(np.int64)
         return out, bucket
 
 
@@ -219,7 +225,8 @@ def weights(rows: list, order: int) -> np.ndarray:
             out[:] = share / share.sum()  # a bucket without events takes those of all
         else:
             out[b] = share / share.sum()
-    out[0, order] = 0 if order > 1 else out[0, order]  # nothing is known of a context never seen
+    for n in range(1, order):
+        out[unseen(n, order), n + 1 :] = 0  # nothing is known of a context never seen
     return out / out.sum(1, keepdims=True)
 
 
