@@ -212,6 +212,26 @@ def test_quality_thresholds_adapt(spark):
     assert kept[1000] == (False,) and all(kept[i] == (True,) for i in range(500))
 
 
+@pytest.mark.parametrize("fence", ["mean_word", "symbol_share", "dup_line_share", "repeat_share"])
+def test_every_fence_adapts(spark, fence):
+    # what all texts of one source have is kept there, and goes where next to no text has it
+    def odd(i):
+        words = brute.sentences(i, 100).split()
+        if fence == "mean_word":
+            return " ".join(w + "0" * (i % 3 + 1) for w in words)
+        if fence == "symbol_share":
+            return " ".join(words) + " #" * 5
+        if fence == "dup_line_share":
+            return "\n".join([" ".join(words[k : k + 9]) for k in range(0, 99, 9)] + ["the end"] * (3 + i % 3))
+        return " ".join(words + words[: 9 + i % 3])
+
+    plain = [(i, brute.sentences(5000, 100), "en", "plain", None) for i in range(400)]
+    rows = plain + [(1000 + i, odd(i), "en", "marked", None) for i in range(400)] + [(9999, odd(1), "en", "plain", None)]
+    found = by_id(quality.judged(brute.frame(spark, rows)), "kept", "base_failed")
+    assert found[9999] == (False, False)
+    assert all(found[i] == (True, False) for i in [*range(400), *range(1000, 1400)])
+
+
 def test_secret_ledger(docs):
     found = by_id(ledger.secret_digest(docs), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
     for doc_id, text in PAIRS:

@@ -3,8 +3,9 @@
 Each text is measured in one pass of native expressions. KLL quantile sketches of every
 measure are built per language and source, merged per language and merged again over all;
 a group with few documents takes the sketch of its language, and a language with few that of
-all. Fences (quartiles and their distance) read from the sketches replace fixed cutoffs, and
-join back to the measures. Measures hold no texts, so only short rows are saved and joined.
+all. Fences (quartiles and their distance, and the outermost hundredths) read from the sketches
+replace fixed cutoffs, and join back to the measures. Measures hold no texts, so only short rows
+are saved and joined.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null language or
 source is a group of its own; repeated rows are each a document; an empty table gives no rows.
@@ -22,13 +23,16 @@ SYMBOLS = "#*$%&|<>"
 REPEAT_WORDS = 8
 MIN_GROUP = 200  # documents under which a group takes the thresholds of the wider one
 FENCE = 6.0  # distances of the quartiles beyond which a text is an outlier
+TAIL = 0.01  # share of a group that its fence puts outside at most, on a side
+SKETCH = 2000  # size of a sketch: its ranks are right to about 0.0015, a fraction of TAIL
 
-# measure -> (side that fails, least distance of the fence from the quartile)
+# measure -> (side that fails, count that a failing text is above: one sign, line or window that
+# comes again says nothing of a short text)
 MEASURES = {
-    "mean_word": ("both", 1.5),
-    "symbol_share": ("high", 0.02),
-    "dup_line_share": ("high", 0.4),
-    "repeat_share": ("high", 0.3),
+    "mean_word": ("both", None),
+    "symbol_share": ("high", ("n_symbols", 3)),
+    "dup_line_share": ("high", ("n_dup_lines", 1)),
+    "repeat_share": ("high", ("n_repeat_words", 2 * REPEAT_WORDS)),
 }
 
 
@@ -81,22 +85,26 @@ def measured(docs: DataFrame) -> DataFrame:
 def sketches(measures: DataFrame) -> DataFrame:
     """A mergeable quantile sketch of every measure, per language and source."""
     return measures.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(c).alias(c) for c in MEASURES]
+        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(c, F.lit(SKETCH)).alias(c) for c in MEASURES]
     )
 
 
 def merged(parts: DataFrame, *keys: Column | str) -> DataFrame:
-    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(c).alias(c) for c in MEASURES])
+    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(c, F.lit(SKETCH)).alias(c) for c in MEASURES])
 
 
 def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """``low_`` and ``high_`` of every measure, read from its sketch."""
+    """``low_`` and ``high_`` of every measure, read from its sketch.
+
+    Where nearly all texts have one value, the quartiles have no distance and the fence is the
+    quantile at TAIL: what next to no text of the group has is outside.
+    """
     out = []
-    for c, (side, least) in MEASURES.items():
-        q1, q3 = (F.kll_sketch_get_quantile_double(c, F.lit(q)) for q in (0.25, 0.75))
-        reach = F.greatest(FENCE * (q3 - q1), F.lit(least))
-        out.append((q1 - reach if side == "both" else F.lit(float("-inf"))).alias(f"low_{c}"))
-        out.append((q3 + reach).alias(f"high_{c}"))
+    for c, (side, _) in MEASURES.items():
+        low, q1, q3, high = (F.kll_sketch_get_quantile_double(c, F.lit(q)) for q in (TAIL, 0.25, 0.75, 1 - TAIL))
+        reach = FENCE * (q3 - q1)
+        out.append((F.least(q1 - reach, low) if side == "both" else F.lit(float("-inf"))).alias(f"low_{c}"))
+        out.append(F.greatest(q3 + reach, high).alias(f"high_{c}"))
     return sketch.select(*keys, "n", *out)
 
 
@@ -121,8 +129,9 @@ def judged(docs: DataFrame) -> DataFrame:
     limits = saved(thresholds(saved(sketches(measures), "sketches")), "thresholds")
     same = F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_"))
     inside = F.lit(True)
-    for c in MEASURES:
-        inside &= F.col(c).between(F.col(f"low_{c}"), F.col(f"high_{c}"))
+    for c, (_, above) in MEASURES.items():
+        within = F.col(c).between(F.col(f"low_{c}"), F.col(f"high_{c}"))
+        inside &= within | (F.col(above[0]) <= above[1]) if above else within
     return measures.join(limits, same, "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept")
     )
