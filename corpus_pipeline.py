@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 from vacancia.llm import decontaminate, forest, language, ledger, pieces
 from vacancia.llm.common import saved, table
 
-MIN_LANGUAGE_SCORE = 0.4  # share of a text's words in its main language
+MIN_LANGUAGE_SCORE = 0.4  # share of a text's words in the learned languages together
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts of a learned language; a missing ``lang`` is filled in."""
+    """Keeps texts of learned languages, one or several; a missing ``lang`` is filled in."""
     langs, logs = language.trained(docs)
-    found = language.detected(docs, langs, logs)
+    found = language.detected(docs, langs, logs, known=True)
     if langs:
-        found = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+        found = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("known") >= MIN_LANGUAGE_SCORE))
     return found.withColumn("lang", F.coalesce("lang", F.when(F.col("lang_pred") != language.UNKNOWN, F.col("lang_pred")))).select(*docs.columns)
 
 

@@ -44,6 +44,19 @@ def test_texts_without_a_language_go(steps):
     assert steps[1].where(F.col("lang").isNull()).count() == 0
 
 
+def test_mixtures_stay_and_unknown_languages_go(spark):
+    german = "über straße schön mädchen zwölf größe hälfte früh jäger wörter gänse".split()
+    french = "être où déjà forêt naïf çà élève très après voilà garçon hôtel".split()
+    own = [brute.sentences(1, 900), brute.sentences(2, 900, french), brute.sentences(3, 900, german)]
+    mixed = " ".join(" ".join(t.split()[k : k + 40]) for t in own for k in (0, 300))
+    rng = np.random.default_rng(1)
+    junk = " ".join("".join(rng.choice(list("bcdfghjkqvwxyz"), 7)) for _ in range(120))
+    greek = brute.sentences(4, 120, "λόγος άνθρωπος θάλασσα ουρανός ημέρα νύχτα δρόμος".split())
+    rows = [(i, t, lang, None, len(t)) for i, (t, lang) in enumerate(zip([*own, mixed, junk, greek], ["en", "fr", "de", None, None, None]))]
+    kept = corpus_pipeline.identify_language(spark, brute.frame(spark, rows), "")
+    assert set(texts(kept)) == {0, 1, 2, 3}
+
+
 def test_one_of_each_class_stays(steps):
     classes = brute.links(list(texts(steps[1]).items()))
     assert set(texts(steps[2])) == {d for d, (least, _) in classes.items() if d == least}

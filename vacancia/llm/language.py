@@ -6,6 +6,11 @@ Expectation-maximisation estimates the proportions; the set of languages grows f
 one only while the gain in log-likelihood is worth more than a penalty per language. The
 prediction is the largest share of the chosen set.
 
+Shares add up to 1 in any text, so they say nothing of a text in no learned language. For that
+a second mixture sets the chosen languages together against a background in which all trigrams
+are equally likely: ``known`` is their share of the words. A language close to a learned one is
+nearer to that than to the background, and counts as known.
+
 The model has one row of ``BUCKETS`` probabilities per language, whatever the corpus; it is
 checked against ``MODEL_BYTES`` before it is sent to tasks. Texts are not shuffled.
 
@@ -103,8 +108,8 @@ def proportions(like: np.ndarray, first: np.ndarray, allowed: np.ndarray) -> tup
     return share, np.add.reduceat(np.log(total[:, 0]), first)
 
 
-def chosen(like: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The largest language of each text's chosen set, and its share."""
+def chosen(like: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The shares of the languages in each text, 0 outside its chosen set."""
     n, langs = first.size, like.shape[1]
     counts = np.diff(np.append(first, like.shape[0]))
     share, _ = proportions(like, first, np.ones((n, langs)))
@@ -127,35 +132,48 @@ def chosen(like: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         better = found - best[open_] > PENALTY * np.log(counts[open_] + 1)
         open_, trial, shares, found = open_[better], trial[better], shares[better], found[better]
         allowed[open_], result[open_], best[open_] = trial, shares, found
-    return result.argmax(1), result.max(1)
+    return result
+
+
+def covered(like: np.ndarray, first: np.ndarray, shares: np.ndarray, background: np.ndarray) -> np.ndarray:
+    """The share of each text's words that its languages explain and the background does not."""
+    counts = np.diff(np.append(first, like.shape[0]))
+    both = np.stack([(like * np.repeat(shares, counts, axis=0)).sum(1), background], axis=1)
+    return proportions(both, first, np.ones((first.size, 2)))[0][:, 0]
 
 
-def _predicted(buf: np.ndarray, offsets: np.ndarray, texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the predicted languages, -1 for none, and the scores."""
-    pred, score = np.full(offsets.size - 1, -1), np.zeros(offsets.size - 1)
+def _predicted(buf: np.ndarray, offsets: np.ndarray, texts: pa.Array, table: np.ndarray, known: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the predicted languages, -1 for none, the scores, and if ``known`` is asked for the shares of known words."""
+    pred, score, cover = np.full(offsets.size - 1, -1), np.zeros(offsets.size - 1), np.zeros(offsets.size - 1)
     words = Words(buf, offsets, LETTERS)
     if not words.starts.size or not table.size:
-        return pred, score
+        return pred, score, cover
     names = BYTES.names(BYTES.prefix(BYTES.bytes[buf]), words.starts, words.ends)
     _, at, which = np.unique(names, return_index=True, return_inverse=True)
     codes, counts = trigrams(buf, words.starts[at], words.ends[at])
     sums = np.add.reduceat(table[codes], np.cumsum(counts) - counts, axis=0)
-    like = np.exp(np.maximum(sums - sums.max(1, keepdims=True), -60))[which]
+    best = sums.max(1)
+    like = np.exp(np.maximum(sums - best[:, None], -60))[which]
     some = np.flatnonzero(words.count)
-    pred[some], score[some] = chosen(like, words.first[some])
+    shares = chosen(like, words.first[some])
+    pred[some], score[some] = shares.argmax(1), shares.max(1)
+    if known:
+        background = np.exp(np.clip(-np.log(BUCKETS) * counts - best, -60, 60))[which]
+        cover[some] = covered(like, words.first[some], shares, background)
     # texts of non-ASCII signs alone may hold no letter
     plain = np.concatenate([[0], np.cumsum((buf < 0x80) & LETTERS[buf])])
     for i in np.flatnonzero((pred >= 0) & (plain[offsets[1:]] == plain[offsets[:-1]])).tolist():
         if not any(map(str.isalpha, texts[i].as_py())):
-            pred[i], score[i] = -1, 0
-    return pred, np.minimum(score, 1.0)
+            pred[i], score[i], cover[i] = -1, 0, 0
+    return pred, np.minimum(score, 1.0), np.minimum(cover, 1.0)
 
 
-def detected(docs: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
-    """Every row with ``lang_pred`` and ``score``; only ``text`` is read."""
+def detected(docs: DataFrame, langs: list[str], logs: np.ndarray, known: bool = False) -> DataFrame:
+    """Every row with ``lang_pred`` and ``score``, and ``known`` if asked for; only ``text`` is read."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(logs)
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    more = ["lang_pred", "score", "known"][: 3 if known else 2]
+    columns = [c for c in docs.columns if c not in more]
     docs = docs.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,12 +183,12 @@ def detected(docs: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
             for start, end in blocks(offsets):
                 part = buf[offsets[start] : offsets[end]]
                 rows = batch.slice(start, end - start)
-                pred, score = _predicted(part, offsets[start : end + 1] - offsets[start], rows.column("text"), table)
+                pred, *shares = _predicted(part, offsets[start : end + 1] - offsets[start], rows.column("text"), table, known)
                 said = pa.array([UNKNOWN if k < 0 else langs[k] for k in pred.tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*rows.columns, said, pa.array(score)], [*columns, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, said, *map(pa.array, shares[: len(more) - 1])], [*columns, *more])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(run, f"{fields}, lang_pred string, " + ", ".join(f"{c} double" for c in more[1:]))
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
