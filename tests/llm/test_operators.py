@@ -79,6 +79,14 @@ def test_one_of_each(docs):
     assert {r.doc_id for r in kept.collect()} == {d for d, (least, _) in classes.items() if d == least}
 
 
+def test_one_of_each_keeps_a_repeated_row_once(spark):
+    other = [(d, (t or "") + " another", *more) for d, t, *more in ROWS[1:3]]  # the id of another text
+    unique = [r for r in ROWS[:20]] + other + [(None, brute.sentences(500, 40), "en", None, 3)]
+    once = forest.one_of_each(brute.frame(spark, unique)).collect()
+    again = forest.one_of_each(brute.frame(spark, unique + unique[:8] * 2 + unique[-1:])).collect()
+    assert sorted(map(str, again)) == sorted(map(str, once)) and len(once) > 10
+
+
 def test_language_mixture(docs):
     found = by_id(language.language_predictions(docs), "held_out", "lang_pred", "score")
     for doc_id, text, lang, *_ in ROWS:

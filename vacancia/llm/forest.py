@@ -351,8 +351,15 @@ def joined_classes(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, without those that another one stands for."""
+    """The documents, all columns, without those that another one stands for; of a document's rows the least stays."""
     near = saved(near_duplicates(docs).where("not stands").select("doc_id", "copy").distinct(), "redundant")
     several = not near.where("copy <> 0").isEmpty()
     copy = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) if several else F.lit(0).cast("bigint")
-    return docs.join(near, docs["doc_id"].eqNullSafe(near["doc_id"]) & (near["copy"] == copy), "left_anti")
+    kept = docs.join(near, docs["doc_id"].eqNullSafe(near["doc_id"]) & (near["copy"] == copy), "left_anti")
+    ids = saved(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated_ids")
+    if ids.isEmpty():
+        return kept
+    again = docs["doc_id"].eqNullSafe(ids["doc_id"])
+    same = [docs["doc_id"].alias("id_"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("copy_")]
+    least = kept.join(ids, again, "left_semi").groupBy(*same).agg(F.min(F.struct(*docs.columns)).alias("row_"))
+    return kept.join(ids, again, "left_anti").unionByName(least.select("row_.*"))
