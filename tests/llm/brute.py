@@ -160,3 +160,80 @@ def unigram_scores(rows):
     counts = Counter(t for doc_id, text in rows if fold(doc_id, 10) for t in [*WORD.findall(lower(text)), None])
     size, kinds = sum(counts.values()), len(counts)
     return size, {d: (fold(d, 10) == 0, len(t), sum(counts[x] > 0 for x in t), sum(math.log10((counts[x] + 0.1) / (size + 0.1 * (kinds + 1))) for x in t)) for d, t in tokens.items()}
+
+
+def merkle(rows):
+    """The manifest by recursion over lists; rows are (doc_id, text, lang, source, n_chars)."""
+
+    def leaf(doc_id, text, lang, source, n_chars):
+        return sha("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in (doc_id, source, lang, n_chars, text)))
+
+    def built(nodes):
+        """The root over (digest, leaves below, with their paths so far)."""
+        while len(nodes) > 1:
+            above = []
+            for k in range(0, len(nodes), 16):
+                run = nodes[k : k + 16]
+                for i, (_, below) in enumerate(run):
+                    for path in below:
+                        path.append(("".join(x[0] for x in run[:i]), "".join(x[0] for x in run[i + 1 :])))
+                above.append((sha("".join(x[0] for x in run)), [p for _, below in run for p in below]))
+            nodes = above
+        return nodes[0]
+
+    by_source = defaultdict(list)
+    for row in rows:
+        by_source[row[3]].append(row)
+    tops, out = [], []
+    for source in sorted(by_source, key=lambda s: (s is not None, (s or "").encode())):
+        own = sorted(by_source[source], key=lambda r: (r[0] is not None, r[0] or 0, bytes.fromhex(leaf(*r))))
+        paths = [[] for _ in own]
+        subroot = built([(leaf(*r), [p]) for r, p in zip(own, paths)])[0]
+        tops.append((subroot, paths))
+        out += [(r, p, subroot) for r, p in zip(own, paths)]
+    root = built(tops)[0] if tops else None
+    result = []
+    for r, path, subroot in out:
+        changed = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0
+        own = leaf(r[0], lower(r[1]) if changed and r[1] is not None else r[1], *r[2:])
+        for before, after in path:
+            own = sha(before + own + after)
+        result.append((r[0], leaf(*r), subroot, root, sha("".join(b + a for b, a in path)), own, own == root))
+    return result
+
+
+def rebuilt(rows):
+    """Rebuilt conversations; rows are (conv_id, turn, role, text)."""
+    turns = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            turns[conv_id].append(((turn is not None, turn or 0), (role or "", text or "")))
+    turns = {c: [x for _, x in sorted(v, key=lambda t: t[0])] for c, v in turns.items()}
+    out = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        out[c] = turns.get(c - int(math.fmod(c, 20)), [])[:h] + own[h:]
+    return out
+
+
+def prefix_trie(rows):
+    convs = rebuilt(rows)
+    members = defaultdict(list)
+    for c in sorted(convs):
+        for d in range(len(convs[c]) + 1):
+            members[tuple(convs[c][:d])].append(c)
+    out = []
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    leaves, spared = Counter(), Counter()
+    for node, own in members.items():
+        words = len(WORD.findall(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            spared[node[:d]] += (len(own) - 1) * words
+    for node, own in members.items():
+        ends = ",".join(str(c) for c in own if len(convs[c]) == len(node))
+        out.append((own[0], len(node), members[node[:-1]][0] if node else None, len(own), len(children[node]), leaves[node], spared[node], sha(ends)))
+    return out
