@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from vacancia.catalog.registry import (
@@ -9,8 +11,9 @@ from vacancia.catalog.registry import (
 )
 from vacancia.functions import categories as C
 from vacancia.operators import deletes as Del, dims, merge as M
-from vacancia.plans.cycle import commit_cycle, run_cycle
+from vacancia.plans.cycle import commit_cycle, commit_in_place, run_cycle
 from vacancia.session import scratch_path
+from vacancia.sources.state import Layout, commit_parts, read_state
 from vacancia.sources.tables import read_appended, read_whole, with_defaults
 
 AS_OF = "2002-01-01 12:00:00"
@@ -93,6 +96,19 @@ def snapshot_merge_active_only(t: Tables) -> DataFrame:
     return counted.where(F.col("action").isin("touched", "inserted"))
 
 
+@query("snapshot_merge_keys_only", f"""
+    WITH {SQL_STORED}, {SQL_INCOMING}
+    SELECT company_id, posting_url, 'touched' AS action FROM incoming WHERE posting_url IN (SELECT posting_url FROM stored WHERE job_status = 'active')
+    UNION ALL
+    SELECT company_id, posting_url, 'inserted' FROM incoming WHERE posting_url NOT IN (SELECT posting_url FROM stored WHERE job_status = 'active')
+""")
+def snapshot_merge_keys_only(t: Tables) -> DataFrame:
+    # the feed has nothing but its keys, and every posting twice: no column tells the copies apart
+    feed = t.incoming().select("company_id", "posting_url")
+    staged = M.merge_snapshot(t.stored(), feed.unionByName(feed), t.companies(), AS_OF, active_only=True)
+    return staged.where(F.col("action").isin("touched", "inserted")).select("company_id", "posting_url", "action")
+
+
 def _closed(listings: DataFrame) -> DataFrame:
     return listings.select(
         "id", "job_status", "action", day_text("date_closed").alias("date_closed"),
@@ -403,6 +419,17 @@ def cycle_state(t: Tables) -> DataFrame:
         "id", "company_id", "posting_url", "job_status", second_text("updated_at").alias("updated_at"), day_text("date_closed").alias("date_closed"))
 
 
+@query("cycle_state_in_place", f"{_CYCLE_STATE} SELECT id, company_id, posting_url, job_status, updated_at, date_closed FROM staged")
+def cycle_state_in_place(t: Tables) -> DataFrame:
+    root, layout = scratch_path(t.spark, "in-place"), Layout(f"state_{uuid.uuid4().hex}", parts=8, buckets=4)
+    commit_parts(t.spark, root, layout, t.stored())
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.stored().schema.fields)
+    state = read_state(t.spark, root, layout, columns)
+    commit_in_place(t.spark, root, layout, run_cycle(state, _feed(t), t.companies(), AS_OF, in_place=layout.buckets))
+    return read_state(t.spark, root, layout, columns).select(
+        "id", "company_id", "posting_url", "job_status", second_text("updated_at").alias("updated_at"), day_text("date_closed").alias("date_closed"))
+
+
 @query("cycle_content", f"{_CYCLE_STATE} SELECT id, company_id, posting_url, 'Job ' || o_orderpriority AS job_title FROM fresh")
 def cycle_content(t: Tables) -> DataFrame:
     return read_appended(t.spark, _committed(t), "content").select("id", "company_id", "posting_url", "job_title")

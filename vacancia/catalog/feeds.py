@@ -13,6 +13,7 @@ from vacancia.catalog.registry import Tables, as_double, day_text, pick, query,
 from vacancia.functions import text as X
 from vacancia.functions.categories import FUNCTION_NAMES
 from vacancia.operators import resolve
+from vacancia.operators.merge import complete_companies
 from vacancia.sources import adapters as A, feeds, tables
 
 AS_OF = "2002-01-01 12:00:00"
@@ -321,6 +322,45 @@ def feed_unknown_json(t: Tables) -> DataFrame:
     return found.select("o_orderkey", F.explode("found").alias("p")).select("o_orderkey", "p.title")
 
 
+# Two sources whose documents no schema names: lists at other places, fields by other names.
+_FIELDS = {"title": ("title", "positionName", "Job"), "url": ("url", "link")}
+
+
+@query("feed_unknown_shapes", """
+    SELECT o_orderkey, pos, o_orderpriority || pos AS title, CASE WHEN o_orderkey % 3 <> 1 THEN 'u' || pos END AS url
+    FROM orders, (SELECT unnest(range(0, 2)) AS pos) WHERE o_orderkey % 4 < 3
+""")
+def feed_unknown_shapes(t: Tables) -> DataFrame:
+    name = F.col("o_orderpriority")
+    links = lambda k, quoted: F.when(order_key() % 3 != 1, F.lit(f', "{quoted}": "u{k}"')).otherwise("")
+    one = F.concat(F.lit('{"meta": {"tags": [{"id": 1}]}, "data": {"search": {"hits": [{"positionName": "'), name, F.lit('0"'), links(0, "link"), F.lit('}, {"positionName": "'), name, F.lit('1"'), links(1, "link"), F.lit("}]}}}"))
+    two = F.concat(F.lit('[{"Job": "'), name, F.lit('0", "more": [{"title": "deeper"}]'), links(0, "url"), F.lit('}, {"Job": "'), name, F.lit('1"'), links(1, "url"), F.lit("}]"))
+    three = F.concat(F.lit('{"first": [], "jobs": [{"title": "'), name, F.lit('0"'), links(0, "url"), F.lit('}, {"title": "'), name, F.lit('1"'), links(1, "url"), F.lit('}], "others": [{"title": "x"}]}'))
+    doc = F.element_at(F.array(one, two, three, F.lit('{"jobs": [{"title": "cut off')), (order_key() % 4 + 1).cast("int"))
+    return feeds.postings_of_any_shape(t("orders").select("o_orderkey", doc.alias("doc")), "doc", ["o_orderkey"], _FIELDS)
+
+
+@query("feed_quarantine", """
+    SELECT o_custkey AS company_id, count(*) FILTER (o_orderkey % 37 <> 0 AND o_orderkey % 41 <> 0 AND o_orderkey % 43 <> 0) AS postings,
+           count(*) FILTER (o_orderkey % 37 = 0 OR o_orderkey % 41 = 0 OR o_orderkey % 43 = 0) AS broken_pages,
+           count(*) FILTER (o_orderkey % 43 = 0) AS empty_pages,
+           CASE WHEN postings > 0 THEN broken_pages = 0 END AS complete
+    FROM orders GROUP BY 1
+""")
+def feed_quarantine(t: Tables) -> DataFrame:
+    # some landed pages are cut off, some have a value of another type, some are empty
+    page = F.concat(F.lit('{"total": 1, "offset": 0, "jobPostings": [{"title": "'), "o_orderpriority", F.lit('", "externalPath": "/job/'), "o_orderkey", F.lit('"}]}'))
+    text = F.when(order_key() % 43 == 0, " ").when(order_key() % 37 == 0, F.substring(page, 1, 40)).when(order_key() % 41 == 0, F.replace(page, F.lit('"total": 1'), F.lit('"total": "many"'))).otherwise(page)
+    pages = t("orders").select(F.col("o_custkey").alias("company_id"), text.alias("page"))
+    documents, quarantine = feeds.split_documents(pages, "page", S.FEED_WORKDAY)
+    landed = feeds.read_workday(documents).select("company_id", F.col("externalPath").alias("posting_url"))
+    gate = complete_companies(landed, broken=quarantine)
+    bad = quarantine.groupBy("company_id").agg(F.count(F.lit(1)).alias("broken_pages"), F.count_if(F.col("reason") == "empty").alias("empty_pages"))
+    good = landed.groupBy("company_id").agg(F.count(F.lit(1)).alias("postings"))
+    out = good.join(bad, "company_id", "full").join(gate, "company_id", "left")
+    return out.select("company_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("postings", "broken_pages", "empty_pages")], "complete")
+
+
 @query("page_label_values", """
     SELECT o_orderkey, o_orderpriority AS time_type, 'Remote & ' || o_orderstatus AS remote_type, CAST(2 AS BIGINT) AS labels FROM orders
 """)

@@ -42,7 +42,8 @@ def page_boilerplate(t: Tables) -> DataFrame:
 @query("page_content", f"""
     SELECT page_id, md5(trim(regexp_replace({_TEXT.replace('X', 'c')}, '\\s+', ' ', 'g'))) AS digest
     FROM (SELECT page_id, coalesce(CASE WHEN length(trim(regexp_replace({_TEXT.replace('X', _ARTICLE)}, '\\s+', ' ', 'g'))) > 100 THEN {_ARTICLE} END,
-            nullif(regexp_extract({_BARE}, '(?is)<body\\b[^>]*>(.*)</body\\s*>', 1), ''), {_BARE}) AS c FROM pages)
+            nullif(regexp_extract({_BARE}, '(?is)<body\\b[^>]*>(.*)</body\\s*>', 1), ''),
+            nullif(regexp_extract({_BARE}, '(?is)<body\\b[^>]*>(.*)', 1), ''), {_BARE}) AS c FROM pages)
 """)
 def page_content(t: Tables) -> DataFrame:
     out = X.with_page_content(t("pages").select("page_id", "html"), "html", "content", CONTAINERS)

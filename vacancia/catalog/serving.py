@@ -319,6 +319,18 @@ def saved_filters(t: Tables) -> DataFrame:
     return feeds.saved_filters(t("events").select("event_id", "props"), "props").select("event_id", "k")
 
 
+@query("filter_entries", """
+    SELECT event_id, 'k' AS name, json_extract_string(props, '$.k') AS value, 'bigint' AS kind FROM events
+    UNION ALL SELECT event_id, 'places', event_type || n, 'string' FROM events, (SELECT unnest(range(1, 3)) AS n) WHERE event_id % 2 = 0
+    UNION ALL SELECT event_id, 'remote', 'true', 'boolean' FROM events WHERE event_id % 2 = 1
+""")
+def filter_entries(t: Tables) -> DataFrame:
+    # filters that no schema names: a list of texts in some, a flag and an empty value in others
+    more = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(', "places": ["'), "event_type", F.lit('1", "'), "event_type", F.lit('2"]}'))).otherwise(', "remote": true, "none": null}')
+    text = F.concat(F.regexp_replace("props", r"}\s*$", ""), more)
+    return feeds.filters_of_any_shape(t("events").select("event_id", text.alias("filters")), "filters", ["event_id"])
+
+
 @query("filter_value_counts", """
     SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1
 """)

@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+ORDERED_IN = 64  # buckets in which the rows of one group are ordered first
+
+
 def _pick(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    if not order:  # nothing tells the rows of a key apart
+        return df.dropDuplicates(list(key))
     # a filter on row_number() = 1 is also applied before the shuffle, so one row per key
     # and map task moves, however often a key repeats
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
@@ -59,10 +64,21 @@ def defer_new_rows(postings: DataFrame, known: Column, group: Sequence[str], ord
     """All postings; ``deferred`` marks the new ones after the first ``cap`` of a company.
 
     A run that wants to fetch few pages takes the rows that are not deferred and finds the
-    others again in its next run. There is no cap unless one is given.
+    others again in its next run. There is no cap unless one is given. Known rows are not
+    ordered at all. The new rows of a company are ordered inside buckets of the order columns;
+    only the first ``cap`` of each bucket can be among the first of the company.
     """
     if cap is None:
         return postings.withColumn("deferred", F.lit(False))
-    is_new = ~F.coalesce(known, F.lit(False))
-    place = F.row_number().over(Window.partitionBy(*group, is_new).orderBy(*[F.col(c) for c in order]))
-    return postings.withColumn("deferred", is_new & (place > cap))
+    marked = postings.withColumn("_known", F.coalesce(known, F.lit(False)))
+    new = marked.where(~F.col("_known")).withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(ORDERED_IN)))
+    by = [F.col(c) for c in order]
+    inside = new.withColumn("_place", F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*by)))
+    near = inside.where(F.col("_place") <= cap).withColumn("_place", F.row_number().over(Window.partitionBy(*group).orderBy(*by)))
+    plain = postings.columns
+    parts = [
+        marked.where("_known").select(*plain, F.lit(False).alias("deferred")),
+        inside.where(F.col("_place") > cap).select(*plain, F.lit(True).alias("deferred")),
+        near.select(*plain, (F.col("_place") > cap).alias("deferred")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

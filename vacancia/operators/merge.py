@@ -21,13 +21,15 @@ KEPT, TOUCHED, CLOSED, INSERTED = "kept", "touched", "closed", "inserted"
 
 
 def match_snapshot(current: DataFrame, incoming: DataFrame, active_only: bool = False,
-                   feed_order: Sequence[str] = ()) -> DataFrame:
+                   feed_order: Sequence[str] = (), in_place: int | None = None) -> DataFrame:
     """One row per posting of the snapshot, with the stored ``id`` it matches and its ``copies``.
 
     By URL whatever the status, or only among the active rows of the same company. Of
     stored rows with the same key the last one is the match; of repeated postings the
     first one in feed order stays. The keys of both sides are counted in one hash
     aggregation, without any payload; a payload moves once, and only that of first postings.
+    ``in_place`` is for stored rows that lie in so many buckets of their URL (``sources.state``):
+    their keys are aggregated where they are, and only the snapshot moves.
     """
     has_url = F.coalesce("posting_url", F.lit("")) != ""
     keys = ["company_id", "posting_url"] if active_only else ["posting_url"]
@@ -37,26 +39,46 @@ def match_snapshot(current: DataFrame, incoming: DataFrame, active_only: bool =
     feed = incoming.where(has_url)
     if "id" in feed.columns:
         feed = feed.drop("id")
+    if in_place:
+        held = stored.groupBy(*[F.col(k).alias("_" + k) for k in keys]).agg(F.max("id").alias("id"))
+        # dealt out as the buckets are, or Spark might deal the stored side out anew
+        counted = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).repartition(in_place, "posting_url")
+        sizes = counted.join(held, _same(counted, held, keys), "left").select(*[counted[k].alias("_" + k) for k in keys], "id", "copies")
+        return _matched(feed, sizes, keys, feed_order)
     landed = F.lit(True).alias("_landed")
     both = stored.select(*keys, F.col("id").alias("_id")).unionByName(feed.select(*keys, landed), allowMissingColumns=True)
     sizes = both.groupBy(*keys).agg(F.max("_id").alias("id"), F.count("_landed").alias("copies"))
     sizes = sizes.where(F.col("copies") > 0).select(*[F.col(k).alias("_" + k) for k in keys], "id", "copies")
+    return _matched(feed, sizes, keys, feed_order)
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys, those of ``right`` with an underscore; a company may be NULL on both sides."""
+    return reduce(lambda x, y: x & y, [left[k].eqNullSafe(right["_" + k]) if k == "company_id" else left[k] == right["_" + k] for k in keys])
+
+
+def _matched(feed: DataFrame, sizes: DataFrame, keys: Sequence[str], feed_order: Sequence[str]) -> DataFrame:
     rest = [c for c in feed.columns if c not in keys]
     ties = [c for c, kind in feed.dtypes if c in rest and c not in feed_order and not kind.startswith("map")]
     first = keep_first(feed, keys, [*feed_order, *ties])
-    same = reduce(lambda x, y: x & y, [first[k].eqNullSafe(sizes["_" + k]) if k == "company_id" else first[k] == sizes["_" + k] for k in keys])
-    return first.join(sizes, same).select(*keys, "id", "copies", *rest)
+    return first.join(sizes, _same(first, sizes, keys)).select(*keys, "id", "copies", *rest)
 
 
 def complete_companies(landed: DataFrame, announced: DataFrame | None = None, key: Sequence[str] = ("posting_url",),
-                       unknown: bool = False) -> DataFrame:
+                       unknown: bool = False, broken: DataFrame | None = None) -> DataFrame:
     """(company_id, complete): whether as many different postings landed as the source announced.
 
     ``landed`` is what the source sent, before any posting is filtered out; a posting that
     was sent twice counts once. Where totals are given, a company without one is not
     complete, unless ``unknown`` says so; without totals all companies that sent anything
     are. A company without any posting is not in the result, so nothing of it is closed.
+    ``broken`` (company_id, ...) has the landed pages that could not be read: their companies are
+    not complete, whatever else landed.
     """
+    if broken is not None:
+        whole = complete_companies(landed, announced, key, unknown)
+        bad = broken.select("company_id").distinct().withColumn("_bad", F.lit(True))
+        return whole.join(bad, "company_id", "left").select("company_id", (F.col("complete") & F.col("_bad").isNull()).alias("complete"))
     if announced is None:
         return landed.select("company_id").distinct().withColumn("complete", F.lit(True))
     counts = landed.select("company_id", *key).distinct().groupBy("company_id").agg(F.count(F.lit(1)).alias("landed"))
@@ -148,22 +170,35 @@ def staged_inserts(current: DataFrame, new: DataFrame, as_of, save: bool = True)
     return rows.select(*cols, F.lit(INSERTED).alias("action"))
 
 
-def merge_matched(current: DataFrame, matched: DataFrame, companies: DataFrame, as_of,
-                  gate: DataFrame, rule: Column | None = None, save: bool = True) -> DataFrame:
-    """The merge behind ``match_snapshot``: touch, close, insert.
-
-    What happens to a stored row is worked out on the few columns that decide it, and
-    meets the whole rows in one join on their key. A posting that was seen is not closed.
-    """
-    stale = stale_before_last_cycle() if rule is None else rule
-    closing = closing_companies(companies, gate).where("_closing")
+def _acts(current: DataFrame, matched: DataFrame, closing: DataFrame, stale: Column) -> DataFrame:
+    """Stored rows with an ``action``, worked out on the few columns that decide it and joined by their id."""
     seen = matched.where(F.col("id").isNotNull()).select("id", F.lit(TOUCHED).alias("_act"))
     decisive = [c for c in ("id", "company_id", "job_status", "updated_at", "last_scraped", "date_closed")
                 if c in current.columns]
     late = current.select(*decisive).where(F.col("job_status") != "closed").join(closing, "company_id")
     late = late.where(stale).select("id", F.lit(CLOSED).alias("_act"))
     acts = seen.unionByName(late).groupBy("id").agg(F.max("_act").alias("_act"))  # touched wins
-    joined = current.join(acts, "id", "left").select(*current.columns, F.coalesce("_act", F.lit(KEPT)).alias("action"))
+    return current.join(acts, "id", "left").select(*current.columns, F.coalesce("_act", F.lit(KEPT)).alias("action"))
+
+
+def _acts_in_place(current: DataFrame, matched: DataFrame, closing: DataFrame, stale: Column, buckets: int) -> DataFrame:
+    """The same over rows that lie in buckets of their URL: what was seen comes to them, they do not move."""
+    seen = matched.where(F.col("id").isNotNull()).groupBy(F.col("posting_url").alias("_url")).agg(F.collect_set("id").alias("_ids")).repartition(buckets, "_url")
+    joined = current.join(seen, current["posting_url"] == seen["_url"], "left").join(closing, "company_id", "left")
+    closes = F.col("_closing") & (F.col("job_status") != "closed") & stale
+    act = F.when(F.array_contains("_ids", F.col("id")), TOUCHED).when(F.coalesce(closes, F.lit(False)), CLOSED).otherwise(KEPT)
+    return joined.select(*current.columns, act.alias("action"))
+
+
+def mark_stored(current: DataFrame, matched: DataFrame, closing: DataFrame, as_of,
+                rule: Column | None = None, in_place: int | None = None) -> DataFrame:
+    """The stored rows behind ``match_snapshot``: touched, closed or kept, as ``action`` says.
+
+    ``closing`` is what ``closing_companies`` gives, of the companies that close. A posting that
+    was seen is not closed.
+    """
+    stale = stale_before_last_cycle() if rule is None else rule
+    joined = _acts_in_place(current, matched, closing, stale, in_place) if in_place else _acts(current, matched, closing, stale)
     now, act = moment(as_of), F.col("action")
     values = {
         "job_status": F.when(act == CLOSED, F.lit("closed")),
@@ -171,9 +206,19 @@ def merge_matched(current: DataFrame, matched: DataFrame, companies: DataFrame,
         "last_scraped": F.when(act == TOUCHED, now),
         "updated_at": F.when(act != KEPT, now),
     }
-    kept = joined.select(*[
+    return joined.select(*[
         F.coalesce(values[c], F.col(c)).alias(c) if c in values else F.col(c) for c in joined.columns
     ])
+
+
+def merge_matched(current: DataFrame, matched: DataFrame, companies: DataFrame, as_of,
+                  gate: DataFrame, rule: Column | None = None, save: bool = True) -> DataFrame:
+    """The merge behind ``match_snapshot``: touch, close, insert.
+
+    What happens to a stored row is worked out on the few columns that decide it, and
+    meets the whole rows in one join on their key.
+    """
+    kept = mark_stored(current, matched, closing_companies(companies, gate).where("_closing"), as_of, rule)
     new = matched.where(F.col("id").isNull()).drop("id", "copies")
     inserted = staged_inserts(current, new, as_of, save=save)
     return kept.unionByName(inserted.select(*kept.columns))

@@ -6,11 +6,11 @@ passes. All row rules of a table are evaluated in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacancia.functions.text import strip
 
@@ -219,31 +219,70 @@ PARENTS = {
 }
 
 
+def _report(tables: dict[str, DataFrame], names: Sequence[tuple], columns: str, marked: Sequence[DataFrame], found: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``found`` makes of all marked rows, for every name in ``names``; zero where there is none."""
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
+    every = spark.createDataFrame(list(names), columns)
+    if not marked:
+        return every
+    keys = every.columns
+    return every.join(found(reduce(DataFrame.unionByName, marked)), keys, "left")
+
+
 def uniqueness_report(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, columns, repeated_keys, rows_over) for every unique key of the given tables.
 
     A key with a NULL in it is never a repeat. Keys whose columns a table lacks are left out.
+    A table is read once: a row gives a row for each of its keys, and the keys of all tables are
+    counted in one aggregation.
     """
-    parts = []
+    names, marked = [], []
     for name, keys in UNIQUE_KEYS.items():
-        for key in keys:
-            if name in tables and set(key) <= set(tables[name].columns):
-                counts = repeated_keys(tables[name].dropna(subset=list(key)), key)
-                parts.append(counts.agg(F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows_over")).select(
-                    F.lit(name).alias("table_name"), F.lit(", ".join(key)).alias("columns"), "repeated_keys", "rows_over"))
-    return reduce(DataFrame.unionByName, parts)
+        keys = [k for k in keys if name in tables and set(k) <= set(tables[name].columns)]
+        names += [(name, ", ".join(k)) for k in keys]
+        values = [F.when(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in k]), F.array(*[F.col(c).cast("string") for c in k])) for k in keys]
+        if keys:
+            entries = F.array(*[F.struct(F.lit(", ".join(k)).alias("columns"), v.alias("key")) for k, v in zip(keys, values)])
+            marked.append(tables[name].select(F.lit(name).alias("table_name"), F.explode(entries).alias("e")).select("table_name", "e.*").where("key IS NOT NULL"))
+
+    def repeats(rows: DataFrame) -> DataFrame:
+        counts = rows.groupBy("table_name", "columns", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        return counts.groupBy("table_name", "columns").agg(F.count(F.lit(1)).alias("repeated_keys"), F.sum(F.col("n") - 1).alias("rows_over"))
+
+    out = _report(tables, names, "table_name string, columns string", marked, repeats)
+    return out.select("table_name", "columns", *[_or_zero(out, c) for c in ("repeated_keys", "rows_over")])
+
+
+def _or_zero(df: DataFrame, c: str) -> Column:
+    return (F.coalesce(c, F.lit(0)) if c in df.columns else F.lit(0)).cast("bigint").alias(c)
 
 
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, column, parent, orphans) for every key of the given tables whose parent is given."""
-    parts = []
-    for name, keys in PARENTS.items():
-        for key, parent in keys.items():
-            if name in tables and parent in tables and key in tables[name].columns:
-                found = orphans(tables[name].select(key), key, tables[parent])
-                parts.append(found.agg(F.count(F.lit(1)).alias("orphans")).select(
-                    F.lit(name).alias("table_name"), F.lit(key).alias("column"), F.lit(parent).alias("parent"), "orphans"))
-    return reduce(DataFrame.unionByName, parts)
+    """(table_name, column, parent, orphans) for every key of the given tables whose parent is given.
+
+    A table is read once: a row gives a row for each key that it holds, and one for each key that
+    may name it. Children and parents of all keys meet in one aggregation, without a join.
+    """
+    keys = [
+        (name, key, parent) for name, own in PARENTS.items() for key, parent in own.items()
+        if name in tables and parent in tables and key in tables[name].columns
+    ]
+    marked = []
+    for name, table in tables.items():
+        held = [(k, F.col(k[1]), 1) for k in keys if k[0] == name] + [(k, F.col("id"), 0) for k in keys if k[2] == name]
+        if held:
+            entries = F.array(*[
+                F.struct(*[F.lit(x).alias(c) for x, c in zip(k, ("table_name", "column", "parent"))], value.cast("string").alias("key"), F.lit(child).alias("child"))
+                for k, value, child in held
+            ])
+            marked.append(table.select(F.explode(entries).alias("e")).select("e.*").where("key IS NOT NULL"))
+
+    def orphaned(rows: DataFrame) -> DataFrame:
+        met = rows.groupBy("table_name", "column", "parent", "key").agg(F.sum("child").alias("children"), F.min("child").alias("alone"))
+        return met.where("alone = 1").groupBy("table_name", "column", "parent").agg(F.sum("children").alias("orphans"))
+
+    out = _report(tables, keys, "table_name string, column string, parent string", marked, orphaned)
+    return out.select("table_name", "column", "parent", _or_zero(out, "orphans"))
 
 
 def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

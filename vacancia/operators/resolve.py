@@ -101,26 +101,49 @@ def _grams(low: Column, sizes: Sequence[int]) -> Column:
     return F.array_distinct(F.flatten(F.array(*[of_length(n) for n in sizes])))
 
 
-def _rarest(side: DataFrame) -> DataFrame:
-    """The entries with the piece of each that fewest entries share; an entry below ``GRAM`` letters is its own."""
-    low = F.col("_low")
-    own = F.when(F.length(low) < GRAM, F.array(low)).otherwise(_grams(low, [GRAM]))
-    cut = side.select("_low", F.explode(own).alias("_gram"))
+SPACE_RUN = r"(?U)\s+"  # what separates the words of a text, and the parts of an entry
+
+
+def _by_rarest(side: DataFrame) -> DataFrame:
+    """The entries with a piece of each (``_gram``) and the part of it (``_part``) that holds the piece.
+
+    A part has no white space in it, so a text that has the entry has the part inside one of its
+    words. It is the longest part, and the piece of it that fewest entries share; a part below
+    ``GRAM`` letters is its own piece, and an entry of white space alone has the empty one.
+    """
+    parts = F.split("_low", SPACE_RUN)
+    longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
+    own = F.when(F.length("_part") < GRAM, F.array("_part")).otherwise(_grams(F.col("_part"), [GRAM]))
+    keyed = side.select("_low", longest.alias("_part"))
+    cut = keyed.select("_low", "_part", F.explode(own).alias("_gram"))
     shared = cut.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    picked = cut.join(shared, "_gram").groupBy("_low").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
-    return side.join(picked, "_low")
+    return cut.join(shared, "_gram").groupBy("_low", "_part").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
 
 
-def _contained(df: DataFrame, text: str, side: DataFrame, key: Sequence[str]) -> DataFrame:
-    """(key, columns of ``side``): the entries whose ``_low`` is inside the text, letter case aside.
+def _likely(df: DataFrame, text: str, side: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, _low): the entries of which a text has the rarest part inside some word, each once.
 
-    The pieces of a text meet the rarest piece of each entry in an equi join; what meets is
-    then looked for in the text. A text makes a few rows per letter, whatever the entries.
+    A text makes a row per distinct word, and only words, each once for all texts, are cut into
+    pieces. Words that hold no part of any entry end there.
     """
-    pieces = df.select(*key, F.explode(_grams(F.lower(F.col(text)), range(1, GRAM + 1))).alias("_gram"))
-    likely = pieces.join(_rarest(side), "_gram").drop("_gram")
-    whole = df.select(*key, F.lower(F.col(text)).alias("_text"))
-    return likely.join(whole, list(key)).where(F.col("_text").contains(F.col("_low"))).drop("_text")
+    spread = F.array_distinct(F.concat(F.split(F.lower(F.col(text)), SPACE_RUN), F.array(F.lit(""))))
+    words = df.select(*key, F.explode(spread).alias("_word"))
+    pieces = F.concat(_grams(F.col("_word"), range(1, GRAM + 1)), F.when(F.col("_word") == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
+    vocabulary = words.select("_word").distinct().select("_word", F.explode(pieces).alias("_gram"))
+    held = vocabulary.join(_by_rarest(side), "_gram").where(F.col("_word").contains(F.col("_part"))).select("_word", "_low")
+    return words.join(held, "_word").select(*key, "_low").distinct()
+
+
+def _best(df: DataFrame, text: str, side: DataFrame, key: Sequence[str], rank: Column, out: str) -> DataFrame:
+    """``df`` with the ``value`` of the least ``rank`` (a struct that ends with it) of the entries inside the text.
+
+    The likely entries of a text come to it, so a text moves once.
+    """
+    likely = _likely(df, text, side, key).join(side, "_low")
+    entries = likely.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(rank.alias("rank"), "_low"))).alias("_entries"))
+    inside = F.filter("_entries", lambda e: F.col("_text").contains(e["_low"]))
+    joined = df.join(entries, list(key), "left").withColumn("_text", F.lower(F.col(text)))
+    return joined.withColumn(out, F.get(inside, 0)["rank"]["value"]).drop("_entries", "_text")
 
 
 def match_dictionary(df: DataFrame, text: str, names: DataFrame, key: Sequence[str], out: str,
@@ -131,11 +154,7 @@ def match_dictionary(df: DataFrame, text: str, names: DataFrame, key: Sequence[s
     """
     words = names.select(F.col(name).alias("_name")).dropna().distinct().withColumn("_low", F.lower("_name"))
     side = words.where(F.col("_low") != "").groupBy("_low").agg(F.min("_name").alias("_name"))
-    hits = _contained(df, text, side, key)
-    best = hits.groupBy(*key).agg(
-        F.min(F.struct((-F.length("_low")).alias("l"), F.col("_name").alias("n")))["n"].alias(out)
-    )
-    return df.join(best, list(key), "left")
+    return _best(df, text, side, key, F.struct((-F.length("_low")).alias("l"), F.col("_name").alias("value")), out)
 
 
 def match_rules(df: DataFrame, text: str, rules: DataFrame, dimension: DataFrame, key: Sequence[str],
@@ -147,9 +166,8 @@ def match_rules(df: DataFrame, text: str, rules: DataFrame, dimension: DataFrame
     """
     live = rules.join(dimension.select(F.col("name").alias("category")), "category", "left_semi")
     live = live.withColumn("_low", F.lower("keyword")).where(F.col("_low") != "")
-    side = live.groupBy("_low").agg(F.min(F.struct("priority", "category")).alias("_rule"))
-    best = _contained(df, text, side, key).groupBy(*key).agg(F.min("_rule")["category"].alias(out))
-    return df.join(best, list(key), "left")
+    side = live.groupBy("_low").agg(F.min(F.struct("priority", F.col("category").alias("value"))).alias("_rule"))
+    return _best(df, text, side, key, F.col("_rule"), out)
 
 
 def _folded(c: str) -> Column:

@@ -24,8 +24,9 @@ from vacancia.operators.dedup import defer_new_rows, first_of_key
 from vacancia.operators.dims import stamp_completion
 from vacancia.operators.quality import listing_rules, split_by_quality
 from vacancia.plans.views import run_stats, with_duration
-from vacancia.session import materialise
+from vacancia.session import materialise, materialise_counted
 from vacancia.sources.adapters import DETAIL_FIELDS, with_detail, workday_detail
+from vacancia.sources.state import Layout, commit_parts
 from vacancia.sources.tables import commit_tables, to_canonical, with_defaults
 
 
@@ -37,6 +38,8 @@ class Cycle:
     changes: DataFrame     # what happened to which posting
     rejected: DataFrame    # postings not taken, with reasons
     run_log: DataFrame     # one row per board and company
+    delta: DataFrame       # the state rows that changed or are new, with what happened to them
+    counts: dict[str, int] | None = None  # changes by action, taken while they were written; None if nothing was saved
 
 
 Enrich = Callable[[DataFrame], DataFrame]
@@ -45,20 +48,25 @@ Enrich = Callable[[DataFrame], DataFrame]
 def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, enrich: Enrich | None = None,
               announced: DataFrame | None = None, feed_order: Sequence[str] = (), active_only: bool = False,
               started=None, save: bool = True, landed: DataFrame | None = None, served: Column | None = None,
-              fetch_limit: int | None = None, minimum_text: int | None = None) -> Cycle:
+              fetch_limit: int | None = None, minimum_text: int | None = None, in_place: int | None = None,
+              broken: DataFrame | None = None) -> Cycle:
     """Plan a cycle; ``feed`` holds canonical columns with company_id and source_job_board.
 
     ``announced`` has the totals of the sources and ``landed`` (company_id, posting_url) what
     they sent, before adapters dropped any. Only a company whose postings all landed has
     rows closed, is stamped and is logged as completed; the others are logged as failed.
+    ``broken`` (company_id) are the landed pages in quarantine (``sources.feeds.split_documents``).
 
     ``served`` is a condition on the feed: other postings are rejected before the match, as
     if the source had not listed them. ``fetch_limit`` takes that many new postings of a
     company, in URL order, and leaves the others for the next cycle. ``minimum_text`` rejects
     new postings with a shorter description. All of them are in ``rejected``, with a reason.
     ``enrich`` adds detail-page fields and runs on new postings only. ``save`` writes the
-    match, the parsed postings and the staged state to the shared folder once each, because
-    several results read them.
+    match, the parsed postings and the changed rows of the state to the shared folder once
+    each, because several results read them; rows that are kept are not written before they are
+    committed. ``in_place`` is for a state that lies in so many buckets of its URLs
+    (``sources.state.read_state``): no stored row moves, and ``delta`` is all that
+    ``commit_in_place`` needs.
     """
 
     def refused(df: DataFrame, reason: str) -> DataFrame:
@@ -71,7 +79,7 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
         inside = F.coalesce(served, F.lit(False))
         left_out.append(refused(feed.where(has_url & ~inside), "not_served"))
         feed = feed.where(inside)
-    matched = M.match_snapshot(state, feed, active_only, feed_order)
+    matched = M.match_snapshot(state, feed, active_only, feed_order, in_place)
     if save:
         matched = materialise(matched, "matched")
 
@@ -95,15 +103,23 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     wanted = [c for c in state.columns if c in good.columns and c not in ("id", "company_id", "posting_url")]
     fresh = good.select("company_id", "posting_url", *wanted)
     merged = known.unionByName(fresh, allowMissingColumns=True)
-    gate = M.complete_companies(landed, announced)
+    gate = M.complete_companies(landed, announced, broken=broken)
     if save:
         gate = materialise(gate, "complete-companies")
+    closing = M.closing_companies(companies, gate).where("_closing")
+    if save and in_place:
+        closing = materialise(closing, "closing")  # its size is known then, and it goes to the stored rows
+    marked = M.mark_stored(state, merged, closing, as_of, in_place=in_place)
     # the new rows are saved already if they were parsed, and need not be written again to be numbered
-    staged = M.merge_matched(state, merged.withColumn("copies", F.lit(1)), companies, as_of, gate, save=save and enrich is None)
+    inserts = M.staged_inserts(state, merged.where(F.col("id").isNull()).drop("id"), as_of, save=save and enrich is None)
+    delta, counts = marked.where(F.col("action") != M.KEPT).unionByName(inserts.select(*marked.columns)), None
     if save:
-        staged = materialise(staged, "staged-state")
-    inserted = staged.where(F.col("action") == M.INSERTED).select("id", "company_id", "posting_url")
-    content = good.join(inserted, ["company_id", "posting_url"])
+        by_action = {act: F.count_if(F.col("action") == act) for act in (M.TOUCHED, M.CLOSED, M.INSERTED)}
+        delta, counts = materialise_counted(delta, "changed-state", **by_action)
+    staged = marked.where(F.col("action") == M.KEPT).unionByName(delta)
+    inserted = delta.where(F.col("action") == M.INSERTED).select("id", F.col("company_id").alias("_company"), F.col("posting_url").alias("_url"))
+    same = good["company_id"].eqNullSafe(inserted["_company"]) & (good["posting_url"] == inserted["_url"])
+    content = good.join(inserted, same).drop("_company", "_url")
 
     def outcome(df: DataFrame, name: str, n: Column | None = None, reason: Column | None = None) -> DataFrame:
         return df.select(
@@ -123,7 +139,7 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     log = run_stats(outcomes, weight="n").join(finished.withColumn("_done", F.lit(True)), "company_id", "left").withColumns({
         "status": F.when(F.col("_done"), "completed").otherwise("failed"), "started_at": begin, "completed_at": moment(as_of)}).drop("_done")
     stamped = stamp_completion(companies, finished, as_of)
-    return Cycle(M.next_table(staged), content, stamped, M.change_set(staged), rejected, to_canonical(with_duration(log), S.RUN_LOG))
+    return Cycle(M.next_table(staged), content, stamped, M.change_set(delta), rejected, to_canonical(with_duration(log), S.RUN_LOG), delta, counts)
 
 
 def from_detail_pages(pages: DataFrame, order: Sequence[str] = ()) -> Enrich:
@@ -148,5 +164,13 @@ def commit_cycle(spark: SparkSession, root: str, cycle: Cycle) -> int:
     )
 
 
+def commit_in_place(spark: SparkSession, root: str, layout: Layout, cycle: Cycle) -> int:
+    """Write a cycle whose state lies in place: only the parts that it changed, see ``sources.state``."""
+    return commit_parts(
+        spark, root, layout, cycle.delta.drop("action"), {"companies": cycle.companies},
+        {"content": cycle.content, "changes": cycle.changes, "rejected": cycle.rejected, "run_log": cycle.run_log},
+    )
+
+
 def state_of(listings: DataFrame) -> DataFrame:
     return listings.select(*[c for c in S.STATE_COLUMNS if c in listings.columns])

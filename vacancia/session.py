@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Runtime re-planning does the size-dependent work: it turns a shuffle join into a
 # broadcast join only when the measured side is under the threshold, and it splits
@@ -47,6 +49,19 @@ def build_session(app: str = "vacancia", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Runs a step with settings and puts the session's own back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -78,3 +93,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialise``, and aggregates over the rows that the writing pass took on its way."""
+    seen = Observation(name)
+    out = materialise(df.observe(seen, *[F.coalesce(c, F.lit(0)).alias(k) for k, c in counts.items()]), name)
+    return out, dict(seen.get)

@@ -12,8 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vacancia.operators.dedup import keep_last
 from vacancia.operators.merge import KEPT, next_table
-from vacancia.session import scratch_path
+from vacancia.session import configured, scratch_path
 
+# State of long horizons lies on disk and in the checkpoint as changes, not in the executors' heap.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 COMPACT_EVERY = 16  # batches after which a streamed state is written as a whole
 
 
@@ -122,13 +127,19 @@ def expired_postings(sightings: DataFrame, key: str, time: str, days: int = 7, d
     return spans.select(key, "first_seen", "last_seen", F.col("_w.end").alias("expires_at"), "sightings")
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drive a stream over all landed files into a parquet table of the shared folder."""
+def run_to_table(stream: DataFrame, name: str, mode: str = "append", root: str | None = None) -> DataFrame:
+    """Drive a stream over all landed files into a parquet table of the shared folder.
+
+    Table and checkpoint are under ``root``, a new folder unless one is given; a stream that is
+    run again on its root goes on where it ended. The state store is RocksDB, for this stream
+    alone: a query keeps the settings that it began with.
+    """
     spark = stream.sparkSession
-    path, checkpoint = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
-    query = (
-        stream.writeStream.format("parquet").outputMode(mode).option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    root = scratch_path(spark, name) if root is None else root
+    with configured(spark, STATE_ON_DISK):
+        query = (
+            stream.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/table")
+            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return spark.read.schema(stream.schema).parquet(f"{root}/table")
