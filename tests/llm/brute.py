@@ -237,3 +237,11 @@ def prefix_trie(rows):
         ends = ",".join(str(c) for c in own if len(convs[c]) == len(node))
         out.append((own[0], len(node), members[node[:-1]][0] if node else None, len(own), len(children[node]), leaves[node], spared[node], sha(ends)))
     return out
+
+
+def doubled(n, first="a", second="b"):
+    """Two different words of ``n`` bytes that every polynomial over their bytes modulo 2**64 gives one name."""
+    one, two = first, second
+    while len(one) < n:
+        one, two = one + two, two + one
+    return one, two

@@ -8,6 +8,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import brute
+from vacancia.session import configured
 from vacancia.llm import common, merkle, prefix_trie, resync, running
 
 ROWS = brute.documents()
@@ -66,7 +67,7 @@ def test_a_level_moves_its_nodes_once(spark):
     nodes = common.saved(spark.range(4000).select(F.lit("g").alias("group"), F.col("id").alias("node"), F.lit(4000).cast("bigint").alias("size"), F.lit(b"x").alias("digest"), F.lit(1).alias("rest")), "nodes")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        with common.configured(spark, merkle.DEALT):
+        with configured(spark, merkle.DEALT):
             plan = merkle.level(nodes)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

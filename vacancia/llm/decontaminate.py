@@ -28,7 +28,7 @@ from vacancia.llm.flat import ALNUM, WORDS, Words, arrow_bytes, blocks, expand,
 
 WINDOW = 10
 LEAD = 3  # words by which suffixes are chosen before they are sorted
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20  # of item texts in one broadcast; with the suffixes' first words about 64 MB
 MATCH = "array<struct<item_id:string,item_word:bigint,doc_word:bigint,words:bigint>>"
 MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("words", pa.int64())]))
 
@@ -43,6 +43,7 @@ class Queries:
         left = words.first[words.doc + 1] - np.arange(words.starts.size)
         need = np.minimum(window, words.count[words.doc]) if words.starts.size else np.zeros(0, np.int64)
         use = np.flatnonzero(left >= need)
+        self.words, self.needs = words, np.minimum(window, words.count)
         self.ids, self.item, self.need = ids, words.doc[use], need[use]
         self.place = use - words.first[self.item]
         self.heads = names[use[:, None] + np.arange(window)] if use.size else np.zeros((0, window), np.uint64)
@@ -107,6 +108,23 @@ def search(queries: Queries, words: Words, names: np.ndarray) -> tuple[np.ndarra
     return doc[heads_at], item[heads_at], in_item[heads_at], place[heads_at] - words.first[doc[heads_at]], run + need[heads_at] - 1
 
 
+def spelled(words: Words, text: int, place: int) -> bytes:
+    """A word of a text, by its bytes."""
+    k = words.first[text] + place
+    return words.buf[words.starts[k] : words.ends[k]].tobytes()
+
+
+def spelled_matches(queries: Queries, words: Words) -> Iterator[tuple[int, int, int, int, int]]:
+    """What ``search`` finds by the names of words, as far as the words themselves are equal."""
+    for doc, item, in_item, place, run in zip(*(x.tolist() for x in search(queries, words, words.named()))):
+        start = 0
+        for k in range(run + 1):
+            if k == run or spelled(words, doc, place + k) != spelled(queries.words, item, in_item + k):
+                if k - start >= queries.needs[item]:
+                    yield doc, item, in_item + start, place + start, k - start
+                start = k + 1
+
+
 def _matcher(broadcast, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: Queries = broadcast.value
@@ -119,7 +137,7 @@ def _matcher(broadcast, last: bool):
                 part = offsets[first : end + 1] - offsets[first]
                 words = Words(buf[offsets[first] : offsets[end]], part, ALNUM, lower=True)
                 n_words[first:end] = words.count
-                for doc, item, in_item, place, run_ in zip(*(x.tolist() for x in search(queries, words, words.named()))):
+                for doc, item, in_item, place, run_ in spelled_matches(queries, words):
                     found[first + doc].append({"item_id": queries.ids[item], "item_word": in_item, "doc_word": place, "words": run_})
             matches = pa.array(found, MATCH_TYPE)
             if not last:
@@ -147,7 +165,7 @@ def _cleaner(broadcast):
             clean = np.ones(batch.num_rows, bool)
             for first, end in blocks(offsets):
                 words = Words(buf[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first], ALNUM, lower=True)
-                clean[first + search(queries, words, words.named())[0]] = False
+                clean[[first + x[0] for x in spelled_matches(queries, words)]] = False
             yield batch.filter(pa.array(clean))
 
     return run

@@ -1,8 +1,11 @@
 """Texts as flat numpy arrays: bytes, words, 64-bit names of words and of word windows.
 
 A batch of texts is one array of UTF-8 bytes with offsets. Words are found with a table of
-word bytes, and named by polynomial prefix sums, so no step loops over words. A name is a
-function of the bytes alone; two seeds give independent names.
+word bytes. The name of a word is the sum of its eight-byte pieces, each mixed with its place;
+windows of words, and long strings of bytes, are named by prefix sums over such mixed numbers,
+so no step loops over words. (A polynomial over the bytes themselves has equal names for some
+words that differ, whatever its base.) A name is a function of the bytes alone; two seeds give
+independent names.
 """
 
 from __future__ import annotations
@@ -34,6 +37,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def padded_words(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, the last one included; zeros follow the end."""
+    return np.ndarray((buf.size + 1,), "<u8", buffer=np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def segment_names(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Names of byte strings ``[starts, ends)`` of any lengths."""
+    size = ends - starts
+    lanes = np.maximum((size + 7) // 8, 1)
+    first = np.cumsum(lanes) - lanes
+    lane = np.arange(int(lanes.sum())) - np.repeat(first, lanes)
+    left = np.repeat(size, lanes) - 8 * lane
+    part = padded_words(buf)[np.repeat(starts, lanes) + 8 * lane]
+    part = part & np.where(left >= 8, ~_U(0), (_U(1) << (_U(8) * np.clip(left, 0, 7).astype(np.uint64))) - _U(1))
+    part = mix(part ^ mix(lane.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(seed)))
+    total = np.add.reduceat(part, first) if first.size else np.zeros(0, np.uint64)
+    return mix(total + size.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
 class Poly:
     """Names of segments of a sequence of 64-bit numbers, from one prefix sum."""
 
@@ -41,7 +63,7 @@ class Poly:
         rng = np.random.default_rng(seed)
         self.base = int(rng.integers(0, 1 << 62, dtype=np.uint64)) * 4 + 3
         self.inverse = pow(self.base, -1, 1 << 64)
-        self.bytes = rng.integers(0, 1 << 64, 256, dtype=np.uint64)
+        self.seed = rng.integers(0, 1 << 64, dtype=np.uint64)
         self.up = self.down = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:
@@ -52,6 +74,17 @@ class Poly:
                 steps[0] = 1
                 setattr(self, name, np.multiply.accumulate(steps))
 
+    def of_bytes(self, buf: np.ndarray, gram: int = 8) -> np.ndarray:
+        """Prefix sums over all strings of ``gram`` bytes (eight at most), by the place they begin at."""
+        keep = ~_U(0) >> _U(64 - 8 * gram)
+        values = mix((padded_words(buf)[: buf.size] & keep) ^ self.seed)
+        values[max(buf.size - gram + 1, 0) :] = 0
+        return self.prefix(values)
+
+    def byte_names(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, gram: int = 8) -> np.ndarray:
+        """Names of byte strings of ``gram`` bytes or more, from ``of_bytes``."""
+        return self.names(prefix, starts, ends - gram + 1)
+
     def prefix(self, values: np.ndarray) -> np.ndarray:
         self._grow(values.size + 1)
         out = np.zeros(values.size + 1, np.uint64)
@@ -107,9 +140,9 @@ class Words:
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(offsets.size - 1), self.count)
 
-    def named(self) -> np.ndarray:
-        prefix = BYTES.prefix(BYTES.bytes[self.buf])
-        return BYTES.names(prefix, self.starts, self.ends)
+    def named(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit name of every word; another seed gives names that are independent of these."""
+        return segment_names(self.buf, self.starts, self.ends, seed)
 
 
 def joined_ranges(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:

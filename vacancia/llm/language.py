@@ -11,8 +11,9 @@ a second mixture sets the chosen languages together against a background in whic
 are equally likely: ``known`` is their share of the words. A language close to a learned one is
 nearer to that than to the background, and counts as known.
 
-The model has one row of ``BUCKETS`` probabilities per language, whatever the corpus; it is
-checked against ``MODEL_BYTES`` before it is sent to tasks. Texts are not shuffled.
+The model has one row of ``BUCKETS`` probabilities per language, whatever the corpus. It takes
+``MODEL_BYTES`` at most: every language is learned, and above 512 of them trigrams share buckets
+(a power of two of them each time) until all rows fit. Texts are not shuffled.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as is every text
 when nothing was learned; a null language is not learned from; repeated rows each give a row.
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.llm.common import saved
-from vacancia.llm.flat import BYTES, LOWER, Words, arrow_bytes, blocks, expand
+from vacancia.llm.flat import LOWER, Words, arrow_bytes, blocks, expand
 
 BUCKETS = 1 << 15
 MODEL_BYTES = 64 << 20
@@ -81,16 +82,19 @@ def trained(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages, and log-probabilities of the buckets in each."""
     counts = saved(trigram_counts(docs), "trigrams")
     few = counts.select("lang").distinct().count()
-    if few * BUCKETS * 4 > MODEL_BYTES:
-        raise ValueError(f"the model of {few} languages is over {MODEL_BYTES} bytes")
+    # all languages are learned; the more there are, the fewer buckets each has in the same bytes
+    buckets = BUCKETS
+    while buckets > 1 and few * buckets * 4 > MODEL_BYTES:
+        buckets //= 2
+    counts = counts.groupBy("lang", (F.col("bucket") % buckets).alias("bucket")).agg(F.sum("n").alias("n"))
     rows = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("n")).collect()  # a row per language
     langs, tables = [], []
     for row in sorted(rows, key=lambda r: r.lang):
-        table = np.zeros(BUCKETS)
+        table = np.zeros(buckets)
         table[[x.bucket for x in row.n]] = [x.n for x in row.n]
         langs.append(row.lang)
-        tables.append(np.log((table + SMOOTHING) / (table.sum() + SMOOTHING * BUCKETS)).astype(np.float32))
-    return langs, np.array(tables, np.float32).reshape(len(langs), BUCKETS).T.copy()
+        tables.append(np.log((table + SMOOTHING) / (table.sum() + SMOOTHING * buckets)).astype(np.float32))
+    return langs, np.array(tables, np.float32).reshape(len(langs), buckets).T.copy()
 
 
 def proportions(like: np.ndarray, first: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,9 +152,9 @@ def _predicted(buf: np.ndarray, offsets: np.ndarray, texts: pa.Array, table: np.
     words = Words(buf, offsets, LETTERS)
     if not words.starts.size or not table.size:
         return pred, score, cover
-    names = BYTES.names(BYTES.prefix(BYTES.bytes[buf]), words.starts, words.ends)
-    _, at, which = np.unique(names, return_index=True, return_inverse=True)
+    _, at, which = np.unique(words.named(), return_index=True, return_inverse=True)
     codes, counts = trigrams(buf, words.starts[at], words.ends[at])
+    codes = codes % table.shape[0]
     sums = np.add.reduceat(table[codes], np.cumsum(counts) - counts, axis=0)
     best = sums.max(1)
     like = np.exp(np.maximum(sums - best[:, None], -60))[which]
@@ -158,7 +162,7 @@ def _predicted(buf: np.ndarray, offsets: np.ndarray, texts: pa.Array, table: np.
     shares = chosen(like, words.first[some])
     pred[some], score[some] = shares.argmax(1), shares.max(1)
     if known:
-        background = np.exp(np.clip(-np.log(BUCKETS) * counts - best, -60, 60))[which]
+        background = np.exp(np.clip(-np.log(table.shape[0]) * counts - best, -60, 60))[which]
         cover[some] = covered(like, words.first[some], shares, background)
     # texts of non-ASCII signs alone may hold no letter
     plain = np.concatenate([[0], np.cumsum((buf < 0x80) & LETTERS[buf])])
@@ -168,11 +172,14 @@ def _predicted(buf: np.ndarray, offsets: np.ndarray, texts: pa.Array, table: np.
     return pred, np.minimum(score, 1.0), np.minimum(cover, 1.0)
 
 
-def detected(docs: DataFrame, langs: list[str], logs: np.ndarray, known: bool = False) -> DataFrame:
-    """Every row with ``lang_pred`` and ``score``, and ``known`` if asked for; only ``text`` is read."""
+def detected(docs: DataFrame, langs: list[str], logs: np.ndarray, known: bool = False, prefix: str = "") -> DataFrame:
+    """Every row with ``lang_pred`` and ``score``, and ``known`` if asked for; only ``text`` is read.
+
+    The names of the new columns begin with ``prefix``; they take the place of columns of these names.
+    """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(logs)
-    more = ["lang_pred", "score", "known"][: 3 if known else 2]
+    more = [prefix + c for c in ("lang_pred", "score", "known")[: 3 if known else 2]]
     columns = [c for c in docs.columns if c not in more]
     docs = docs.select(*columns)
 
@@ -188,7 +195,7 @@ def detected(docs: DataFrame, langs: list[str], logs: np.ndarray, known: bool =
                 yield pa.RecordBatch.from_arrays([*rows.columns, said, *map(pa.array, shares[: len(more) - 1])], [*columns, *more])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, " + ", ".join(f"{c} double" for c in more[1:]))
+    return docs.mapInArrow(run, f"{fields}, `{more[0]}` string, " + ", ".join(f"`{c}` double" for c in more[1:]))
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:

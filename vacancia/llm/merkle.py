@@ -17,8 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import configured, saved
+from vacancia.llm.common import saved
 from vacancia.llm.running import running
+from vacancia.session import configured
 
 ARITY = 16
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vacancia.llm.flat import BYTES, arrow_bytes, blocks, expand
+from vacancia.llm.flat import arrow_bytes, blocks, expand, segment_names
 
 SPACE = "▁"
 LONG = 256  # symbols
@@ -208,7 +208,7 @@ class Model:
         sizes = np.diff(np.append(starts, text.size))
         if not starts.size:
             return np.zeros(0, np.int64), np.zeros(full.size, np.int64)
-        _, at, which = np.unique(BYTES.names(BYTES.prefix(BYTES.bytes[text]), starts, starts + sizes), return_index=True, return_inverse=True)
+        _, at, which = np.unique(segment_names(text, starts, starts + sizes), return_index=True, return_inverse=True)
         # equal names must be equal words; else every word is its own
         if (sizes[at][which] != sizes).any() or (text[expand(starts[at][which], sizes)] != text).any():
             at = which = np.arange(starts.size)
@@ -272,8 +272,15 @@ def coded(known: Model, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Each row with the ids of its text in place of the text."""
-    others = [f for f in docs.schema.fields if f.name not in ("text", "ids")]
+    """Each row with the ids of its text in place of the text.
+
+    The column is ``ids``; rows that have a column of that name keep it, and the new one is ``_ids``
+    (or with as many underscores as it takes).
+    """
+    others = [f for f in docs.schema.fields if f.name != "text"]
+    name = "ids"
+    while name in docs.columns:
+        name = "_" + name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model(path or default_path())
@@ -284,9 +291,9 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
                 first += counts.size
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in others], lists], [*[f.name for f in others], "ids"])
+                yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in others], lists], [*[f.name for f in others], name])
 
-    return docs.select(*[f.name for f in others], "text").mapInArrow(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in others], "ids array<int>"]))
+    return docs.select(*[f.name for f in others], "text").mapInArrow(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in others], f"{name} array<int>"]))
 
 
 def decoded(rows: DataFrame, path: str | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def candidates(docs: DataFrame, window: int) -> DataFrame:
                 if not starts.size:
                     continue
                 names = words.named()
-                prefix, other = WORDS.prefix(names), OTHER.prefix(names)
+                prefix, other = WORDS.prefix(names), OTHER.prefix(words.named(1))
                 grams = np.arange(names.size - quarter + 1)
                 short = WORDS.names(prefix, grams, grams + quarter)
                 anchor, start, count = anchor_runs(minimisers(short, window - quarter + 1), starts)
@@ -95,8 +95,7 @@ def full_windows(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
                 here = np.flatnonzero((row >= first) & (row < end))
                 doc = np.repeat(row[here], size[here])
                 at = expand(start[here] + words.first[row[here] - first], size[here])
-                names = words.named()
-                one, two = (p.names(p.prefix(names), at, at + window) for p in (WORDS, OTHER))
+                one, two = (p.names(p.prefix(words.named(k)), at, at + window) for k, p in enumerate((WORDS, OTHER)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(doc)), batch.column("copy").take(pa.array(doc)),
                      pa.array(at - words.first[doc - first]), _signed(one), _signed(two)],

@@ -55,11 +55,13 @@ def candidates(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 starts = window_starts(at[:-1], np.diff(at), length)
                 if not starts.size:
                     continue
-                prefix = BYTES.prefix(BYTES.bytes[part])
-                names = mix((prefix[gram:] - prefix[:-gram]) * BYTES.down[: part.size - gram + 1])
+                piece = min(8, gram)
+                prefix = BYTES.of_bytes(part, piece)
+                reach = gram - piece + 1
+                names = mix((prefix[reach : reach + part.size - gram + 1] - prefix[: part.size - gram + 1]) * BYTES.down[: part.size - gram + 1])
                 anchor, start, count = anchor_runs(minimisers(names, length - gram + 1), starts)
-                other = OTHER.prefix(OTHER.bytes[part])
-                region = mix(OTHER.names(other, start, start + count - 1 + length) + (anchor - start).astype(np.uint64))
+                other = OTHER.of_bytes(part, piece)
+                region = mix(OTHER.byte_names(other, start, start + count - 1 + length, piece) + (anchor - start).astype(np.uint64))
                 doc = np.searchsorted(at, start, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(doc + first)), batch.column("copy").take(pa.array(doc + first)), pa.array(start - at[doc]),
@@ -210,7 +212,8 @@ def named_strings(regions_: DataFrame, length: int) -> DataFrame:
                 buf, at = arrow_bytes(some.column("bytes"))
                 size, start = some.column("size").to_numpy(), some.column("start").to_numpy()
                 place, row = expand(at[:-1], size), np.repeat(np.arange(some.num_rows), size)
-                one, two = (p.names(p.prefix(p.bytes[buf]), place, place + length) for p in (BYTES, OTHER))
+                piece = min(8, length)
+                one, two = (p.byte_names(p.of_bytes(buf, piece), place, place + length, piece) for p in (BYTES, OTHER))
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc_id").take(pa.array(row)), some.column("copy").take(pa.array(row)), pa.array(start[row] + place - at[row]), _signed(one), _signed(two)],
                     ["doc_id", "copy", "start", "one", "two"],
