@@ -21,10 +21,14 @@ MIN_LANGUAGE_SCORE = 0.4  # share of a text's words in the learned languages tog
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts of learned languages, one or several; a missing ``lang`` is filled in."""
     langs, logs = language.trained(docs)
-    found = language.detected(docs, langs, logs, known=True)
+    own = "_found_"
+    while any(c.startswith(own) for c in docs.columns):
+        own = "_" + own
+    found = language.detected(docs, langs, logs, known=True, prefix=own)
+    said = F.col(own + "lang_pred")
     if langs:
-        found = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("known") >= MIN_LANGUAGE_SCORE))
-    return found.withColumn("lang", F.coalesce("lang", F.when(F.col("lang_pred") != language.UNKNOWN, F.col("lang_pred")))).select(*docs.columns)
+        found = found.where((said != language.UNKNOWN) & (F.col(own + "known") >= MIN_LANGUAGE_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", F.when(said != language.UNKNOWN, said))).select(*docs.columns)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
