@@ -7,8 +7,13 @@ prefixes are shortened by a label as long as the estimated recall is under the t
 estimate weighs each pair found by the chance that pairs this similar are found at all.
 
 Classes that meet under a prefix and have similar signatures are linked into families. Only
-the links of a spanning forest leave a task. Families are verified exactly: all pairs of a
-family are compared by their shingle sets, in blocks of ``BLOCK`` classes, each once. What
+the links of a spanning forest leave a task. A node with more than ``BLOCK`` classes is not
+compared pair by pair: all of them are compared with one, the head, and those that are ``LOOSE``
+like it are linked to it. Those that are not ``TIGHT`` like it meet under a next head. What is
+``SIMILARITY`` like a class that is not even loosely like the head is not tightly like it either,
+by the triangle inequality of the Jaccard distance, so no pair is missed by that. Families are
+verified exactly: all pairs of a family are compared by their shingle sets, in blocks of
+``BLOCK`` classes, each once. What
 leaves a task is a row per class: how many it is linked to, and one linked class. Classes of the
 result are the connected components of the verified links.
 
@@ -35,7 +40,9 @@ SIMILARITY = 0.8
 TREES, DEPTH = 24, 6
 RECALL = 0.9999
 SIMILAR = 0.62  # equal labels of a pair that goes on; 0.8 is five standard deviations off
-BLOCK = 256  # classes compared at once
+BLOCK = 512  # classes compared at once
+LOOSE, TIGHT = 0.3, 0.75  # equal labels; further apart than 1 - SIMILARITY by four standard deviations
+HEADS = 8  # rounds of heads; what is left of a node then is compared in blocks
 _U = np.uint64
 FACTORS = np.random.default_rng(5).integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -172,6 +179,45 @@ def unit_pairs(unit: np.ndarray, part: np.ndarray, within: np.ndarray) -> Iterat
         yield left[use], right[use]
 
 
+def headed(nodes: DataFrame, sizes: DataFrame, labels_of: DataFrame, depth: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """Links of the large nodes' classes to their heads, with the histogram of those pairs; and what is still to compare."""
+    large = sizes.where(F.col("n") > BLOCK).select("node")
+    if large.isEmpty():
+        return [], None
+    rest = saved(nodes.join(large, "node", "left_semi").join(labels_of, "class").select("node", "tree", "class", "labels"), "large_nodes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, head = _labels(batch.column("labels")), _labels(batch.column("head_labels"))
+            alike = np.count_nonzero(own.reshape(own.shape[0], -1) == head.reshape(own.shape[0], -1), axis=1) / (TREES * DEPTH)
+            tree = batch.column("tree").to_numpy()
+            first = (trie_nodes(own, depth) == trie_nodes(head, depth)).argmax(1) == tree if batch.num_rows else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(alike), pa.array(first)], [*batch.schema.names, "alike", "first"])
+
+    stars, done = [], []
+    for _ in range(HEADS):
+        heads = saved(rest.groupBy("node").agg(F.min(F.struct("class", "labels")).alias("h")).select("node", F.col("h.class").alias("head"), F.col("h.labels").alias("head_labels")), "heads")
+        schema = "node bigint, tree int, class bigint, labels binary, head bigint, head_labels binary, alike double, first boolean"
+        met = rest.join(heads, "node").where("class <> head").select("node", "tree", "class", "labels", "head", "head_labels")
+        met = saved(met.mapInArrow(run, schema).drop("head_labels"), "headed")
+        none = F.lit(None).cast("bigint")
+        stars.append(met.where(F.col("alike") >= LOOSE).select(F.col("class").alias("u"), F.col("head").alias("v"), none.alias("bin"), F.lit(None).cast("double").alias("pairs")))
+        bins = met.where(F.col("first") & (F.col("alike") >= SIMILARITY)).groupBy(F.floor(F.col("alike") * 100).cast("bigint").alias("bin"))
+        stars.append(bins.agg(F.count(F.lit(1)).cast("double").alias("pairs")).select(none.alias("u"), none.alias("v"), "bin", "pairs"))
+        left = met.where(F.col("alike") < TIGHT).select("node", "tree", "class", "labels")
+        counts = saved(left.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "left")
+        done.append(left.join(counts.where(F.col("n") <= BLOCK).select("node"), "node", "left_semi").select("node", "tree", "class"))
+        rest = left.join(counts.where(F.col("n") > BLOCK).select("node"), "node", "left_semi")
+        if counts.where(F.col("n") > BLOCK).isEmpty():
+            break
+    else:
+        done.append(rest.select("node", "tree", "class"))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return stars, out
+
+
 def families(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     """Links of a spanning forest of similar classes under equal prefixes; and a histogram of the pairs.
 
@@ -180,8 +226,13 @@ def families(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     """
     nodes = prefixes(classes, depth)
     sizes = saved(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
-    units = block_pairs(nodes, "node", sizes)
-    units = units.join(classes.select("class", "labels"), "class")
+    labels_of = classes.select("class", "labels")
+    few = nodes.join(sizes.where(F.col("n") <= BLOCK).select("node"), "node", "left_semi")
+    stars, left = headed(nodes, sizes, labels_of, depth)
+    few = few if left is None else few.unionByName(left)
+    sizes = sizes.where(F.col("n") <= BLOCK) if left is None else few.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    units = block_pairs(few, "node", sizes)
+    units = units.join(labels_of, "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _units(batches):
@@ -215,7 +266,10 @@ def families(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
             )
 
     dealt = units.select("unit", "tree", "part", "within", "class", "labels").repartition("unit").sortWithinPartitions("unit")
-    out = saved(dealt.mapInArrow(run, "u bigint, v bigint, bin bigint, pairs double"), "families")
+    out = dealt.mapInArrow(run, "u bigint, v bigint, bin bigint, pairs double")
+    for star in stars:
+        out = out.unionByName(star)
+    out = saved(out, "families")
     return out.where("u is not null").select("u", "v"), out.where("bin is not null").groupBy("bin").agg(F.sum("pairs").alias("pairs"))
 
 
