@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,19 +26,6 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Runs a step with settings and puts the session's own back."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tuned(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,9 +41,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
-def groups_for(docs: DataFrame, each: int) -> int:
-    """Groups of about ``each`` bytes of text, the session's shuffle partitions at least."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def groups(docs: DataFrame, size: int, each: int) -> int:
+    """Groups of about ``each`` of ``size`` bytes, the session's shuffle partitions at least."""
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 

@@ -8,9 +8,12 @@ document's hash. The estimates then come from all training texts.
 
 Counting and looking up are shuffles of packed arrays. Texts are dealt into blocks by a hash;
 a block sends each of its distinct n-grams once, with its count, to the n-gram's bucket, packed
-as sorted arrays. A bucket adds up the counts and sends them back to the blocks in the order
-in which they came, so a hot n-gram is one number per block. Blocks meet their counts again
-and score their texts. Events for the weights are gathered as a histogram of bounded size.
+as sorted arrays: a count of one is a bit, and a name is as long as its distance to the next.
+A bucket adds up the counts and sends them back to the blocks in the order in which they came,
+so a hot n-gram is one number per block. Blocks meet their counts again and score their texts.
+Tokens have names of 64 bits. Those of longer n-grams are ``SPARE`` bits longer than it takes to
+number all n-grams of the corpus, so about one in 2**20 of them shares its name with another.
+Events for the weights are gathered as a histogram: a row per bucket and rounded estimates.
 
 Defined cases: a null or empty text is one token, the end; repeated rows each are a document;
 a null doc_id hashes as the empty text; without training texts every score is 0.
@@ -23,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import groups_for, saved
+from vacancia.llm.common import groups, saved, text_bytes
 from vacancia.llm.flat import SPACE, Words, arrow_bytes, blocks, mix
 
 ORDER = 3
-BLOCK_BYTES = 4 << 20  # of text in one group
+BLOCK_BYTES = 8 << 20  # of text in one group
+BLOCKS_PER_BUCKET = 4  # a bucket holds about 16 MB of packed n-grams, at any size of the corpus
+SPARE = 20
 FOLDS = 10
 STEPS = 8  # histogram bins of an estimate for every doubling
 ROUNDS = 60
@@ -52,8 +57,11 @@ def tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*names, none.astype(np.uint64)]), np.concatenate([*counts, none])
 
 
-def grams(names: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
-    """Names of the n-grams that end at each token, for n from 1 to ``order``; texts begin with markers."""
+def grams(names: np.ndarray, counts: np.ndarray, order: int, bits: int) -> list[np.ndarray]:
+    """Names of the n-grams that end at each token, for n from 1 to ``order``; texts begin with markers.
+
+    Names of tokens have 64 bits, the others ``bits``.
+    """
     first = np.cumsum(counts) - counts
     place = np.arange(names.size) - np.repeat(first, counts)
     out = [mix(names)]
@@ -62,12 +70,12 @@ def grams(names: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]
         before[n:] = names[:-n] if n < names.size else names[:0]
         before[place < n] = BEGIN
         out.append(mix(out[-1] * _U(0x9E3779B97F4A7C15) + before + _U(n)))
-    return out
+    return [x if n == 0 else x >> _U(64 - bits) for n, x in enumerate(out)]
 
 
-def bucket_edges(buckets: int) -> np.ndarray:
-    """First names of the buckets: equal ranges of the 64-bit numbers."""
-    return (np.arange(buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+def bucket_edges(buckets: int, bits: int) -> np.ndarray:
+    """First names of the buckets: equal ranges of the numbers of so many bits."""
+    return (np.arange(buckets, dtype=object) * (1 << bits) // buckets).astype(np.uint64)
 
 
 def narrow(x: np.ndarray) -> bytes:
@@ -83,20 +91,34 @@ def wide(data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def _packed(order: int, buckets: int):
-    edges = bucket_edges(buckets)
+def squeezed(x: np.ndarray) -> bytes:
+    """Counts: a bit for each tells a one, the others follow."""
+    one = x == 1
+    return np.packbits(one).tobytes() + narrow(x[~one].astype(np.uint64))
+
+
+def spread(data: bytes, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    head = -(-n // 8)
+    other = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, head), count=n) == 0) if n else np.zeros(0, np.int64)
+    out[other] = wide(data[head:], other.size)
+    return out
+
+
+def _packed(order: int, buckets: int, bits: int):
+    every = [bucket_edges(buckets, 64 if n == 0 else bits) for n in range(order)]
 
     def run(table: pa.Table) -> pa.Table:
         names, counts = tokens(table.column("text"))
         learned = np.repeat(table.column("train").to_numpy(zero_copy_only=False), counts)
         rows = []
-        for n, gram in enumerate(grams(names, counts, order), 1):
+        for n, (gram, edges) in enumerate(zip(grams(names, counts, order, bits), every), 1):
             keys, at = np.unique(gram, return_inverse=True)
             seen = np.bincount(at[learned], minlength=keys.size)
             cuts = np.append(np.searchsorted(keys, edges), keys.size)
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 some = slice(cuts[k], cuts[k + 1])
-                rows.append((n, k, cuts[k + 1] - cuts[k], narrow(np.diff(keys[some], prepend=edges[k])), narrow(seen[some])))
+                rows.append((n, k, cuts[k + 1] - cuts[k], narrow(np.diff(keys[some], prepend=edges[k])), squeezed(seen[some])))
         columns = list(zip(*rows)) or [[]] * 5
         return pa.table({
             "n": pa.array(columns[0], pa.int32()), "bucket": pa.array(columns[1], pa.int32()),
@@ -111,18 +133,17 @@ PACKED = "n int, bucket int, block int, size bigint, keys binary, seen binary"
 COUNTED = "n int, bucket int, block int, size bigint, seen binary, gone binary, tokens bigint, kinds bigint, deleted bigint"
 
 
-def _added(buckets: int, blocks_: int):
+def _added(buckets: int, blocks_: int, bits: int):
     """The sums of a bucket, in the order of the pieces; and a row of its totals.
 
     Blocks from ``blocks_`` on hold the deleted texts; only they get the counts of those back.
     """
-    edges = bucket_edges(buckets)
-
     def run(table: pa.Table) -> pa.Table:
         n, bucket = (table.column(c)[0].as_py() for c in ("n", "bucket"))
+        edges = bucket_edges(buckets, 64 if n == 1 else bits)
         sizes, block = table.column("size").to_pylist(), table.column("block").to_pylist()
         names = [edges[bucket] + np.cumsum(wide(x, s), dtype=np.uint64) for x, s in zip(table.column("keys").to_pylist(), sizes)]
-        parts = [wide(x, s) for x, s in zip(table.column("seen").to_pylist(), sizes)]
+        parts = [spread(x, s) for x, s in zip(table.column("seen").to_pylist(), sizes)]
         keys, at = np.unique(np.concatenate(names), return_inverse=True)
         seen, gone = np.zeros(keys.size, np.uint64), np.zeros(keys.size, np.uint64)
         np.add.at(seen, at, np.concatenate(parts))
@@ -130,7 +151,7 @@ def _added(buckets: int, blocks_: int):
         for k, (b, s, e) in enumerate(zip(block, sizes, ends)):
             if b >= blocks_:
                 np.add.at(gone, at[e - s : e], parts[k])
-        back = [(narrow(seen[at[e - s : e]]), narrow(gone[at[e - s : e]]) if b >= blocks_ else b"") for b, s, e in zip(block, sizes, ends)]
+        back = [(squeezed(seen[at[e - s : e]]), squeezed(gone[at[e - s : e]]) if b >= blocks_ else b"") for b, s, e in zip(block, sizes, ends)]
         rows = len(sizes)
         return pa.table({
             "n": pa.array([n] * (rows + 1), pa.int32()), "bucket": pa.array([bucket] * (rows + 1), pa.int32()),
@@ -151,17 +172,17 @@ def unseen(longest: np.ndarray | int, order: int) -> np.ndarray | int:
 class Block:
     """A block's texts with the counts that came back for their n-grams."""
 
-    def __init__(self, texts: pa.Table, counted: pa.Table, order: int, deleted: bool) -> None:
+    def __init__(self, texts: pa.Table, counted: pa.Table, order: int, bits: int, deleted: bool) -> None:
         names, self.counts = tokens(texts.column("text"))
         self.first = np.cumsum(self.counts) - self.counts
         counted = counted.sort_by([("n", "ascending"), ("bucket", "ascending")])
         which = counted.column("n").to_numpy()
         self.seen, self.gone = [], []
-        for n, gram in enumerate(grams(names, self.counts, order), 1):
+        for n, gram in enumerate(grams(names, self.counts, order, bits), 1):
             _, at = np.unique(gram, return_inverse=True)
             mine = counted.filter(pa.array(which == n))
             for name, out in (("seen", self.seen), ("gone", self.gone)) if deleted else (("seen", self.seen),):
-                parts = [wide(x, s) for x, s in zip(mine.column(name).to_pylist(), mine.column("size").to_pylist())]
+                parts = [spread(x, s) for x, s in zip(mine.column(name).to_pylist(), mine.column("size").to_pylist())]
                 out.append(np.concatenate(parts).astype(np.int64)[at])
 
     def estimates(self, totals: dict, deleted: bool) -> tuple[list[np.ndarray], np.ndarray]:
@@ -191,11 +212,11 @@ def _bins(ratio: np.ndarray) -> np.ndarray:
     return np.where(ratio > 0, np.round(np.log2(np.maximum(ratio, 1e-300)) * STEPS) + 128 * STEPS, 0).astype(np.int64)
 
 
-def _events(order: int, totals: dict):
+def _events(order: int, bits: int, totals: dict):
     def run(texts: pa.Table, counted: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return pa.table({"bucket": pa.array([], pa.int64()), "bins": pa.array([], pa.list_(pa.int64())), "events": pa.array([], pa.int64())})
-        block = Block(texts, counted, order, True)
+        block = Block(texts, counted, order, bits, True)
         ratios, bucket = block.estimates(totals, True)
         cells = np.stack([bucket, *[_bins(r) for r in ratios]], axis=1)
         kinds, n = np.unique(cells, axis=0, return_counts=True)
@@ -230,12 +251,12 @@ def weights(rows: list, order: int) -> np.ndarray:
     return out / out.sum(1, keepdims=True)
 
 
-def _scored(order: int, totals: dict, mixture: np.ndarray):
+def _scored(order: int, bits: int, totals: dict, mixture: np.ndarray):
     def run(texts: pa.Table, counted: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return texts.select(["doc_id", "held_out"]).append_column("n_tokens", pa.array([], pa.int64())).append_column(
                 "n_known", pa.array([], pa.int64())).append_column("base_score", pa.array([], pa.float64())).append_column("score", pa.array([], pa.float64()))
-        block = Block(texts, counted, order, False)
+        block = Block(texts, counted, order, bits, False)
         ratios, bucket = block.estimates(totals, False)
         share = mixture[bucket]
         mixed = share[:, 0] + sum(share[:, k] * r for k, r in enumerate(ratios, 1))
@@ -257,24 +278,27 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     train = crc % FOLDS != 0
     gone = train & (F.floor(crc / FOLDS) % FOLDS == 0)
-    n = groups_for(docs, BLOCK_BYTES)
+    size = text_bytes(docs)
+    n = groups(docs, size, BLOCK_BYTES)
+    buckets = max(-(-n // BLOCKS_PER_BUCKET), 1)
+    bits = min(64, SPARE + (order * size).bit_length())
     n_gone = -(-n // FOLDS)  # deleted texts have blocks of their own
-    spread = F.xxhash64("doc_id", text)
+    place = F.xxhash64("doc_id", text)
     dealt = docs.select(
         "doc_id", text.alias("text"), (~train).alias("held_out"), train.alias("train"),
-        F.when(gone, n + F.pmod(spread, F.lit(n_gone))).otherwise(F.pmod(spread, F.lit(n))).cast("int").alias("block"),
+        F.when(gone, n + F.pmod(place, F.lit(n_gone))).otherwise(F.pmod(place, F.lit(n))).cast("int").alias("block"),
     )
-    packed = dealt.groupBy("block").applyInArrow(_packed(order, n), PACKED)
-    counted = saved(packed.groupBy("n", "bucket").applyInArrow(_added(n, n), COUNTED), "counts")
+    packed = dealt.groupBy("block").applyInArrow(_packed(order, buckets, bits), PACKED)
+    counted = saved(packed.groupBy("n", "bucket").applyInArrow(_added(buckets, n, bits), COUNTED), "counts")
     whole = counted.where("n = 1 and block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kinds", "deleted")]).first()
     texts = dealt.agg(F.count(F.when(train, 1)).alias("texts"), F.count(F.when(gone, 1)).alias("texts_deleted")).first()
     totals = {**whole.asDict(), **texts.asDict()}
     back = counted.where("block >= 0").select("n", "bucket", "block", "size", "seen", "gone")
     own = F.col("block") >= n
-    events = dealt.where(own).groupBy("block").cogroup(back.where(own).groupBy("block")).applyInArrow(_events(order, totals), "bucket bigint, bins array<bigint>, events bigint")
+    events = dealt.where(own).groupBy("block").cogroup(back.where(own).groupBy("block")).applyInArrow(_events(order, bits, totals), "bucket bigint, bins array<bigint>, events bigint")
     rows = events.groupBy("bucket", "bins").agg(F.sum("events").alias("events")).collect()
     mixture = weights(rows, order)
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_id}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored = dealt.groupBy("block").cogroup(back.drop("gone").groupBy("block")).applyInArrow(_scored(order, totals, mixture), schema)
+    scored = dealt.groupBy("block").cogroup(back.drop("gone").groupBy("block")).applyInArrow(_scored(order, bits, totals, mixture), schema)
     return scored.withColumn("train_tokens", F.lit(totals["tokens"]).cast("bigint"))
