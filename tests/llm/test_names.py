@@ -139,6 +139,14 @@ def test_counts_are_packed_and_spread(counts):
     assert interpolation.spread(interpolation.squeezed(x), x.size).tolist() == counts
 
 
+@pytest.mark.parametrize("cells", [1, 3, 40, 10_000])
+def test_the_histogram_is_bounded(spark, cells):
+    rows = [(b, [1000 + 7 * i, 0 if i % 2 else 1100 + i, 900 + i * i], 2) for b in range(2) for i in range(50)]
+    found = interpolation.histogram(spark.createDataFrame(rows, "bucket bigint, bins array<bigint>, events bigint"), cells)
+    assert len(found) <= max(cells, 4) and sum(r.events for r in found) == 200
+    assert {(r.bucket, tuple(b > 0 for b in r.bins)) for r in found} == {(b, (True, x, True)) for b in range(2) for x in (True, False)}
+
+
 def test_scores_do_not_depend_on_blocks_and_buckets(spark, monkeypatch):
     docs = brute.frame(spark, brute.documents())
     found = []

@@ -13,7 +13,8 @@ A bucket adds up the counts and sends them back to the blocks in the order in wh
 so a hot n-gram is one number per block. Blocks meet their counts again and score their texts.
 Tokens have names of 64 bits. Those of longer n-grams are ``SPARE`` bits longer than it takes to
 number all n-grams of the corpus, so about one in 2**20 of them shares its name with another.
-Events for the weights are gathered as a histogram: a row per bucket and rounded estimates.
+Events for the weights are gathered as a histogram: a row per bucket and rounded estimates, and
+estimates are rounded to half as many bins until it has ``CELLS`` rows at most.
 
 Defined cases: a null or empty text is one token, the end; repeated rows each are a document;
 a null doc_id hashes as the empty text; without training texts every score is 0.
@@ -36,6 +37,7 @@ SPARE = 20
 FOLDS = 10
 STEPS = 8  # histogram bins of an estimate for every doubling
 ROUNDS = 60
+CELLS = 20_000
 _U = np.uint64
 END, BEGIN = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
 
@@ -225,6 +227,17 @@ def _events(order: int, bits: int, totals: dict):
     return run
 
 
+def histogram(events: DataFrame, cells: int) -> list:
+    """Rows (bucket, bins, events), ``cells`` at most (one per bucket and set of estimates that are there, at least)."""
+    every = saved(events.groupBy("bucket", "bins").agg(F.sum("events").alias("events")), "events")
+    width, found = 1, every
+    while found.count() > cells and width < 1 << 16:
+        width *= 2
+        wider = F.transform("bins", lambda b: F.when(b > 0, (F.floor(b / F.lit(width)) * width).cast("bigint") + width // 2).otherwise(b))
+        found = every.groupBy("bucket", wider.alias("bins")).agg(F.sum("events").alias("events"))
+    return found.collect()
+
+
 def weights(rows: list, order: int) -> np.ndarray:
     """Mixture weights by context bucket, uniform first, that make the deleted events likeliest."""
     out = np.zeros((64, order + 1))
@@ -296,8 +309,7 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     back = counted.where("block >= 0").select("n", "bucket", "block", "size", "seen", "gone")
     own = F.col("block") >= n
     events = dealt.where(own).groupBy("block").cogroup(back.where(own).groupBy("block")).applyInArrow(_events(order, bits, totals), "bucket bigint, bins array<bigint>, events bigint")
-    rows = events.groupBy("bucket", "bins").agg(F.sum("events").alias("events")).collect()
-    mixture = weights(rows, order)
+    mixture = weights(histogram(events, CELLS), order)
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_id}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scored = dealt.groupBy("block").cogroup(back.drop("gone").groupBy("block")).applyInArrow(_scored(order, bits, totals, mixture), schema)
