@@ -374,6 +374,22 @@ def page_label_values(t: Tables) -> DataFrame:
         F.try_element_at("m", F.lit("remote type")).alias("remote_type"), F.size("m").cast("bigint").alias("labels"))
 
 
+@query("page_nested_labels", """
+    SELECT o_orderkey, o_orderpriority AS time_type, 'from ' || o_orderkey AS pay_range, o_orderstatus AS remote_type, 'low ' || o_orderkey || ' high' AS bounds, CAST(6 AS BIGINT) AS labels FROM orders
+""")
+def page_nested_labels(t: Tables) -> DataFrame:
+    # values without end tags, a list inside a value, two labels of one value, a label of none, a list in a comment
+    html = F.concat(
+        F.lit("<dl><dt>Time Type<dd>"), "o_orderpriority", F.lit("<dt>Bounds</dt><dd>low <dl><dt>Pay Range<dd>from "), "o_orderkey",
+        F.lit("<dt>none</dl> high</dd><!-- <dt>Hidden</dt><dd>x</dd> --><dt>Remote Type</dt><dt>Also</dt><dd>"), "o_orderstatus",
+        F.lit("</dd><dd>ignored</dd></dl><dt>Loose<dd>end"))
+    html = F.replace(html, F.lit("low <dl><dt>Pay Range<dd>from "), F.lit("low <dl><dt>Pay Range<dd><i>from</i> "))
+    out = t("orders").select("o_orderkey", X.label_values(html).alias("m"))
+    of = lambda k: F.try_element_at("m", F.lit(k))
+    bounds = F.regexp_replace(of("bounds"), r"Pay Rangefrom (\d+)none", "$1")
+    return out.select("o_orderkey", of("time type").alias("time_type"), of("pay range").alias("pay_range"), of("remote type").alias("remote_type"), bounds.alias("bounds"), F.size("m").cast("bigint").alias("labels"))
+
+
 @query("all_feeds", f"""
     SELECT source_job_board, count(*) AS n, count(DISTINCT posting_url) AS urls, count(date_posted) AS dated, count(office_location) AS located
     FROM (SELECT 'workday' AS source_job_board, o_orderkey AS posting_url, 1 AS date_posted, 1 AS office_location FROM orders WHERE o_orderstatus <> 'P'

@@ -27,14 +27,12 @@ STATE = ("id BIGINT, company_id BIGINT, posting_url STRING, job_status STRING, d
 CYCLES = 4  # snapshots that the events land in; cycle k is on day k + 1
 
 
-def _land(t: Tables, root: str) -> str:
-    """Every cycle's snapshot as files of its own: the postings with an event in it, some of them twice."""
-    e = t("events")
-    for k in range(CYCLES):
-        rows = e.where(F.col("event_id") % CYCLES == k).select(
-            (F.col("user_id") % 7).cast("bigint").alias("company_id"), F.concat(F.lit("https://e.example.com/"), F.col("user_id").cast("string")).alias("posting_url"),
-            F.lit(k).alias("cycle"))
-        rows.coalesce(1).write.parquet(f"{root}/landed/cycle-{k}")
+def _land(t: Tables, root: str, k: int) -> str:
+    """A cycle's snapshot in a folder of its own: the postings with an event in it, some of them twice."""
+    rows = t("events").where(F.col("event_id") % CYCLES == k).select(
+        (F.col("user_id") % 7).cast("bigint").alias("company_id"), F.concat(F.lit("https://e.example.com/"), F.col("user_id").cast("string")).alias("posting_url"),
+        F.lit(k).alias("cycle"))
+    rows.write.parquet(f"{root}/landed/cycle-{k}")
     return f"{root}/landed/cycle-*"
 
 
@@ -59,11 +57,10 @@ def _merge_cycle(before: DataFrame, batch: DataFrame, batch_id: int) -> DataFram
 """)
 def stream_merge(t: Tables) -> DataFrame:
     spark, root = t.spark, scratch_path(t.spark, "stream-merge")
-    landed = _land(t, root)
-    schema = spark.read.parquet(landed).schema
-    # a second run on the same checkpoint finds nothing new and changes nothing
-    for _ in range(2):
-        source = jobs.landed_stream(spark, landed, schema, files_per_batch=1)
+    # the stream runs when a snapshot has landed, and takes all its files as one batch; the last run finds nothing new
+    for k in range(CYCLES + 1):
+        landed = _land(t, root, k) if k < CYCLES else f"{root}/landed/cycle-*"
+        source = jobs.landed_stream(spark, landed, spark.read.parquet(f"{root}/landed/cycle-0").schema)
         jobs.merge_snapshots(source, root, STATE, _merge_cycle, compact_every=3).awaitTermination()
     state = jobs.stream_state(spark, root, STATE, compact_every=3)
     return state.select("posting_url", "job_status", day_text("date_closed").alias("date_closed"), day_text("last_scraped").alias("last_seen"))

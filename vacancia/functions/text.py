@@ -157,26 +157,32 @@ def structural_html(html: Column | str, tags: Sequence[str] = STRUCTURAL_TAGS) -
     return strip(out)
 
 
+def _opened_by(open_tag: str, tag: str | None) -> elements.Root:
+    fits = lambda tok: tok.rlike(rf"(?is)^{open_tag}")
+    return lambda tok, name: fits(tok) if tag is None else (name == tag) & fits(tok)
+
+
 def element_body(html: Column | str, open_tag: str, tag: str | None = None) -> Column:
     """Inner HTML of the first element whose opening tag matches ``open_tag``, up to its own end tag."""
-    fits = lambda tok: tok.rlike(rf"(?is)^{open_tag}")
-    return elements.first_inner(col(html), lambda tok, name: fits(tok) if tag is None else (name == tag) & fits(tok))
+    return elements.first_inner(col(html), _opened_by(open_tag, tag))
 
 
 def with_page_content(df: DataFrame, html: str, out: str, containers: Sequence[tuple[str, str | None]],
                       minimum: int = 100) -> DataFrame:
     """First container with more than ``minimum`` characters of text, else the body.
 
-    The stripped page and each container are columns of their own: every pattern runs
-    over a page once.
+    The stripped page and each container are columns of their own: a page is walked twice, once
+    for what is stripped and once for the containers and the body together.
     """
     names = [f"_c{i}" for i in range(len(containers))]
     bare = df.withColumn("_bare", without_elements(html))
-    parts = bare.withColumns({n: element_body("_bare", o, t) for n, (o, t) in zip(names, containers)})
+    roots = [_opened_by(o, t) for o, t in (*containers, (r"<body\b[^>]*>", "body"))]
+    parts = bare.withColumn("_found", elements.first_inners(F.col("_bare"), roots))
+    parts = parts.withColumns({n: F.get("_found", i) for i, n in enumerate(names)})
     sized = parts.withColumns({n + "_n": F.length(collapse(page_text(n))) for n in names})
     picks = [F.when(F.col(n + "_n") > minimum, F.col(n)) for n in names]
-    body = F.coalesce(element_body("_bare", r"<body\b[^>]*>", "body"), F.col("_bare"))
-    return sized.withColumn(out, F.coalesce(*picks, body)).drop("_bare", *names, *[n + "_n" for n in names])
+    body = F.coalesce(F.get("_found", len(names)), F.col("_bare"))
+    return sized.withColumn(out, F.coalesce(*picks, body)).drop("_bare", "_found", *names, *[n + "_n" for n in names])
 
 
 def all_matches(html: Column | str, pattern: str, group: int) -> Column:
@@ -200,7 +206,7 @@ def links(html: Column | str) -> Column:
     )
 
 
-PAIR_PATTERN = r"(?is)<dt\b[^>]*>(.*?)</dt\s*>\s*<dd\b[^>]*>(.*?)</dd\s*>"
+LIST_TOKEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|</?(?:dl|dt|dd)(?:\s[^>]*)?/?>"
 
 
 def _label(c: Column) -> Column:
@@ -209,20 +215,61 @@ def _label(c: Column) -> Column:
 
 def first_labels(labels: Column, values: Column) -> Column:
     """Map from parallel arrays; of a repeated label the first entry stays."""
-    pairs = F.arrays_zip(labels.alias("k"), values.alias("v"))
-    empty = F.create_map().cast("map<string,string>")
-    return F.aggregate(
-        pairs, empty,
-        lambda found, x: F.when(F.map_contains_key(found, x["k"]), found).otherwise(
-            F.map_concat(found, F.create_map(x["k"], x["v"]))),
-    )
+    return F.map_from_arrays(
+        F.array_distinct(labels),
+        F.transform(F.array_distinct(labels), lambda k: F.get(values, (F.array_position(labels, k) - 1).cast("int"))))
+
+
+def label_pairs(html: Column | str) -> Column:
+    """Array of (n, k, v): raw labels and values of the lists of a page, in order of the labels.
+
+    A walk over the tokens of ``dl``, ``dt`` and ``dd`` carries the lists that are open. A label
+    or a value ends with its end tag, with the next one of its list, or with its list; the
+    text of a list inside a value belongs to the value too. A label takes the next value of
+    its list, and several labels may take one; a label without a value is no pair.
+    """
+    waiting, pairs = "array<struct<n:int,k:string>>", "array<struct<n:int,k:string,v:string>>"
+    fresh = F.struct(F.lit("").alias("open"), F.lit("").alias("text"), F.lit(0).alias("n"), F.array().cast(waiting).alias("waiting"))
+
+    def level(open_: Column, text: Column, n: Column, labels: Column) -> Column:
+        return F.struct(open_.alias("open"), text.alias("text"), n.cast("int").alias("n"), labels.alias("waiting"))
+
+    def ended(top: Column) -> Column:
+        """The list with its open label or value closed."""
+        label = F.struct(top["n"].alias("n"), top["text"].alias("k"))
+        labels = F.when(top["open"] == "dt", F.concat(top["waiting"], F.array(label))).when(top["open"] == "dd", F.array().cast(waiting)).otherwise(top["waiting"])
+        return level(F.lit(""), F.lit(""), F.lit(0), labels)
+
+    def found(top: Column) -> Column:
+        """The pairs that the open value of a list makes when it closes."""
+        made = F.transform(top["waiting"], lambda w: F.struct(w["n"].alias("n"), w["k"].alias("k"), top["text"].alias("v")))
+        return F.when(top["open"] == "dd", made).otherwise(F.array().cast(pairs))
+
+    def merge(s: Column, x: Column) -> Column:
+        top = F.element_at(s["lists"], -1)
+        outer = F.slice(s["lists"], F.lit(1), F.size(s["lists"]) - 1)
+        pops = (x["tag"] == "/dl") & (F.size(s["lists"]) > 1)
+        starts = x["tag"].isin("dt", "dd")
+        closes = starts | pops | (x["tag"] == F.concat(F.lit("/"), top["open"]))
+        left = F.when(pops, outer).when(starts, F.concat(outer, F.array(level(x["tag"], F.lit(""), x["n"], ended(top)["waiting"])))).when(
+            closes, F.concat(outer, F.array(ended(top)))).when(x["tag"] == "dl", F.concat(s["lists"], F.array(fresh))).otherwise(s["lists"])
+        grown = F.transform(left, lambda y: F.when(y["open"] != "", level(y["open"], F.concat(y["text"], x["after"]), y["n"], y["waiting"])).otherwise(y))
+        return F.struct(grown.alias("lists"), F.when(closes, F.concat(s["pairs"], found(top))).otherwise(s["pairs"]).alias("pairs"))
+
+    def finish(s: Column) -> Column:
+        return F.array_sort(F.concat(s["pairs"], F.flatten(F.transform(s["lists"], found))))
+
+    page = col(html)
+    after = F.split(page, LIST_TOKEN, -1)
+    tokens = F.transform(F.regexp_extract_all(page, F.lit(LIST_TOKEN), F.lit(0)), lambda tok, i: F.struct(
+        F.lower(F.regexp_extract(tok, r"(?i)^<(/?d[ltd])\b", 1)).alias("tag"), i.alias("n"), F.get(after, i + 1).alias("after")))
+    return F.aggregate(tokens, F.struct(F.array(fresh).alias("lists"), F.array().cast(pairs).alias("pairs")), merge, finish)
 
 
 def label_values(html: Column | str) -> Column:
     """Map of the ``dt``/``dd`` pairs of a page, labels in lower case, first one kept."""
-    labels = F.transform(all_matches(html, PAIR_PATTERN, 1), _label)
-    values = F.transform(all_matches(html, PAIR_PATTERN, 2), lambda v: strip(unescape(page_text(v))))
-    return first_labels(labels, values)
+    return elements.let(label_pairs(html), lambda found: elements.let(F.transform(found, lambda x: _label(x["k"])), lambda labels: first_labels(
+        labels, F.transform(found, lambda x: strip(unescape(page_text(x["v"])))))))
 
 
 def link_after(html: Column | str, phrase: str) -> Column:
