@@ -184,6 +184,47 @@ def cycle_detail_content(t: Tables) -> DataFrame:
     return _detail_columns(read_appended(t.spark, root, "content"), "id")
 
 
+# Pages of three families: every third one each.
+_FAMILIES = f"""
+    SELECT page_id, 'http://p.example.com/' || page_id AS posting_url,
+           CASE page_id % 3 WHEN 0 THEN {sql_pick(['Full-time', 'Part-time', None], 'page_id // 3')} END AS job_type,
+           CASE page_id % 3 WHEN 0 THEN {sql_pick(['Remote', 'Hybrid', 'On-site', None], 'page_id // 3')} END AS office_location,
+           CASE WHEN page_id % 3 = 0 THEN CAST(20000 + page_id AS DOUBLE) END AS minimum_salary,
+           CASE WHEN page_id % 3 = 0 THEN CAST(30000 AS DOUBLE) END AS maximum_salary,
+           md5(CASE page_id % 3 WHEN 0 THEN '<p>Duties ' || url || '</p>' WHEN 1 THEN trim(repeat('About ' || url || ' ', 9)) END) AS digest
+    FROM pages
+"""
+
+
+def _family_pages(t: Tables) -> DataFrame:
+    k = F.col("page_id")
+    part = lambda values: pick(values, F.floor(k / 3))
+    label = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f'<div class="iCIMS_JobHeaderTag"><dt class="iCIMS_JobHeaderField">{name}</dt><dd class="iCIMS_JobHeaderData"> '), value, F.lit("</dd></div>"))).otherwise("")
+    one = F.concat(
+        F.lit('<html><body><dl>'), label("Employment Status", part(TIMES)), label("&nbsp;", part(REMOTE)),
+        F.lit("<dt>Posted Range</dt><dd>$"), 20000 + k, F.lit(' to $30,000</dd></dl><div class="wide iCIMS_JobContainer"><div><p class="x">Duties '), "url",
+        F.lit("</p></div></div><p>other jobs</p></body></html>"))
+    two = F.concat(F.lit('<html><body><nav>menu</nav><div class="jobDisplay"><h1></h1>'), F.repeat(F.concat(F.lit("<p>About "), "url", F.lit("</p>\n")), 9), F.lit("</div><footer>f</footer></body></html>"))
+    page = F.when(k % 3 == 0, one).when(k % 3 == 1, two).otherwise("<html><body>short</body></html>")
+    family = F.when(k % 3 == 0, "icims").when(k % 3 == 1, "text").otherwise("unknown")
+    return t("pages").select("page_id", F.concat(F.lit("http://p.example.com/"), k).alias("posting_url"), page.alias("html"), family.alias("family"))
+
+
+@query("cycle_detail_families", f"SELECT * EXCLUDE (page_id) FROM ({_FAMILIES})")
+def cycle_detail_families(t: Tables) -> DataFrame:
+    pages = _family_pages(t)
+    feed = pages.select((F.col("page_id") % 10).cast("bigint").alias("company_id"), F.lit("Welder").alias("job_title"), "posting_url", F.lit("board").alias("source_job_board"))
+    companies = feed.select(F.col("company_id").alias("id")).distinct().withColumn("last_full_scrape_completed", F.lit(None).cast("timestamp_ntz"))
+    time = F.lit(None).cast("timestamp_ntz")
+    state = pages.limit(0).select(
+        F.lit(0).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("company_id"), "posting_url", F.lit("active").alias("job_status"),
+        time.alias("created_at"), time.alias("updated_at"), time.alias("last_scraped"), F.lit(None).cast("date").alias("date_closed"))
+    cycle = run_cycle(state, feed, companies, "2002-01-01 12:00:00", enrich=from_detail_pages(pages, adapter=A.DETAIL_ADAPTERS))
+    return cycle.content.select(
+        "posting_url", "job_type", "office_location", F.col("minimum_salary").cast("double").alias("minimum_salary"),
+        F.col("maximum_salary").cast("double").alias("maximum_salary"), F.md5("job_description").alias("digest"))
+
+
 @query("two_stage_filter", f"""
     SELECT page_id, {sql_pick(['Contains city', 'Multi-location'], 'page_id // 2')} AS reason FROM pages
     WHERE page_id % 2 = 0 AND contains(lower({_TEXT.replace('X', _BARE)}), 'the')

@@ -10,7 +10,7 @@ are already stored are neither read nor moved.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -142,16 +142,26 @@ def run_cycle(state: DataFrame, feed: DataFrame, companies: DataFrame, as_of, en
     return Cycle(M.next_table(staged), content, stamped, M.change_set(delta), rejected, to_canonical(with_duration(log), S.RUN_LOG), delta, counts)
 
 
-def from_detail_pages(pages: DataFrame, order: Sequence[str] = ()) -> Enrich:
+Adapter = Callable[..., DataFrame]
+
+
+def from_detail_pages(pages: DataFrame, order: Sequence[str] = (), adapter: Adapter | Mapping[str, Adapter] = workday_detail) -> Enrich:
     """An ``enrich`` for ``run_cycle``: new postings with the fields of their landed pages.
 
     ``pages`` has (posting_url, html); only pages of new postings are parsed, and of several
-    pages with one URL the first in ``order``.
+    pages with one URL the first in ``order``. ``adapter`` reads a family of pages (see
+    ``sources.adapters``); given several by name, each reads the pages whose ``family`` it is
+    called by, and a page of another family adds nothing.
     """
+    families = adapter if isinstance(adapter, Mapping) else {None: adapter}
+    kind = ["family"] if isinstance(adapter, Mapping) else []
+
     def enrich(new: DataFrame) -> DataFrame:
-        own = pages.select("posting_url", "html", *order).join(new.select("posting_url"), "posting_url", "left_semi")
-        found = workday_detail(first_of_key(own, ["posting_url"], order), carry=["posting_url"])
-        return with_detail(new, found, "posting_url", DETAIL_FIELDS)
+        own = pages.select("posting_url", "html", *kind, *order).join(new.select("posting_url"), "posting_url", "left_semi")
+        own = first_of_key(own, ["posting_url"], order)
+        parts = [read(own if name is None else own.where(F.col("family") == name), carry=["posting_url"]) for name, read in families.items()]
+        found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return with_detail(new, found, "posting_url", [c for c in DETAIL_FIELDS if c in found.columns])
 
     return enrich
 

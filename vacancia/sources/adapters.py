@@ -394,6 +394,43 @@ def workday_detail(pages: DataFrame, html: str = "html", carry: Sequence[str] =
     )
 
 
+# Labels and containers of other families' detail pages.
+STATUS_LABEL, PLACE_LABEL, RANGE_LABEL = "employment status", "", "posted range"
+ICIMS_CONTAINERS = ((r'<div\b[^>]*\bclass="(?:[^"]*\s)?iCIMS_JobContainer(?:\s[^"]*)?"', "div"),)
+TEXT_CONTAINERS = (
+    (r'<div\b[^>]*\bclass="(?:[^"]*\s)?jobDisplay(?:\s[^"]*)?"', "div"),
+    (r"<main\b", "main"), (r"<article\b", "article"), (r'<div\b[^>]*\brole="main"', "div"),
+)
+
+
+def icims_detail(pages: DataFrame, html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
+    """Fields of a posting's page by its header labels; the work location stands under a blank label.
+
+    The description is the job container, cleaned, and empty without one.
+    """
+    of = lambda label: F.try_element_at("_labels", F.lit(label))
+    out = pages.select(*_carry(pages, carry), F.col(html).alias("_html"), X.label_values(html).alias("_labels"))
+    out = out.withColumns({"_range": M.to_range(of(RANGE_LABEL)), "_content": X.element_body("_html", *ICIMS_CONTAINERS[0])})
+    return out.select(
+        *_carry(out, carry),
+        C.job_type(of(STATUS_LABEL)).alias("job_type"),
+        C.work_location(of(PLACE_LABEL)).alias("office_location"),
+        _salary(F.col("_range.minimum")).alias("minimum_salary"),
+        _salary(F.col("_range.maximum")).alias("maximum_salary"),
+        F.nullif(X.structural_html("_content"), F.lit("")).alias("job_description"),
+    )
+
+
+def text_detail(pages: DataFrame, html: str = "html", carry: Sequence[str] = (), minimum: int = 100) -> DataFrame:
+    """The description alone, as collapsed text: the first container with enough of it, else the stripped body."""
+    out = X.with_page_content(pages.select(*_carry(pages, carry), F.col(html).alias("_html")), "_html", "_content", TEXT_CONTAINERS, minimum)
+    text = out.withColumn("_text", X.spaced_page_text("_content"))
+    return text.select(*_carry(out, carry), F.when(F.length("_text") > minimum, F.col("_text")).alias("job_description"))
+
+
+DETAIL_ADAPTERS = {"workday": workday_detail, "icims": icims_detail, "text": text_detail}
+
+
 def with_detail(listing: DataFrame, detail: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Detail-page value, else listing value, for each field; the listing decides the rows.
 
