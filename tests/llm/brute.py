@@ -245,3 +245,38 @@ def doubled(n, first="a", second="b"):
     while len(one) < n:
         one, two = one + two, two + one
     return one, two
+
+
+def interpolated(rows, order, weights, steps=8):
+    """doc_id -> score by dictionaries of n-grams; ``weights`` learns the mixture from a histogram of events."""
+    texts = {}
+    for doc_id, text in rows:
+        words = WORD.findall(lower(text)) + [None]  # the end
+        texts[doc_id] = [[tuple((["<"] * order + words)[i + order - n + 1 : i + order + 1]) for i in range(len(words))] for n in range(1, order + 1)]
+    train = [d for d in texts if fold(d, 10) != 0]
+    gone = [d for d in train if zlib.crc32(("" if d is None else str(d)).encode()) // 10 % 10 == 0]
+    count = lambda docs: [Counter(g for d in docs for g in texts[d][n]) for n in range(order)]
+    seen, deleted = count(train), count(gone)
+    kinds = len(seen[0])
+
+    def estimates(doc, counts, size, n_texts):
+        for i in range(len(texts[doc][0])):
+            out, longest, context = [counts[0][texts[doc][0][i]] / max(size, 1) * (kinds + 1)], 1, size
+            for n in range(1, order):
+                context = counts[n - 1][texts[doc][n - 1][i - 1]] if i else n_texts
+                out.append(counts[n][texts[doc][n][i]] / context * (kinds + 1) if context else 0.0)
+                longest += context > 0
+            yield out, int(math.floor(math.log2(context))) + 1 if context else (64 - order + longest if longest > 1 else 0)
+
+    left = [Counter({g: c - b[g] for g, c in a.items()}) for a, b in zip(seen, deleted)]
+    events = Counter()
+    for d in gone:
+        for out, bucket in estimates(d, left, sum(left[0].values()), len(train) - len(gone)):
+            events[bucket, tuple(int(round(math.log2(x) * steps)) + 128 * steps if x > 0 else 0 for x in out)] += 1
+    mixture = weights(events)
+    scores = {}
+    for d in texts:
+        scores[d] = sum(
+            math.log10(mixture[bucket][0] + sum(w * x for w, x in zip(mixture[bucket][1:], out))) - math.log10(kinds + 1)
+            for out, bucket in estimates(d, seen, sum(seen[0].values()), len(train)))
+    return scores

@@ -156,3 +156,16 @@ def test_scores_do_not_depend_on_blocks_and_buckets(spark, monkeypatch):
         found.append({(r.doc_id, r.n_tokens): r.score for r in interpolation.interpolated_scores(docs).collect()})
     for other in found[1:]:
         assert other == pytest.approx(found[0])
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_scores_are_those_of_plain_counts(spark, order):
+    rows = [(i, brute.sentences(i % 37, 20 + i % 9, "a b c D e f g".split()) if i % 11 else None) for i in range(240)]
+
+    def learned(events):
+        return interpolation.weights([type("R", (), {"bucket": b, "bins": list(bins), "events": n})() for (b, bins), n in events.items()], order)
+
+    expected = brute.interpolated(rows, order, learned)
+    docs = brute.frame(spark, [(d, t, "en", "s", None) for d, t in rows])
+    got = {r.doc_id: r.score for r in interpolation.interpolated_scores(docs, order).collect()}
+    assert got == pytest.approx(expected)
