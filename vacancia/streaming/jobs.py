@@ -61,15 +61,14 @@ def stream_state(spark: SparkSession, root: str, schema: str, upto: int | None =
 
 
 def _batches(spark: SparkSession, root: str) -> int:
-    """How many batches have written their changes."""
+    """How many batches have written their changes: one row tells of each, behind its changes."""
     try:
-        written = spark.read.schema("batch bigint").option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+        written = spark.read.schema("batch bigint").parquet(f"{root}/written")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return 0
-    folders = {f.rsplit("/batch=", 1)[1].split("/")[0] for f in written.inputFiles()}
-    return max(map(int, folders), default=-1) + 1
+    return written.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
 
 
 def merge_snapshots(snapshots: DataFrame, root: str, schema: str, step: Callable[[DataFrame, DataFrame, int], DataFrame],
@@ -95,6 +94,7 @@ def merge_snapshots(snapshots: DataFrame, root: str, schema: str, step: Callable
                 parts.withColumn("_batch", F.lit(0)).unionByName(
                     spark.read.schema(schema).parquet(f"{root}/changes/batch={batch_id}").withColumn("_batch", F.lit(1))), ["id"], ["_batch"])
             now.drop("_batch").write.mode("overwrite").parquet(f"{root}/base/batch={base}")
+        spark.range(batch_id, batch_id + 1).select(F.col("id").alias("batch")).coalesce(1).write.mode("append").parquet(f"{root}/written")
 
     return merge_stream(snapshots, apply, f"{root}/checkpoint")
 
