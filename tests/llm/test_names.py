@@ -169,3 +169,11 @@ def test_scores_are_those_of_plain_counts(spark, order):
     docs = brute.frame(spark, [(d, t, "en", "s", None) for d, t in rows])
     got = {r.doc_id: r.score for r in interpolation.interpolated_scores(docs, order).collect()}
     assert got == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("numbers", [[0], [1], [5, 0, 7], [(1 << 64) - 1, 0, 1], [1 << 33] * 9, list(range(1000))])
+def test_numbers_are_packed_in_bits(numbers):
+    x = np.array(numbers, np.uint64)
+    packed = interpolation.narrow(x)
+    assert interpolation.wide(packed, x.size).tolist() == numbers
+    assert len(packed) == 1 + -(-x.size * max(1, max(numbers).bit_length()) // 8)

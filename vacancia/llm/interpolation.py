@@ -81,16 +81,18 @@ def bucket_edges(buckets: int, bits: int) -> np.ndarray:
 
 
 def narrow(x: np.ndarray) -> bytes:
-    """64-bit numbers in as few bytes each as the largest needs."""
-    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
-    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """64-bit numbers in as few bits each as the largest needs, which the first byte tells."""
+    width = max(1, int(x.max(initial=0)).bit_length())
+    bits = np.unpackbits(np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bytes([width]) + np.packbits(bits[:, :width].reshape(-1), bitorder="little").tobytes()
 
 
 def wide(data: bytes, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    if n:
-        out[:, : len(data) // n] = np.frombuffer(data, np.uint8).reshape(n, -1)
-    return out.reshape(-1).view("<u8")
+    if not n:
+        return np.zeros(0, np.uint64)
+    bits = np.zeros((n, 64), np.uint8)
+    bits[:, : data[0]] = np.unpackbits(np.frombuffer(data, np.uint8, offset=1), count=n * data[0], bitorder="little").reshape(n, data[0])
+    return np.packbits(bits, axis=1, bitorder="little").reshape(-1).view("<u8")
 
 
 def squeezed(x: np.ndarray) -> bytes:
