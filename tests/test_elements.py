@@ -132,3 +132,13 @@ def test_time_grows_with_the_tags(spark, parts):
 ])
 def test_label_lists(spark, html, expected):
     assert spark.createDataFrame([(html,)], "html string").select(X.label_values("html").alias("m")).first()["m"] == expected
+
+
+def test_label_lists_cut_a_page_once(spark):
+    """Every token used to split the whole page again: minutes for a page of so many labels."""
+    page = "<dl>" + "".join(f"<dt>K{k}</dt><dd>v{k} &amp; more</dd>" for k in range(2000)) + "</dl>"
+    df = spark.createDataFrame([(page,)], "html string").select(X.label_values("html").alias("m"))
+    t0 = time.time()
+    found = df.first()["m"]
+    assert found == {f"k{k}": f"v{k} & more" for k in range(2000)}
+    assert time.time() - t0 < 15

@@ -206,18 +206,69 @@ def links(html: Column | str) -> Column:
     )
 
 
-LIST_TOKEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|</?(?:dl|dt|dd)(?:\s[^>]*)?/?>"
+LIST_TOKEN = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?</\1\s*>|(/?(?:dl|dt|dd))(?:\s[^>]*)?/?>)"
 
 
-def _label(c: Column) -> Column:
-    return F.lower(strip(unescape(page_text(c))))
+def _clean(c: Column) -> Column:
+    """Text of a fragment, entities decoded, stripped; a step that changes nothing is not taken."""
+    bare = elements.let(c, lambda x: F.when(F.contains(x, F.lit("<")), page_text(x)).otherwise(x))
+    plain = elements.let(bare, lambda x: F.when(F.contains(x, F.lit("&")), unescape(x)).otherwise(x))
+    return elements.let(plain, lambda x: F.when(x.rlike(r"(?s)\A[!-~](?:.*[!-~])?\z"), x).otherwise(strip(x)))
 
 
 def first_labels(labels: Column, values: Column) -> Column:
     """Map from parallel arrays; of a repeated label the first entry stays."""
-    return F.map_from_arrays(
-        F.array_distinct(labels),
-        F.transform(F.array_distinct(labels), lambda k: F.get(values, (F.array_position(labels, k) - 1).cast("int"))))
+    return elements.let(F.array_distinct(labels), lambda names: F.when(
+        F.size(names) == F.size(labels), F.map_from_arrays(labels, values)).otherwise(F.map_from_arrays(
+            names, F.transform(names, lambda k: F.get(values, (F.array_position(labels, k) - 1).cast("int"))))))
+
+
+def _label_spans(tags: Column) -> Column:
+    """Array of (n, end, start, stop): the tokens that open and end a label, and those of its value.
+
+    A step costs what it changes: the innermost list is the state itself, the lists around it are
+    only touched when a list begins or ends, and texts are not carried at all.
+    """
+    label = "struct<n:int,end:int>"
+    value = f"struct<waiting:array<{label}>,start:int,stop:int>"
+    none = F.array().cast(f"array<{label}>")
+
+    # kind: the end tag of the label or value that is open, or nothing; n: the token that opened it
+    def state(at: Column, kind: Column, n: Column, labels: Column, lists: Column, found: Column) -> Column:
+        return F.struct(at.alias("at"), kind.alias("kind"), n.alias("n"), labels.alias("waiting"), lists.alias("outer"), found.alias("values"))
+
+    def with_value(found: Column, top: Column, at: Column) -> Column:
+        """The values with the one that is open, if it has a label."""
+        ended = F.struct(top["waiting"].alias("waiting"), top["n"].alias("start"), at.alias("stop"))
+        return F.when((top["kind"] == "/dd") & (F.size(top["waiting"]) > 0), F.array_append(found, ended)).otherwise(found)
+
+    def merge(s: Column, tag: Column) -> Column:
+        ended = F.struct(s["n"].alias("n"), s["at"].alias("end"))
+        labels = F.when(s["kind"] == "/dt", F.array_append(s["waiting"], ended)).when(s["kind"] == "/dd", none).otherwise(s["waiting"])
+        found = with_value(s["values"], s, s["at"])
+        top = F.element_at(s["outer"], -1)
+        this = F.struct(s["kind"].alias("kind"), s["n"].alias("n"), s["waiting"].alias("waiting"))
+        after = s["at"] + 1
+        return (
+            F.when(tag == s["kind"], state(after, F.lit(""), s["at"], labels, s["outer"], found))
+            .when(tag == "dt", state(after, F.lit("/dt"), s["at"], labels, s["outer"], found))
+            .when(tag == "dd", state(after, F.lit("/dd"), s["at"], labels, s["outer"], found))
+            .when(tag == "dl", state(after, F.lit(""), s["at"], none, F.array_append(s["outer"], this), s["values"]))
+            .when((tag == "/dl") & (F.size(s["outer"]) > 0), state(after, top["kind"], top["n"], top["waiting"], F.slice(s["outer"], F.lit(1), F.size(s["outer"]) - 1), found))
+            .otherwise(state(after, s["kind"], s["n"], s["waiting"], s["outer"], s["values"]))
+        )
+
+    def finish(s: Column) -> Column:
+        unended = F.filter(s["outer"], lambda top: top["kind"] == "/dd")
+        around = F.transform(unended, lambda top: F.struct(top["waiting"].alias("waiting"), top["n"].alias("start"), s["at"].alias("stop")))
+        return F.concat(with_value(s["values"], s, s["at"]), around)
+
+    def spans(found: Column) -> Column:
+        return F.sort_array(F.flatten(F.transform(found, lambda v: F.transform(v["waiting"], lambda w: F.struct(
+            w["n"].alias("n"), w["end"].alias("end"), v["start"].alias("start"), v["stop"].alias("stop"))))))
+
+    outer = F.array().cast(f"array<struct<kind:string,n:int,waiting:array<{label}>>>")
+    return spans(F.aggregate(tags, state(F.lit(0), F.lit(""), F.lit(0), none, outer, F.array().cast(f"array<{value}>")), merge, finish))
 
 
 def label_pairs(html: Column | str) -> Column:
@@ -228,48 +279,23 @@ def label_pairs(html: Column | str) -> Column:
     text of a list inside a value belongs to the value too. A label takes the next value of
     its list, and several labels may take one; a label without a value is no pair.
     """
-    waiting, pairs = "array<struct<n:int,k:string>>", "array<struct<n:int,k:string,v:string>>"
-    fresh = F.struct(F.lit("").alias("open"), F.lit("").alias("text"), F.lit(0).alias("n"), F.array().cast(waiting).alias("waiting"))
-
-    def level(open_: Column, text: Column, n: Column, labels: Column) -> Column:
-        return F.struct(open_.alias("open"), text.alias("text"), n.cast("int").alias("n"), labels.alias("waiting"))
-
-    def ended(top: Column) -> Column:
-        """The list with its open label or value closed."""
-        label = F.struct(top["n"].alias("n"), top["text"].alias("k"))
-        labels = F.when(top["open"] == "dt", F.concat(top["waiting"], F.array(label))).when(top["open"] == "dd", F.array().cast(waiting)).otherwise(top["waiting"])
-        return level(F.lit(""), F.lit(""), F.lit(0), labels)
-
-    def found(top: Column) -> Column:
-        """The pairs that the open value of a list makes when it closes."""
-        made = F.transform(top["waiting"], lambda w: F.struct(w["n"].alias("n"), w["k"].alias("k"), top["text"].alias("v")))
-        return F.when(top["open"] == "dd", made).otherwise(F.array().cast(pairs))
-
-    def merge(s: Column, x: Column) -> Column:
-        top = F.element_at(s["lists"], -1)
-        outer = F.slice(s["lists"], F.lit(1), F.size(s["lists"]) - 1)
-        pops = (x["tag"] == "/dl") & (F.size(s["lists"]) > 1)
-        starts = x["tag"].isin("dt", "dd")
-        closes = starts | pops | (x["tag"] == F.concat(F.lit("/"), top["open"]))
-        left = F.when(pops, outer).when(starts, F.concat(outer, F.array(level(x["tag"], F.lit(""), x["n"], ended(top)["waiting"])))).when(
-            closes, F.concat(outer, F.array(ended(top)))).when(x["tag"] == "dl", F.concat(s["lists"], F.array(fresh))).otherwise(s["lists"])
-        grown = F.transform(left, lambda y: F.when(y["open"] != "", level(y["open"], F.concat(y["text"], x["after"]), y["n"], y["waiting"])).otherwise(y))
-        return F.struct(grown.alias("lists"), F.when(closes, F.concat(s["pairs"], found(top))).otherwise(s["pairs"]).alias("pairs"))
 
-    def finish(s: Column) -> Column:
-        return F.array_sort(F.concat(s["pairs"], F.flatten(F.transform(s["lists"], found))))
+    def pairs(page: Column) -> Column:
+        tags = F.transform(F.regexp_extract_all(page, F.lit(LIST_TOKEN), F.lit(2)), F.lower)
+        return elements.let(F.split(page, LIST_TOKEN, -1), lambda texts: F.transform(_label_spans(tags), lambda x: F.struct(
+            x["n"].alias("n"), text(texts, x["n"], x["end"]).alias("k"), text(texts, x["start"], x["stop"]).alias("v"))))
+
+    def text(texts: Column, first: Column, end: Column) -> Column:
+        """The text between two tokens, without the tokens that are between."""
+        return F.when(end == first + 1, F.get(texts, end)).otherwise(F.array_join(F.slice(texts, first + 2, end - first), ""))
 
-    page = col(html)
-    after = F.split(page, LIST_TOKEN, -1)
-    tokens = F.transform(F.regexp_extract_all(page, F.lit(LIST_TOKEN), F.lit(0)), lambda tok, i: F.struct(
-        F.lower(F.regexp_extract(tok, r"(?i)^<(/?d[ltd])\b", 1)).alias("tag"), i.alias("n"), F.get(after, i + 1).alias("after")))
-    return F.aggregate(tokens, F.struct(F.array(fresh).alias("lists"), F.array().cast(pairs).alias("pairs")), merge, finish)
+    return elements.let(col(html), pairs)
 
 
 def label_values(html: Column | str) -> Column:
     """Map of the ``dt``/``dd`` pairs of a page, labels in lower case, first one kept."""
-    return elements.let(label_pairs(html), lambda found: elements.let(F.transform(found, lambda x: _label(x["k"])), lambda labels: first_labels(
-        labels, F.transform(found, lambda x: strip(unescape(page_text(x["v"])))))))
+    return elements.let(label_pairs(html), lambda found: elements.let(F.transform(found, lambda x: F.lower(_clean(x["k"]))), lambda labels: first_labels(
+        labels, F.transform(found, lambda x: _clean(x["v"])))))
 
 
 def link_after(html: Column | str, phrase: str) -> Column:
