@@ -1,8 +1,10 @@
 """Connected components of a table of links, by alternating large and small stars.
 
-Every round is two aggregations and joins over the links, written to the shared folder. A
+Every star step is an aggregation and a join over the links, written to the shared folder. A
 node with very many links only ever sends one minimum back to them, and both sides of the
-joins are plain exchanges, so its rows are spread.
+joins are plain exchanges, so its rows are spread. Copies of a link that a large star makes
+are dropped by the small star behind it. The least neighbours of the next large star also
+tell when all is done: no node that has a smaller neighbour has another one.
 """
 
 from __future__ import annotations
@@ -13,30 +15,31 @@ from pyspark.sql import functions as F
 from vacancia.llm.common import saved
 
 
-def _round(links: DataFrame, large: bool) -> DataFrame:
-    """One star step on links (u, v): v are linked to the least neighbour of u, u included."""
-    if large:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    else:
-        both = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = saved(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "least")
-    joined = both.join(least, "u")
-    if large:
-        out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return saved(out.where("u <> v").distinct(), "star")
+def _least(both: DataFrame) -> DataFrame:
+    """Rows (u, m, n): the least neighbour of each node, itself included, and how many links it has."""
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    return saved(least.select("u", F.least("m", "u").alias("m"), "n"), "least")
+
 
+def _large(both: DataFrame, least: DataFrame) -> DataFrame:
+    """Neighbours above a node are linked to its least one, the node included."""
+    out = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return saved(out.where("u <> v"), "star")
 
-def _mark(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("decimal(20,0)"))).first())
+
+def _small(links: DataFrame) -> DataFrame:
+    """A node and its neighbours, all below it, are linked to the least of them."""
+    least = _least(links)
+    out = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    return saved(out.where("u <> v").distinct(), "star")
 
 
 def components(links: DataFrame) -> DataFrame:
     """Rows (u, label) for every linked node: the least node of its component (the least itself is left out)."""
-    links = saved(links.where("u <> v").select("u", "v").distinct(), "links")
-    before = None
-    while (now := _mark(links)) != before:
-        before = now
-        links = _round(_round(links, True), False)
-    return links.select("u", F.col("v").alias("label"))
+    links = saved(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    while True:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = _least(both)
+        if least.where("m < u AND n > 1").isEmpty():
+            return links.select("u", F.col("v").alias("label"))
+        links = _small(_large(both, least))
