@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import identified, same_document, saved
-from vacancia.llm.components import components
+from vacancia.llm.common import identified, same_document, saved, several
+from vacancia.llm.components import components, labelled
 from vacancia.llm.flat import SPACE, WORDS, Words, arrow_bytes, blocks, mix
 
 SHINGLE = 5
@@ -117,14 +117,14 @@ def prefixes(classes: DataFrame, depth: int) -> DataFrame:
     return classes.select("class", "labels").mapInArrow(run, "node bigint, tree int, class bigint")
 
 
-def block_pairs(rows: DataFrame, group: str, sizes: DataFrame, each: int = BLOCK) -> DataFrame:
+def block_pairs(rows: DataFrame, group: str, each: int = BLOCK) -> DataFrame:
     """Rows dealt into units that compare all pairs of a group once.
 
     A group of up to ``each`` rows is one unit. A larger one is cut into parts by class, and
-    every pair of parts is a unit. ``sizes`` has each group's rows; ``part`` tells the sides.
+    every pair of parts is a unit. ``n`` is how many rows a row's group has; ``part`` tells the sides.
     """
     parts = F.ceil(F.col("n") / each).cast("int")
-    df = rows.join(sizes, group).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    df = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     df = df.withColumn("other", other)
     return df.withColumn("unit", F.xxhash64(group, F.least("part", "other"), F.greatest("part", "other"))).withColumn("within", F.col("part") == F.col("other")).drop("n", "parts", "other")
@@ -153,20 +153,6 @@ def _units(batches: Iterator[pa.RecordBatch], key: str = "unit") -> Iterator[pa.
         yield pa.Table.from_batches(rest)
 
 
-def labelled(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The least member of each member's component, for links between places 0 to n - 1."""
-    label = np.arange(n)
-    while left.size:
-        before = label.copy()
-        least = np.minimum(label[left], label[right])
-        np.minimum.at(label, left, least)
-        np.minimum.at(label, right, least)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def unit_pairs(unit: np.ndarray, part: np.ndarray, within: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of a unit's rows, those of two parts only across; in vectorised steps by distance."""
     n = unit.size
@@ -180,7 +166,7 @@ def unit_pairs(unit: np.ndarray, part: np.ndarray, within: np.ndarray) -> Iterat
 
 
 def headed(nodes: DataFrame, sizes: DataFrame, labels_of: DataFrame, depth: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """Links of the large nodes' classes to their heads, with the histogram of those pairs; and what is still to compare."""
+    """Links of the large nodes' classes to their heads, with the histogram of those pairs; and what is still to compare, as rows of sized nodes."""
     large = sizes.where(F.col("n") > BLOCK).select("node")
     if large.isEmpty():
         return [], None
@@ -200,18 +186,17 @@ def headed(nodes: DataFrame, sizes: DataFrame, labels_of: DataFrame, depth: int)
         schema = "node bigint, tree int, class bigint, labels binary, head bigint, head_labels binary, alike double, first boolean"
         met = rest.join(heads, "node").where("class <> head").select("node", "tree", "class", "labels", "head", "head_labels")
         met = saved(met.mapInArrow(run, schema).drop("head_labels"), "headed")
-        none = F.lit(None).cast("bigint")
-        stars.append(met.where(F.col("alike") >= LOOSE).select(F.col("class").alias("u"), F.col("head").alias("v"), none.alias("bin"), F.lit(None).cast("double").alias("pairs")))
-        bins = met.where(F.col("first") & (F.col("alike") >= SIMILARITY)).groupBy(F.floor(F.col("alike") * 100).cast("bigint").alias("bin"))
-        stars.append(bins.agg(F.count(F.lit(1)).cast("double").alias("pairs")).select(none.alias("u"), none.alias("v"), "bin", "pairs"))
+        counted = F.col("first") & (F.col("alike") >= SIMILARITY)
+        bin_ = F.when(counted, F.floor(F.col("alike") * 100).cast("bigint"))
+        stars.append(met.where(F.col("alike") >= LOOSE).select(F.col("class").alias("u"), F.col("head").alias("v"), bin_.alias("bin"), F.when(counted, 1.0).alias("pairs")))
         left = met.where(F.col("alike") < TIGHT).select("node", "tree", "class", "labels")
         counts = saved(left.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "left")
-        done.append(left.join(counts.where(F.col("n") <= BLOCK).select("node"), "node", "left_semi").select("node", "tree", "class"))
+        done.append(left.join(counts.where(F.col("n") <= BLOCK), "node").select("node", "tree", "class", "n"))
         rest = left.join(counts.where(F.col("n") > BLOCK).select("node"), "node", "left_semi")
         if counts.where(F.col("n") > BLOCK).isEmpty():
             break
     else:
-        done.append(rest.select("node", "tree", "class"))
+        done.append(rest.join(counts, "node").select("node", "tree", "class", "n"))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -227,12 +212,10 @@ def families(classes: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     nodes = prefixes(classes, depth)
     sizes = saved(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
     labels_of = classes.select("class", "labels")
-    few = nodes.join(sizes.where(F.col("n") <= BLOCK).select("node"), "node", "left_semi")
+    few = nodes.join(sizes.where(F.col("n") <= BLOCK), "node").select("node", "tree", "class", "n")
     stars, left = headed(nodes, sizes, labels_of, depth)
     few = few if left is None else few.unionByName(left)
-    sizes = sizes.where(F.col("n") <= BLOCK) if left is None else few.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    units = block_pairs(few, "node", sizes)
-    units = units.join(labels_of, "class")
+    units = block_pairs(few, "node").join(labels_of, "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _units(batches):
@@ -292,7 +275,7 @@ def matched(classes: DataFrame) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The shingle set of every member class, from the text that stands for it."""
+    """The shingle set of every member class, from the text that stands for it; ``docs`` is identified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,7 +289,8 @@ def class_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([some.column("class"), some.column("family"), some.column("docs"), pa.array(sets, pa.binary())], ["class", "family", "docs", "shingles"])
 
     joined = docs.join(members, same_document(docs, members)).select("class", "family", "docs", "text")
-    return joined.mapInArrow(run, "class bigint, family bigint, docs bigint, shingles binary").dropDuplicates(["class"])
+    sets = joined.mapInArrow(run, "class bigint, family bigint, docs bigint, shingles binary")
+    return sets.dropDuplicates(["class"]) if several(docs) else sets
 
 
 def common(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -332,7 +316,7 @@ def common(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
 def verified(sets: DataFrame, similarity: float) -> DataFrame:
     """Rows (class, label, docs, classes): a linked class, and how many documents and classes it is linked to in a unit."""
     sizes = saved(sets.groupBy("family").agg(F.count(F.lit(1)).alias("n")), "family_sizes")
-    units = block_pairs(sets, "family", sizes)
+    units = block_pairs(sets.join(sizes, "family"), "family")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _units(batches):
@@ -366,23 +350,21 @@ def verified(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Every document (doc_id, copy) with its class, its number of links, and whether it stands for the class."""
-    docs = identified(docs)
+    """Every document (doc_id, copy) with its class, its number of links, and whether it stands for the class; ``docs`` is identified."""
     signed = saved(signatures(docs), "signatures")
     place = F.struct("doc_id", "copy")
     # a document that stands in the table twice is one
-    ids = signed.select("class", "doc_id", "copy").distinct()
-    classes = saved(ids.groupBy("class").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("docs")), "classes")
-    first = signed.join(classes, "class").where(place == F.col("least")).groupBy("class").agg(F.first("labels").alias("labels"))
-    links = matched(saved(first, "labels"))
-    family = saved(components(links), "family")
-    family = family.unionByName(family.select(F.col("label").alias("u"), "label").distinct())
+    ids = signed.dropDuplicates(["class", "doc_id", "copy"]) if several(docs) else signed
+    least = ids.groupBy("class").agg(F.min(F.struct("doc_id", "copy", "labels")).alias("l"), F.count(F.lit(1)).alias("docs"))
+    first = saved(least.select("class", F.struct("l.doc_id", "l.copy").alias("least"), "docs", "l.labels"), "classes")
+    classes = first.drop("labels")
+    links = matched(first.select("class", "labels"))
+    family = components(links)
     members = family.join(classes, family["u"] == classes["class"]).select("class", F.col("label").alias("family"), "docs", "least.*")
     sets = saved(class_sets(docs, saved(members, "members")), "sets")
     near = saved(verified(sets, similarity), "near")
     counts = near.groupBy("class").agg(F.sum("docs").alias("near_docs"), F.sum("classes").alias("near_classes"))
-    label = saved(components(near.select(F.col("class").alias("u"), F.col("label").alias("v"))), "label")
-    label = label.unionByName(label.select(F.col("label").alias("u"), "label").distinct())
+    label = components(near.select(F.col("class").alias("u"), F.col("label").alias("v")))
     named = label.join(classes, label["u"] == classes["class"])
     name = named.groupBy("label").agg(F.min("least").alias("name"))
     name = saved(label.join(name, "label").select(F.col("u").alias("class"), "name"), "names")
@@ -398,18 +380,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def joined_classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: its class, its links, and the document it is an exact copy of."""
-    near = saved(near_duplicates(docs).drop("stands").distinct(), "near_duplicates")
-    rows = identified(docs).select("doc_id", "copy")
+    rows = identified(docs)
+    near = near_duplicates(rows).drop("stands")
+    if several(rows):
+        near = saved(near.distinct(), "near_duplicates")
     found = rows.join(near, same_document(rows, near), "left").select(rows["doc_id"], "class_id", "n_links", "copy_of")
     return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("copy_of", "doc_id").alias("copy_of"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, all columns, without those that another one stands for; of a document's rows the least stays."""
-    near = saved(near_duplicates(docs).where("not stands").select("doc_id", "copy").distinct(), "redundant")
-    several = not near.where("copy <> 0").isEmpty()
-    copy = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) if several else F.lit(0).cast("bigint")
+    rows = identified(docs)
+    again = several(rows)
+    near = near_duplicates(rows).where("not stands").select("doc_id", "copy")
+    near = saved(near.distinct() if again else near, "redundant")
+    copy = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) if again else F.lit(0).cast("bigint")
     kept = docs.join(near, docs["doc_id"].eqNullSafe(near["doc_id"]) & (near["copy"] == copy), "left_anti")
+    if not again:
+        return kept
     ids = saved(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated_ids")
     if ids.isEmpty():
         return kept
